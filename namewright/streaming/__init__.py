@@ -1,0 +1,6 @@
+"""Streaming: nothing to build.
+
+The workload this package covers is bounded batch only: no stream source,
+watermark, event-time window or state appears in it.  Both jobs run as
+batch DataFrame plans (``namewright.plans.jobs``).
+"""
