@@ -126,17 +126,25 @@ def number_repeats(ent: DataFrame, key_col: str = "key", out: str = "final_key",
     ``K2``; order inside a key is (fullname, shortname, abbr).  One entry per
     (load set, curve, final key) survives, an unnumbered (literal) key winning
     over a numbered one that spells the same text.  With ``keep_col`` the
-    survivors are flagged in that column instead of filtered."""
+    survivors are flagged in that column instead of filtered.
+
+    Every window is partitioned by (load_set_id, curve_id) only, so one
+    clustering of the rows serves the numbering, the de-dup and the map
+    aggregate that follows (the repeat number is the row number minus the
+    rank of the key, instead of a window per key)."""
     part = ["load_set_id", "curve_id"]
-    w = Window.partitionBy(*part, key_col).orderBy(*ENTRY_VALUE)
-    n = F.row_number().over(w) - F.lit(1)
-    numbered = ent.withColumn("_n", n).withColumn(
-        out, F.when(F.col("_n") == 0, F.col(key_col)).otherwise(
-            F.concat(F.col(key_col), F.col("_n").cast("string"))))
-    w2 = Window.partitionBy(*part, out).orderBy("_n", *ENTRY_VALUE)
-    flagged = numbered.withColumn("_first", F.row_number().over(w2) == 1).drop("_n")
+    by_key = Window.partitionBy(*part).orderBy(key_col)
+    by_entry = Window.partitionBy(*part).orderBy(key_col, *ENTRY_VALUE)
+    n = F.row_number().over(by_entry) - F.rank().over(by_key)
+    numbered = ent.select("*", n.alias("_n")).select(
+        "*", F.when(F.col("_n") == 0, F.col(key_col)).otherwise(
+            F.concat(F.col(key_col), F.col("_n").cast("string"))).alias(out))
+    by_final = Window.partitionBy(*part).orderBy(out)
+    by_final_entry = Window.partitionBy(*part).orderBy(out, "_n", *ENTRY_VALUE)
+    first = F.row_number().over(by_final_entry) == F.rank().over(by_final)
+    flagged = numbered.select(*ent.columns, out, first.alias(keep_col or "_first"))
     if keep_col is not None:
-        return flagged.withColumnRenamed("_first", keep_col)
+        return flagged
     return flagged.filter(F.col("_first")).drop("_first")
 
 
@@ -155,10 +163,10 @@ def numbered_keys(ent: DataFrame) -> DataFrame:
 MAP_TYPE = "map<string,struct<fullname:string,shortname:string,abbr:string>>"
 
 
-def _map_of(key_col: str, keep_col: str) -> Column:
-    """Map built from the flagged entries of one curve (nulls are not collected)."""
+def _map_of(key_col: str, keep: Column) -> Column:
+    """Map built from the kept entries of one curve (nulls are not collected)."""
     entry = F.struct(F.col(key_col).alias("k"), F.struct(*ENTRY_VALUE).alias("v"))
-    return F.map_from_entries(F.collect_list(F.when(F.col(keep_col), entry)))
+    return F.map_from_entries(F.collect_list(F.when(keep, entry)))
 
 
 def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
@@ -194,14 +202,16 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
     aggs = []
     if need_curve:
         ent = number_repeats(ent, "key", "_ckey", "_ckeep")
-        keep = F.col("_ckeep") & (F.col("_ckey").isin(sorted(keys.curve_keys)) if restricted else F.lit(True))
-        ent = ent.withColumn("_ckeep", keep)
-        aggs.append(_map_of("_ckey", "_ckeep").alias("curve"))
+        keep = F.col("_ckeep")
+        if restricted:
+            keep = keep & F.col("_ckey").isin(sorted(keys.curve_keys))
+        aggs.append(_map_of("_ckey", keep).alias("curve"))
     if need_var:
-        ent = number_repeats(ent.withColumn("_nkey", normalize_key("key")), "_nkey", "_vkey", "_vkeep")
-        keep = F.col("_vkeep") & (F.col("_vkey").isin(sorted(keys.var_keys)) if restricted else F.lit(True))
-        ent = ent.withColumn("_vkeep", keep)
-        aggs.append(_map_of("_vkey", "_vkeep").alias("var"))
+        ent = number_repeats(ent.select("*", normalize_key("key").alias("_nkey")), "_nkey", "_vkey", "_vkeep")
+        keep = F.col("_vkeep")
+        if restricted:
+            keep = keep & F.col("_vkey").isin(sorted(keys.var_keys))
+        aggs.append(_map_of("_vkey", keep).alias("var"))
     if not aggs:
         aggs.append(F.count(F.lit(1)).alias("_rows"))
     maps = ent.groupBy("load_set_id", "curve_id").agg(*aggs)
@@ -214,9 +224,9 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
         curves = join_members(m.select("object_id"), members).groupBy(*ids).agg(
             F.count(F.lit(1)).alias("_n_rows"))
         if max_attr_chars is not None:
-            lengths = attr_text_length(entries(meta, members, dictionary, type_id))
-            curves = curves.join(lengths, ids, "left").withColumn(
-                "attr_too_long", F.coalesce(F.col("attr_chars") > F.lit(max_attr_chars), F.lit(False)))
+            lengths = attr_text_length(entries(meta, members, dictionary, type_id)).select(
+                *ids, (F.col("attr_chars") > F.lit(max_attr_chars)).alias("attr_too_long"))
+            curves = curves.join(lengths, ids, "left")
         maps = curves.join(maps, ids, "left")
 
     empty = F.create_map().cast(MAP_TYPE)
@@ -224,7 +234,7 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
             (F.coalesce(F.col("curve"), empty) if need_curve else empty).alias("curve"),
             (F.coalesce(F.col("var"), empty) if need_var else empty).alias("var")]
     if max_attr_chars is not None:
-        cols.append("attr_too_long")
+        cols.append(F.coalesce(F.col("attr_too_long"), F.lit(False)).alias("attr_too_long"))
     return maps.select(*cols)
 
 

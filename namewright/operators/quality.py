@@ -96,14 +96,16 @@ def mark_duplicates(flags: DataFrame, kind: str) -> DataFrame:
     """JN5 for one kind: left-join the owners back and overwrite flag, text
     and reason where another curve owns the name."""
     owners = name_owners(flags, kind)
-    keyed = flags.withColumn("_ok", F.col(f"{kind}_ok")).withColumn("_key", _match_key(kind))
+    keyed = flags.select("*", F.col(f"{kind}_ok").alias("_ok"), _match_key(kind).alias("_key"))
     j = keyed.join(owners, ["load_set_id", "_ok", "_key"], "left")
-    dup = F.col(f"{kind}_owner").isNotNull() & (F.col(f"{kind}_owner") != F.col("curve_id"))
-    return (j.withColumn(f"{kind}_text", F.when(dup, msg_duplicate(kind, "curve_id", f"{kind}_owner"))
-                         .otherwise(F.col(f"{kind}_text")))
-            .withColumn(f"{kind}_reason", F.when(dup, F.lit(DUPLICATE)).otherwise(F.col(f"{kind}_reason")))
-            .withColumn(f"{kind}_ok", F.col(f"{kind}_ok") & ~dup)
-            .drop("_ok", "_key", f"{kind}_owner"))
+    owner = F.col(f"{kind}_owner")
+    dup = owner.isNotNull() & (owner != F.col("curve_id"))
+    replaced = {
+        f"{kind}_text": F.when(dup, msg_duplicate(kind, "curve_id", owner)).otherwise(F.col(f"{kind}_text")),
+        f"{kind}_reason": F.when(dup, F.lit(DUPLICATE)).otherwise(F.col(f"{kind}_reason")),
+        f"{kind}_ok": F.col(f"{kind}_ok") & ~dup,
+    }
+    return j.select(*[replaced[c].alias(c) if c in replaced else F.col(c) for c in flags.columns])
 
 
 def validity_flag(long_ok, short_ok) -> Column:

@@ -251,7 +251,8 @@ def collect_rules(rules: DataFrame, load_set_ids=None) -> list[RuleSet]:
 # ---------------------------------------------------------------------------
 def compile_rule(attrs: DataFrame, text: str) -> tuple[Column | None, str | None]:
     """Check and analyse one rule against the attribute schema, on the driver
-    (no job).  Returns (column, None) or (None, reason)."""
+    (no job; ``attrs`` may be an empty relation with the right schema).
+    Returns (column, None) or (None, reason)."""
     try:
         check_rule(text)
     except RuleRefused as e:
@@ -278,6 +279,9 @@ def apply_rules(attrs: DataFrame, rule_sets: list[RuleSet]) -> DataFrame:
     good = [rs for rs in rule_sets if rs.error is None]
     ids = F.col("load_set_id")
     null_str = F.lit(None).cast("string")
+    # analyse rules against an empty relation of the same schema: cheap, and
+    # independent of how large the plan behind ``attrs`` is
+    probe = attrs.sparkSession.createDataFrame([], attrs.schema)
     out_cols = []
     for kind in KINDS:
         sets_by_text: dict[str, list[int]] = {}
@@ -286,7 +290,7 @@ def apply_rules(attrs: DataFrame, rule_sets: list[RuleSet]) -> DataFrame:
         value_expr = error_expr = None
         for text, lsids in sets_by_text.items():
             cond = ids.isin(sorted(lsids))
-            col, reason = compile_rule(attrs, text)
+            col, reason = compile_rule(probe, text)
             if col is not None:
                 value_expr = F.when(cond, col) if value_expr is None else value_expr.when(cond, col)
             else:

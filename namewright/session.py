@@ -28,17 +28,22 @@ PLAN_CONF = {
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "namewright") -> SparkSession:
-    """A local session for tests and the benchmark (UI off, no ports beyond Spark's own)."""
+                  app: str = "namewright", extra: dict | None = None) -> SparkSession:
+    """A local session for tests and the benchmark (UI off, no ports beyond Spark's own).
+
+    Post-shuffle work here is CPU-bound (windows, rule expressions, string
+    building), so AQE may coalesce partitions only down to 256 KB instead of
+    1 MB: small inputs still spread over all cores."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         .config("spark.driver.memory", os.environ.get("NAMEWRIGHT_DRIVER_MEMORY", "8g"))
     )
-    for k, v in PLAN_CONF.items():
+    for k, v in {**PLAN_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     if not os.environ.get("SPARK_CHECKPOINT_DIR"):
         # tests only: a scratch folder, since no shared one is configured

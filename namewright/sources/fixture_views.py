@@ -3,104 +3,58 @@
 The driver provides ``part supplier lineitem nation ...`` as parquet.  These
 builders turn them into the five catalogue tables (parts are curves, their
 brand / type / name / size and the nations and suppliers of their line items
-are attributes).  ``FIXTURE_SQL`` is the same derivation as one SQL ``WITH``
-list, used by the DuckDB oracle; the Spark side is written with the
-DataFrame API so both sides are independent formulations of one definition.
+are attributes).  ``FIXTURE_SQL`` is the one definition, run unchanged by
+Spark (``spark.sql`` over the scanned DataFrames) and by the DuckDB oracle,
+so both sides start from identical inputs.
 
 Everything here reads whole tables and grows with them.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _null_str():
-    return F.lit(None).cast("string")
+# one scan per (session, table path); the driver's tables never change
+_SCANS: dict = {}
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = (id(spark), f"{sf_dir}/{name}.parquet")
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(key[1])
+    return _SCANS[key]
+
+
+_SOURCES = ("part", "supplier", "lineitem", "nation")
+
+
+def _view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One catalogue view, from the shared definition, in one analysis."""
+    text = re.sub(r"\b(" + "|".join(_SOURCES) + r")\b", r"{\1}", FIXTURE_SQL)
+    text = text.replace("{", "{{").replace("}", "}}")
+    text = re.sub(r"\{\{(" + "|".join(_SOURCES) + r")\}\}", r"{\1}", text)
+    dfs = {t: _t(spark, sf_dir, t) for t in _SOURCES}
+    return spark.sql(f"WITH {text} SELECT * FROM {name}", **dfs)
 
 
 def object_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    supplier = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    lineitem = _t(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_linenumber")
-    size = F.col("p_size")
-
-    def row(obj, typ, attr, verb, ric, eid, elem, ename):
-        return [obj.cast("long").alias("object_id"), F.lit(typ).cast("int").alias("object_type_id"),
-                F.lit(attr).alias("attribute"), (verb if not isinstance(verb, str) else F.lit(verb)).alias("verb"),
-                ric.alias("ric"), eid.cast("long").alias("element_id"),
-                elem.alias("element"), ename.alias("element_name")]
-
-    pk = F.col("p_partkey")
-    branches = [
-        part.select(*row(pk, 1, "Provider", "is", _null_str(), size, F.col("p_brand"), F.col("p_brand"))),
-        part.select(*row(pk, 1, "Commodity", "is", _null_str(), F.lit(100) + size,
-                         F.substring("p_type", 1, 3), F.col("p_type"))),
-        part.filter(size % 13 != 0).select(*row(
-            pk, 1, "Variable", "is", _null_str(), F.lit(200) + size, F.col("p_name"),
-            F.when(size % 10 == 0, _null_str()).otherwise(F.col("p_name")))),
-        part.select(*row(pk, 1, "Unit", F.when(size % 7 == 0, F.lit("was")).otherwise(F.lit("is")),
-                         _null_str(), F.lit(300) + size % 4, F.lit("U"),
-                         F.when(size % 4 == 0, F.lit("MWh")).otherwise(F.lit("GJ")))),
-        part.select(*row(pk, 1, "Color", "is", _null_str(), F.lit(400), F.lit("c"), F.lit("ignored"))),
-        supplier.select(*row(F.col("s_suppkey"), 2, "Provider", "is", _null_str(), F.lit(500),
-                             F.lit("S"), F.col("s_name"))),
-    ]
-    li_sup = lineitem.join(supplier, F.col("s_suppkey") == F.col("l_suppkey"))
-    nk = F.col("n_nationkey")
-    geo = (li_sup.join(nation, nk == F.col("s_nationkey"))
-           .filter((F.col("l_linenumber") == 1) & (F.col("l_partkey") % 11 != 0))
-           .select(*row(F.col("l_partkey"), 1, "Geography", "in",
-                        F.when(nk % 3 == 0, _null_str()).otherwise(F.concat(F.lit("G"), nk.cast("string"))),
-                        F.lit(600) + nk, F.col("n_name"), F.col("n_name")))
-           .distinct())
-    sk = F.col("s_suppkey")
-    fac = (li_sup.filter((F.col("l_linenumber") == 2) & (F.col("l_partkey") % 4 == 0))
-           .select(*row(F.col("l_partkey"), 1, "Facility", "at",
-                        F.when(sk % 5 == 0, _null_str()).otherwise(F.concat(F.lit("F"), sk.cast("string"))),
-                        F.lit(700) + sk, F.col("s_name"), F.col("s_name")))
-           .distinct())
-    return reduce(DataFrame.unionByName, branches + [geo, fac])
+    return _view(spark, sf_dir, "object_meta")
 
 
 def load_set_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _t(spark, sf_dir, "part")
-    return part.select((F.col("p_size") % 3).cast("int").alias("load_set_id"),
-                       F.col("p_partkey").cast("long").alias("curve_id"))
+    return _view(spark, sf_dir, "load_set_curve")
 
 
 def curve_dict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _t(spark, sf_dir, "part")
-    nation = _t(spark, sf_dir, "nation")
-    sizes = (part.filter(F.col("p_size") % 2 == 0).select("p_size").distinct()
-             .select(F.col("p_size").cast("long").alias("element_id"),
-                     F.concat(F.lit("b"), F.col("p_size").cast("string")).alias("abbr")))
-    nk = F.col("n_nationkey")
-    nations = nation.filter(nk % 2 == 0).select(
-        (F.lit(600) + nk).cast("long").alias("element_id"),
-        F.when(nk % 4 == 0, _null_str()).otherwise(F.concat(F.lit("N"), nk.cast("string"))).alias("abbr"))
-    return sizes.unionByName(nations)
+    return _view(spark, sf_dir, "curve_dict")
 
 
 def curve_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _t(spark, sf_dir, "part")
-    size = F.col("p_size")
-    return part.filter(F.col("p_partkey") % 5 != 0).select(
-        (size % 3).cast("int").alias("load_set_id"),
-        F.col("p_partkey").cast("long").alias("curve_id"),
-        F.concat(F.col("p_name"), F.lit(" "), F.col("p_type")).alias("curve_name"),
-        F.col("p_brand").alias("short_curve_name"),
-        F.when(size % 6 == 0, _null_str()).otherwise(F.concat(F.lit("size "), size.cast("string")))
-        .alias("curve_description"),
-    )
+    return _view(spark, sf_dir, "curve_name")
 
 
 # ---------------------------------------------------------------------------
@@ -148,28 +102,28 @@ def all_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # The same derivation as SQL (runs in DuckDB over the driver's views).
 FIXTURE_SQL = """
 object_meta AS (
-  SELECT p_partkey AS object_id, 1 AS object_type_id, 'Provider' AS attribute, 'is' AS verb, CAST(NULL AS VARCHAR) AS ric,
+  SELECT p_partkey AS object_id, 1 AS object_type_id, 'Provider' AS attribute, 'is' AS verb, CAST(NULL AS STRING) AS ric,
          CAST(p_size AS BIGINT) AS element_id, p_brand AS element, p_brand AS element_name FROM part
-  UNION ALL SELECT p_partkey, 1, 'Commodity', 'is', CAST(NULL AS VARCHAR), CAST(100 + p_size AS BIGINT), substring(p_type,1,3), p_type FROM part
-  UNION ALL SELECT p_partkey, 1, 'Variable', 'is', CAST(NULL AS VARCHAR), CAST(200 + p_size AS BIGINT), p_name,
+  UNION ALL SELECT p_partkey, 1, 'Commodity', 'is', CAST(NULL AS STRING), CAST(100 + p_size AS BIGINT), substring(p_type,1,3), p_type FROM part
+  UNION ALL SELECT p_partkey, 1, 'Variable', 'is', CAST(NULL AS STRING), CAST(200 + p_size AS BIGINT), p_name,
          CASE WHEN p_size % 10 = 0 THEN NULL ELSE p_name END FROM part WHERE p_size % 13 <> 0
-  UNION ALL SELECT p_partkey, 1, 'Unit', CASE WHEN p_size % 7 = 0 THEN 'was' ELSE 'is' END, CAST(NULL AS VARCHAR),
+  UNION ALL SELECT p_partkey, 1, 'Unit', CASE WHEN p_size % 7 = 0 THEN 'was' ELSE 'is' END, CAST(NULL AS STRING),
          CAST(300 + p_size % 4 AS BIGINT), 'U', CASE WHEN p_size % 4 = 0 THEN 'MWh' ELSE 'GJ' END FROM part
-  UNION ALL SELECT p_partkey, 1, 'Color', 'is', CAST(NULL AS VARCHAR), CAST(400 AS BIGINT), 'c', 'ignored' FROM part
-  UNION ALL SELECT s_suppkey, 2, 'Provider', 'is', CAST(NULL AS VARCHAR), CAST(500 AS BIGINT), 'S', s_name FROM supplier
-  UNION ALL SELECT DISTINCT l_partkey, 1, 'Geography', 'in', CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE 'G' || CAST(n_nationkey AS VARCHAR) END,
+  UNION ALL SELECT p_partkey, 1, 'Color', 'is', CAST(NULL AS STRING), CAST(400 AS BIGINT), 'c', 'ignored' FROM part
+  UNION ALL SELECT s_suppkey, 2, 'Provider', 'is', CAST(NULL AS STRING), CAST(500 AS BIGINT), 'S', s_name FROM supplier
+  UNION ALL SELECT DISTINCT l_partkey, 1, 'Geography', 'in', CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE 'G' || CAST(n_nationkey AS STRING) END,
          CAST(600 + n_nationkey AS BIGINT), n_name, n_name FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey WHERE l_linenumber = 1 AND l_partkey % 11 <> 0
-  UNION ALL SELECT DISTINCT l_partkey, 1, 'Facility', 'at', CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE 'F' || CAST(s_suppkey AS VARCHAR) END,
+  UNION ALL SELECT DISTINCT l_partkey, 1, 'Facility', 'at', CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE 'F' || CAST(s_suppkey AS STRING) END,
          CAST(700 + s_suppkey AS BIGINT), s_name, s_name FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_linenumber = 2 AND l_partkey % 4 = 0
 ),
 load_set_curve AS (SELECT CAST(p_size % 3 AS INTEGER) AS load_set_id, p_partkey AS curve_id FROM part),
 curve_dict AS (
-  SELECT CAST(p_size AS BIGINT) AS element_id, 'b' || CAST(p_size AS VARCHAR) AS abbr FROM part WHERE p_size % 2 = 0 GROUP BY p_size
-  UNION ALL SELECT CAST(600 + n_nationkey AS BIGINT), CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE 'N' || CAST(n_nationkey AS VARCHAR) END FROM nation WHERE n_nationkey % 2 = 0
+  SELECT CAST(p_size AS BIGINT) AS element_id, 'b' || CAST(p_size AS STRING) AS abbr FROM part WHERE p_size % 2 = 0 GROUP BY p_size
+  UNION ALL SELECT CAST(600 + n_nationkey AS BIGINT), CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE 'N' || CAST(n_nationkey AS STRING) END FROM nation WHERE n_nationkey % 2 = 0
 ),
 curve_name AS (
   SELECT CAST(p_size % 3 AS INTEGER) AS load_set_id, p_partkey AS curve_id, p_name || ' ' || p_type AS curve_name, p_brand AS short_curve_name,
-         CASE WHEN p_size % 6 = 0 THEN NULL ELSE 'size ' || CAST(p_size AS VARCHAR) END AS curve_description FROM part WHERE p_partkey % 5 <> 0
+         CASE WHEN p_size % 6 = 0 THEN NULL ELSE 'size ' || CAST(p_size AS STRING) END AS curve_description FROM part WHERE p_partkey % 5 <> 0
 )"""
 
 
