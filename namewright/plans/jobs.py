@@ -18,7 +18,7 @@ from namewright.functions.text import LONG_NAME_MAX, SHORT_NAME_MAX
 from namewright.operators import quality
 from namewright.operators.attrs import attribute_maps
 from namewright.operators.docs import curve_docs
-from namewright.operators.rules import RuleSet, apply_rules, collect_rules, referenced_keys
+from namewright.operators.rules import KINDS, RuleSet, apply_rules, collect_rules, referenced_keys
 from namewright.sinks import writers
 from namewright.sources.tables import ALL, in_load_set
 
@@ -38,21 +38,57 @@ class StagingRun:
         return [r.load_set_id for r in self.rule_sets if r.error is None]
 
 
+# distinct rule texts compiled into one projection; beyond this, load sets are
+# evaluated in several passes so no generated method grows without bound
+MAX_TEXTS_PER_PASS = 64
+
+
+def rule_chunks(rule_sets: list[RuleSet], max_texts: int = MAX_TEXTS_PER_PASS) -> list[list[RuleSet]]:
+    """Split the usable rule sets into passes of at most ``max_texts`` distinct
+    texts per kind; load sets sharing all three texts stay together."""
+    good = sorted((r for r in rule_sets if r.error is None),
+                  key=lambda r: (tuple(r.texts[k] for k in KINDS), r.load_set_id))
+    chunks: list[list[RuleSet]] = []
+    cur: list[RuleSet] = []
+    texts = {k: set() for k in KINDS}
+    for r in good:
+        grown = {k: texts[k] | {r.texts[k]} for k in KINDS}
+        if cur and any(len(v) > max_texts for v in grown.values()):
+            chunks.append(cur)
+            cur, grown = [], {k: {r.texts[k]} for k in KINDS}
+        cur.append(r)
+        texts = grown
+    if cur:
+        chunks.append(cur)
+    return chunks
+
+
 def named_curves(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
                  rule_sets: list[RuleSet], type_id: int | None = None,
-                 max_attr_chars: int | None = None, restrict_keys: bool = True) -> DataFrame:
+                 max_attr_chars: int | None = None, restrict_keys: bool = True,
+                 max_texts: int = MAX_TEXTS_PER_PASS) -> DataFrame:
     """RUL1-4 over the attribute maps: (load_set_id, curve_id, <kind>_value,
-    <kind>_error ...) for the load sets with usable rules."""
-    good = [r for r in rule_sets if r.error is None]
-    keys = None
-    if restrict_keys:
-        keys = referenced_keys([t for r in good for t in r.texts.values()])
-        if not keys.restricted:
-            keys = None
-    m = in_load_set(members, [r.load_set_id for r in good])
-    attrs = attribute_maps(meta, m, dictionary, keys=keys, type_id=type_id,
-                           max_attr_chars=max_attr_chars)
-    return apply_rules(attrs, rule_sets)
+    <kind>_error ...) for the load sets with usable rules.
+
+    Usually one pass.  With more than ``max_texts`` distinct rule texts the
+    load sets are split into passes; each pass reads only its load sets'
+    members and only the attributes its own rules name, and the passes are
+    unioned (disjoint load sets)."""
+    parts = []
+    for chunk in rule_chunks(rule_sets, max_texts) or [[]]:
+        keys = None
+        if restrict_keys:
+            keys = referenced_keys([t for r in chunk for t in r.texts.values()])
+            if not keys.restricted:
+                keys = None
+        m = in_load_set(members, [r.load_set_id for r in chunk])
+        attrs = attribute_maps(meta, m, dictionary, keys=keys, type_id=type_id,
+                               max_attr_chars=max_attr_chars)
+        parts.append(apply_rules(attrs, chunk))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def stage(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: DataFrame,
@@ -100,12 +136,24 @@ def run_outcomes(spark, run: StagingRun) -> DataFrame:
 
 
 def run_staging(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: DataFrame,
-                staging_path: str, status_path: str, load_set_ids=None, **kw) -> StagingRun:
-    """JOB1 end to end: staging rows replaced per load set, then the status
-    snapshot.  One write job (plus the tiny status write)."""
+                staging_path: str, status_path: str, load_set_ids=None,
+                report_path: str | None = None, **kw) -> StagingRun:
+    """JOB1 end to end: staging rows replaced per load set, the optional run
+    report (RPT1) written from the same checked rows, then the status
+    snapshot last.  With a report the checked rows are persisted (MAT1) so
+    both outputs share one computation; a lost executor only costs a
+    recompute of its blocks."""
     run = stage(meta, members, dictionary, rules, load_set_ids, **kw)
     spark = meta.sparkSession
-    writers.write_staging(run.staged, staging_path, processed_load_sets=run.good_load_sets)
+    if report_path:
+        persist_checked(run)
+    try:
+        writers.write_staging(run.staged, staging_path, processed_load_sets=run.good_load_sets)
+        if report_path:
+            load_set_report(run.checked).write.mode("overwrite").parquet(report_path)
+    finally:
+        if report_path:
+            run.checked.unpersist()
     after = writers.transition_status(rules, run_outcomes(spark, run))
     writers.write_status_snapshot(after, status_path)
     return run

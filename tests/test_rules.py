@@ -108,3 +108,17 @@ def test_var_and_curve_maps_and_shared_rules(tables):
     assert rows[(1, 1)]["short_text"] == "xz"
     assert rows[(2, 1)]["long_text"] == "xyz"          # same rule text, second load set
     assert not rows[(1, 2)]["long_ok"]                 # only one G entry: G.is1 is missing
+
+
+def test_many_rule_texts_run_in_passes(tables):
+    from namewright.plans.jobs import rule_chunks
+    meta = [meta_row(c, "P", "is", f"p{c}") for c in range(12)]
+    members = [(ls, c) for c in range(12) for ls in (c % 6,)]
+    rules = [(ls, f"concat(curve['P.is'].fullname, '-{ls}')", "curve['P.is'].fullname",
+              "curve['P.is'].fullname", 1) for ls in range(6)]
+    t = tables(meta, members, rules)
+    rs = R.collect_rules(t["rules"])
+    assert [len(c) for c in rule_chunks(rs, max_texts=4)] == [4, 2]
+    named = jobs.named_curves(t["meta"], t["members"], t["dict"], rs, max_texts=4)
+    got = {r["curve_id"]: r["long_value"] for r in named.collect()}
+    assert got == {c: f"p{c}-{c % 6}" for c in range(12)}
