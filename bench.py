@@ -7,11 +7,11 @@ curve_rule) are first derived from the driver's tables and written as
 parquet, as they would be stored in a deployment ("prepare", timed but not
 part of the headline).  Then, reading those tables:
 
-  stage_names   JOB1 for all load sets, staging written (partition per load
+  stage_names   JOB1 for all load sets: staging written (partition per load
                 set) and the status snapshot written
   export_docs   JOB2 for all curves, bundles written as text
   export_one    JOB2 for one load set (semi join scope)
-  report        RPT1 counts per load set
+  report        RPT1 counts per load set, on its own (lazy plan, no persist)
 
 Each query runs twice; the faster run is reported (the first run pays JIT
 warm-up).  Prints one JSON line.

@@ -114,9 +114,14 @@ def validity_flag(long_ok, short_ok) -> Column:
 
 
 def checked_names(named: DataFrame, long_max: int = LONG_NAME_MAX,
-                  short_max: int = SHORT_NAME_MAX) -> DataFrame:
-    """All checks, keeping flags and reason codes (used by staging and the report)."""
-    flags = length_flags(named, long_max, short_max)
+                  short_max: int = SHORT_NAME_MAX, flags: DataFrame | None = None) -> DataFrame:
+    """All checks, keeping flags and reason codes (used by staging and the report).
+
+    ``flags`` may be given (e.g. persisted) to avoid recomputing the per-curve
+    work in each of the three branches that read it (main, long owners,
+    short owners)."""
+    if flags is None:
+        flags = length_flags(named, long_max, short_max)
     # both duplicate searches see the same original flags (do not chain the
     # short search on the long result; the long marking does not touch short_*)
     out = mark_duplicates(flags, "long")

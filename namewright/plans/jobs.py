@@ -28,6 +28,12 @@ class StagingRun:
     checked: DataFrame          # flags, reasons and texts per (load set, curve)
     staged: DataFrame           # rows of the staging table
     rule_sets: list[RuleSet]    # with per-load-set errors (RUL5)
+    persisted: list = None      # DataFrames to unpersist when the run is written
+
+    def release(self) -> None:
+        for df in self.persisted or []:
+            df.unpersist()
+        self.persisted = []
 
     @property
     def failed_load_sets(self) -> list[int]:
@@ -94,12 +100,21 @@ def named_curves(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
 def stage(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: DataFrame,
           load_set_ids=None, long_max: int = LONG_NAME_MAX, short_max: int = SHORT_NAME_MAX,
           type_id: int | None = None, max_attr_chars: int | None = None,
-          restrict_keys: bool = True) -> StagingRun:
-    """JOB1 with everything the callers need (checked rows, staged rows, rules)."""
+          restrict_keys: bool = True, persist: bool = False) -> StagingRun:
+    """JOB1 with everything the callers need (checked rows, staged rows, rules).
+
+    ``persist`` (MAT1) keeps the per-curve naming result (MEMORY_AND_DISK) so
+    the three branches that read it (staged rows, long owners, short owners)
+    share one computation; call ``run.release()`` after writing."""
     rule_sets = collect_rules(rules, None if load_set_ids == ALL else load_set_ids)
     named = named_curves(meta, members, dictionary, rule_sets, type_id, max_attr_chars, restrict_keys)
-    checked = quality.checked_names(named, long_max, short_max)
-    return StagingRun(checked, quality.staged_rows(checked), rule_sets)
+    flags = quality.length_flags(named, long_max, short_max)
+    kept = []
+    if persist:
+        flags = flags.persist(StorageLevel.MEMORY_AND_DISK)
+        kept.append(flags)
+    checked = quality.checked_names(named, long_max, short_max, flags=flags)
+    return StagingRun(checked, quality.staged_rows(checked), rule_sets, kept)
 
 
 def stage_names(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: DataFrame,
@@ -139,21 +154,19 @@ def run_staging(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rule
                 staging_path: str, status_path: str, load_set_ids=None,
                 report_path: str | None = None, **kw) -> StagingRun:
     """JOB1 end to end: staging rows replaced per load set, the optional run
-    report (RPT1) written from the same checked rows, then the status
-    snapshot last.  With a report the checked rows are persisted (MAT1) so
-    both outputs share one computation; a lost executor only costs a
-    recompute of its blocks."""
+    report (RPT1), then the status snapshot last.  The per-curve naming
+    result is persisted (MAT1, MEMORY_AND_DISK) for the duration, so the
+    staging write, its duplicate searches and the report all read one
+    computation; a lost executor only costs a recompute of its blocks."""
+    kw.setdefault("persist", True)
     run = stage(meta, members, dictionary, rules, load_set_ids, **kw)
     spark = meta.sparkSession
-    if report_path:
-        persist_checked(run)
     try:
         writers.write_staging(run.staged, staging_path, processed_load_sets=run.good_load_sets)
         if report_path:
             load_set_report(run.checked).write.mode("overwrite").parquet(report_path)
     finally:
-        if report_path:
-            run.checked.unpersist()
+        run.release()
     after = writers.transition_status(rules, run_outcomes(spark, run))
     writers.write_status_snapshot(after, status_path)
     return run
@@ -175,4 +188,5 @@ def persist_checked(run: StagingRun) -> StagingRun:
     """MAT1: keep the checked rows when several outputs read them (report and
     staging); memory and disk, so a lost executor only costs a recompute."""
     run.checked.persist(StorageLevel.MEMORY_AND_DISK)
+    run.persisted = (run.persisted or []) + [run.checked]
     return run
