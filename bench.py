@@ -33,7 +33,7 @@ from namewright.sources import fixture_views as fv  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-BUNDLES = 64
+BUNDLES = 2 * CPUS            # near the task count: one file per bundle
 
 
 def sf_of(path: str) -> float | str:

@@ -156,3 +156,35 @@ def msg_whole(kind: str, curve_id, reason) -> Column:
 
 def _lit_or_col(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
+
+
+# ---------------------------------------------------------------------------
+# The same messages as SQL text (one expression per column keeps plan
+# building to a single call on the driver; used by the quality operators)
+# ---------------------------------------------------------------------------
+def sql_str(s: str) -> str:
+    """A SQL string literal (backslash escapes, as Spark SQL reads them)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _sql_head(kind: str, curve_id: str) -> str:
+    return f"{sql_str(MSG_PREFIX + KIND_LABEL[kind] + MSG_FOR_CURVE)}, CAST({curve_id} AS STRING)"
+
+
+def sql_msg_exception(kind: str, curve_id: str, reason: str) -> str:
+    return f"concat({_sql_head(kind, curve_id)}, {sql_str(MSG_EXCEPTION)}, {reason})"
+
+
+def sql_msg_too_long(kind: str, curve_id: str, name: str, limit: int) -> str:
+    return (f"concat({_sql_head(kind, curve_id)}, {sql_str(MSG_TOO_LONG_A)}, {name}, "
+            f"{sql_str(MSG_TOO_LONG_B + str(limit) + MSG_TOO_LONG_C)})")
+
+
+def sql_msg_duplicate(kind: str, curve_id: str, owner_id: str) -> str:
+    return (f"concat({_sql_head(kind, curve_id)}, {sql_str(MSG_SAME_AS)}, "
+            f"CAST({owner_id} AS STRING))")
+
+
+def sql_msg_whole(kind: str, curve_id: str, reason: str) -> str:
+    head = MSG_WHOLE_DESC if kind == "desc" else MSG_WHOLE_NAME
+    return f"concat({sql_str(head)}, CAST({curve_id} AS STRING), {sql_str(MSG_EXCEPTION)}, {reason})"

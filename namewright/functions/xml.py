@@ -40,6 +40,18 @@ JAVA_NULL = "null"
 XML_ESCAPES = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&apos;")]
 
 
+def sql_str(s: str) -> str:
+    """A SQL string literal (backslash escapes, as Spark SQL reads them)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_escape(expr: str) -> str:
+    """SQL text escaping the XML special characters of ``expr``."""
+    for raw, esc in XML_ESCAPES:
+        expr = f"replace({expr}, {sql_str(raw)}, {sql_str(esc)})"
+    return expr
+
+
 def xml_escape(c: Column) -> Column:
     for raw, esc in XML_ESCAPES:
         c = F.replace(c, F.lit(raw), F.lit(esc))
@@ -52,17 +64,26 @@ def xml_element(tag: str, value: Column, escape: bool = False) -> Column:
     return F.concat(F.lit(f"<{tag}>"), v, F.lit(f"</{tag}>"))
 
 
-def doc_open(curve_id: Column, mode: str = "reference") -> Column:
+def sql_doc_open(id_col: str = "curve_id", mode: str = "reference") -> str:
     """``<DOC id=ID TYPE="..."><Permission>ID</Permission>``; 'clean' quotes the id."""
-    cid = curve_id.cast("string")
     q = '"' if mode == "clean" else ""
-    return F.concat(F.lit(f"<DOC id={q}"), cid, F.lit(f'{q} TYPE="{DOC_TYPE}"><Permission>'),
-                    cid, F.lit("</Permission>"))
+    cid = f"CAST({id_col} AS STRING)"
+    return (f"concat({sql_str('<DOC id=' + q)}, {cid}, "
+            f"{sql_str(q + ' TYPE=' + chr(34) + DOC_TYPE + chr(34) + '><Permission>')}, {cid}, "
+            f"{sql_str('</Permission>')})")
 
 
-def name_part(value: Column, mode: str = "reference") -> Column:
-    """A name value inside a document: Java prints null as ``null`` ('reference');
-    'clean' prints nothing and escapes."""
+def sql_name_part(col: str, mode: str = "reference") -> str:
+    """A name value inside a document: Java prints null as ``null``
+    ('reference'); 'clean' prints nothing and escapes."""
     if mode == "clean":
-        return xml_escape(F.coalesce(value, F.lit("")))
-    return F.coalesce(value, F.lit(JAVA_NULL))
+        return f"coalesce({sql_escape(col)}, '')"
+    return f"coalesce({col}, {sql_str(JAVA_NULL)})"
+
+
+def doc_open(curve_id: str = "curve_id", mode: str = "reference") -> Column:
+    return F.expr(sql_doc_open(curve_id, mode))
+
+
+def name_part(col: str, mode: str = "reference") -> Column:
+    return F.expr(sql_name_part(col, mode))

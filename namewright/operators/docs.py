@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from namewright.functions.text import empty_if_null
 from namewright.functions.xml import (PAIR_SEP, PAIRED_ELEMENTS, SINGLE_ELEMENTS, SINGLE_VERB,
-                                      doc_open, name_part, xml_escape)
+                                      sql_doc_open, sql_escape, sql_name_part, sql_str)
 from namewright.operators.attrs import semi_members
 from namewright.sources.tables import ALL, CURVE_TYPE_ID, only_curves
 
@@ -42,38 +42,36 @@ def doc_meta(meta: DataFrame, members: DataFrame | None = None, load_set_id=ALL,
     )
 
 
+def _rank_sql() -> str:
+    singles = " ".join(
+        f"WHEN attr = {sql_str(a)} AND verb = {sql_str(SINGLE_VERB)} THEN {i}"
+        for i, (a, _t) in enumerate(SINGLE_ELEMENTS, start=1))
+    pairs = " ".join(
+        f"WHEN attr = {sql_str(a)} THEN {j}"
+        for j, (a, _n, _c) in enumerate(PAIRED_ELEMENTS, start=len(SINGLE_ELEMENTS) + 1))
+    return f"CASE WHEN name = '' THEN CAST(NULL AS INT) {singles} {pairs} END"
+
+
 def element_rank() -> Column:
     """FLT5: rank 1..11 for single-valued elements (verb ``is``), 12 for
     Geography and 13 for Facility (any verb); null when the row is not
     exported.  Case-sensitive, empty names never exported."""
-    attr, verb, name = F.col("attr"), F.col("verb"), F.col("name")
-    rank = None
-    for i, (a, _tag) in enumerate(SINGLE_ELEMENTS, start=1):
-        cond = (attr == F.lit(a)) & (verb == F.lit(SINGLE_VERB))
-        rank = F.when(cond, F.lit(i)) if rank is None else rank.when(cond, F.lit(i))
-    for j, (a, _n, _c) in enumerate(PAIRED_ELEMENTS, start=len(SINGLE_ELEMENTS) + 1):
-        rank = rank.when(attr == F.lit(a), F.lit(j))
-    return F.when(name != F.lit(""), rank)
+    return F.expr(_rank_sql())
+
+
+def _tag_sql() -> str:
+    return "CASE rank " + " ".join(
+        f"WHEN {i} THEN {sql_str(t)}" for i, (_a, t) in enumerate(SINGLE_ELEMENTS, start=1)) + " END"
 
 
 def element_tag() -> Column:
     """Tag for single-valued ranks 1..11."""
-    tag = None
-    for i, (_a, t) in enumerate(SINGLE_ELEMENTS, start=1):
-        cond = F.col("rank") == F.lit(i)
-        tag = F.when(cond, F.lit(t)) if tag is None else tag.when(cond, F.lit(t))
-    return tag
+    return F.expr(_tag_sql())
 
 
 def select_doc_attrs(dm: DataFrame) -> DataFrame:
     """FLT5 as rows: the exported metadata rows with their rank."""
-    return dm.withColumn("rank", element_rank()).filter(F.col("rank").isNotNull())
-
-
-def _single_xml(escape: bool) -> Column:
-    tag = element_tag()
-    val = xml_escape(F.col("name")) if escape else F.col("name")
-    return F.concat(F.lit("<"), tag, F.lit(">"), val, F.lit("</"), tag, F.lit(">"))
+    return dm.select("*", element_rank().alias("rank")).filter(F.col("rank").isNotNull())
 
 
 def curve_elements(dm: DataFrame, mode: str = "reference") -> DataFrame:
@@ -81,31 +79,34 @@ def curve_elements(dm: DataFrame, mode: str = "reference") -> DataFrame:
     ``singles`` (concatenated single-valued elements, AGG5), and for each
     paired element a sorted list of (name, code) structs (AGG6).  Every curve
     with metadata gets a row, even when nothing is exported."""
-    escape = mode == "clean"
-    r = dm.withColumn("rank", element_rank())
-    single = F.when(F.col("rank") <= F.lit(len(SINGLE_ELEMENTS)),
-                    F.struct(F.col("rank"), F.col("name"), _single_xml(escape).alias("xml")))
-    aggs = [F.count(F.lit(1)).alias("n_rows"),
-            F.sort_array(F.collect_list(single)).alias("_singles")]
+    val = sql_escape("name") if mode == "clean" else "name"
+    tag = _tag_sql()
+    xml = f"concat('<', {tag}, '>', {val}, '</', {tag}, '>')"
+    aggs = ["count(1) AS n_rows",
+            f"array_join(transform(sort_array(collect_list(CASE WHEN rank <= {len(SINGLE_ELEMENTS)} "
+            f"THEN struct(rank, name, {xml} AS xml) END)), s -> s.xml), '') AS singles"]
     for j, (a, _n, _c) in enumerate(PAIRED_ELEMENTS, start=len(SINGLE_ELEMENTS) + 1):
-        pair = F.when(F.col("rank") == F.lit(j), F.struct(F.col("name"), F.col("code")))
-        aggs.append(F.sort_array(F.collect_list(pair)).alias(f"_pairs_{a}"))
-    g = r.groupBy("curve_id").agg(*aggs)
-    return g.withColumn("singles", F.array_join(F.transform("_singles", lambda s: s["xml"]), "")).drop(
-        "_singles")
+        aggs.append(f"sort_array(collect_list(CASE WHEN rank = {j} THEN struct(name, code) END)) "
+                    f"AS _pairs_{a}")
+    ranked = dm.select("curve_id", "name", "code", element_rank().alias("rank"))
+    return ranked.groupBy("curve_id").agg(*[F.expr(x) for x in aggs])
+
+
+def _paired_sql(pairs: str, names_tag: str, codes_tag: str, escape: bool) -> str:
+    n = sql_escape("p.name") if escape else "p.name"
+    c = sql_escape("p.code") if escape else "p.code"
+    return (f"CASE WHEN size({pairs}) > 0 THEN concat("
+            f"{sql_str('<' + names_tag + '>')}, array_join(transform({pairs}, p -> {n}), {sql_str(PAIR_SEP)}), "
+            f"{sql_str('</' + names_tag + '><' + codes_tag + '>')}, "
+            f"array_join(transform({pairs}, p -> {c}), {sql_str(PAIR_SEP)}), {sql_str('</' + codes_tag + '>')}) "
+            f"ELSE '' END")
 
 
-def paired_text(pairs: Column, names_tag: str, codes_tag: str, escape: bool = False) -> Column:
+def paired_text(pairs: str, names_tag: str, codes_tag: str, escape: bool = False) -> Column:
     """AGG6/XML1: ``<N>a|b</N><C>x|</C>``; empty when the list is empty.  Codes
     keep their slot when empty (``array_join`` would drop nulls, so they are
     empty strings already)."""
-    def esc(c):
-        return xml_escape(c) if escape else c
-    names = F.array_join(F.transform(pairs, lambda p: esc(p["name"])), PAIR_SEP)
-    codes = F.array_join(F.transform(pairs, lambda p: esc(p["code"])), PAIR_SEP)
-    return F.when(F.size(pairs) > 0, F.concat(
-        F.lit(f"<{names_tag}>"), names, F.lit(f"</{names_tag}>"),
-        F.lit(f"<{codes_tag}>"), codes, F.lit(f"</{codes_tag}>"))).otherwise(F.lit(""))
+    return F.expr(_paired_sql(pairs, names_tag, codes_tag, escape))
 
 
 def join_names(elements: DataFrame, names: DataFrame) -> DataFrame:
@@ -118,19 +119,17 @@ def join_names(elements: DataFrame, names: DataFrame) -> DataFrame:
     return elements.join(n, "curve_id", "left")
 
 
-def render_doc(df: DataFrame, mode: str = "reference") -> Column:
+def render_doc(mode: str = "reference") -> Column:
     """XML1: the whole document from ``curve_elements`` joined with names."""
     escape = mode == "clean"
-    names = F.when(F.col("has_name"), F.concat(
-        F.lit("<name>"), name_part(F.col("curve_name"), mode), F.lit("</name>"),
-        F.lit("<shortname>"), name_part(F.col("short_curve_name"), mode), F.lit("</shortname>"),
-        F.lit("<description>"), name_part(F.col("curve_description"), mode), F.lit("</description>"),
-    )).otherwise(F.lit(""))
-    parts = [doc_open(F.col("curve_id"), mode), names, F.col("singles")]
-    for a, ntag, ctag in PAIRED_ELEMENTS:
-        parts.append(paired_text(F.col(f"_pairs_{a}"), ntag, ctag, escape))
-    parts.append(F.lit("</DOC>"))
-    return F.concat(*parts)
+    names = (f"CASE WHEN has_name THEN concat('<name>', {sql_name_part('curve_name', mode)}, "
+             f"'</name><shortname>', {sql_name_part('short_curve_name', mode)}, "
+             f"'</shortname><description>', {sql_name_part('curve_description', mode)}, "
+             f"'</description>') ELSE '' END")
+    parts = [sql_doc_open("curve_id", mode), names, "singles"]
+    parts += [_paired_sql(f"_pairs_{a}", ntag, ctag, escape) for a, ntag, ctag in PAIRED_ELEMENTS]
+    parts.append(sql_str("</DOC>"))
+    return F.expr("concat(" + ", ".join(parts) + ")")
 
 
 def curve_docs(meta: DataFrame, members: DataFrame | None, names: DataFrame,
@@ -140,4 +139,4 @@ def curve_docs(meta: DataFrame, members: DataFrame | None, names: DataFrame,
     el = curve_elements(dm, mode)
     nm = names if load_set_id == ALL else names.filter(F.col("load_set_id") == F.lit(load_set_id))
     j = join_names(el, nm)
-    return j.select("curve_id", render_doc(j, mode).alias("doc"))
+    return j.select("curve_id", render_doc(mode).alias("doc"))

@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from namewright.functions.text import (LONG_NAME_MAX, REASON_NO_VALUE, SHORT_NAME_MAX, clip,
-                                       msg_duplicate, msg_exception, msg_too_long, msg_whole,
-                                       too_long)
+                                       sql_msg_duplicate, sql_msg_exception, sql_msg_too_long,
+                                       sql_msg_whole, sql_str)
 
 IDS = ["load_set_id", "curve_id"]
 NAME_KINDS = ("long", "short")
@@ -39,26 +39,25 @@ def length_flags(named: DataFrame, long_max: int = LONG_NAME_MAX,
     failure message) and ``<kind>_reason``; the description has no limit and
     never invalidates a curve.  Input: the output of ``rules.apply_rules``."""
     limits = {"long": long_max, "short": short_max}
-    cid = F.col("curve_id")
-    has_attr_flag = "attr_too_long" in named.columns
-    attr_bad = F.col("attr_too_long") if has_attr_flag else F.lit(False)
-    attr_reason = F.lit("attribute text is wider than the scan allows")
-    cols = [F.col(c) for c in IDS]
+    attr_bad = "attr_too_long" if "attr_too_long" in named.columns else "false"
+    attr_reason = sql_str("attribute text is wider than the scan allows")
+    no_value = sql_str(REASON_NO_VALUE)
+    exprs = list(IDS)
     for kind in ("long", "short", "desc"):
-        value, error = F.col(f"{kind}_value"), F.col(f"{kind}_error")
-        reason = (F.when(attr_bad, F.lit(ATTR_TEXT))
-                  .when(error.isNotNull(), F.lit(RULE_ERROR))
-                  .when(value.isNull(), F.lit(NO_VALUE)))
-        text = (F.when(attr_bad, msg_whole(kind, cid, attr_reason))
-                .when(error.isNotNull(), msg_exception(kind, cid, error))
-                .when(value.isNull(), msg_exception(kind, cid, F.lit(REASON_NO_VALUE))))
+        v, e = f"{kind}_value", f"{kind}_error"
+        reason = (f"CASE WHEN {attr_bad} THEN {sql_str(ATTR_TEXT)} "
+                  f"WHEN {e} IS NOT NULL THEN {sql_str(RULE_ERROR)} "
+                  f"WHEN {v} IS NULL THEN {sql_str(NO_VALUE)} ")
+        text = (f"CASE WHEN {attr_bad} THEN {sql_msg_whole(kind, 'curve_id', attr_reason)} "
+                f"WHEN {e} IS NOT NULL THEN {sql_msg_exception(kind, 'curve_id', e)} "
+                f"WHEN {v} IS NULL THEN {sql_msg_exception(kind, 'curve_id', no_value)} ")
         if kind in limits:
-            reason = reason.when(too_long(value, limits[kind]), F.lit(TOO_LONG))
-            text = text.when(too_long(value, limits[kind]), msg_too_long(kind, cid, value, limits[kind]))
-        cols += [reason.alias(f"{kind}_reason"), text.otherwise(value).alias(f"{kind}_text")]
+            reason += f"WHEN length({v}) > {limits[kind]} THEN {sql_str(TOO_LONG)} "
+            text += f"WHEN length({v}) > {limits[kind]} THEN {sql_msg_too_long(kind, 'curve_id', v, limits[kind])} "
+        exprs += [reason + f"END AS {kind}_reason", text + f"ELSE {v} END AS {kind}_text"]
         if kind in limits:
-            cols.append(reason.isNull().alias(f"{kind}_ok"))
-    return named.select(*cols)
+            exprs.append(f"({reason}END) IS NULL AS {kind}_ok")
+    return named.selectExpr(*exprs)
 
 
 def valid_names(flags: DataFrame, kind: str) -> DataFrame:
@@ -66,11 +65,10 @@ def valid_names(flags: DataFrame, kind: str) -> DataFrame:
     return flags.filter(F.col(f"{kind}_ok")).select(*IDS, F.col(f"{kind}_text").alias("name"))
 
 
-def _match_key(kind: str) -> Column:
+def _match_key(kind: str) -> str:
     """Join key: the name when valid, else the row's own curve id (never matches
     an owner, because the owner side only holds valid names)."""
-    return F.when(F.col(f"{kind}_ok"), F.col(f"{kind}_text")).otherwise(
-        F.col("curve_id").cast("string"))
+    return f"CASE WHEN {kind}_ok THEN {kind}_text ELSE CAST(curve_id AS STRING) END"
 
 
 def name_owners(flags: DataFrame, kind: str) -> DataFrame:
@@ -87,25 +85,25 @@ def duplicates(flags: DataFrame, kind: str) -> DataFrame:
     v = flags.filter(F.col(f"{kind}_ok")).select(
         *IDS, F.col(f"{kind}_ok").alias("_ok"), F.col(f"{kind}_text").alias("_key"))
     j = v.join(owners, ["load_set_id", "_ok", "_key"], "inner")
-    return j.filter(F.col(f"{kind}_owner") != F.col("curve_id")).select(
-        *IDS, F.col("_key").alias("name"), F.col(f"{kind}_owner").alias("owner"),
-        msg_duplicate(kind, "curve_id", f"{kind}_owner").alias("message"))
+    return j.filter(F.col(f"{kind}_owner") != F.col("curve_id")).selectExpr(
+        *IDS, "_key AS name", f"{kind}_owner AS owner",
+        sql_msg_duplicate(kind, "curve_id", f"{kind}_owner") + " AS message")
 
 
 def mark_duplicates(flags: DataFrame, kind: str) -> DataFrame:
     """JN5 for one kind: left-join the owners back and overwrite flag, text
     and reason where another curve owns the name."""
     owners = name_owners(flags, kind)
-    keyed = flags.select("*", F.col(f"{kind}_ok").alias("_ok"), _match_key(kind).alias("_key"))
+    keyed = flags.selectExpr("*", f"{kind}_ok AS _ok", _match_key(kind) + " AS _key")
     j = keyed.join(owners, ["load_set_id", "_ok", "_key"], "left")
-    owner = F.col(f"{kind}_owner")
-    dup = owner.isNotNull() & (owner != F.col("curve_id"))
+    dup = f"coalesce({kind}_owner <> curve_id, false)"
     replaced = {
-        f"{kind}_text": F.when(dup, msg_duplicate(kind, "curve_id", owner)).otherwise(F.col(f"{kind}_text")),
-        f"{kind}_reason": F.when(dup, F.lit(DUPLICATE)).otherwise(F.col(f"{kind}_reason")),
-        f"{kind}_ok": F.col(f"{kind}_ok") & ~dup,
+        f"{kind}_text": f"CASE WHEN {dup} THEN {sql_msg_duplicate(kind, 'curve_id', kind + '_owner')} "
+                        f"ELSE {kind}_text END",
+        f"{kind}_reason": f"CASE WHEN {dup} THEN {sql_str(DUPLICATE)} ELSE {kind}_reason END",
+        f"{kind}_ok": f"{kind}_ok AND NOT {dup}",
     }
-    return j.select(*[replaced[c].alias(c) if c in replaced else F.col(c) for c in flags.columns])
+    return j.selectExpr(*[f"{replaced[c]} AS {c}" if c in replaced else c for c in flags.columns])
 
 
 def validity_flag(long_ok, short_ok) -> Column:
