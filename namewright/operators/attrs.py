@@ -120,32 +120,32 @@ def attr_text_length(ent: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # numbering (ORD1) and maps (AGG3)
 # ---------------------------------------------------------------------------
-def number_repeats(ent: DataFrame, key_col: str = "key", out: str = "final_key",
-                   keep_col: str | None = None) -> DataFrame:
-    """ORD1: the 1st entry of a key keeps it, the 2nd becomes ``K1``, the 3rd
-    ``K2``; order inside a key is (fullname, shortname, abbr).  One entry per
-    (load set, curve, final key) survives, an unnumbered (literal) key winning
-    over a numbered one that spells the same text.  With ``keep_col`` the
-    survivors are flagged in that column instead of filtered.
-
-    Every window is partitioned by (load_set_id, curve_id) only, so one
-    clustering of the rows serves the numbering, the de-dup and the map
-    aggregate that follows (the repeat number is the row number minus the
-    rank of the key, instead of a window per key)."""
+def _numbered(ent: DataFrame, key_col: str, out: str) -> DataFrame:
+    """ORD1 numbering only: ``_n`` (0 for the first entry of a key) and the
+    numbered key ``out``.  Both windows are partitioned by (load_set_id,
+    curve_id) only and share one sort, so the clustering made by the
+    membership join serves them and the map aggregate that follows (the
+    repeat number is the row number minus the rank of the key)."""
     part = ["load_set_id", "curve_id"]
     by_key = Window.partitionBy(*part).orderBy(key_col)
     by_entry = Window.partitionBy(*part).orderBy(key_col, *ENTRY_VALUE)
     n = F.row_number().over(by_entry) - F.rank().over(by_key)
-    numbered = ent.select("*", n.alias("_n")).select(
-        "*", F.when(F.col("_n") == 0, F.col(key_col)).otherwise(
-            F.concat(F.col(key_col), F.col("_n").cast("string"))).alias(out))
+    numbered = ent.select("*", n.alias("_n"))
+    return numbered.select("*", F.expr(
+        f"CASE WHEN _n = 0 THEN {key_col} ELSE concat({key_col}, CAST(_n AS STRING)) END").alias(out))
+
+
+def number_repeats(ent: DataFrame, key_col: str = "key", out: str = "final_key") -> DataFrame:
+    """ORD1 as rows: the 1st entry of a key keeps it, the 2nd becomes ``K1``,
+    the 3rd ``K2``; order inside a key is (fullname, shortname, abbr).  One
+    entry per (load set, curve, final key) survives, an unnumbered (literal)
+    key winning over a numbered one that spells the same text."""
+    part = ["load_set_id", "curve_id"]
+    numbered = _numbered(ent, key_col, out)
     by_final = Window.partitionBy(*part).orderBy(out)
     by_final_entry = Window.partitionBy(*part).orderBy(out, "_n", *ENTRY_VALUE)
     first = F.row_number().over(by_final_entry) == F.rank().over(by_final)
-    flagged = numbered.select(*ent.columns, out, first.alias(keep_col or "_first"))
-    if keep_col is not None:
-        return flagged
-    return flagged.filter(F.col("_first")).drop("_first")
+    return numbered.select("*", first.alias("_first")).filter("_first").select(*ent.columns, out)
 
 
 def numbered_keys(ent: DataFrame) -> DataFrame:
@@ -163,10 +163,18 @@ def numbered_keys(ent: DataFrame) -> DataFrame:
 MAP_TYPE = "map<string,struct<fullname:string,shortname:string,abbr:string>>"
 
 
-def _map_of(key_col: str, keep: Column) -> Column:
-    """Map built from the kept entries of one curve (nulls are not collected)."""
-    entry = F.struct(F.col(key_col).alias("k"), F.struct(*ENTRY_VALUE).alias("v"))
-    return F.map_from_entries(F.collect_list(F.when(keep, entry)))
+def _map_of(key_col: str, keep: Column, n_col: str = "_n") -> Column:
+    """Map of one curve's kept entries.  Entries are collected as
+    (final key, repeat number, value), sorted, and the first entry of each
+    final key is kept (a literal key, number 0, wins over a numbered one that
+    spells the same text) before the map is built, so duplicate keys never
+    reach ``map_from_entries``.  Linear in the (small, rule-bounded) list."""
+    entry = F.struct(F.col(key_col).alias("k"), F.col(n_col).alias("n"),
+                     F.struct(*ENTRY_VALUE).alias("v"))
+    arr = F.array_sort(F.collect_list(F.when(keep, entry)))
+    firsts = F.filter(arr, lambda x, i: F.when(i == 0, F.lit(True))
+                      .otherwise(F.element_at(arr, i)["k"] != x["k"]))
+    return F.map_from_entries(F.transform(firsts, lambda x: F.struct(x["k"], x["v"])))
 
 
 def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
@@ -201,17 +209,13 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
 
     aggs = []
     if need_curve:
-        ent = number_repeats(ent, "key", "_ckey", "_ckeep")
-        keep = F.col("_ckeep")
-        if restricted:
-            keep = keep & F.col("_ckey").isin(sorted(keys.curve_keys))
-        aggs.append(_map_of("_ckey", keep).alias("curve"))
+        ent = _numbered(ent, "key", "_ckey").withColumnRenamed("_n", "_cn")
+        keep = F.col("_ckey").isin(sorted(keys.curve_keys)) if restricted else F.lit(True)
+        aggs.append(_map_of("_ckey", keep, "_cn").alias("curve"))
     if need_var:
-        ent = number_repeats(ent.select("*", normalize_key("key").alias("_nkey")), "_nkey", "_vkey", "_vkeep")
-        keep = F.col("_vkeep")
-        if restricted:
-            keep = keep & F.col("_vkey").isin(sorted(keys.var_keys))
-        aggs.append(_map_of("_vkey", keep).alias("var"))
+        ent = _numbered(ent.select("*", normalize_key("key").alias("_nkey")), "_nkey", "_vkey")
+        keep = F.col("_vkey").isin(sorted(keys.var_keys)) if restricted else F.lit(True)
+        aggs.append(_map_of("_vkey", keep, "_n").alias("var"))
     if not aggs:
         aggs.append(F.count(F.lit(1)).alias("_rows"))
     maps = ent.groupBy("load_set_id", "curve_id").agg(*aggs)

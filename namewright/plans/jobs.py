@@ -150,6 +150,11 @@ def run_outcomes(spark, run: StagingRun) -> DataFrame:
     return spark.createDataFrame(rows, "load_set_id int, succeeded boolean")
 
 
+def outcome_map(run: StagingRun) -> dict:
+    """{load_set_id: succeeded}; bounded by the number of load sets."""
+    return {r.load_set_id: r.error is None for r in run.rule_sets}
+
+
 def run_staging(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: DataFrame,
                 staging_path: str, status_path: str, load_set_ids=None,
                 report_path: str | None = None, **kw) -> StagingRun:
@@ -160,14 +165,13 @@ def run_staging(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rule
     computation; a lost executor only costs a recompute of its blocks."""
     kw.setdefault("persist", True)
     run = stage(meta, members, dictionary, rules, load_set_ids, **kw)
-    spark = meta.sparkSession
     try:
         writers.write_staging(run.staged, staging_path, processed_load_sets=run.good_load_sets)
         if report_path:
             load_set_report(run.checked).write.mode("overwrite").parquet(report_path)
     finally:
         run.release()
-    after = writers.transition_status(rules, run_outcomes(spark, run))
+    after = writers.transition_status(rules, outcome_map(run))
     writers.write_status_snapshot(after, status_path)
     return run
 

@@ -112,16 +112,28 @@ def write_keyed_docs(docs: DataFrame, path: str) -> None:
 # ---------------------------------------------------------------------------
 # SNK5: status
 # ---------------------------------------------------------------------------
-def transition_status(rules: DataFrame, outcomes: DataFrame) -> DataFrame:
+def transition_status(rules: DataFrame, outcomes) -> DataFrame:
     """SNK5: status 1 becomes 2 where the run succeeded and -1 where it failed;
-    other states and load sets not in ``outcomes`` stay as they are.
-    ``outcomes``: (load_set_id, succeeded boolean)."""
+    other states and load sets without an outcome stay as they are.
+
+    ``outcomes``: a dict {load_set_id: succeeded} (the run's own result, known
+    on the driver: a single projection, no join), or a DataFrame
+    (load_set_id, succeeded) for outcomes computed elsewhere."""
+    st = F.col("curvename_status_id")
+    ready = st == F.lit(STATUS_READY)
+    if isinstance(outcomes, dict):
+        ok = sorted(k for k, v in outcomes.items() if v)
+        bad = sorted(k for k, v in outcomes.items() if not v)
+        ids = F.col("load_set_id")
+        new = (F.when(ready & ids.isin(ok), F.lit(STATUS_DONE))
+               .when(ready & ids.isin(bad), F.lit(STATUS_FAILED))
+               .otherwise(st))
+        return rules.withColumn("curvename_status_id", new.cast("int"))
     o = outcomes.select(F.col("load_set_id").cast("int").alias("load_set_id"),
                         F.col("succeeded").alias("_ok"))
     j = rules.join(o, "load_set_id", "left")
-    st = F.col("curvename_status_id")
-    new = (F.when((st == F.lit(STATUS_READY)) & (F.col("_ok") == F.lit(True)), F.lit(STATUS_DONE))
-           .when((st == F.lit(STATUS_READY)) & (F.col("_ok") == F.lit(False)), F.lit(STATUS_FAILED))
+    new = (F.when(ready & (F.col("_ok") == F.lit(True)), F.lit(STATUS_DONE))
+           .when(ready & (F.col("_ok") == F.lit(False)), F.lit(STATUS_FAILED))
            .otherwise(st))
     return j.withColumn("curvename_status_id", new.cast("int")).drop("_ok").select(*rules.columns)
 
