@@ -4,8 +4,9 @@
 
 The catalogue tables (object_meta, load_set_curve, curve_dict, curve_name,
 curve_rule) are first derived from the driver's tables and written as
-parquet, as they would be stored in a deployment ("prepare", timed but not
-part of the headline).  Then, reading those tables:
+parquet, hash-distributed by id into one file per task, as a lake table
+would be stored ("prepare", timed but not part of the headline).  Then,
+reading those tables:
 
   stage_names   JOB1 for all load sets: staging written (partition per load
                 set) and the status snapshot written
@@ -50,7 +51,10 @@ def main() -> None:
 
     t0 = time.time()
     views = fv.all_views(spark, SF_DIR)
+    id_col = {"object_meta": "object_id", "load_set_curve": "curve_id", "curve_name": "curve_id"}
     for name, df in views.items():
+        if name in id_col:
+            df = df.repartition(2 * CPUS, id_col[name])
         df.write.mode("overwrite").parquet(f"{scratch}/tables/{name}")
     prepare = time.time() - t0
 
