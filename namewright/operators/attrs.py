@@ -14,11 +14,12 @@ Plan shape at scale
   The join's hash partitioning on curve id already satisfies every later
   window and aggregate keyed by a superset of curve id, so numbering, de-dup
   and map building add no further shuffle.
-* Per-curve lists hold the attributes of one curve (tens of entries).  When
-  the rules are known, ``attribute_maps`` keeps only the keys the rules can
-  read (``restrict_keys``), which bounds every list by the rule text, pushes
-  an ``attribute IN (...)`` filter into the scan, and leaves all other rows
-  unread.
+* Per-curve lists hold the attributes of one curve.  When the rules are
+  known, ``attribute_maps`` keeps only the keys the rules can read, which
+  bounds every collected list by the rule text (a curve with a million
+  repeats of one key still collects only the numbered entries a rule names;
+  the rest are only sorted, which spills), pushes an ``attribute IN (...)``
+  filter into the scan, and leaves all other rows unread.
 """
 
 from __future__ import annotations
@@ -26,8 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from namewright.functions.text import (ATTR_TEXT_MAX, attr_entry, attr_key, default_abbr,
-                                       empty_if_null, normalize_key)
+from namewright.functions.text import attr_entry, attr_key, default_abbr, empty_if_null, normalize_key
 
 ENTRY_VALUE = ["fullname", "shortname", "abbr"]
 
@@ -240,7 +240,3 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
     if max_attr_chars is not None:
         cols.append(F.coalesce(F.col("attr_too_long"), F.lit(False)).alias("attr_too_long"))
     return maps.select(*cols)
-
-
-def max_text_width() -> int:
-    return ATTR_TEXT_MAX

@@ -21,9 +21,6 @@ from namewright.functions.xml import (PAIR_SEP, PAIRED_ELEMENTS, SINGLE_ELEMENTS
 from namewright.operators.attrs import semi_members
 from namewright.sources.tables import ALL, CURVE_TYPE_ID, only_curves
 
-META_COLS = ["curve_id", "attr", "verb", "name", "code"]
-
-
 def doc_meta(meta: DataFrame, members: DataFrame | None = None, load_set_id=ALL,
              type_id: int = CURVE_TYPE_ID) -> DataFrame:
     """SRC6 + FLT1 + JN3 + FLT3: the export job's metadata rows

@@ -25,8 +25,6 @@ from namewright.functions.text import (LONG_NAME_MAX, REASON_NO_VALUE, SHORT_NAM
                                        sql_msg_whole, sql_str)
 
 IDS = ["load_set_id", "curve_id"]
-NAME_KINDS = ("long", "short")
-LIMIT = {"long": LONG_NAME_MAX, "short": SHORT_NAME_MAX}
 
 # reason codes (null = valid)
 NO_VALUE, RULE_ERROR, TOO_LONG, ATTR_TEXT, DUPLICATE = (

@@ -18,7 +18,7 @@ from namewright.functions.text import entry_keys, nth_position, rename_nth
 from namewright.operators import attrs as A
 from namewright.operators import docs as D
 from namewright.operators import quality as Q
-from namewright.operators.rules import apply_rules, collect_rules
+from namewright.operators.rules import collect_rules
 from namewright.plans import jobs
 from namewright.sinks import writers
 from namewright.sources import fixture_views as fv

@@ -15,7 +15,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 # one scan per (session, table path); the driver's tables never change

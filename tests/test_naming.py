@@ -134,3 +134,14 @@ def test_only_needed_attributes_are_read(spark, tables):
     plan = run.staged._jdf.queryExecution().optimizedPlan().toString()
     # the scan side is filtered to the attributes the rules can read
     assert "attribute" in plan and ("IN (D,P,S)" in plan or "INSET D, P, S" in plan), plan
+
+
+def test_curve_with_many_repeats(tables):
+    # one curve holds thousands of entries of one key; only G.in2 is read
+    meta = [meta_row(1, "G", "in", f"g{i:05d}") for i in range(4000)] + [meta_row(1, "S", "is", "s")]
+    meta += [meta_row(2, "G", "in", "solo"), meta_row(2, "S", "is", "t")]
+    rules = [(1, "curve['G.in2'].fullname", "curve['S.is'].fullname", "curve['G.in3999'].fullname", 1)]
+    staged, checked = run_stage(tables, meta, [(1, 1), (1, 2)], rules)
+    assert staged[(1, 1)]["curve_name"] == "g00002"
+    assert staged[(1, 1)]["curve_description"] == "g03999"
+    assert not checked[(1, 2)]["long_ok"]
