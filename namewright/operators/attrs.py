@@ -224,9 +224,11 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
     if restricted or max_attr_chars is not None:
         # every curve with metadata, also those with no needed entry
         # (column-pruned scan, partial distinct before the shuffle)
+        # distinct object ids first (partial aggregation before the shuffle: one
+        # row per object and map task), then the membership join on the
+        # already-clustered ids
         m = meta if type_id is None else meta.filter(F.col("object_type_id") == F.lit(type_id))
-        curves = join_members(m.select("object_id"), members).groupBy(*ids).agg(
-            F.count(F.lit(1)).alias("_n_rows"))
+        curves = join_members(m.select("object_id").distinct(), members).distinct()
         if max_attr_chars is not None:
             lengths = attr_text_length(entries(meta, members, dictionary, type_id)).select(
                 *ids, (F.col("attr_chars") > F.lit(max_attr_chars)).alias("attr_too_long"))

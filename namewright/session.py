@@ -41,7 +41,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
-        .config("spark.driver.memory", os.environ.get("NAMEWRIGHT_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("NAMEWRIGHT_DRIVER_MEMORY", "4g"))
     )
     for k, v in {**PLAN_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)

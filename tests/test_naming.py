@@ -145,3 +145,10 @@ def test_curve_with_many_repeats(tables):
     assert staged[(1, 1)]["curve_name"] == "g00002"
     assert staged[(1, 1)]["curve_description"] == "g03999"
     assert not checked[(1, 2)]["long_ok"]
+
+
+def test_repeated_membership_row_gives_one_curve(tables):
+    meta = [meta_row(1, "P", "is", "p"), meta_row(1, "S", "is", "s")]
+    t = tables(meta, [(1, 1), (1, 1)], [(1, LONG_RULE, SHORT_RULE, DESC_RULE, 1)])
+    rows = jobs.stage_names(t["meta"], t["members"], t["dict"], t["rules"]).collect()
+    assert [(r["load_set_id"], r["curve_id"]) for r in rows] == [(1, 1)]
