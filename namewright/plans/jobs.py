@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from namewright.functions.text import LONG_NAME_MAX, SHORT_NAME_MAX
@@ -29,6 +29,7 @@ class StagingRun:
     staged: DataFrame           # rows of the staging table
     rule_sets: list[RuleSet]    # with per-load-set errors (RUL5)
     persisted: list = None      # DataFrames to unpersist when the run is written
+    metrics: dict = None        # whole-run counts observed during the staging write
 
     def release(self) -> None:
         for df in self.persisted or []:
@@ -165,8 +166,13 @@ def run_staging(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rule
     computation; a lost executor only costs a recompute of its blocks."""
     kw.setdefault("persist", True)
     run = stage(meta, members, dictionary, rules, load_set_ids, **kw)
+    # RPT1 totals ride along with the write (no extra job)
+    obs = Observation("staging")
+    observed = run.staged.observe(obs, F.count(F.lit(1)).alias("rows"),
+                                  F.count_if(F.col("is_valid") == "Y").alias("valid_y"))
     try:
-        writers.write_staging(run.staged, staging_path, processed_load_sets=run.good_load_sets)
+        writers.write_staging(observed, staging_path, processed_load_sets=run.good_load_sets)
+        run.metrics = dict(obs.get)
         if report_path:
             load_set_report(run.checked).write.mode("overwrite").parquet(report_path)
     finally:

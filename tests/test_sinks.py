@@ -23,7 +23,8 @@ def test_staging_rerun_equals_one_run(spark, tables):
     t = _tables(tables)
     out = tempfile.mkdtemp(prefix="stage-", dir="/tmp")
     args = (t["meta"], t["members"], t["dict"], t["rules"], f"{out}/staging")
-    jobs.run_staging(*args, f"{out}/status1")
+    run = jobs.run_staging(*args, f"{out}/status1")
+    assert run.metrics == {"rows": 30, "valid_y": 30}
     once = sorted(map(tuple, spark.read.parquet(f"{out}/staging").collect()))
     jobs.run_staging(*args, f"{out}/status2")
     twice = sorted(map(tuple, spark.read.parquet(f"{out}/staging").collect()))
