@@ -152,3 +152,12 @@ def test_repeated_membership_row_gives_one_curve(tables):
     t = tables(meta, [(1, 1), (1, 1)], [(1, LONG_RULE, SHORT_RULE, DESC_RULE, 1)])
     rows = jobs.stage_names(t["meta"], t["members"], t["dict"], t["rules"]).collect()
     assert [(r["load_set_id"], r["curve_id"]) for r in rows] == [(1, 1)]
+
+
+def test_keys_collapsing_to_one_variable(spark, tables):
+    # 'A.b' and 'Ab.' are different raw keys with the same variable name 'Ab'
+    meta = [meta_row(5, "A", "b", "first"), meta_row(5, "Ab", "", "second")]
+    t = tables(meta, [(1, 5)], [])
+    maps = A.attribute_maps(t["meta"], t["members"], t["dict"]).collect()[0]
+    assert {k: v["fullname"] for k, v in maps["curve"].items()} == {"A.b": "first", "Ab.": "second"}
+    assert {k: v["fullname"] for k, v in maps["var"].items()} == {"Ab": "first", "Ab1": "second"}
