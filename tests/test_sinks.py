@@ -84,3 +84,21 @@ def test_jdbc_round_trip(spark, tables):
     part = read_jdbc(spark, url, '(SELECT "curve_id", MOD("curve_id", 1000) AS PARTITION_ID FROM STAGING) q',
                      bucket_col="PARTITION_ID", n_parts=4, props=props)
     assert part.rdd.getNumPartitions() == 4 and part.count() == 20
+
+
+def test_command_line(spark, tables):
+    from namewright.__main__ import main
+    t = _tables(tables)
+    out = tempfile.mkdtemp(prefix="cli-", dir="/tmp")
+    for name in ("meta", "members", "dict", "rules", "names"):
+        t[name].write.parquet(f"{out}/in/{name}")
+    code = main(["stage", "--meta", f"{out}/in/meta", "--members", f"{out}/in/members",
+                 "--dictionary", f"{out}/in/dict", "--rules", f"{out}/in/rules",
+                 "--staging", f"{out}/staging", "--status", f"{out}/status", "--load-sets", "1,2",
+                 "--report", f"{out}/report"])
+    assert code == 0
+    assert spark.read.parquet(f"{out}/staging").count() == 30
+    assert spark.read.parquet(f"{out}/report").count() == 2
+    assert main(["export", "--meta", f"{out}/in/meta", "--members", f"{out}/in/members",
+                 "--names", f"{out}/in/names", "--out", f"{out}/docs", "--bundles", "2"]) == 0
+    assert spark.read.text(f"{out}/docs").count() == 20 + 2 * 2
