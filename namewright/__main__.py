@@ -1,5 +1,5 @@
-"""Command line for the two jobs (``spark-submit -m namewright`` or
-``python -m namewright``).
+"""Command line for the two jobs: ``python -m namewright ...`` or
+``spark-submit --py-files namewright.zip namewright/__main__.py ...``.
 
   stage   --meta T --members T --dictionary T --rules T --staging PATH
           --status PATH [--load-sets 1,2 | all] [--report PATH]
