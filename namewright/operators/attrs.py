@@ -163,15 +163,21 @@ def numbered_keys(ent: DataFrame) -> DataFrame:
 MAP_TYPE = "map<string,struct<fullname:string,shortname:string,abbr:string>>"
 
 
-def _map_of(key_col: str, keep: Column, n_col: str = "_n") -> Column:
-    """Map of one curve's kept entries.  Entries are collected as
-    (final key, repeat number, value), sorted, and the first entry of each
-    final key is kept (a literal key, number 0, wins over a numbered one that
-    spells the same text) before the map is built, so duplicate keys never
-    reach ``map_from_entries``.  Linear in the (small, rule-bounded) list."""
+def _sorted_entries(key_col: str, keep: Column, n_col: str) -> Column:
+    """Aggregate: one curve's kept entries as (final key, repeat number,
+    value), sorted, so the first entry of each final key is the one to keep
+    (a literal key, number 0, wins over a numbered one spelling the same
+    text)."""
     entry = F.struct(F.col(key_col).alias("k"), F.col(n_col).alias("n"),
                      F.struct(*ENTRY_VALUE).alias("v"))
-    arr = F.array_sort(F.collect_list(F.when(keep, entry)))
+    return F.array_sort(F.collect_list(F.when(keep, entry)))
+
+
+def _map_from_sorted(col: str) -> Column:
+    """Map from a sorted entry list: the first entry of each key only, so
+    duplicate keys never reach ``map_from_entries``.  The lambda reads the
+    list through its column (O(1) per element), so this is linear."""
+    arr = F.col(col)
     firsts = F.filter(arr, lambda x, i: F.when(i == 0, F.lit(True))
                       .otherwise(F.element_at(arr, i)["k"] != x["k"]))
     return F.map_from_entries(F.transform(firsts, lambda x: F.struct(x["k"], x["v"])))
@@ -188,7 +194,7 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
     Every curve with at least one metadata row in its load set appears.
     ``keys`` (from ``rules.referenced_keys``) restricts the maps to entries the
     rules can read; None keeps all.  Both maps come out of one aggregate over
-    flagged entries, on the partitioning the membership join already made.
+    the numbered entries, on the partitioning the membership join already made.
     With ``max_attr_chars``, ``attr_too_long`` marks curves whose serialised
     attribute text is wider than that."""
     from namewright.operators.rules import key_candidates  # local: avoid a cycle
@@ -211,22 +217,25 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
     if need_curve:
         ent = _numbered(ent, "key", "_ckey").withColumnRenamed("_n", "_cn")
         keep = F.col("_ckey").isin(sorted(keys.curve_keys)) if restricted else F.lit(True)
-        aggs.append(_map_of("_ckey", keep, "_cn").alias("curve"))
+        aggs.append(_sorted_entries("_ckey", keep, "_cn").alias("_curve_entries"))
     if need_var:
         ent = _numbered(ent.select("*", normalize_key("key").alias("_nkey")), "_nkey", "_vkey")
         keep = F.col("_vkey").isin(sorted(keys.var_keys)) if restricted else F.lit(True)
-        aggs.append(_map_of("_vkey", keep, "_n").alias("var"))
+        aggs.append(_sorted_entries("_vkey", keep, "_n").alias("_var_entries"))
     if not aggs:
         aggs.append(F.count(F.lit(1)).alias("_rows"))
-    maps = ent.groupBy("load_set_id", "curve_id").agg(*aggs)
-
     ids = ["load_set_id", "curve_id"]
+    maps = ent.groupBy(*ids).agg(*aggs)
+    maps = maps.select(
+        *ids,
+        *([_map_from_sorted("_curve_entries").alias("curve")] if need_curve else []),
+        *([_map_from_sorted("_var_entries").alias("var")] if need_var else []))
+
     if restricted or max_attr_chars is not None:
-        # every curve with metadata, also those with no needed entry
-        # (column-pruned scan, partial distinct before the shuffle)
-        # distinct object ids first (partial aggregation before the shuffle: one
-        # row per object and map task), then the membership join on the
-        # already-clustered ids
+        # every curve with metadata, also those with no needed entry: distinct
+        # object ids first (column-pruned scan, partial aggregation before the
+        # shuffle: one row per object and map task), then the membership join
+        # on the already-clustered ids
         m = meta if type_id is None else meta.filter(F.col("object_type_id") == F.lit(type_id))
         curves = join_members(m.select("object_id").distinct(), members).distinct()
         if max_attr_chars is not None:
