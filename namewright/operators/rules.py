@@ -261,7 +261,8 @@ def compile_rule(attrs: DataFrame, text: str) -> tuple[Column | None, str | None
         col = F.expr(text)
         dtype = attrs.select(col.alias("_r")).schema["_r"].dataType
     except PySparkException as e:
-        reason = getattr(e, "getErrorClass", lambda: None)() or type(e).__name__
+        cond = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
+        reason = (cond() if cond else None) or type(e).__name__
         return None, f"rule does not compile: {reason}"
     if not isinstance(dtype, StringType):
         return None, f"rule returns {dtype.simpleString()}, not string"
