@@ -70,28 +70,45 @@ def rule_chunks(rule_sets: list[RuleSet], max_texts: int = MAX_TEXTS_PER_PASS) -
     return chunks
 
 
+def _keys_for(chunk: list[RuleSet], restrict_keys: bool):
+    if not restrict_keys:
+        return None
+    keys = referenced_keys([t for r in chunk for t in r.texts.values()])
+    return keys if keys.restricted else None
+
+
 def named_curves(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
                  rule_sets: list[RuleSet], type_id: int | None = None,
                  max_attr_chars: int | None = None, restrict_keys: bool = True,
-                 max_texts: int = MAX_TEXTS_PER_PASS) -> DataFrame:
+                 max_texts: int = MAX_TEXTS_PER_PASS, persisted: list | None = None) -> DataFrame:
     """RUL1-4 over the attribute maps: (load_set_id, curve_id, <kind>_value,
     <kind>_error ...) for the load sets with usable rules.
 
     Usually one pass.  With more than ``max_texts`` distinct rule texts the
-    load sets are split into passes; each pass reads only its load sets'
-    members and only the attributes its own rules name, and the passes are
-    unioned (disjoint load sets)."""
-    parts = []
-    for chunk in rule_chunks(rule_sets, max_texts) or [[]]:
-        keys = None
-        if restrict_keys:
-            keys = referenced_keys([t for r in chunk for t in r.texts.values()])
-            if not keys.restricted:
-                keys = None
-        m = in_load_set(members, [r.load_set_id for r in chunk])
-        attrs = attribute_maps(meta, m, dictionary, keys=keys, type_id=type_id,
-                               max_attr_chars=max_attr_chars)
-        parts.append(apply_rules(attrs, chunk))
+    load sets are split into passes (disjoint load sets, unioned):
+
+    * with ``persisted`` (a list the caller releases), the attribute maps are
+      built once for all passes, persisted, and each pass reads its own load
+      sets from them: one scan of the metadata;
+    * without it, each pass builds its own maps from its own load sets'
+      members and the attributes its own rules name (no cached state, at the
+      cost of one metadata scan per pass)."""
+    chunks = rule_chunks(rule_sets, max_texts) or [[]]
+    if len(chunks) > 1 and persisted is not None:
+        every = [r for c in chunks for r in c]
+        m = in_load_set(members, [r.load_set_id for r in every])
+        attrs = attribute_maps(meta, m, dictionary, keys=_keys_for(every, restrict_keys),
+                               type_id=type_id, max_attr_chars=max_attr_chars)
+        attrs = attrs.persist(StorageLevel.MEMORY_AND_DISK)
+        persisted.append(attrs)
+        parts = [apply_rules(attrs, chunk) for chunk in chunks]
+    else:
+        parts = []
+        for chunk in chunks:
+            m = in_load_set(members, [r.load_set_id for r in chunk])
+            attrs = attribute_maps(meta, m, dictionary, keys=_keys_for(chunk, restrict_keys),
+                                   type_id=type_id, max_attr_chars=max_attr_chars)
+            parts.append(apply_rules(attrs, chunk))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -108,9 +125,10 @@ def stage(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: Dat
     the three branches that read it (staged rows, long owners, short owners)
     share one computation; call ``run.release()`` after writing."""
     rule_sets = collect_rules(rules, None if load_set_ids == ALL else load_set_ids)
-    named = named_curves(meta, members, dictionary, rule_sets, type_id, max_attr_chars, restrict_keys)
-    flags = quality.length_flags(named, long_max, short_max)
     kept = []
+    named = named_curves(meta, members, dictionary, rule_sets, type_id, max_attr_chars, restrict_keys,
+                         persisted=kept if persist else None)
+    flags = quality.length_flags(named, long_max, short_max)
     if persist:
         flags = flags.persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(flags)

@@ -122,3 +122,19 @@ def test_many_rule_texts_run_in_passes(tables):
     named = jobs.named_curves(t["meta"], t["members"], t["dict"], rs, max_texts=4)
     got = {r["curve_id"]: r["long_value"] for r in named.collect()}
     assert got == {c: f"p{c}-{c % 6}" for c in range(12)}
+
+
+def test_many_rule_texts_one_shared_pass(tables):
+    meta = [meta_row(c, "P", "is", f"p{c}") for c in range(12)]
+    members = [(c % 6, c) for c in range(12)]
+    rules = [(ls, f"concat(curve['P.is'].fullname, '-{ls}')", "curve['P.is'].fullname",
+              "curve['P.is'].fullname", 1) for ls in range(6)]
+    t = tables(meta, members, rules)
+    rs = R.collect_rules(t["rules"])
+    kept = []
+    named = jobs.named_curves(t["meta"], t["members"], t["dict"], rs, max_texts=4, persisted=kept)
+    got = {r["curve_id"]: r["long_value"] for r in named.collect()}
+    assert got == {c: f"p{c}-{c % 6}" for c in range(12)}
+    assert len(kept) == 1
+    for df in kept:
+        df.unpersist()
