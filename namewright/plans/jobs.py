@@ -118,7 +118,8 @@ def named_curves(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
 def stage(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: DataFrame,
           load_set_ids=None, long_max: int = LONG_NAME_MAX, short_max: int = SHORT_NAME_MAX,
           type_id: int | None = None, max_attr_chars: int | None = None,
-          restrict_keys: bool = True, persist: bool = False) -> StagingRun:
+          restrict_keys: bool = True, persist: bool = False,
+          hot_rows: int = quality.HOT_NAME_ROWS) -> StagingRun:
     """JOB1 with everything the callers need (checked rows, staged rows, rules).
 
     ``persist`` (MAT1) keeps the per-curve naming result (MEMORY_AND_DISK) so
@@ -132,7 +133,7 @@ def stage(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: Dat
     if persist:
         flags = flags.persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(flags)
-    checked = quality.checked_names(named, long_max, short_max, flags=flags)
+    checked = quality.checked_names(named, long_max, short_max, flags=flags, hot_rows=hot_rows)
     return StagingRun(checked, quality.staged_rows(checked), rule_sets, kept)
 
 

@@ -161,3 +161,18 @@ def test_keys_collapsing_to_one_variable(spark, tables):
     maps = A.attribute_maps(t["meta"], t["members"], t["dict"]).collect()[0]
     assert {k: v["fullname"] for k, v in maps["curve"].items()} == {"A.b": "first", "Ab.": "second"}
     assert {k: v["fullname"] for k, v in maps["var"].items()} == {"Ab": "first", "Ab1": "second"}
+
+
+def test_hot_names_take_the_broadcast_path(tables):
+    # names held by more than hot_rows curves are joined by broadcast; the
+    # result must equal the shuffled path
+    n = 900
+    meta = [meta_row(c, "P", "is", "hot" if c % 3 else f"n{c % 7}") for c in range(1, n + 1)]
+    meta += [meta_row(c, "S", "is", "same" if c % 2 else f"s{c}") for c in range(1, n + 1)]
+    t = tables(meta, [(1, c) for c in range(1, n + 1)], [(1, LONG_RULE, SHORT_RULE, DESC_RULE, 1)])
+    args = (t["meta"], t["members"], t["dict"], t["rules"])
+    hot = sorted(map(tuple, jobs.stage(*args, hot_rows=50).staged.collect()))
+    cold = sorted(map(tuple, jobs.stage(*args).staged.collect()))
+    assert hot == cold
+    dup_long = [r for r in hot if r[1].endswith("is same as curve:1")]
+    assert len(dup_long) == n - n // 3 - 1
