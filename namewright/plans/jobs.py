@@ -201,6 +201,19 @@ def run_staging(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rule
     return run
 
 
+def run_report(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: DataFrame,
+               load_set_ids=None, **kw) -> list:
+    """RPT1 without staging: the per-load-set counts as rows (one per load
+    set, so bounded by the control table).  The per-curve naming result is
+    persisted for the action, so its three readers share one computation."""
+    kw.setdefault("persist", True)
+    run = stage(meta, members, dictionary, rules, load_set_ids, **kw)
+    try:
+        return load_set_report(run.checked).orderBy("load_set_id").collect()
+    finally:
+        run.release()
+
+
 def build_docs(meta: DataFrame, members: DataFrame | None, names: DataFrame,
                load_set_id=ALL, mode: str = "reference") -> DataFrame:
     """JOB2: (curve_id, doc) for one load set or ``'all'``."""

@@ -102,3 +102,10 @@ def test_command_line(spark, tables):
     assert main(["export", "--meta", f"{out}/in/meta", "--members", f"{out}/in/members",
                  "--names", f"{out}/in/names", "--out", f"{out}/docs", "--bundles", "2"]) == 0
     assert spark.read.text(f"{out}/docs").count() == 20 + 2 * 2
+
+
+def test_run_report(spark, tables):
+    t = _tables(tables)
+    rows = jobs.run_report(t["meta"], t["members"], t["dict"], t["rules"])
+    # load set 4 has rules but no members, so no curves and no report row
+    assert [(r["load_set_id"], r["curves"], r["valid_y"]) for r in rows] == [(1, 20, 20), (2, 10, 10)]
