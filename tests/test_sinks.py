@@ -109,3 +109,34 @@ def test_run_report(spark, tables):
     rows = jobs.run_report(t["meta"], t["members"], t["dict"], t["rules"])
     # load set 4 has rules but no members, so no curves and no report row
     assert [(r["load_set_id"], r["curves"], r["valid_y"]) for r in rows] == [(1, 20, 20), (2, 10, 10)]
+
+
+def test_export_from_jdbc_subqueries(spark, tables):
+    """SRC1/SRC2: the export job's metadata and names read through range-
+    partitioned JDBC subqueries give the same documents as the tables."""
+    from namewright.sources import jdbc as J
+    from namewright.sources.tables import decode_meta, decode_names
+    meta = [meta_row(c, "Provider", "is", f"p{c}") for c in range(30)]
+    meta += [meta_row(c, "Geography", "in", f"g{c % 4}", ric=f"r{c}") for c in range(0, 30, 3)]
+    names = [(1, c, f"n{c}", f"s{c}", None) for c in range(0, 30, 2)]
+    t = tables(meta, [(1, c) for c in range(30)], [], names=names)
+    url = "jdbc:derby:memory:nwexport;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    t["meta"].write.jdbc(url, "OBJECT_META", mode="overwrite", properties=props)
+    t["members"].write.jdbc(url, "LOAD_SET_CURVE", mode="overwrite", properties=props)
+    t["names"].write.jdbc(url, "CURVE_NAME", mode="overwrite", properties=props)
+    # the tables hold lowercase, quoted column names (Spark's JDBC writer quotes)
+    q_meta = ('(SELECT om."object_id" AS "object_id", 1 AS "object_type_id", om."attribute", om."verb", '
+              'om."ric", om."element_id", om."element", om."element_name", '
+              'MOD(om."object_id", 1000) AS "partition_id" FROM OBJECT_META om '
+              'WHERE om."object_type_id" = 1 AND om."object_id" IN '
+              '(SELECT "curve_id" FROM LOAD_SET_CURVE WHERE "load_set_id" = 1)) curve_attr')
+    q_names = ('(SELECT "load_set_id", "curve_id", MOD("curve_id", 1000) AS "partition_id", "curve_name", '
+               '"short_curve_name", "curve_description" FROM CURVE_NAME WHERE "load_set_id" = 1) curve_names')
+    m = J.read_jdbc(spark, url, q_meta, bucket_col="partition_id", n_parts=4, props=props)
+    n = J.read_jdbc(spark, url, q_names, bucket_col="partition_id", n_parts=8, props=props)
+    assert m.rdd.getNumPartitions() == 4 and n.rdd.getNumPartitions() == 8
+    via_jdbc = jobs.build_docs(decode_meta(m), None, decode_names(n)).collect()
+    direct = jobs.build_docs(t["meta"], t["members"], t["names"], load_set_id=1).collect()
+    assert sorted(map(tuple, via_jdbc)) == sorted(map(tuple, direct))
+    assert len(direct) == 30
