@@ -4,7 +4,7 @@
 
 The catalogue tables (object_meta, load_set_curve, curve_dict, curve_name,
 curve_rule) are first derived from the driver's tables and written as
-parquet, hash-distributed by id into one file per task, as a lake table
+parquet, hash-distributed by id into one file per core, as a lake table
 would be stored ("prepare", timed but not part of the headline).  Then,
 reading those tables:
 
@@ -35,7 +35,7 @@ from namewright.sources import fixture_views as fv  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-BUNDLES = 2 * CPUS            # near the task count: one file per bundle
+BUNDLES = CPUS                # one file per write task
 
 
 def sf_of(path: str) -> float | str:
@@ -47,7 +47,7 @@ def sf_of(path: str) -> float | str:
 
 
 def main() -> None:
-    spark = local_session(CPUS, shuffle_partitions=max(8, 2 * CPUS), app="namewright-bench")
+    spark = local_session(CPUS, shuffle_partitions=CPUS, app="namewright-bench")
     scratch = tempfile.mkdtemp(prefix="namewright-bench-", dir="/tmp")
 
     t0 = time.time()
@@ -55,7 +55,7 @@ def main() -> None:
     id_col = {"object_meta": "object_id", "load_set_curve": "curve_id", "curve_name": "curve_id"}
     for name, df in views.items():
         if name in id_col:
-            df = df.repartition(2 * CPUS, id_col[name])
+            df = df.repartition(CPUS, id_col[name])
         df.write.mode("overwrite").parquet(f"{scratch}/tables/{name}")
     prepare = time.time() - t0
 
