@@ -130,9 +130,16 @@ def render_doc(mode: str = "reference") -> Column:
 
 
 def curve_docs(meta: DataFrame, members: DataFrame | None, names: DataFrame,
-               load_set_id=ALL, mode: str = "reference") -> DataFrame:
-    """JOB2 body: (curve_id, doc), one row per curve and name row."""
+               load_set_id=ALL, mode: str = "reference", bundles: int | None = None) -> DataFrame:
+    """JOB2 body: (curve_id, doc), one row per curve and name row.
+
+    With ``bundles`` the metadata rows are clustered into that many hash
+    partitions of the curve id before the per-curve aggregate (this is the
+    aggregate's shuffle, not an extra one); the names are shuffled to match,
+    so each output partition is one bundle of documents."""
     dm = doc_meta(meta, members, load_set_id)
+    if bundles is not None:
+        dm = dm.repartition(bundles, "curve_id")
     el = curve_elements(dm, mode)
     nm = names if load_set_id == ALL else names.filter(F.col("load_set_id") == F.lit(load_set_id))
     j = join_names(el, nm)

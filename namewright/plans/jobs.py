@@ -215,15 +215,20 @@ def run_report(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules
 
 
 def build_docs(meta: DataFrame, members: DataFrame | None, names: DataFrame,
-               load_set_id=ALL, mode: str = "reference") -> DataFrame:
-    """JOB2: (curve_id, doc) for one load set or ``'all'``."""
-    return curve_docs(meta, members, names, load_set_id, mode)
+               load_set_id=ALL, mode: str = "reference", bundles: int | None = None) -> DataFrame:
+    """JOB2: (curve_id, doc) for one load set or ``'all'``; with ``bundles``,
+    on that many hash partitions of the curve id (one bundle each)."""
+    return curve_docs(meta, members, names, load_set_id, mode, bundles)
 
 
 def run_export(meta: DataFrame, members: DataFrame | None, names: DataFrame, out_path: str,
                bundles: int, load_set_id=ALL, mode: str = "reference") -> None:
-    """JOB2 end to end: document bundles as text files (one action)."""
-    writers.write_bundles(build_docs(meta, members, names, load_set_id, mode), out_path, bundles)
+    """JOB2 end to end: one text file per bundle, ``<DOCS>`` .. ``</DOCS>``, in
+    one action.  The documents are built on ``bundles`` hash partitions of the
+    curve id and each partition is written as one file, so the documents are
+    never shuffled again after they are rendered."""
+    docs = build_docs(meta, members, names, load_set_id, mode, bundles=bundles)
+    writers.write_partition_bundles(docs, out_path)
 
 
 def persist_checked(run: StagingRun) -> StagingRun:

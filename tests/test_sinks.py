@@ -140,3 +140,25 @@ def test_export_from_jdbc_subqueries(spark, tables):
     direct = jobs.build_docs(t["meta"], t["members"], t["names"], load_set_id=1).collect()
     assert sorted(map(tuple, via_jdbc)) == sorted(map(tuple, direct))
     assert len(direct) == 30
+
+
+def test_export_one_file_per_partition(spark, tables):
+    meta = [meta_row(c, "Provider", "is", f"p{c}") for c in range(60)]
+    meta += [meta_row(c, "Geography", "in", "G", ric="r") for c in range(0, 60, 5)]
+    t = tables(meta, [], [], names=[(1, c, f"n{c}", "s", "d") for c in range(0, 60, 2)])
+    out = tempfile.mkdtemp(prefix="exp-", dir="/tmp")
+    jobs.run_export(t["meta"], None, t["names"], f"{out}/d", 4)
+    files = [f for f in glob.glob(f"{out}/d/part-*") if os.path.getsize(f) > 0]
+    assert 1 <= len(files) <= 4
+    seen = []
+    for f in files:
+        lines = open(f).read().splitlines()
+        assert lines[0] == "<DOCS>" and lines[-1] == "</DOCS>"
+        ids = [int(x.split("id=")[1].split(" ")[0]) for x in lines[1:-1]]
+        assert ids == sorted(ids)
+        seen += ids
+    assert sorted(seen) == list(range(60))
+    docs = jobs.build_docs(t["meta"], None, t["names"], bundles=4)
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    # the metadata is clustered once (the aggregate's shuffle), the names once
+    assert plan.count("Exchange hashpartitioning") <= 2, plan
