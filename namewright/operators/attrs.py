@@ -24,6 +24,7 @@ Plan shape at scale
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -183,9 +184,57 @@ def _map_from_sorted(col: str) -> Column:
     return F.map_from_entries(F.transform(firsts, lambda x: F.struct(x["k"], x["v"])))
 
 
+# Hot curves: an object with more metadata rows than this has its rows cut
+# down before the membership join (see ``_precut_hot``).  The ids found hot
+# are at most rows / HOT_CURVE_ROWS, a proven bound on what is collected.
+HOT_CURVE_ROWS = 1_000_000
+PRECUT_SALTS = 64
+
+
+def object_row_counts(meta: DataFrame, type_id: int | None = None) -> DataFrame:
+    """Rows per object id (column-pruned scan, partial aggregation)."""
+    m = meta if type_id is None else meta.filter(F.col("object_type_id") == F.lit(type_id))
+    return m.groupBy("object_id").agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def hot_objects(counts: DataFrame, hot_rows: int) -> list:
+    """Ids of objects with more than ``hot_rows`` rows: at most
+    (total rows / hot_rows) of them, so collecting them is bounded."""
+    return [r[0] for r in counts.filter(F.col("_rows") > F.lit(hot_rows)).select("object_id").collect()]
+
+
+def _precut_hot(meta_rows: DataFrame, dictionary: DataFrame, keys, salts: int) -> DataFrame:
+    """Keep, per (object, key), only the first entries the rules can reach,
+    computed on ``salts`` sub-groups so one hot object spreads over many
+    tasks.  Exact: an entry among the first L of its key is among the first L
+    of its own sub-group.  Returns rows in the metadata's own shape."""
+    from namewright.operators.rules import entries_needed  # local: avoid a cycle
+
+    curve_need = entries_needed(keys.curve_keys)
+    var_need = entries_needed(keys.var_keys)
+    d = dictionary.select(F.col("element_id").cast("long").alias("element_id"), F.col("abbr").alias("_abbr"))
+    r = meta_rows.join(d, "element_id", "left").select(
+        *meta_rows.columns,
+        attr_key("attribute", "verb").alias("_key"),
+        empty_if_null("element_name").alias("_f"), empty_if_null("element").alias("_s"),
+        default_abbr("_abbr").alias("_a"),
+        F.pmod(F.monotonically_increasing_id(), F.lit(salts)).alias("_salt"))
+
+    def lookup(col, need):
+        if not need:
+            return F.lit(0)
+        return F.coalesce(F.element_at(F.create_map(*[x for k, v in sorted(need.items())
+                                                     for x in (F.lit(k), F.lit(v))]), col), F.lit(0))
+    limit = F.greatest(lookup(F.col("_key"), curve_need), lookup(normalize_key("_key"), var_need))
+    w = Window.partitionBy("object_id", "_key", "_salt").orderBy("_f", "_s", "_a")
+    return (r.select("*", F.row_number().over(w).alias("_rn"), limit.alias("_limit"))
+            .filter(F.col("_rn") <= F.col("_limit")).select(*meta_rows.columns))
+
+
 def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
                    keys=None, type_id: int | None = None,
-                   max_attr_chars: int | None = None) -> DataFrame:
+                   max_attr_chars: int | None = None, hot_rows: int | None = None,
+                   persisted: list | None = None) -> DataFrame:
     """AGG3: one row per (load_set_id, curve_id) holding
 
     * ``curve``: map raw key (numbered) -> struct(fullname, shortname, abbr)
@@ -196,7 +245,14 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
     rules can read; None keeps all.  Both maps come out of one aggregate over
     the numbered entries, on the partitioning the membership join already made.
     With ``max_attr_chars``, ``attr_too_long`` marks curves whose serialised
-    attribute text is wider than that."""
+    attribute text is wider than that.
+
+    With ``hot_rows`` (and literal rule keys) the rows per object are counted
+    first, in one column-pruned job; objects holding more rows than that are
+    cut down to the entries the rules can reach before the membership join,
+    on salted sub-groups, so no task sorts a hot curve whole.  When no object
+    is hot the plan is the usual one.  ``persisted`` (a list the caller
+    releases) keeps the counts for the curve list that follows."""
     from namewright.operators.rules import key_candidates  # local: avoid a cycle
 
     restricted = keys is not None and keys.restricted
@@ -204,7 +260,27 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
     need_var = keys is None or keys.needs_var
     attributes = keys.attribute_candidates() if restricted and not keys.var_keys else None
 
-    ent = entries(meta, members, dictionary, type_id, attributes)
+    counts = None
+    hot = []
+    if restricted and hot_rows is not None:
+        counts = object_row_counts(meta, type_id)
+        if persisted is not None:
+            counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+            persisted.append(counts)
+        hot = hot_objects(counts, hot_rows)
+    if hot:
+        m = meta if type_id is None else meta.filter(F.col("object_type_id") == F.lit(type_id))
+        if attributes is not None:
+            cond = F.col("attribute").isin(sorted(set(attributes)))
+            if "" in attributes:
+                cond = cond | F.col("attribute").isNull()
+            m = m.filter(cond)
+        m = m.select("object_id", "attribute", "verb", "element_id", "element", "element_name")
+        is_hot = F.col("object_id").isin(hot)
+        m = m.filter(~is_hot).unionByName(_precut_hot(m.filter(is_hot), dictionary, keys, PRECUT_SALTS))
+        ent = entries(m, members, dictionary, None, None)
+    else:
+        ent = entries(meta, members, dictionary, type_id, attributes)
     if restricted:
         wanted = F.lit(False)
         if need_curve:
@@ -236,8 +312,12 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
         # object ids first (column-pruned scan, partial aggregation before the
         # shuffle: one row per object and map task), then the membership join
         # on the already-clustered ids
-        m = meta if type_id is None else meta.filter(F.col("object_type_id") == F.lit(type_id))
-        curves = join_members(m.select("object_id").distinct(), members).distinct()
+        if counts is not None:
+            ids_only = counts.select("object_id")
+        else:
+            m = meta if type_id is None else meta.filter(F.col("object_type_id") == F.lit(type_id))
+            ids_only = m.select("object_id").distinct()
+        curves = join_members(ids_only, members).distinct()
         if max_attr_chars is not None:
             lengths = attr_text_length(entries(meta, members, dictionary, type_id)).select(
                 *ids, (F.col("attr_chars") > F.lit(max_attr_chars)).alias("attr_too_long"))

@@ -168,6 +168,29 @@ class KeyUse:
         return out
 
 
+def _splits(key: str):
+    """(base, repeat number) readings of a numbered key: ``G.in12`` may be the
+    12th repeat of ``G.in`` or the 2nd of ``G.in1``; every key is also its own
+    base with number 0.  Numbers never have leading zeros."""
+    yield key, 0
+    j = len(key)
+    while j > 0 and key[j - 1].isdigit():
+        j -= 1
+        digits = key[j:]
+        if digits[0] != "0":
+            yield key[:j], int(digits)
+
+
+def entries_needed(keys) -> dict[str, int]:
+    """For every base key, how many of its first entries (in numbering order)
+    the referenced keys can reach: 1 + the largest repeat number read."""
+    need: dict[str, int] = {}
+    for k in keys:
+        for base, n in _splits(k):
+            need[base] = max(need.get(base, 0), n + 1)
+    return need
+
+
 def key_candidates(keys) -> set[str]:
     """Raw keys that can become one of ``keys`` after numbering: the key itself
     and every form with trailing digits removed (``G.in12`` may be the 12th

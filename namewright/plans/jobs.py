@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from namewright.functions.text import LONG_NAME_MAX, SHORT_NAME_MAX
 from namewright.operators import quality
-from namewright.operators.attrs import attribute_maps
+from namewright.operators.attrs import HOT_CURVE_ROWS, attribute_maps
 from namewright.operators.docs import curve_docs
 from namewright.operators.rules import KINDS, RuleSet, apply_rules, collect_rules, referenced_keys
 from namewright.sinks import writers
@@ -80,7 +80,8 @@ def _keys_for(chunk: list[RuleSet], restrict_keys: bool):
 def named_curves(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
                  rule_sets: list[RuleSet], type_id: int | None = None,
                  max_attr_chars: int | None = None, restrict_keys: bool = True,
-                 max_texts: int = MAX_TEXTS_PER_PASS, persisted: list | None = None) -> DataFrame:
+                 max_texts: int = MAX_TEXTS_PER_PASS, persisted: list | None = None,
+                 hot_curve_rows: int | None = None) -> DataFrame:
     """RUL1-4 over the attribute maps: (load_set_id, curve_id, <kind>_value,
     <kind>_error ...) for the load sets with usable rules.
 
@@ -98,7 +99,8 @@ def named_curves(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
         every = [r for c in chunks for r in c]
         m = in_load_set(members, [r.load_set_id for r in every])
         attrs = attribute_maps(meta, m, dictionary, keys=_keys_for(every, restrict_keys),
-                               type_id=type_id, max_attr_chars=max_attr_chars)
+                               type_id=type_id, max_attr_chars=max_attr_chars,
+                               hot_rows=hot_curve_rows, persisted=persisted)
         attrs = attrs.persist(StorageLevel.MEMORY_AND_DISK)
         persisted.append(attrs)
         parts = [apply_rules(attrs, chunk) for chunk in chunks]
@@ -107,7 +109,8 @@ def named_curves(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
         for chunk in chunks:
             m = in_load_set(members, [r.load_set_id for r in chunk])
             attrs = attribute_maps(meta, m, dictionary, keys=_keys_for(chunk, restrict_keys),
-                                   type_id=type_id, max_attr_chars=max_attr_chars)
+                                   type_id=type_id, max_attr_chars=max_attr_chars,
+                                   hot_rows=hot_curve_rows, persisted=persisted)
             parts.append(apply_rules(attrs, chunk))
     out = parts[0]
     for p in parts[1:]:
@@ -119,16 +122,19 @@ def stage(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: Dat
           load_set_ids=None, long_max: int = LONG_NAME_MAX, short_max: int = SHORT_NAME_MAX,
           type_id: int | None = None, max_attr_chars: int | None = None,
           restrict_keys: bool = True, persist: bool = False,
-          hot_rows: int = quality.HOT_NAME_ROWS) -> StagingRun:
+          hot_rows: int = quality.HOT_NAME_ROWS, hot_curve_rows: int | None = None) -> StagingRun:
     """JOB1 with everything the callers need (checked rows, staged rows, rules).
 
     ``persist`` (MAT1) keeps the per-curve naming result (MEMORY_AND_DISK) so
     the three branches that read it (staged rows, long owners, short owners)
-    share one computation; call ``run.release()`` after writing."""
+    share one computation; call ``run.release()`` after writing.
+    ``hot_curve_rows`` turns on the hot-curve cut (``attrs.attribute_maps``):
+    one extra column-pruned counting job, no change to the plan when no
+    object is hot."""
     rule_sets = collect_rules(rules, None if load_set_ids == ALL else load_set_ids)
     kept = []
     named = named_curves(meta, members, dictionary, rule_sets, type_id, max_attr_chars, restrict_keys,
-                         persisted=kept if persist else None)
+                         persisted=kept if persist else None, hot_curve_rows=hot_curve_rows)
     flags = quality.length_flags(named, long_max, short_max)
     if persist:
         flags = flags.persist(StorageLevel.MEMORY_AND_DISK)
@@ -184,6 +190,7 @@ def run_staging(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rule
     staging write, its duplicate searches and the report all read one
     computation; a lost executor only costs a recompute of its blocks."""
     kw.setdefault("persist", True)
+    kw.setdefault("hot_curve_rows", HOT_CURVE_ROWS)
     run = stage(meta, members, dictionary, rules, load_set_ids, **kw)
     # RPT1 totals ride along with the write (no extra job)
     obs = Observation("staging")

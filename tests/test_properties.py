@@ -89,6 +89,13 @@ def test_staging_matches_brute_force(tables, ents, members):
            for r in jobs.stage_names(t["meta"], t["members"], t["dict"], t["rules"]).collect()}
     want = brute_force(meta, members, {1: "d1", 2: None, 3: None})
     assert got == want
+    # the same through the hot-curve cut (nearly every curve counts as hot)
+    run = jobs.stage(t["meta"], t["members"], t["dict"], t["rules"], hot_curve_rows=2, persist=True)
+    cut = {(r["load_set_id"], r["curve_id"]): (r["curve_name"], r["short_curve_name"],
+                                                r["curve_description"], r["is_valid"])
+           for r in run.staged.collect()}
+    run.release()
+    assert cut == want
 
 
 def test_invariants_on_driver_data(spark):
