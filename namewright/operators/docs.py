@@ -71,11 +71,15 @@ def select_doc_attrs(dm: DataFrame) -> DataFrame:
     return dm.select("*", element_rank().alias("rank")).filter(F.col("rank").isNotNull())
 
 
-def curve_elements(dm: DataFrame, mode: str = "reference") -> DataFrame:
+def curve_elements(dm: DataFrame, mode: str = "reference", bundles: int | None = None) -> DataFrame:
     """AGG4-6 in one aggregate per curve: ``n_rows`` (metadata size),
     ``singles`` (concatenated single-valued elements, AGG5), and for each
     paired element a sorted list of (name, code) structs (AGG6).  Every curve
-    with metadata gets a row, even when nothing is exported."""
+    with metadata gets a row, even when nothing is exported.
+
+    With ``bundles`` the rows are clustered into that many hash partitions of
+    the curve id for the aggregate (one bundle per partition).  Rows that are
+    not exported only count, so they cross that shuffle as an id and nulls."""
     val = sql_escape("name") if mode == "clean" else "name"
     tag = _tag_sql()
     xml = f"concat('<', {tag}, '>', {val}, '</', {tag}, '>')"
@@ -85,7 +89,11 @@ def curve_elements(dm: DataFrame, mode: str = "reference") -> DataFrame:
     for j, (a, _n, _c) in enumerate(PAIRED_ELEMENTS, start=len(SINGLE_ELEMENTS) + 1):
         aggs.append(f"sort_array(collect_list(CASE WHEN rank = {j} THEN struct(name, code) END)) "
                     f"AS _pairs_{a}")
-    ranked = dm.select("curve_id", "name", "code", element_rank().alias("rank"))
+    ranked = dm.select("curve_id", "name", "code", element_rank().alias("rank")).selectExpr(
+        "curve_id", "rank", "CASE WHEN rank IS NOT NULL THEN name END AS name",
+        "CASE WHEN rank IS NOT NULL THEN code END AS code")
+    if bundles is not None:
+        ranked = ranked.repartition(bundles, "curve_id")
     return ranked.groupBy("curve_id").agg(*[F.expr(x) for x in aggs])
 
 
@@ -138,9 +146,7 @@ def curve_docs(meta: DataFrame, members: DataFrame | None, names: DataFrame,
     aggregate's shuffle, not an extra one); the names are shuffled to match,
     so each output partition is one bundle of documents."""
     dm = doc_meta(meta, members, load_set_id)
-    if bundles is not None:
-        dm = dm.repartition(bundles, "curve_id")
-    el = curve_elements(dm, mode)
+    el = curve_elements(dm, mode, bundles)
     nm = names if load_set_id == ALL else names.filter(F.col("load_set_id") == F.lit(load_set_id))
     j = join_names(el, nm)
     return j.select("curve_id", render_doc(mode).alias("doc"))
