@@ -16,10 +16,11 @@ Plan shape at scale
   and map building add no further shuffle.
 * Per-curve lists hold the attributes of one curve.  When the rules are
   known, ``attribute_maps`` keeps only the keys the rules can read, which
-  bounds every collected list by the rule text (a curve with a million
-  repeats of one key still collects only the numbered entries a rule names;
-  the rest are only sorted, which spills), pushes an ``attribute IN (...)``
-  filter into the scan, and leaves all other rows unread.
+  bounds every collected list by the rule text, pushes an ``attribute IN
+  (...)`` filter into the scan, and leaves all other rows unread.
+* A hot curve (one object holding a huge share of the rows) is found by a
+  bounded count and cut before the membership join on salted sub-groups
+  (``hot_rows``), so no task numbers it whole.
 """
 
 from __future__ import annotations

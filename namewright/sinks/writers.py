@@ -6,9 +6,13 @@
   load set with no rows has its old partition removed explicitly, since an
   overwrite with no rows for it would leave it in place.
 * Document bundles: each bundle is one text file ``<DOCS>`` .. ``</DOCS>``.
-  Curves are hashed into ``n`` bundles; header and footer rows are added per
-  bundle that has documents; one repartition by bundle puts each bundle in
-  one task and a sort within partitions orders header, documents, footer.
+  ``write_partition_bundles`` (used by the export job) writes each partition
+  of documents already clustered by curve id as one file, framing it with a
+  pass-through ``mapInArrow``: no shuffle of the documents.
+  ``write_bundles`` is the general form for documents that come from
+  elsewhere: curves hashed into ``n`` bundles, header and footer rows per
+  bundle that has documents, one repartition by bundle, and a sort within
+  partitions ordering header, documents, footer.
 * Status: a new snapshot of the rules table with the transition applied,
   written to a fresh path (a table cannot be overwritten while it is read).
   Write staging first and status last: a crash in between leaves status 1
