@@ -198,10 +198,10 @@ def object_row_counts(meta: DataFrame, type_id: int | None = None) -> DataFrame:
     return m.groupBy("object_id").agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def hot_objects(counts: DataFrame, hot_rows: int) -> list:
+def hot_objects(counts: DataFrame, hot_rows: int) -> DataFrame:
     """Ids of objects with more than ``hot_rows`` rows: at most
-    (total rows / hot_rows) of them, so collecting them is bounded."""
-    return [r[0] for r in counts.filter(F.col("_rows") > F.lit(hot_rows)).select("object_id").collect()]
+    (total rows / hot_rows) of them, so broadcasting them is bounded."""
+    return counts.filter(F.col("_rows") > F.lit(hot_rows)).select("object_id")
 
 
 def _precut_hot(meta_rows: DataFrame, dictionary: DataFrame, keys, salts: int) -> DataFrame:
@@ -262,14 +262,16 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
     attributes = keys.attribute_candidates() if restricted and not keys.var_keys else None
 
     counts = None
-    hot = []
+    hot = None
     if restricted and hot_rows is not None:
         counts = object_row_counts(meta, type_id)
         if persisted is not None:
             counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
             persisted.append(counts)
         hot = hot_objects(counts, hot_rows)
-    if hot:
+        if not hot.take(1):          # the usual case: no hot object, usual plan
+            hot = None
+    if hot is not None:
         m = meta if type_id is None else meta.filter(F.col("object_type_id") == F.lit(type_id))
         if attributes is not None:
             cond = F.col("attribute").isin(sorted(set(attributes)))
@@ -277,8 +279,9 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
                 cond = cond | F.col("attribute").isNull()
             m = m.filter(cond)
         m = m.select("object_id", "attribute", "verb", "element_id", "element", "element_name")
-        is_hot = F.col("object_id").isin(hot)
-        m = m.filter(~is_hot).unionByName(_precut_hot(m.filter(is_hot), dictionary, keys, PRECUT_SALTS))
+        hot = F.broadcast(hot)       # bounded: at most rows / hot_rows ids
+        m = m.join(hot, "object_id", "left_anti").unionByName(
+            _precut_hot(m.join(hot, "object_id", "left_semi"), dictionary, keys, PRECUT_SALTS))
         ent = entries(m, members, dictionary, None, None)
     else:
         ent = entries(meta, members, dictionary, type_id, attributes)

@@ -321,3 +321,6 @@ FROM curve_rule r LEFT JOIN (
     "curve_docs_clean": _with(docs=(None, "clean")) + "SELECT curve_id, doc FROM docs",
 }
 ORACLE["numbered_keys"] = ORACLE["attr_map_rows"]
+# the skew paths and the bundle clustering change how, not what
+ORACLE["staged_names_skew"] = ORACLE["staged_names"]
+ORACLE["curve_docs_bundled"] = ORACLE["curve_docs"]

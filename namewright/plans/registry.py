@@ -29,6 +29,8 @@ ONE_SET = 1            # the load set used by single-set queries
 CUT_CHARS = 1000       # below the longest fixture attribute text (1,593)
 NEEDLE = '"Geography.in":'
 BUNDLES = 16
+SKEW_NAME_ROWS = 2     # names held by more rows take the broadcast owner join
+SKEW_CURVE_ROWS = 5    # curves with more rows take the salted pre-cut
 
 
 def _views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -187,6 +189,14 @@ def q_staged_names(spark, sf):
     return jobs.stage_names(v["object_meta"], v["load_set_curve"], v["curve_dict"], v["curve_rule"])
 
 
+def q_staged_names_skew(spark, sf):
+    """JOB1 through the skew paths: thresholds so low that most curves take
+    the salted pre-cut and every shared name the broadcast owner join."""
+    v = _views(spark, sf)
+    return jobs.stage(v["object_meta"], v["load_set_curve"], v["curve_dict"], v["curve_rule"],
+                      hot_rows=SKEW_NAME_ROWS, hot_curve_rows=SKEW_CURVE_ROWS).staged
+
+
 def q_load_set_report(spark, sf):
     return jobs.load_set_report(_checked(_views(spark, sf)))
 
@@ -248,6 +258,13 @@ def q_curve_docs_clean(spark, sf):
     return jobs.build_docs(v["object_meta"], v["load_set_curve"], v["curve_name"], T.ALL, mode="clean")
 
 
+def q_curve_docs_bundled(spark, sf):
+    """JOB2 on the bundle clustering used by the export (one partition per bundle)."""
+    v = _views(spark, sf)
+    return jobs.build_docs(v["object_meta"], v["load_set_curve"], v["curve_name"], T.ALL,
+                           bundles=BUNDLES)
+
+
 def q_bundle_lines(spark, sf):
     v = _views(spark, sf)
     docs = jobs.build_docs(v["object_meta"], v["load_set_curve"], v["curve_name"], T.ALL)
@@ -282,6 +299,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dup_long": q_dup_long,
     "dup_short": q_dup_short,
     "staged_names": q_staged_names,
+    "staged_names_skew": q_staged_names_skew,
     "load_set_report": q_load_set_report,
     "status_after": q_status_after,
     "meta_sizes": q_meta_sizes,
@@ -292,5 +310,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "curve_docs": q_curve_docs,
     "curve_docs_one": q_curve_docs_one,
     "curve_docs_clean": q_curve_docs_clean,
+    "curve_docs_bundled": q_curve_docs_bundled,
     "bundle_lines": q_bundle_lines,
 }
