@@ -269,8 +269,9 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
             counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
             persisted.append(counts)
         hot = hot_objects(counts, hot_rows)
-        if not hot.take(1):          # the usual case: no hot object, usual plan
-            hot = None
+        # one job over the (persisted) counts, which the curve list reads anyway
+        if hot.agg(F.count(F.lit(1)).alias("n")).first()["n"] == 0:
+            hot = None               # the usual case: no hot object, usual plan
     if hot is not None:
         m = meta if type_id is None else meta.filter(F.col("object_type_id") == F.lit(type_id))
         if attributes is not None:
