@@ -4,13 +4,29 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for drivers started without ``--py-files``."""
+    context, package = spark.sparkContext, Path(__file__).parents[1]
+    if getattr(context, "_namewright_shipped", False):
+        return
+    target = Path(tempfile.mkdtemp(prefix="namewright-")) / "namewright.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._namewright_shipped = True
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namewright.llm import decontaminate, html_text, packing
+from namewright.llm import decontaminate, fingerprints, html_text, minhash, packing, sentences, token_counts, toxicity, url_rules
 from namewright.llm.common import read
 
 
@@ -23,6 +23,33 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"))
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(read(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, ["doc_id", toxicity.held_out().alias("held_out")])
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.MIN_SCORE).cast("int").alias("predicted"), "segments")
+
+
+def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.remove_repeats(read(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"), ["page_id"])
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
@@ -32,5 +59,16 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op9_packing, op10_html_text)
+    f.__name__: f
+    for f in (
+        op1_decontaminate,
+        op3_near_duplicates,
+        op4_token_counts,
+        op5_fingerprints,
+        op6_toxicity,
+        op7_sentence_spans,
+        op8_url_rules,
+        op9_packing,
+        op10_html_text,
+    )
 }
