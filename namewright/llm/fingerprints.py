@@ -27,40 +27,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from namewright.llm.common import by_batch
-from namewright.llm.hashing import run_hashes
+from namewright.llm.hashing import window_minima
 
 K, WINDOW = 12, 24
 RANGE_BYTES = 16 << 20
-_PART = 1 << 22
 
 
 def winnow(data: bytes, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, positions) of the chosen grams, by position."""
     if not data:
         return np.empty(0, np.uint32), np.empty(0, np.int64)
-    raw = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
-    grams = max(1, len(raw) - k + 1)
     hashes, places = [], []
-    step = _PART - window + 1  # parts overlap, so that every window lies in one of them
-    for at in range(0, max(1, grams - window + 1), step):
-        stop = min(grams, at + _PART)
-        first = np.arange(stop - at)
-        part = raw[at : min(len(raw), stop + k - 1)]
-        h = run_hashes(part, first, np.minimum(first + k, len(part)), 3) >> np.uint64(32)
-        # The smallest key of a window has the smallest hash and, among those, the rightmost position.
-        key = (h << np.uint64(24)) | (np.uint64((1 << 24) - 1) - first.astype(np.uint64))
-        size, best = 1, key
-        width = min(window, len(key))
-        while 2 * size <= width:
-            best = np.minimum(best[:-size], best[size:])
-            size *= 2
-        if size < width:
-            best = np.minimum(best[: len(key) - width + 1], best[width - size :])
+    for at, best, h in window_minima(np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1), k, window):
         chosen = best[np.concatenate([[True], best[1:] != best[:-1]])]
-        hashes.append((chosen >> np.uint64(24)).astype(np.uint32))
-        places.append(at + (1 << 24) - 1 - (chosen & np.uint64((1 << 24) - 1)).astype(np.int64))
+        hashes.append((h[chosen] >> np.uint64(32)).astype(np.uint32))
+        places.append(at + chosen)
     h, p = np.concatenate(hashes), np.concatenate(places)
-    new = np.concatenate([[True], p[1:] > p[:-1]])
+    new = np.concatenate([[True], p[1:] != p[:-1]])  # windows on both sides of a part's end may choose the same gram
     return h[new], p[new]
 
 

@@ -81,3 +81,28 @@ class Words:
 
 WHITE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+
+
+_PART = 1 << 22
+
+
+def window_minima(values: np.ndarray, gram: int, window: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For every ``window`` consecutive grams (runs of ``gram`` values; fewer if the text is short) the rightmost one with the smallest hash.
+
+    Yields parts (at, best, h): best[i] is the gram chosen for window at + i, relative to ``at``, and h the hashes of the part's grams.
+    Hashes are compared by their upper 40 bits."""
+    grams = max(1, len(values) - gram + 1)
+    places = np.uint64((1 << 24) - 1)
+    for at in range(0, max(1, grams - window + 1), _PART):
+        stop = min(grams, at + _PART + window - 1)
+        first = np.arange(stop - at)
+        part = values[at : min(len(values), stop + gram - 1)]
+        h = run_hashes(part, first, np.minimum(first + gram, len(part)), 3)
+        key = (h & ~places) | (places - first.astype(np.uint64))
+        width, size, best = min(window, len(key)), 1, key
+        while 2 * size <= width:
+            best = np.minimum(best[:-size], best[size:])
+            size *= 2
+        if size < width:
+            best = np.minimum(best[: len(key) - width + 1], best[width - size :])
+        yield at, (places - (best & places)).astype(np.int64), h

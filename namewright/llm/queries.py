@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namewright.llm import decontaminate, fingerprints, html_text, minhash, packing, sentences, token_counts, toxicity, url_rules
+from namewright.llm import decontaminate, fingerprints, html_text, minhash, packing, sentences, substrings, token_counts, toxicity, url_rules
 from namewright.llm.common import read
 
 
@@ -23,6 +23,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(substrings.remove_repeats(read(spark, sf_dir, "documents"), ["doc_id"]))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontaminate,
+        op2_substrings,
         op3_near_duplicates,
         op4_token_counts,
         op5_fingerprints,
