@@ -1,0 +1,282 @@
+"""Operators that plain code can repeat exactly: decontamination, substrings, near duplicates, packing, token counts, fingerprints."""
+
+import hashlib
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from namewright.llm import decontaminate, fingerprints, minhash, packing, queries, substrings, token_counts
+from namewright.llm.oracle import ORACLE
+from tests.llm import plain
+from tests.llm.conftest import OTHER, PASSAGE, ordered, rows
+
+ITEMS = "item_id long, text string, n_hit long, row string"
+
+
+# -- decontamination -------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    some = [(1, PASSAGE), (1, PASSAGE), (2, OTHER[:120]), (3, "ONE two"), (4, None), (5, ""), (6, "!!"), (None, "w7 w8 w9 w10 w11 w12 w13 w14 w15 w16 w17"), (7, "w5 w6 w7"), (8, "caf\u00e9")]
+    return spark.createDataFrame([(a, b, 0, "x") for a, b in some], ITEMS)
+
+
+def digest(found):
+    return ordered((r.doc_id, r.n_words, r.n_hit, len(r.item_ids), hashlib.sha256(",".join(r.item_ids).encode()).hexdigest(), r.n_hit > 0) for r in found.collect())
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 1])
+def test_decontamination_equals_plain_windows(awkward, plain_docs, items, block_bytes):
+    found = decontaminate.find_items(awkward, items, ["doc_id"], block_bytes=block_bytes)
+    assert digest(found) == ordered(plain.decontaminated(plain_docs, [(r.item_id, r.text) for r in items.collect()]))
+
+
+def test_decontamination_of_nothing(awkward, no_docs, items, spark):
+    assert decontaminate.find_items(no_docs, items, ["doc_id"]).count() == 0
+    nothing = spark.createDataFrame([], ITEMS)
+    assert decontaminate.decontaminate(awkward, nothing).count() == awkward.count()
+    clean = decontaminate.decontaminate(awkward, items)
+    assert clean.columns == awkward.columns
+    assert {1, 2, 3, 4, 5, 6, 7, 11, 12, 15} & {r.doc_id for r in clean.collect()} == set()
+
+
+@given(st.lists(st.sampled_from("abc"), max_size=40), st.lists(st.lists(st.sampled_from("abc"), min_size=1, max_size=6), max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_wu_manber_finds_every_occurrence(text, patterns):
+    seq = [w.encode() for w in text]
+    matcher = decontaminate.ItemMatcher([(str(k), " ".join(p).encode()) for k, p in enumerate(patterns)], 4)
+    got = {(a, b, x) for a, b, owners in matcher.search(seq) for x in owners}
+    want = set()
+    for k, p in enumerate(patterns):
+        n = min(4, len(p))
+        for i in range(len(p) - n + 1):
+            want |= {(a, a + n, str(k)) for a in range(len(text) - n + 1) if text[a : a + n] == p[i : i + n]}
+    assert got == want
+
+
+# -- substrings ------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("options", [{}, {"most": 1}, {"size": 20, "gram": 6, "most": 1, "block_bytes": 1}])
+def test_substrings_equal_plain_counts(awkward, plain_docs, options):
+    short = awkward.where("doc_id is null or doc_id <> 16")
+    got = rows(substrings.digest(substrings.remove_repeats(short, ["doc_id"], **options)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == ordered(plain.repeated_bytes([d for d in plain_docs if d[0] != 16], options.get("size", 200)))
+
+
+def test_substrings_of_nothing(no_docs):
+    assert substrings.remove_repeats(no_docs, ["doc_id"]).count() == 0
+
+
+@given(st.lists(st.text("ab", min_size=3, max_size=30), min_size=1, max_size=6, unique=True), st.integers(3, 6), st.data())
+@settings(max_examples=200, deadline=None)
+def test_interval_expansion_equals_counting(texts, size, data):
+    contents = [t.encode() for t in texts if len(t) >= size]
+    if not contents:
+        return
+    counts = data.draw(st.lists(st.integers(1, 2), min_size=len(contents), max_size=len(contents)))
+    every = {}
+    for c, n in zip(contents, counts, strict=True):
+        for i in range(len(c) - size + 1):
+            every[c[i : i + size]] = every.get(c[i : i + size], 0) + n
+    for c, mask in zip(contents, substrings.repeated_windows(contents, counts, size), strict=True):
+        assert mask.tolist() == [every[c[i : i + size]] > 1 for i in range(len(c) - size + 1)]
+
+
+# -- near duplicates -------------------------------------------------------------------------
+
+
+def test_near_duplicates_equal_all_pairs(awkward, plain_docs):
+    got = rows(minhash.near_duplicates(awkward), "doc_id", "n_shingles", "component_id", "kept")
+    assert got == ordered(plain.near_duplicates(plain_docs))
+
+
+def test_chains_are_linked_through_later_rounds(spark):
+    """Neighbours in the chain are similar, its ends are not; more bands than usual make the tiny sets collide."""
+    words = [f"c{i}" for i in range(260)]
+    chain = [(100 - k, " ".join(words[12 * k : 12 * k + 120])) for k in range(11)]
+    docs = spark.createDataFrame(chain, "doc_id long, text string")
+    got = rows(minhash.near_duplicates(docs), "doc_id", "n_shingles", "component_id", "kept")
+    assert got == ordered(plain.near_duplicates(chain))
+    assert len({r[2] for r in got}) == 1
+
+
+def test_near_duplicates_of_nothing(no_docs):
+    assert minhash.near_duplicates(no_docs).count() == 0
+
+
+def test_circulant_signatures_estimate_similarity():
+    rng = np.random.default_rng(5)
+    for shared in (300, 600, 900):
+        pool = rng.integers(0, 2**63, 2000 - shared).astype(np.uint64)
+        a, b = pool[:1000], pool[1000 - shared :]
+        same = np.mean(minhash.signature(a, 512) == minhash.signature(b, 512))
+        assert abs(same - shared / (2000 - shared)) < 0.1
+
+
+# -- packing ---------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(packing.tokenizer_path())
+
+
+def test_pieces_are_those_of_the_whole_text(awkward, plain_docs, tokenizer):
+    want = []
+    for i, t in plain_docs:
+        ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes()
+        want += [(i, k, 4096 * k, len(ids[a : a + 16384]) // 4, zlib.crc32(ids[a : a + 16384])) for k, a in enumerate(range(0, len(ids), 16384))]
+    packed = packing.pack_documents(awkward)
+    assert rows(packed, "doc_id", "piece", "start", "length", "ids_crc32") == ordered(want)
+    ends = {}
+    for s, o, n in sorted((r.sequence_id, r.offset, r.length) for r in packed.collect()):
+        assert ends.get(s, 0) == o
+        ends[s] = o + n
+    assert max(ends.values()) <= 4096
+
+
+def test_every_unusual_chunk_is_encoded_alike(tokenizer):
+    random.seed(7)
+    letters = "aAbZz09'.,!?-_#\u00c9\u00e9\u00df\u0130\u0131\u017f\u0149\u00d7\u00f7\u1e9e\u03a3\u03c2\u6f22\u0301\u00a0\u200b\U0001f600<|>stremvld"
+    own = packing.ChunkEncoder(packing.tokenizer_path())
+    for _ in range(3000):
+        text = "".join(random.choice(letters + "  \n") for _ in range(random.randint(1, 12)))
+        assert np.frombuffer(own.encode(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_every_capacity_holds(rule):
+    rng = np.random.default_rng(3)
+    lengths = np.sort(rng.integers(1, 100, 500))[::-1].copy()
+    bins, offsets = packing.best_fit(lengths, 100, 4, 6000.0, (1.0, 0.5, 0.5), rule)
+    for b in np.unique(bins):
+        own = lengths[bins == b]
+        assert own.sum() <= 100 and len(own) <= 4 and ((own.astype(float) ** 2).sum() <= 6000 or len(own) == 1)
+        assert sorted(offsets[bins == b]) == np.concatenate([[0], np.cumsum(own[np.argsort(offsets[bins == b])])[:-1]]).tolist()
+
+
+def test_best_fit_fills_sequences():
+    rng = np.random.default_rng(4)
+    lengths = np.sort(rng.integers(1, 1000, 3000))[::-1].copy()
+    bins, _ = packing.best_fit(lengths, 4096, 4096, 4096.0**2, (1.0, 0.0, 0.0), "norm")
+    assert len(np.unique(bins)) <= -(-lengths.sum() // 4096) + 1
+
+
+def test_packing_nothing(no_docs):
+    assert packing.pack_documents(no_docs).count() == 0
+
+
+# -- token counts ----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("rule", ["first", "last", "most"])
+def test_token_counts_by_offsets(awkward, plain_docs, rule):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    whole.encode_special_tokens = True
+    want = []
+    for i, t in plain_docs:
+        t = t or ""
+        starts = [0] + [k + 1 for k, c in enumerate(t) if c == "\n" and k + 1 < len(t)]
+        ends = [*starts[1:], len(t)]
+        counts = [0] * len(starts)
+        for a, b in whole.encode(t, add_special_tokens=False).offsets:
+            held = [max(0, min(b, e) - max(a, s)) for s, e in zip(starts, ends, strict=True)]
+            inside = [k for k, n in enumerate(held) if n]
+            counts[{"first": inside[0], "last": inside[-1], "most": held.index(max(held))}[rule]] += 1
+        want += [(i, k, s, e - s, n) for k, (s, e, n) in enumerate(zip(starts, ends, counts, strict=True))]
+    assert rows(token_counts.count_tokens(awkward, rule=rule), "doc_id", "section", "start", "n_chars", "n_tokens") == ordered(want)
+
+
+def test_token_counts_of_nothing(no_docs):
+    assert token_counts.count_tokens(no_docs).count() == 0
+
+
+def test_long_texts_are_encoded_in_parts(monkeypatch):
+    text = " ".join(f"word{i} and,\n so on" for i in range(300))
+    whole = token_counts.token_spans(text)
+    monkeypatch.setattr(token_counts, "PART", 100)
+    parts = token_counts.token_spans(text)
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+
+
+# -- fingerprints ----------------------------------------------------------------------------
+
+
+@given(st.text("ab ", max_size=120), st.integers(1, 6), st.integers(1, 9))
+@settings(max_examples=200, deadline=None)
+def test_winnowing_takes_the_rightmost_minimum_of_every_window(text, k, window):
+    data = text.encode()
+    got = fingerprints.winnow(data, k, window)
+    if not data:
+        assert not len(got[0])
+        return
+    every = fingerprints.winnow(data, k, 1)
+    assert every[1].tolist() == list(range(max(1, len(data) - k + 1)))
+    h = every[0].tolist()
+    width = min(window, len(h))
+    chosen = {max(range(i, i + width), key=lambda j: (-h[j], j)) for i in range(len(h) - width + 1)}
+    assert got[1].tolist() == sorted(chosen)
+    assert got[0].tolist() == [h[j] for j in sorted(chosen)]
+
+
+def test_long_shared_passages_share_a_fingerprint():
+    random.seed(1)
+    for _ in range(50):
+        shared = "".join(random.choices("abcdefgh ", k=fingerprints.K + fingerprints.WINDOW - 1))
+        a, b = ("".join(random.choices("ijklmnop ", k=random.randint(0, 90))) + shared + "".join(random.choices("qrstuvw ", k=random.randint(0, 90))) for _ in range(2))
+        assert set(fingerprints.winnow(a.encode())[0]) & set(fingerprints.winnow(b.encode())[0])
+
+
+@pytest.mark.parametrize("range_bytes", [1 << 24, 20_000])
+def test_next_documents_and_edits(awkward, plain_docs, range_bytes):
+    got = fingerprints.compare_with_next(awkward.where("doc_id is not null"), range_bytes=range_bytes)
+    docs = sorted([d for d in plain_docs if d[0] is not None], key=lambda d: -d[0])
+    want = []
+    for (i, t), (_, n) in zip(docs, docs[1:] + docs[:1], strict=True):
+        t, n = t or "", n or ""
+        cut = len(t) // 3
+        want.append((i, len(t), hashlib.sha256((t[: len(t) - cut] + n[:cut]).encode()).hexdigest()))
+    assert rows(got, "doc_id", "n_chars", "edited_sha256") == ordered(want)
+    by = {}
+    for r in got.collect():
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        by.setdefault(r.doc_id, r)
+    assert by[3].fingerprint == by[4].fingerprint != by[5].fingerprint
+    assert by[5].near_edited > 0.3 and by[5].near_next < 0.1 and by[6].near_next > 0.7
+    assert by[9].near_next == 1.0 and by[8].fingerprint == ""
+
+
+def test_rows_without_id_come_last(awkward):
+    assert fingerprints.compare_with_next(awkward).count() == awkward.count()
+
+
+def test_fingerprints_of_one_and_none(no_docs, awkward):
+    assert fingerprints.compare_with_next(no_docs).count() == 0
+    assert rows(fingerprints.compare_with_next(awkward.where("doc_id = 3")), "near_next") == [(1.0,)]
+    assert fingerprints.fingerprints(awkward).count() == awkward.count()
+
+
+# -- the registered queries against SQL ------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_queries_equal_sql(spark, sf, name):
+    db = duckdb.connect()
+    for table in ("documents", "benchmark", "pages", "labels"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
+    found = queries.QUERIES[name](spark, sf)
+    cols = sorted(found.columns)
+    want = db.sql(f"SELECT {', '.join(cols)} FROM ({ORACLE[name]})").fetchall()
+    assert rows(found, *cols) == ordered(want)
