@@ -9,7 +9,8 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ship(spark: SparkSession) -> None:
@@ -51,6 +52,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns in one struct named ``row``, out of the way of an operator's own names."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias("row")
+
+
 def by_batch(
     rows: Callable[[pa.RecordBatch], Iterable[dict[str, pa.Array | list]]], types: list[tuple[str, pa.DataType]]
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

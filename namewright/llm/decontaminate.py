@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from namewright.llm.common import by_batch
+from namewright.llm.common import by_batch, whole_row
 
 WIDTH = 10
 BLOCK_BYTES = 16 << 20
@@ -179,5 +179,5 @@ def find_items(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` (all columns) in which no benchmark window occurs."""
     cols = docs.columns
-    found = find_items(docs, benchmark, [F.struct(*cols).alias("row")], **options)
+    found = find_items(docs, benchmark, [whole_row(docs)], **options)
     return found.where("n_hit = 0").select(*[F.col("row").getField(c).alias(c) for c in cols])

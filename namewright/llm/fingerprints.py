@@ -92,7 +92,8 @@ def with_next(docs: DataFrame, doc_id: str, text: str, range_bytes: int) -> Data
     heads = dealt.groupBy("part").agg(F.max(F.struct("place", (-F.col("h").cast("decimal(20,0)")).alias("minus"))).alias("head")).orderBy("part").select("part", "head.place", "head.minus").collect()
     to = [(int(x.place), int(-x.minus), int(heads[i - 1].part)) for i, x in enumerate(heads)]
     guests = spark.createDataFrame(to, "place long, h long, to int")
-    sent = keyed.join(guests, ["place", "h"]).select("doc_id", "text", "place", "h", F.col("to").alias("part"), F.lit(1).alias("guest"))
+    # One row per range, hence the broadcast.
+    sent = keyed.join(F.broadcast(guests), ["place", "h"]).select("doc_id", "text", "place", "h", F.col("to").alias("part"), F.lit(1).alias("guest"))
     every = dealt.select("doc_id", "text", "place", "h", "part", F.lit(0).alias("guest")).unionByName(sent)
     tasks = max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return every.repartition(tasks, "part").sortWithinPartitions("part", "guest", F.desc("place"), "h").select("part", "guest", "doc_id", "text")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from namewright.llm.common import by_batch, written
+from namewright.llm.common import by_batch, whole_row, written
 from namewright.llm.hashing import WHITE, Words, chunks, run_hashes
 
 RUN, MIN_WORDS, LEAST, LONGEST, CUT = 3, 20, 4, 16, 6
@@ -154,7 +154,7 @@ def remove_repeats(docs: DataFrame, keep: list[str | Column], doc_id: str = "doc
         yield {f: batch.column(k) for k, (f, _) in enumerate(arrow)} | {"kept_text": [None if x[0] is None else x[0].decode("utf-8", "replace") for x in out], "n_sentences": [x[1] for x in out], "n_removed": [x[2] for x in out]}
 
     whole = docs.select(F.struct(*keep).alias("row"), bytes_.alias("t"), _order(doc_id), F.xxhash64(bytes_).alias("body"))
-    met = whole.join(removed, ["doc", "body"], "left").select(*[F.col("row").getField(f.name).alias(f.name) for f in kept], "t", "covered")
+    met = whole.join(removed, ["doc", "body"], "left").select(*[F.col("row").getField(f.name).alias(f.name) for f in kept], F.col("t").alias("__text"), F.col("covered").alias("__covered"))
     schema = StructType(kept.fields + StructType.fromDDL("kept_text string, n_sentences long, n_removed long").fields)
     return met.mapInArrow(by_batch(rows, [*arrow, ("kept_text", pa.string()), ("n_sentences", pa.int64()), ("n_removed", pa.int64())]), schema)
 
@@ -162,7 +162,7 @@ def remove_repeats(docs: DataFrame, keep: list[str | Column], doc_id: str = "doc
 def dedup(docs: DataFrame, text: str = "text", length: str | None = "n_chars", **options) -> DataFrame:
     """``docs`` with repeated sentences taken out of ``text`` (and ``length`` counted anew). Rows of which nothing but white space is left are dropped; rows that had no text before stay."""
     cols = docs.columns
-    found = remove_repeats(docs, [F.struct(*cols).alias("row")], text=text, **options).where("n_removed = 0 or n_removed < n_sentences")
+    found = remove_repeats(docs, [whole_row(docs)], text=text, **options).where("n_removed = 0 or n_removed < n_sentences")
     value = {text: F.col("kept_text")}
     if length in cols:
         value[length] = F.when(F.col("n_removed") == 0, F.col("row").getField(length)).otherwise(F.length("kept_text")).cast(docs.schema[length].dataType)

@@ -304,7 +304,7 @@ def remove_repeats(docs: DataFrame, keep: list[str | Column], text: str = "text"
     types = [*arrow, ("kept", pa.binary()), ("n_bytes", pa.int64()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))]
     schema = StructType(kept.fields + StructType.fromDDL("kept binary, n_bytes long, removed array<struct<start:long,stop:long>>").fields)
     whole = docs.select(F.struct(*keep).alias("row"), *_keys(text))
-    met = whole.join(found, ["t1", "t2"], "left").select(*[F.col("row").getField(f.name).alias(f.name) for f in kept], "body", "found")
+    met = whole.join(found, ["t1", "t2"], "left").select(*[F.col("row").getField(f.name).alias(f.name) for f in kept], F.col("body").alias("__body"), F.col("found").alias("__found"))
     return met.mapInArrow(by_batch(rows, types), schema)
 
 

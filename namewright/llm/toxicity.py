@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from namewright.llm.common import by_batch, written
+from namewright.llm.common import by_batch, whole_row, written
 
 SAMPLE, MAX_TERMS = 200_000, 200_000
 PRIOR, LEAST_Z, DRIFT, MIN_SCORE = 10.0, 4.5, 0.5, 0.3
@@ -241,5 +241,5 @@ def score(docs: DataFrame, model: Model, keep: list[str | Column], text: str = "
 def reject(docs: DataFrame, labels: DataFrame, least: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` that score under ``least``."""
     cols = docs.columns
-    scored = score(docs.select(F.struct(*cols).alias("row"), "text"), fit(docs, labels), ["row"])
+    scored = score(docs.select(whole_row(docs), "text"), fit(docs, labels), ["row"])
     return scored.where(F.col("score") < least).select(*[F.col("row").getField(c).alias(c) for c in cols])
