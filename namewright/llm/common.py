@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+SLICE_BYTES = 4 << 20
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, for drivers started without ``--py-files``."""
     context, package = spark.sparkContext, Path(__file__).parents[1]
@@ -60,13 +63,16 @@ def whole_row(df: DataFrame) -> Column:
 def by_batch(
     rows: Callable[[pa.RecordBatch], Iterable[dict[str, pa.Array | list]]], types: list[tuple[str, pa.DataType]]
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A ``mapInArrow`` function from one that turns a batch into dicts of output columns."""
+    """A ``mapInArrow`` function from one that turns a batch into dicts of output columns.
+
+    Batches are handed on in slices of about SLICE_BYTES (one row at least), which bounds what a worker holds."""
     schema = pa.schema(types)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                for out in rows(batch):
+            step = max(1, int(batch.num_rows * SLICE_BYTES / max(1, batch.nbytes)))
+            for at in range(0, batch.num_rows, step):
+                for out in rows(batch.slice(at, step)):
                     yield pa.RecordBatch.from_arrays(
                         [out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type) for f in schema], schema=schema
                     )
