@@ -12,8 +12,10 @@ Scale: texts stay where they are read; what is shuffled first is one row per ban
 copies are joined by a partially aggregated text hash). No bucket is collected and no group
 is expanded into its pairs: in round one every member of a bucket meets only the bucket's smallest and
 largest id, the same few leaders in all buckets of a group, and links are turned into components.
-In round two only members of one bucket that are still in different components meet, so that no link
-is lost; identical work is not repeated. Only texts that share a bucket are shuffled, once.
+In round two members of one bucket that are still in different components are compared inside their task, in
+blocks of at most ``BLOCK`` members, by parity sketches: the bits in which two sketches differ never outnumber the shingles in
+which the sets differ, so a pair beyond the threshold's bound is no link for certain, and only the few others
+become rows and are confirmed. No link is lost. Only texts that share a bucket are shuffled.
 Components come from repeated minimum labels with pointer jumping over written tables.
 
 Defined cases: null, empty or word-free text has an empty set (size 0), is linked with nothing and is its
@@ -40,7 +42,9 @@ from namewright.llm.hashing import LOWER, WHITE, Words, chunks, mix, run_hashes
 WIDTH, THRESHOLD = 5, Fraction(3, 4)
 BANDS, ROWS = 34, 4
 SLOTS = 1 << 22
-_BLOCK = 2048
+_ROWS = 2048
+#: Members of a bucket that one task compares with as many others.
+BLOCK = 512
 
 
 @lru_cache(1)
@@ -68,9 +72,9 @@ def shingle_sets(texts: list[bytes | None], width: int = WIDTH) -> Iterator[np.n
 def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
     rows = _pi(coordinates)
     slots = (mix(shingles) >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
-    out = rows[slots[:_BLOCK]].min(axis=0)
-    for at in range(_BLOCK, len(slots), _BLOCK):
-        np.minimum(out, rows[slots[at : at + _BLOCK]].min(axis=0), out=out)
+    out = rows[slots[:_ROWS]].min(axis=0)
+    for at in range(_ROWS, len(slots), _ROWS):
+        np.minimum(out, rows[slots[at : at + _ROWS]].min(axis=0), out=out)
     return out
 
 
@@ -132,6 +136,91 @@ def linked(pairs: DataFrame, texts: DataFrame, width: int, threshold: Fraction)
     return met.select("a", "ta", "b", "tb").mapInArrow(by_batch(confirm, [("a", pa.int64()), ("b", pa.int64())]), "a long, b long")
 
 
+def parity_sketch(shingles: np.ndarray) -> bytes:
+    """A bit for each of 8 to 16 times as many cells as there are shingles (a power of two): whether an odd number falls into it."""
+    cells = 1 << (8 * max(8, len(shingles)) - 1).bit_length()
+    odd = np.bincount((shingles & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def sketches(texts: DataFrame, width: int) -> DataFrame:
+    def of(batch: pa.RecordBatch) -> Iterator[dict]:
+        yield {"node": batch.column(0), "sketch": [parity_sketch(s) for s in shingle_sets(batch.column(1).to_pylist(), width)]}
+
+    return texts.select("node", "t").mapInArrow(by_batch(of, [("node", pa.int64()), ("sketch", pa.binary())]), "node long, sketch binary")
+
+
+class _Members:
+    """Members of a bucket with sketches of one length."""
+
+    def __init__(self, rows: list[tuple]):
+        self.node, self.n, self.label = (np.array([r[k] for r in rows], np.int64) for k in range(3))
+        self.bits = np.stack([np.frombuffer(r[3], np.uint64) for r in rows])
+
+    def folded(self, words: int) -> np.ndarray:
+        """The sketches over fewer cells."""
+        return np.bitwise_xor.reduce(self.bits.reshape(len(self.bits), -1, words), axis=1)
+
+
+def _close(a: _Members, b: _Members, up: int, down: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of the pairs (one of a, one of b) with different labels that may be similar enough."""
+    words = min(a.bits.shape[1], b.bits.shape[1])
+    one, other = a.folded(words), b.folded(words)
+    x, y = [], []
+    for i in range(len(one)):
+        total = a.n[i] + b.n
+        j = np.flatnonzero((b.label != a.label[i]) & (down * a.n[i] >= up * b.n) & (down * b.n >= up * a.n[i]))
+        if len(j):
+            # similarity >= up / down means: (down + up) * difference <= (down - up) * total
+            apart = np.bitwise_count(other[j] ^ one[i]).sum(axis=1, dtype=np.int64)
+            j = j[(down + up) * apart <= (down - up) * total[j]]
+            x.append(np.full(len(j), a.node[i]))
+            y.append(b.node[j])
+    return (np.concatenate(x), np.concatenate(y)) if x else (np.empty(0, np.int64), np.empty(0, np.int64))
+
+
+def close_pairs(members: DataFrame, sketched: DataFrame, threshold: Fraction) -> DataFrame:
+    """(a, b), a > b: members of one bucket (key, node, n, label, size) with different labels whose sketches leave a link possible."""
+    up, down = threshold.numerator, threshold.denominator
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.join(sketched, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "label", "sketch")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, group = None, []
+
+        def pairs() -> tuple[np.ndarray, np.ndarray]:
+            sides = []
+            for own in (at[1], at[2]):
+                by_length: dict[int, list] = {}
+                for r in group:
+                    if r[0] == own:
+                        by_length.setdefault(len(r[4]), []).append(r[1:])
+                sides.append([_Members(rows) for rows in by_length.values()])
+            found = [_close(a, b, up, down) for a in sides[0] for b in sides[1]]
+            x, y = (np.concatenate([f[k] for f in found] or [np.empty(0, np.int64)]) for k in (0, 1))
+            return np.unique(np.stack([np.maximum(x, y), np.minimum(x, y)]), axis=1)
+
+        def out() -> pa.RecordBatch:
+            x, y = pairs()
+            return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
+
+        for batch in batches:
+            key, i, j, *rest = (c.to_pylist() for c in batch.columns)
+            for where, row in zip(zip(key, i, j, strict=True), zip(*rest, strict=True), strict=True):
+                if where != at:
+                    if group:
+                        yield out()
+                    at, group = where, []
+                group.append(row)
+        if group:
+            yield out()
+
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label (the smallest node reachable) of every node that has an edge."""
     both = written(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
@@ -162,20 +251,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = written(linked(first, texts, width, threshold), "links")
     labels = components(links)
 
-    # Round two: members of one bucket that are in different components and have not met.
+    # Round two: members of one bucket that are in different components.
     now = buckets.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
-    mixed = now.groupBy("key").agg(F.min("label").alias("one"), F.max("label").alias("two")).where("one < two").select("key")
-    open_ = written(now.join(mixed, "key", "left_semi").distinct(), "open")
-    parts = open_.groupBy("key", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    up, down = threshold.numerator, threshold.denominator
-    other = parts.select("key", F.col("label").alias("label2"), F.col("least").alias("least2"), F.col("most").alias("most2"))
-    meet = parts.join(other, "key").where(f"label < label2 and {down} * most >= {up} * least2 and {down} * most2 >= {up} * least").select("key", "label", "label2")
-    pairs = meet.join(open_.select("key", "label", F.col("node").alias("x"), F.col("n").alias("nx")), ["key", "label"])
-    pairs = pairs.join(open_.select("key", F.col("label").alias("label2"), F.col("node").alias("y"), F.col("n").alias("ny")), ["key", "label2"])
-    pairs = pairs.where(f"{down} * nx >= {up} * ny and {down} * ny >= {up} * nx")
-    rest = pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    mixed = now.groupBy("key").agg(F.min("label").alias("one"), F.max("label").alias("two"), F.count("*").alias("size")).where("one < two").select("key", "size")
+    rest = written(close_pairs(now.join(mixed, "key"), sketches(texts, width), threshold).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
     more = written(linked(rest, texts, width, threshold), "links")
-    labels = components(links.unionByName(more))
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
 
     named_rows = found.join(nodes, "body", "left").join(labels, "node", "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("label", "node")).otherwise(F.col("doc_id"))
