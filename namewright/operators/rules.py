@@ -18,8 +18,10 @@ Failures are per row, never per job:
 * a rule that does not parse or analyse, returns a non-string, or is refused
   by the allow-list becomes a literal failure message for every curve of its
   load set (checked on the driver against the schema, without a job);
-* only functions that cannot raise at run time are allowed (ANSI mode is on
-  in Spark 4, where a bad cast or division would fail the whole job).
+* only functions that cannot raise at run time are allowed, arguments that
+  could make them raise (patterns, lengths, part numbers) must be literals, and
+  rules into which Spark inserts a cast that can raise are refused after
+  analysis (ANSI mode is on in Spark 4, where a bad cast fails the whole job).
 
 The rules table is a control table (one row per load set); it is the only
 data brought to the driver.
@@ -28,8 +30,10 @@ data brought to the driver.
 from __future__ import annotations
 
 import re
+import warnings
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,15 +58,16 @@ concat concat_ws coalesce nvl nvl2 ifnull nullif if
 upper lower ucase lcase initcap trim ltrim rtrim btrim
 substring substr left right lpad rpad replace translate reverse
 length char_length character_length instr locate position
-startswith endswith contains
+startswith endswith contains split_part regexp_replace regexp_extract
 substring_index isnull isnotnull
-try_element_at map_contains_key map_keys map_values size array_join sort_array
+try_add try_subtract try_multiply try_divide try_cast try_to_number
 greatest least
 """.split())
 ALLOWED_WORDS = frozenset("""
 curve var case when then else end and or not is null in like ilike between
-true false distinct from
+true false distinct from as int bigint double string date
 """.split())
+MAX_PAD = 10_000            # longest lpad / rpad result
 MAP_COLUMNS = frozenset(("curve", "var"))
 STRUCT_FIELDS = frozenset(("fullname", "shortname", "abbr"))
 ALLOWED_SYMBOLS = frozenset(["(", ")", "[", "]", ",", ".", "=", "==", "<>", "!=", "<", ">", "<=",
@@ -99,6 +104,61 @@ def tokenize(text: str) -> list[Token]:
     return out
 
 
+def _arguments(toks: list[Token], at: int) -> list[list[Token]]:
+    """The arguments of the call whose opening parenthesis is ``toks[at]``."""
+    out, depth = [[]], 0
+    for t in toks[at:]:
+        if t.kind == "sym" and t.text in "([":
+            depth += 1
+            if depth == 1:
+                continue
+        elif t.kind == "sym" and t.text in ")]":
+            depth -= 1
+            if depth == 0:
+                return out
+        elif depth == 1 and t.text == ",":
+            out.append([])
+            continue
+        out[-1].append(t)
+    raise RuleRefused("unbalanced parentheses")
+
+
+def _plain_literal(arg: list[Token]) -> str | None:
+    """The value of a string literal without escapes, else None."""
+    if len(arg) == 1 and arg[0].kind == "str":
+        body = arg[0].text[1:-1]
+        if "\\" not in body and arg[0].text[0] not in body:
+            return body
+    return None
+
+
+def _small_number(arg: list[Token], least: int, most: int) -> bool:
+    return len(arg) == 1 and arg[0].kind == "num" and arg[0].text.isdigit() and least <= int(arg[0].text) <= most
+
+
+def _check_call(name: str, args: list[list[Token]]) -> None:
+    """Arguments that could make an allowed function raise must be literals."""
+    if name in ("lpad", "rpad") and not (len(args) > 1 and _small_number(args[1], 0, MAX_PAD)):
+        raise RuleRefused(f"{name} needs a literal length of at most {MAX_PAD}")
+    if name == "split_part" and not (len(args) == 3 and _small_number(args[2], 1, 10_000)):
+        raise RuleRefused("split_part needs a literal part number from 1 on")
+    if name in ("regexp_replace", "regexp_extract"):
+        pattern = _plain_literal(args[1]) if len(args) > 1 else None
+        try:
+            with warnings.catch_warnings(action="ignore"):
+                groups = re.compile(pattern or "(").groups
+        except re.error:
+            raise RuleRefused(f"{name} needs a valid literal pattern without escapes") from None
+        if name == "regexp_extract" and len(args) == 3 and not _small_number(args[2], 0, groups):
+            raise RuleRefused("regexp_extract needs a literal group of its pattern")
+        if name == "regexp_extract" and len(args) == 2 and groups < 1:
+            raise RuleRefused("regexp_extract needs a group in its pattern")
+        if name == "regexp_replace" and (len(args) != 3 or "$" in (_plain_literal(args[2]) or "$")):
+            raise RuleRefused("regexp_replace needs a literal replacement without escapes or groups")
+    if name == "try_to_number" and not (len(args) == 2 and _plain_literal(args[1])):
+        raise RuleRefused("try_to_number needs a literal format")
+
+
 def check_rule(text: str) -> list[Token]:
     """RUL3: refuse anything outside the allow-list; return the tokens."""
     if text is None or not text.strip():
@@ -111,13 +171,17 @@ def check_rule(text: str) -> list[Token]:
         if t.kind == "ident":
             low = t.text.lower()
             if nxt is not None and nxt.text == "(":
-                if low not in ALLOWED_FUNCTIONS:
+                if low not in ALLOWED_FUNCTIONS and low not in ("in", "and", "or", "not", "when", "then", "else", "between", "case"):
                     raise RuleRefused(f"function {t.text} is not allowed")
+                if low in ALLOWED_FUNCTIONS:
+                    _check_call(low, _arguments(toks, i + 1))
             elif prev is not None and prev.text == ".":
                 if low not in STRUCT_FIELDS:
                     raise RuleRefused(f"field {t.text} is not allowed")
             elif low not in ALLOWED_WORDS:
                 raise RuleRefused(f"name {t.text} is not allowed")
+            if low in ("like", "ilike") and (nxt is None or _plain_literal([nxt]) is None):
+                raise RuleRefused(f"{t.text} needs a literal pattern without escapes")
             if low in MAP_COLUMNS and (nxt is None or nxt.text != "["):
                 raise RuleRefused(f"{t.text} must be indexed by a key")
         elif t.kind == "sym":
@@ -141,13 +205,6 @@ def check_rule(text: str) -> list[Token]:
     return toks
 
 
-def _unquote(s: str) -> str:
-    q = s[0]
-    body = s[1:-1]
-    body = body.replace(q + q, q)
-    return re.sub(r"\\(.)", r"\1", body)
-
-
 @dataclass
 class KeyUse:
     """Which map keys a set of rules can read."""
@@ -219,12 +276,11 @@ def referenced_keys(rule_texts) -> KeyUse:
                     use.needs_curve = True
                 else:
                     use.needs_var = True
-                literal = (i + 3 < len(toks) and toks[i + 1].text == "[" and toks[i + 2].kind == "str"
-                           and toks[i + 3].text == "]")
-                if not literal:
+                # a key with escapes counts as computed: only Spark's parser reads it for sure
+                key = _plain_literal([toks[i + 2]]) if i + 3 < len(toks) and toks[i + 3].text == "]" else None
+                if key is None:
                     use.restricted = False
                     continue
-                key = _unquote(toks[i + 2].text)
                 (use.curve_keys if which == "curve" else use.var_keys).add(key)
     return use
 
@@ -272,12 +328,45 @@ def collect_rules(rules: DataFrame, load_set_ids=None) -> list[RuleSet]:
 # ---------------------------------------------------------------------------
 # RUL1, RUL2, RUL4: evaluation
 # ---------------------------------------------------------------------------
+def _raising_cast(df: DataFrame) -> str | None:
+    """The first cast in the analysed plan of ``df`` that can raise in ANSI mode
+    (comparing or passing a text where Spark wants a number inserts one)."""
+    jvm = df.sparkSession.sparkContext._jvm
+    can_up_cast = jvm.org.apache.spark.sql.catalyst.expressions.Cast.canUpCast
+
+    def below(node):
+        children = node.children()
+        return [children.apply(k) for k in range(children.size())]
+
+    exprs = df._jdf.queryExecution().analyzed().expressions()
+    todo = [exprs.apply(k) for k in range(exprs.size())]
+    while todo:
+        e = todo.pop()
+        kids = below(e)
+        if e.getClass().getSimpleName() == "Cast" and e.evalMode().toString() == "ANSI":
+            if not can_up_cast(kids[0].dataType(), e.dataType()):
+                return f"{kids[0].dataType().simpleString()} to {e.dataType().simpleString()}"
+        todo += kids
+    return None
+
+
+def _check_patterns(attrs: DataFrame, toks: list[Token]) -> None:
+    """Refuse regular expressions that Java, which runs them, does not compile."""
+    pattern = attrs.sparkSession.sparkContext._jvm.java.util.regex.Pattern
+    for i, t in enumerate(toks):
+        if t.kind == "ident" and t.text.lower() in ("regexp_replace", "regexp_extract"):
+            try:
+                pattern.compile(_plain_literal(_arguments(toks, i + 1)[1]))
+            except (Py4JJavaError, PySparkException):
+                raise RuleRefused(f"{t.text} needs a valid literal pattern without escapes") from None
+
+
 def compile_rule(attrs: DataFrame, text: str) -> tuple[Column | None, str | None]:
     """Check and analyse one rule against the attribute schema, on the driver
     (no job; ``attrs`` may be an empty relation with the right schema).
     Returns (column, None) or (None, reason)."""
     try:
-        check_rule(text)
+        _check_patterns(attrs, check_rule(text))
     except RuleRefused as e:
         return None, f"rule refused: {e}"
     try:
@@ -287,6 +376,9 @@ def compile_rule(attrs: DataFrame, text: str) -> tuple[Column | None, str | None
         cond = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
         reason = (cond() if cond else None) or type(e).__name__
         return None, f"rule does not compile: {reason}"
+    cast = _raising_cast(attrs.select(col.alias("_r")))
+    if cast is not None:
+        return None, f"rule refused: it needs a cast that can fail ({cast})"
     if not isinstance(dtype, StringType):
         return None, f"rule returns {dtype.simpleString()}, not string"
     return col, None

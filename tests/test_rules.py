@@ -35,6 +35,87 @@ def test_refused(text):
         R.check_rule(text)
 
 
+@pytest.mark.parametrize("text", [
+    "curve['P.is'].fullname like curve['Q.is'].fullname",
+    "case when curve['P.is'].fullname like 'a\\\\' then 'x' end",
+    "lpad(curve['P.is'].fullname, 2000000000, 'x')",
+    "rpad(curve['P.is'].fullname, length(curve['P.is'].fullname), 'x')",
+    "split_part(curve['P.is'].fullname, '-', 0)",
+    "regexp_replace(curve['P.is'].fullname, '(', 'x')",
+    "regexp_replace(curve['P.is'].fullname, curve['P.is'].abbr, 'x')",
+    "regexp_extract(curve['P.is'].fullname, '(a)', 2)",
+    "try_to_number(curve['P.is'].fullname, curve['P.is'].abbr)",
+    "map_keys(curve)",
+    "size(var)",
+])
+def test_arguments_that_could_raise_are_refused(text):
+    with pytest.raises(R.RuleRefused):
+        R.check_rule(text)
+
+
+@pytest.fixture(scope="module")
+def probe(spark):
+    from namewright.operators.attrs import MAP_TYPE
+    rows = [(1, k, {"P.is": (v, v, v)}, {"Pis": (v, v, v)}) for k, v in enumerate(["abc", "", "12", "a\\", "1-2-3", "\u00e9\U0001f600", "9" * 50])]
+    return spark.createDataFrame(rows + [(1, 99, {}, {})], f"load_set_id int, curve_id long, curve {MAP_TYPE}, var {MAP_TYPE}")
+
+
+V = "curve['P.is'].fullname"
+USES = {
+    "concat": f"concat({V}, 'x')", "concat_ws": f"concat_ws('-', {V}, 'x')", "coalesce": f"coalesce({V}, 'x')", "nvl": f"nvl({V}, 'x')",
+    "nvl2": f"nvl2({V}, 'a', 'b')", "ifnull": f"ifnull({V}, 'x')", "nullif": f"nullif({V}, 'x')", "if": f"if({V} = 'a', 'x', 'y')",
+    "upper": f"upper({V})", "lower": f"lower({V})", "ucase": f"ucase({V})", "lcase": f"lcase({V})", "initcap": f"initcap({V})",
+    "trim": f"trim({V})", "ltrim": f"ltrim({V})", "rtrim": f"rtrim({V})", "btrim": f"btrim({V})",
+    "substring": f"substring({V}, length({V}), 9)", "substr": f"substr({V}, -5, 2)", "left": f"left({V}, length({V}))", "right": f"right({V}, 2)",
+    "lpad": f"lpad({V}, 10, '')", "rpad": f"rpad({V}, 10000, {V})", "replace": f"replace({V}, {V}, 'x')", "translate": f"translate({V}, 'abc', '')",
+    "reverse": f"reverse({V})", "length": f"concat(length({V}), '')", "char_length": f"concat(char_length({V}), '')",
+    "character_length": f"concat(character_length({V}), '')", "instr": f"concat(instr({V}, 'a'), '')", "locate": f"concat(locate('a', {V}), '')",
+    "position": f"concat(position('a', {V}), '')", "startswith": f"if(startswith({V}, {V}), 'x', 'y')", "endswith": f"if(endswith({V}, 'a'), 'x', 'y')",
+    "contains": f"if(contains({V}, 'a'), 'x', 'y')", "split_part": f"split_part({V}, '-', 2)", "regexp_replace": f"regexp_replace({V}, '[0-9]+', '#')",
+    "regexp_extract": f"regexp_extract({V}, '([0-9])-([0-9])', 2)", "substring_index": f"substring_index({V}, '-', -1)",
+    "isnull": f"if(isnull({V}), 'x', 'y')", "isnotnull": f"if(isnotnull({V}), 'x', 'y')", "try_add": f"concat(try_add(2147483647, length({V})), '')",
+    "try_subtract": f"concat(try_subtract(-2147483647, length({V})), '')", "try_multiply": f"concat(try_multiply(2147483647, length({V})), '')",
+    "try_divide": f"concat(try_divide(1, length({V})), '')", "try_cast": f"concat(try_cast({V} as int), '')",
+    "try_to_number": f"concat(try_to_number({V}, '99'), '')", "greatest": f"greatest({V}, 'm')", "least": f"least({V}, 'm')",
+}
+
+
+def test_every_allowed_function_is_usable_and_cannot_raise(probe):
+    assert set(USES) == set(R.ALLOWED_FUNCTIONS)
+    cols = []
+    for name, text in USES.items():
+        col, reason = R.compile_rule(probe.limit(0), text)
+        assert col is not None, (name, reason)
+        cols.append(col.alias(name))
+    assert len(probe.select(*cols).collect()) == 8
+
+
+@pytest.mark.parametrize("text", [
+    "case when curve['P.is'].fullname > 5 then 'x' end",
+    "left('abc', curve['P.is'].fullname)",
+    "case when curve['P.is'].fullname in (1, 2) then 'x' end",
+    "regexp_replace(curve['P.is'].fullname, '[[]', 'x')",
+])
+def test_casts_and_patterns_that_can_raise_are_refused_after_analysis(probe, text):
+    col, reason = R.compile_rule(probe, text)
+    assert col is None and reason.startswith("rule refused")
+
+
+def test_keys_with_escapes_count_as_computed(tables):
+    use = R.referenced_keys(["curve['A\\tB.is'].fullname"])
+    assert not use.restricted
+    meta = [meta_row(1, "A\tB", "is", "val"), meta_row(2, "A", "is", "other")]
+    rule = "curve['A\\tB.is'].fullname"
+    t = tables(meta, [(1, 1), (2, 2)], [(1, rule, rule, rule, 1), (2, *["curve['A.is'].fullname"] * 3, 1)])
+    args = (t["meta"], t["members"], t["dict"], t["rules"])
+    pruned = sorted(map(tuple, jobs.stage(*args).staged.collect()))
+    assert pruned == sorted(map(tuple, jobs.stage(*args, restrict_keys=False).staged.collect()))
+    assert [r[1] for r in pruned] == ["val", "other"]
+    # only the load set with the computed key gets full maps
+    sets = R.collect_rules(t["rules"])
+    assert [(len(s), k is None) for s, k in jobs.by_key_use(sets, True)] == [(1, False), (1, True)]
+
+
 def test_string_literals_are_not_scanned():
     R.check_rule("concat('reflect(', curve['A.b'].fullname, ' / select')")
 
