@@ -76,7 +76,7 @@ def main() -> None:
 
     def report(run_id):
         jobs.run_report(table("object_meta"), table("load_set_curve"), table("curve_dict"),
-                        table("curve_rule"))
+                        table("curve_rule")).collect()
 
     timings = {}
     for name, fn in [("stage_names", stage), ("export_docs", export),

@@ -2,30 +2,25 @@
 
 Plan shape at scale
 -------------------
-* ``join_members`` is an equi-join on the curve id.  Membership can be as
-  large as the curves, so it is never forced to broadcast: Spark broadcasts
-  it only when its measured size is under the configured threshold, and
-  otherwise shuffles both sides by curve id (AQE splits a hot curve id).
-* ``join_dictionary`` adds the abbreviation by element id.  The dictionary is
-  a small control table in practice, but its size is not assumed: the same
-  threshold decides.  A hot element id (one element shared by many objects)
-  is handled by broadcast or by AQE's skew-join split.
+* ``join_dictionary`` comes first and adds the abbreviation by element id.  The
+  dictionary's size is not assumed: Spark broadcasts it when it measures it as
+  small and shuffles otherwise; a hot element id is then split by AQE.
+* When the rules name their keys literally, ``first_entries`` keeps, per object
+  and key, only as many entries as the rules can reach.  It is a ``row_number``
+  filter, which Spark also applies before the shuffle (window group limit): an
+  object or key with a huge share of the rows sends a few rows per map task.
+  Every run takes this path; nothing depends on counts taken beforehand.
+* ``join_members`` is an equi-join of the reduced rows on the curve id; neither
+  side is forced to broadcast.
 * Everything after the membership join is keyed by (load_set_id, curve_id).
   The join's hash partitioning on curve id already satisfies every later
-  window and aggregate keyed by a superset of curve id, so numbering, de-dup
-  and map building add no further shuffle.
-* Per-curve lists hold the attributes of one curve.  When the rules are
-  known, ``attribute_maps`` keeps only the keys the rules can read, which
-  bounds every collected list by the rule text, pushes an ``attribute IN
-  (...)`` filter into the scan, and leaves all other rows unread.
-* A hot curve (one object holding a huge share of the rows) is found by a
-  bounded count and cut before the membership join on salted sub-groups
-  (``hot_rows``), so no task numbers it whole.
+  window and aggregate keyed by a superset of curve id.
+* Per-curve lists hold what the rules can read.  Only rules with computed keys
+  need a curve's full map, which is one value of one row.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,9 +59,9 @@ def semi_members(meta: DataFrame, members: DataFrame, load_set_id=None) -> DataF
 # ---------------------------------------------------------------------------
 # entries
 # ---------------------------------------------------------------------------
-def entries(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
-            type_id: int | None = None, attributes: list[str] | None = None) -> DataFrame:
-    """Attribute entries per (load_set_id, curve_id): raw key ``attribute.verb``
+def object_entries(meta: DataFrame, dictionary: DataFrame, type_id: int | None = None,
+                   attributes: list[str] | None = None) -> DataFrame:
+    """Attribute entries per object: raw key ``attribute.verb``
     and the (fullname, shortname, abbr) value, nulls made empty, abbr defaulted.
 
     ``type_id`` restricts the object type (off by default, as in the staging
@@ -79,10 +74,9 @@ def entries(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
         if "" in attributes:
             cond = cond | F.col("attribute").isNull()
         m = m.filter(cond)
-    m = m.select("object_id", "attribute", "verb", "element_id", "element", "element_name")
-    joined = join_dictionary(join_members(m, members), dictionary)
-    return joined.select(
-        "load_set_id", "curve_id",
+    rows = join_dictionary(m.select("object_id", "attribute", "verb", "element_id", "element", "element_name"), dictionary)
+    return rows.select(
+        "object_id",
         attr_key("attribute", "verb").alias("key"),
         empty_if_null("element_name").alias("fullname"),
         empty_if_null("element").alias("shortname"),
@@ -90,6 +84,21 @@ def entries(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
     )
 
 
+def entries(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
+            type_id: int | None = None, attributes: list[str] | None = None) -> DataFrame:
+    """Attribute entries per (load_set_id, curve_id)."""
+    ent = join_members(object_entries(meta, dictionary, type_id, attributes), members)
+    return ent.select("load_set_id", "curve_id", "key", *ENTRY_VALUE)
+
+
+def first_entries(ent: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` entries of every (object, key), in numbering order.  An
+    entry among the first of its normalised key is among the first of its raw
+    key, so one bound serves both maps."""
+    w = Window.partitionBy("object_id", "key").orderBy(*ENTRY_VALUE)
+    return ent.select("*", F.row_number().over(w).alias("_rn")).filter(F.col("_rn") <= F.lit(most)).drop("_rn")
+
+
 def with_entry_text(ent: DataFrame) -> DataFrame:
     """STR1: add the serialised text of each entry."""
     return ent.withColumn("entry", attr_entry("key", "fullname", "shortname", "abbr"))
@@ -185,57 +194,9 @@ def _map_from_sorted(col: str) -> Column:
     return F.map_from_entries(F.transform(firsts, lambda x: F.struct(x["k"], x["v"])))
 
 
-# Hot curves: an object with more metadata rows than this has its rows cut
-# down before the membership join (see ``_precut_hot``).  The ids found hot
-# are at most rows / HOT_CURVE_ROWS, a proven bound on what is collected.
-HOT_CURVE_ROWS = 1_000_000
-PRECUT_SALTS = 64
-
-
-def object_row_counts(meta: DataFrame, type_id: int | None = None) -> DataFrame:
-    """Rows per object id (column-pruned scan, partial aggregation)."""
-    m = meta if type_id is None else meta.filter(F.col("object_type_id") == F.lit(type_id))
-    return m.groupBy("object_id").agg(F.count(F.lit(1)).alias("_rows"))
-
-
-def hot_objects(counts: DataFrame, hot_rows: int) -> DataFrame:
-    """Ids of objects with more than ``hot_rows`` rows: at most
-    (total rows / hot_rows) of them, so broadcasting them is bounded."""
-    return counts.filter(F.col("_rows") > F.lit(hot_rows)).select("object_id")
-
-
-def _precut_hot(meta_rows: DataFrame, dictionary: DataFrame, keys, salts: int) -> DataFrame:
-    """Keep, per (object, key), only the first entries the rules can reach,
-    computed on ``salts`` sub-groups so one hot object spreads over many
-    tasks.  Exact: an entry among the first L of its key is among the first L
-    of its own sub-group.  Returns rows in the metadata's own shape."""
-    from namewright.operators.rules import entries_needed  # local: avoid a cycle
-
-    curve_need = entries_needed(keys.curve_keys)
-    var_need = entries_needed(keys.var_keys)
-    d = dictionary.select(F.col("element_id").cast("long").alias("element_id"), F.col("abbr").alias("_abbr"))
-    r = meta_rows.join(d, "element_id", "left").select(
-        *meta_rows.columns,
-        attr_key("attribute", "verb").alias("_key"),
-        empty_if_null("element_name").alias("_f"), empty_if_null("element").alias("_s"),
-        default_abbr("_abbr").alias("_a"),
-        F.pmod(F.monotonically_increasing_id(), F.lit(salts)).alias("_salt"))
-
-    def lookup(col, need):
-        if not need:
-            return F.lit(0)
-        return F.coalesce(F.element_at(F.create_map(*[x for k, v in sorted(need.items())
-                                                     for x in (F.lit(k), F.lit(v))]), col), F.lit(0))
-    limit = F.greatest(lookup(F.col("_key"), curve_need), lookup(normalize_key("_key"), var_need))
-    w = Window.partitionBy("object_id", "_key", "_salt").orderBy("_f", "_s", "_a")
-    return (r.select("*", F.row_number().over(w).alias("_rn"), limit.alias("_limit"))
-            .filter(F.col("_rn") <= F.col("_limit")).select(*meta_rows.columns))
-
-
 def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
                    keys=None, type_id: int | None = None,
-                   max_attr_chars: int | None = None, hot_rows: int | None = None,
-                   persisted: list | None = None) -> DataFrame:
+                   max_attr_chars: int | None = None) -> DataFrame:
     """AGG3: one row per (load_set_id, curve_id) holding
 
     * ``curve``: map raw key (numbered) -> struct(fullname, shortname, abbr)
@@ -246,53 +207,24 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
     rules can read; None keeps all.  Both maps come out of one aggregate over
     the numbered entries, on the partitioning the membership join already made.
     With ``max_attr_chars``, ``attr_too_long`` marks curves whose serialised
-    attribute text is wider than that.
-
-    With ``hot_rows`` (and literal rule keys) the rows per object are counted
-    first, in one column-pruned job; objects holding more rows than that are
-    cut down to the entries the rules can reach before the membership join,
-    on salted sub-groups, so no task sorts a hot curve whole.  When no object
-    is hot the plan is the usual one.  ``persisted`` (a list the caller
-    releases) keeps the counts for the curve list that follows."""
-    from namewright.operators.rules import key_candidates  # local: avoid a cycle
+    attribute text is wider than that."""
+    from namewright.operators.rules import entries_needed, key_candidates  # local: avoid a cycle
 
     restricted = keys is not None and keys.restricted
     need_curve = keys is None or keys.needs_curve
     need_var = keys is None or keys.needs_var
     attributes = keys.attribute_candidates() if restricted and not keys.var_keys else None
 
-    counts = None
-    hot = None
-    if restricted and hot_rows is not None:
-        counts = object_row_counts(meta, type_id)
-        if persisted is not None:
-            counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
-            persisted.append(counts)
-        hot = hot_objects(counts, hot_rows)
-        # one job over the (persisted) counts, which the curve list reads anyway
-        if hot.agg(F.count(F.lit(1)).alias("n")).first()["n"] == 0:
-            hot = None               # the usual case: no hot object, usual plan
-    if hot is not None:
-        m = meta if type_id is None else meta.filter(F.col("object_type_id") == F.lit(type_id))
-        if attributes is not None:
-            cond = F.col("attribute").isin(sorted(set(attributes)))
-            if "" in attributes:
-                cond = cond | F.col("attribute").isNull()
-            m = m.filter(cond)
-        m = m.select("object_id", "attribute", "verb", "element_id", "element", "element_name")
-        hot = F.broadcast(hot)       # bounded: at most rows / hot_rows ids
-        m = m.join(hot, "object_id", "left_anti").unionByName(
-            _precut_hot(m.join(hot, "object_id", "left_semi"), dictionary, keys, PRECUT_SALTS))
-        ent = entries(m, members, dictionary, None, None)
-    else:
-        ent = entries(meta, members, dictionary, type_id, attributes)
+    ent = object_entries(meta, dictionary, type_id, attributes)
     if restricted:
         wanted = F.lit(False)
         if need_curve:
             wanted = wanted | F.col("key").isin(sorted(key_candidates(keys.curve_keys)))
         if need_var:
             wanted = wanted | normalize_key("key").isin(sorted(key_candidates(keys.var_keys)))
-        ent = ent.filter(wanted)
+        most = max([1, *entries_needed(keys.curve_keys).values(), *entries_needed(keys.var_keys).values()])
+        ent = first_entries(ent.filter(wanted), most)
+    ent = join_members(ent, members)
 
     aggs = []
     if need_curve:
@@ -317,12 +249,8 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
         # object ids first (column-pruned scan, partial aggregation before the
         # shuffle: one row per object and map task), then the membership join
         # on the already-clustered ids
-        if counts is not None:
-            ids_only = counts.select("object_id")
-        else:
-            m = meta if type_id is None else meta.filter(F.col("object_type_id") == F.lit(type_id))
-            ids_only = m.select("object_id").distinct()
-        curves = join_members(ids_only, members).distinct()
+        m = meta if type_id is None else meta.filter(F.col("object_type_id") == F.lit(type_id))
+        curves = join_members(m.select("object_id").distinct(), members).distinct()
         if max_attr_chars is not None:
             lengths = attr_text_length(entries(meta, members, dictionary, type_id)).select(
                 *ids, (F.col("attr_chars") > F.lit(max_attr_chars)).alias("attr_too_long"))

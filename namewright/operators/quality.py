@@ -6,14 +6,15 @@ Duplicates at scale
 The owner of a name is the smallest curve id holding it among the valid
 names of one load set.  It comes from a ``groupBy(load_set_id, ok, name)``
 ``min(curve_id), count`` aggregate (partial aggregation before the shuffle,
-so a name shared by millions of curves costs one row per map task), joined
-back to the rows.  A name held by more than ``HOT_NAME_ROWS`` rows reaches
-them through a broadcast join (at most rows / HOT_NAME_ROWS such names: a
-proven bound); every other key of the shuffled join back holds at most
-HOT_NAME_ROWS rows.  Rows without a valid name, or with a hot one, carry
-their own curve id as key there, so they spread evenly instead of piling up
-on one reducer.  Long and short duplicates are found independently from the
-same rows (a curve that loses its long name may still own its short name).
+so a name shared by millions of curves costs one row per map task).  Only
+names held more than once are joined back, by a plain equi-join without
+hints: Spark broadcasts the owners when it measures them as small and
+otherwise shuffles both sides.  The join key includes a hash of the name, so
+that both sides get exchanges of their own and AQE can split a name's
+partition when it is skewed.  Rows without a valid name carry their own
+curve id as key, so they spread evenly instead of piling up on one reducer.
+Long and short duplicates are found independently from the same rows (a
+curve that loses its long name may still own its short name).
 """
 
 from __future__ import annotations
@@ -51,8 +52,10 @@ def length_flags(named: DataFrame, long_max: int = LONG_NAME_MAX,
                 f"WHEN {e} IS NOT NULL THEN {sql_msg_exception(kind, 'curve_id', e)} "
                 f"WHEN {v} IS NULL THEN {sql_msg_exception(kind, 'curve_id', no_value)} ")
         if kind in limits:
-            reason += f"WHEN length({v}) > {limits[kind]} THEN {sql_str(TOO_LONG)} "
-            text += f"WHEN length({v}) > {limits[kind]} THEN {sql_msg_too_long(kind, 'curve_id', v, limits[kind])} "
+            # the limit counts UTF-16 units: a supplementary character counts twice
+            over = f"octet_length(encode({v}, 'UTF-16BE')) > {2 * limits[kind]}"
+            reason += f"WHEN {over} THEN {sql_str(TOO_LONG)} "
+            text += f"WHEN {over} THEN {sql_msg_too_long(kind, 'curve_id', v, limits[kind])} "
         exprs += [reason + f"END AS {kind}_reason", text + f"ELSE {v} END AS {kind}_text"]
         if kind in limits:
             exprs.append(f"({reason}END) IS NULL AS {kind}_ok")
@@ -64,14 +67,6 @@ def valid_names(flags: DataFrame, kind: str) -> DataFrame:
     return flags.filter(F.col(f"{kind}_ok")).select(*IDS, F.col(f"{kind}_text").alias("name"))
 
 
-# A name held by more rows than this is "hot": its owner reaches the rows
-# through a broadcast join instead of the shuffled one.  The hot set has at
-# most (valid rows / HOT_NAME_ROWS) entries, a proven bound on what is
-# broadcast, and what remains in the shuffled join has at most HOT_NAME_ROWS
-# rows per key.
-HOT_NAME_ROWS = 100_000
-
-
 def name_owners(flags: DataFrame, kind: str) -> DataFrame:
     """AGG7: the first (smallest) curve id per (load set, valid name), with the
     number of rows holding the name; partial aggregation before the shuffle."""
@@ -81,41 +76,29 @@ def name_owners(flags: DataFrame, kind: str) -> DataFrame:
             .agg(F.min("curve_id").alias("_owner"), F.count(F.lit(1)).alias("_holders")))
 
 
-def _with_owner(flags: DataFrame, kind: str, hot_rows: int) -> DataFrame:
-    """Every row of ``flags`` with ``_owner``: the owner of its valid name, or
-    null.  Hot names are joined by broadcast (bounded set), the rest by a
-    shuffled join whose keys are all cold; rows without a valid name, and rows
-    whose name is hot, carry their own curve id as key, so they match nothing
-    there and spread evenly instead of piling onto one reducer."""
-    owners = name_owners(flags, kind)
-    keys = ["load_set_id", "_ok", "_key"]
-    hot = owners.filter(F.col("_holders") > F.lit(hot_rows)).select(
-        *keys, F.col("_owner").alias("_hot_owner"))
-    cold = owners.filter(F.col("_holders") <= F.lit(hot_rows)).select(
-        *keys, F.col("_owner").alias("_cold_owner"))
-    keyed = flags.selectExpr("*", f"{kind}_ok AS _ok", f"{kind}_text AS _key")
-    tagged = keyed.join(F.broadcast(hot), keys, "left")
-    spread = tagged.selectExpr(
-        "*",
-        "_ok AND _hot_owner IS NULL AS _cold_ok",
-        "CASE WHEN _ok AND _hot_owner IS NULL THEN _key ELSE CAST(curve_id AS STRING) END AS _cold_key")
-    cold = cold.withColumnRenamed("_ok", "_cold_ok").withColumnRenamed("_key", "_cold_key")
-    j = spread.join(cold, ["load_set_id", "_cold_ok", "_cold_key"], "left")
-    return j.selectExpr(*flags.columns, "coalesce(_hot_owner, _cold_owner) AS _owner")
-
-
-def duplicates(flags: DataFrame, kind: str, hot_rows: int = HOT_NAME_ROWS) -> DataFrame:
+def _with_owner(flags: DataFrame, kind: str) -> DataFrame:
+    """Every row of ``flags`` with ``_owner``: the owner of its valid name where
+    several rows hold it, else null."""
+    hashed = "xxhash64(load_set_id, _ok, _key) AS _hash"
+    shared = name_owners(flags, kind).filter("_holders > 1").drop("_holders").selectExpr("*", hashed)
+    keyed = flags.selectExpr(
+        "*", f"{kind}_ok AS _ok", f"CASE WHEN {kind}_ok THEN {kind}_text ELSE CAST(curve_id AS STRING) END AS _key")
+    j = keyed.selectExpr("*", hashed).join(shared, ["load_set_id", "_hash", "_ok", "_key"], "left")
+    return j.select(*flags.columns, "_owner")
+
+
+def duplicates(flags: DataFrame, kind: str) -> DataFrame:
     """DUP1: every valid name that is not its owner's, with the message."""
-    j = _with_owner(flags.filter(F.col(f"{kind}_ok")), kind, hot_rows)
+    j = _with_owner(flags.filter(F.col(f"{kind}_ok")), kind)
     return j.filter(F.col("_owner") != F.col("curve_id")).selectExpr(
         *IDS, f"{kind}_text AS name", "_owner AS owner",
         sql_msg_duplicate(kind, "curve_id", "_owner") + " AS message")
 
 
-def mark_duplicates(flags: DataFrame, kind: str, hot_rows: int = HOT_NAME_ROWS) -> DataFrame:
+def mark_duplicates(flags: DataFrame, kind: str) -> DataFrame:
     """JN5 for one kind: bring each row its name's owner and overwrite flag,
     text and reason where another curve owns the name."""
-    j = _with_owner(flags, kind, hot_rows)
+    j = _with_owner(flags, kind)
     dup = "coalesce(_owner <> curve_id, false)"
     replaced = {
         f"{kind}_text": f"CASE WHEN {dup} THEN {sql_msg_duplicate(kind, 'curve_id', '_owner')} "
@@ -132,8 +115,7 @@ def validity_flag(long_ok, short_ok) -> Column:
 
 
 def checked_names(named: DataFrame, long_max: int = LONG_NAME_MAX,
-                  short_max: int = SHORT_NAME_MAX, flags: DataFrame | None = None,
-                  hot_rows: int = HOT_NAME_ROWS) -> DataFrame:
+                  short_max: int = SHORT_NAME_MAX, flags: DataFrame | None = None) -> DataFrame:
     """All checks, keeping flags and reason codes (used by staging and the report).
 
     ``flags`` may be given (e.g. persisted) to avoid recomputing the per-curve
@@ -143,8 +125,8 @@ def checked_names(named: DataFrame, long_max: int = LONG_NAME_MAX,
         flags = length_flags(named, long_max, short_max)
     # both duplicate searches see the same original flags (do not chain the
     # short search on the long result; the long marking does not touch short_*)
-    out = mark_duplicates(flags, "long", hot_rows)
-    return mark_duplicates(out, "short", hot_rows)
+    out = mark_duplicates(flags, "long")
+    return mark_duplicates(out, "short")
 
 
 def staged_rows(checked: DataFrame) -> DataFrame:

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from namewright.functions.text import LONG_NAME_MAX, SHORT_NAME_MAX
 from namewright.operators import quality
-from namewright.operators.attrs import HOT_CURVE_ROWS, attribute_maps
+from namewright.operators.attrs import attribute_maps
 from namewright.operators.docs import curve_docs
-from namewright.operators.rules import KINDS, RuleSet, apply_rules, collect_rules, referenced_keys
+from namewright.operators.rules import KINDS, KeyUse, RuleSet, apply_rules, collect_rules, referenced_keys
 from namewright.sinks import writers
+from namewright.sources.jdbc import split_spec
 from namewright.sources.tables import ALL, in_load_set
 
 
@@ -27,6 +28,7 @@ from namewright.sources.tables import ALL, in_load_set
 class StagingRun:
     checked: DataFrame          # flags, reasons and texts per (load set, curve)
     staged: DataFrame           # rows of the staging table
+    flags: DataFrame            # per (load set, curve), before the duplicate search
     rule_sets: list[RuleSet]    # with per-load-set errors (RUL5)
     persisted: list = None      # DataFrames to unpersist when the run is written
     metrics: dict = None        # whole-run counts observed during the staging write
@@ -46,12 +48,12 @@ class StagingRun:
 
 
 # distinct rule texts compiled into one projection; beyond this, load sets are
-# evaluated in several passes so no generated method grows without bound
+# evaluated in several projections so no generated method grows without bound
 MAX_TEXTS_PER_PASS = 64
 
 
 def rule_chunks(rule_sets: list[RuleSet], max_texts: int = MAX_TEXTS_PER_PASS) -> list[list[RuleSet]]:
-    """Split the usable rule sets into passes of at most ``max_texts`` distinct
+    """Split the usable rule sets into projections of at most ``max_texts`` distinct
     texts per kind; load sets sharing all three texts stay together."""
     good = sorted((r for r in rule_sets if r.error is None),
                   key=lambda r: (tuple(r.texts[k] for k in KINDS), r.load_set_id))
@@ -70,48 +72,39 @@ def rule_chunks(rule_sets: list[RuleSet], max_texts: int = MAX_TEXTS_PER_PASS) -
     return chunks
 
 
-def _keys_for(chunk: list[RuleSet], restrict_keys: bool):
-    if not restrict_keys:
-        return None
-    keys = referenced_keys([t for r in chunk for t in r.texts.values()])
-    return keys if keys.restricted else None
+def by_key_use(rule_sets: list[RuleSet], restrict_keys: bool) -> list[tuple[list[RuleSet], KeyUse | None]]:
+    """The usable rule sets whose keys are all literal, with those keys, and the
+    others (a computed key needs the full maps of its own load set only)."""
+    literal, computed = [], []
+    for r in rule_sets:
+        if r.error is None:
+            own = referenced_keys(list(r.texts.values())).restricted and restrict_keys
+            (literal if own else computed).append(r)
+    parts = [(literal, referenced_keys([t for r in literal for t in r.texts.values()]))] if literal else []
+    return parts + ([(computed, None)] if computed else [])
 
 
 def named_curves(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
                  rule_sets: list[RuleSet], type_id: int | None = None,
                  max_attr_chars: int | None = None, restrict_keys: bool = True,
-                 max_texts: int = MAX_TEXTS_PER_PASS, persisted: list | None = None,
-                 hot_curve_rows: int | None = None) -> DataFrame:
+                 max_texts: int = MAX_TEXTS_PER_PASS, persisted: list | None = None) -> DataFrame:
     """RUL1-4 over the attribute maps: (load_set_id, curve_id, <kind>_value,
     <kind>_error ...) for the load sets with usable rules.
 
-    Usually one pass.  With more than ``max_texts`` distinct rule texts the
-    load sets are split into passes (disjoint load sets, unioned):
-
-    * with ``persisted`` (a list the caller releases), the attribute maps are
-      built once for all passes, persisted, and each pass reads its own load
-      sets from them: one scan of the metadata;
-    * without it, each pass builds its own maps from its own load sets'
-      members and the attributes its own rules name (no cached state, at the
-      cost of one metadata scan per pass)."""
-    chunks = rule_chunks(rule_sets, max_texts) or [[]]
-    if len(chunks) > 1 and persisted is not None:
-        every = [r for c in chunks for r in c]
-        m = in_load_set(members, [r.load_set_id for r in every])
-        attrs = attribute_maps(meta, m, dictionary, keys=_keys_for(every, restrict_keys),
-                               type_id=type_id, max_attr_chars=max_attr_chars,
-                               hot_rows=hot_curve_rows, persisted=persisted)
-        attrs = attrs.persist(StorageLevel.MEMORY_AND_DISK)
-        persisted.append(attrs)
-        parts = [apply_rules(attrs, chunk) for chunk in chunks]
-    else:
-        parts = []
-        for chunk in chunks:
-            m = in_load_set(members, [r.load_set_id for r in chunk])
-            attrs = attribute_maps(meta, m, dictionary, keys=_keys_for(chunk, restrict_keys),
-                                   type_id=type_id, max_attr_chars=max_attr_chars,
-                                   hot_rows=hot_curve_rows, persisted=persisted)
-            parts.append(apply_rules(attrs, chunk))
+    Load sets with literal keys share pruned maps; those with a computed key get
+    full maps of their own.  With more than ``max_texts`` distinct rule texts the
+    maps are evaluated in several projections over disjoint load sets; with
+    ``persisted`` (a list the caller releases) these read one persisted copy of
+    the maps, otherwise each projection builds its own."""
+    parts = []
+    for sets, keys in by_key_use(rule_sets, restrict_keys) or [([], None)]:
+        m = in_load_set(members, [r.load_set_id for r in sets])
+        attrs = attribute_maps(meta, m, dictionary, keys=keys, type_id=type_id, max_attr_chars=max_attr_chars)
+        chunks = rule_chunks(sets, max_texts) or [[]]
+        if len(chunks) > 1 and persisted is not None:
+            attrs = attrs.persist(StorageLevel.MEMORY_AND_DISK)
+            persisted.append(attrs)
+        parts += [apply_rules(attrs, chunk) for chunk in chunks]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -121,26 +114,22 @@ def named_curves(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
 def stage(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: DataFrame,
           load_set_ids=None, long_max: int = LONG_NAME_MAX, short_max: int = SHORT_NAME_MAX,
           type_id: int | None = None, max_attr_chars: int | None = None,
-          restrict_keys: bool = True, persist: bool = False,
-          hot_rows: int = quality.HOT_NAME_ROWS, hot_curve_rows: int | None = None) -> StagingRun:
+          restrict_keys: bool = True, persist: bool = False) -> StagingRun:
     """JOB1 with everything the callers need (checked rows, staged rows, rules).
 
     ``persist`` (MAT1) keeps the per-curve naming result (MEMORY_AND_DISK) so
     the three branches that read it (staged rows, long owners, short owners)
-    share one computation; call ``run.release()`` after writing.
-    ``hot_curve_rows`` turns on the hot-curve cut (``attrs.attribute_maps``):
-    one extra column-pruned counting job, no change to the plan when no
-    object is hot."""
+    share one computation; call ``run.release()`` after writing."""
     rule_sets = collect_rules(rules, None if load_set_ids == ALL else load_set_ids)
     kept = []
     named = named_curves(meta, members, dictionary, rule_sets, type_id, max_attr_chars, restrict_keys,
-                         persisted=kept if persist else None, hot_curve_rows=hot_curve_rows)
+                         persisted=kept if persist else None)
     flags = quality.length_flags(named, long_max, short_max)
     if persist:
         flags = flags.persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(flags)
-    checked = quality.checked_names(named, long_max, short_max, flags=flags, hot_rows=hot_rows)
-    return StagingRun(checked, quality.staged_rows(checked), rule_sets, kept)
+    checked = quality.checked_names(named, long_max, short_max, flags=flags)
+    return StagingRun(checked, quality.staged_rows(checked), flags, rule_sets, kept)
 
 
 def stage_names(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: DataFrame,
@@ -183,43 +172,45 @@ def outcome_map(run: StagingRun) -> dict:
 
 def run_staging(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: DataFrame,
                 staging_path: str, status_path: str, load_set_ids=None,
-                report_path: str | None = None, **kw) -> StagingRun:
+                report_path: str | None = None, jdbc_props: dict | None = None, **kw) -> StagingRun:
     """JOB1 end to end: staging rows replaced per load set, the optional run
     report (RPT1), then the status snapshot last.  The per-curve naming
     result is persisted (MAT1, MEMORY_AND_DISK) for the duration, so the
     staging write, its duplicate searches and the report all read one
-    computation; a lost executor only costs a recompute of its blocks."""
+    computation; a lost executor only costs a recompute of its blocks.  A run
+    that fails leaves the staged rows as they were, moves its load sets to -1
+    and raises."""
     kw.setdefault("persist", True)
-    kw.setdefault("hot_curve_rows", HOT_CURVE_ROWS)
     run = stage(meta, members, dictionary, rules, load_set_ids, **kw)
     # RPT1 totals ride along with the write (no extra job)
     obs = Observation("staging")
     observed = run.staged.observe(obs, F.count(F.lit(1)).alias("rows"),
                                   F.count_if(F.col("is_valid") == "Y").alias("valid_y"))
     try:
-        writers.write_staging(observed, staging_path, processed_load_sets=run.good_load_sets)
+        present = [r[0] for r in run.flags.select("load_set_id").distinct().collect()]
+        if staging_path.startswith("jdbc:"):
+            url, table = split_spec(staging_path)
+            writers.write_staging_jdbc(observed, url, table, jdbc_props, processed_load_sets=run.good_load_sets)
+        else:
+            writers.write_staging(observed, staging_path, run.good_load_sets, present)
         run.metrics = dict(obs.get)
         if report_path:
             load_set_report(run.checked).write.mode("overwrite").parquet(report_path)
+    except Exception:
+        # the old rows are still there; every load set of the run goes to -1
+        failed = {r.load_set_id: False for r in run.rule_sets}
+        writers.write_status_snapshot(writers.transition_status(rules, failed), status_path)
+        raise
     finally:
         run.release()
-    after = writers.transition_status(rules, outcome_map(run))
-    writers.write_status_snapshot(after, status_path)
+    writers.write_status_snapshot(writers.transition_status(rules, outcome_map(run)), status_path)
     return run
 
 
 def run_report(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: DataFrame,
-               load_set_ids=None, **kw) -> list:
-    """RPT1 without staging: the per-load-set counts as rows (one per load
-    set, so bounded by the control table).  The per-curve naming result is
-    persisted for the action, so its three readers share one computation."""
-    kw.setdefault("persist", True)
-    kw.setdefault("hot_curve_rows", HOT_CURVE_ROWS)
-    run = stage(meta, members, dictionary, rules, load_set_ids, **kw)
-    try:
-        return load_set_report(run.checked).orderBy("load_set_id").collect()
-    finally:
-        run.release()
+               load_set_ids=None, **kw) -> DataFrame:
+    """RPT1 without staging: the per-load-set counts."""
+    return load_set_report(stage(meta, members, dictionary, rules, load_set_ids, **kw).checked)
 
 
 def build_docs(meta: DataFrame, members: DataFrame | None, names: DataFrame,
@@ -237,11 +228,3 @@ def run_export(meta: DataFrame, members: DataFrame | None, names: DataFrame, out
     never shuffled again after they are rendered."""
     docs = build_docs(meta, members, names, load_set_id, mode, bundles=bundles)
     writers.write_partition_bundles(docs, out_path)
-
-
-def persist_checked(run: StagingRun) -> StagingRun:
-    """MAT1: keep the checked rows when several outputs read them (report and
-    staging); memory and disk, so a lost executor only costs a recompute."""
-    run.checked.persist(StorageLevel.MEMORY_AND_DISK)
-    run.persisted = (run.persisted or []) + [run.checked]
-    return run

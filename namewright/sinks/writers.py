@@ -2,9 +2,9 @@
 
 * Staging is a parquet table partitioned by ``load_set_id``; a run replaces
   exactly the partitions of the load sets it processed (dynamic partition
-  overwrite), so reruns and retried tasks never double rows.  A processed
-  load set with no rows has its old partition removed explicitly, since an
-  overwrite with no rows for it would leave it in place.
+  overwrite), so reruns and retried tasks never double rows.  The write
+  comes first: if it fails, the old rows stay.  Only then are the partitions
+  of processed load sets without rows removed, which the overwrite leaves.
 * Document bundles: each bundle is one text file ``<DOCS>`` .. ``</DOCS>``.
   ``write_partition_bundles`` (used by the export job) writes each partition
   of documents already clustered by curve id as one file, framing it with a
@@ -50,30 +50,55 @@ def clear_partitions(spark: SparkSession, path: str, column: str, values) -> Non
             fs.delete(p, True)
 
 
-def write_staging(staged: DataFrame, path: str, processed_load_sets=None) -> None:
+def write_staging(staged: DataFrame, path: str, processed_load_sets=None, present=None) -> None:
     """SNK1: replace the staging rows of the processed load sets.
 
-    The partitions of ``processed_load_sets`` are cleared first (as the
-    reference deletes a load set's rows before computing), then the new rows
-    are written with dynamic partition overwrite, which leaves every other
-    load set untouched.  A load set that now has no rows ends up empty
-    instead of keeping stale rows.  Retried tasks and reruns never double
-    rows: a partition is always replaced as a whole."""
+    Dynamic partition overwrite replaces the load sets that have rows, each as a
+    whole, and leaves every other one untouched; ``REBALANCE`` gives a load set
+    few files, and AQE splits a large one.  A failure leaves the table as it
+    was.  ``processed_load_sets`` that turn out to have no rows are cleared
+    afterwards; ``present`` names those with rows when the caller knows them."""
     spark = staged.sparkSession
-    if processed_load_sets:
-        clear_partitions(spark, path, "load_set_id", sorted(processed_load_sets))
-    (staged.select(*STAGING_COLUMNS)
+    (staged.select(*STAGING_COLUMNS).hint("rebalance", "load_set_id")
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("load_set_id")
      .parquet(path))
+    if processed_load_sets:
+        if present is None:
+            present = [r[0] for r in staged.select("load_set_id").distinct().collect()]
+        clear_partitions(spark, path, "load_set_id", sorted(set(processed_load_sets) - set(present)))
+
+
+def delete_staged_jdbc(spark: SparkSession, url: str, table: str, load_set_ids, props: dict | None = None, quote: str = '"') -> None:
+    """Delete the load sets' rows from a JDBC staging table, in one transaction."""
+    p = dict(props or {})
+    jvm = spark.sparkContext._jvm
+    if "driver" in p:
+        jvm.java.lang.Class.forName(p["driver"])
+    given = jvm.java.util.Properties()
+    for k, v in p.items():
+        given.setProperty(k, str(v))
+    connection = jvm.java.sql.DriverManager.getConnection(url, given)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.prepareStatement(f"DELETE FROM {table} WHERE {quote}load_set_id{quote} = ?")
+        for k in load_set_ids:
+            statement.setInt(1, int(k))
+            statement.executeUpdate()
+        connection.commit()
+    finally:
+        connection.close()
 
 
 def write_staging_jdbc(staged: DataFrame, url: str, table: str, props: dict | None = None,
-                       batchsize: int = 1000) -> None:
-    """SNK2: append staged rows over JDBC, one transaction per task; the caller
-    deletes the load sets' old rows first (as the reference does)."""
+                       batchsize: int = 1000, processed_load_sets=None, quote: str = '"') -> None:
+    """SNK2: replace the processed load sets' rows over JDBC: their old rows are
+    deleted, then the new ones appended, one transaction per task.  Without
+    ``processed_load_sets`` rows are only appended."""
     p = dict(props or {})
+    if processed_load_sets:
+        delete_staged_jdbc(staged.sparkSession, url, table, processed_load_sets, p, quote)
     p.setdefault("batchsize", str(batchsize))
     staged.select(*STAGING_COLUMNS).write.jdbc(url, table, mode="append", properties=p)
 
@@ -82,7 +107,7 @@ def write_staging_jdbc(staged: DataFrame, url: str, table: str, props: dict | No
 # UNI1 / SNK3 / SNK4: documents
 # ---------------------------------------------------------------------------
 def with_bundle(docs: DataFrame, n: int) -> DataFrame:
-    return docs.withColumn("bundle", F.pmod(F.xxhash64("curve_id"), F.lit(n)).cast("int"))
+    return docs.withColumn("bundle", F.pmod("curve_id", F.lit(n)).cast("int"))
 
 
 def bundle_lines(docs: DataFrame, n: int) -> DataFrame:

@@ -163,38 +163,45 @@ def test_keys_collapsing_to_one_variable(spark, tables):
     assert {k: v["fullname"] for k, v in maps["var"].items()} == {"Ab": "first", "Ab1": "second"}
 
 
-def test_hot_names_take_the_broadcast_path(tables):
-    # names held by more than hot_rows curves are joined by broadcast; the
-    # result must equal the shuffled path
+def test_shared_names_have_one_owner_and_no_forced_broadcast(tables):
     n = 900
     meta = [meta_row(c, "P", "is", "hot" if c % 3 else f"n{c % 7}") for c in range(1, n + 1)]
     meta += [meta_row(c, "S", "is", "same" if c % 2 else f"s{c}") for c in range(1, n + 1)]
     t = tables(meta, [(1, c) for c in range(1, n + 1)], [(1, LONG_RULE, SHORT_RULE, DESC_RULE, 1)])
-    args = (t["meta"], t["members"], t["dict"], t["rules"])
-    hot = sorted(map(tuple, jobs.stage(*args, hot_rows=50).staged.collect()))
-    cold = sorted(map(tuple, jobs.stage(*args).staged.collect()))
-    assert hot == cold
-    dup_long = [r for r in hot if r[1].endswith("is same as curve:1")]
-    assert len(dup_long) == n - n // 3 - 1
+    run = jobs.stage(t["meta"], t["members"], t["dict"], t["rules"])
+    rows = run.staged.collect()
+    assert len([r for r in rows if r[1].endswith("is same as curve:1")]) == n - n // 3 - 1
+    assert "ResolvedHint" not in run.staged._jdf.queryExecution().analyzed().toString()
 
 
-def test_hot_curves_are_cut_before_the_join(tables):
-    # curves with many rows take the salted pre-cut; results equal the plain plan
-    meta = [meta_row(1, "G", "in", f"g{i % 50:03d}") for i in range(600)]           # repeats with ties
-    meta += [meta_row(1, "G", "in1", "lit"), meta_row(1, "S", "is", "s1")]           # literal clash
+def test_hot_curves_are_reduced_before_the_join(tables):
+    # thousands of entries of one key, with ties, a literal clash and repeated dictionary ids
+    meta = [meta_row(1, "G", "in", f"g{i % 50:03d}") for i in range(600)]
+    meta += [meta_row(1, "G", "in1", "lit"), meta_row(1, "S", "is", "s1")]
     meta += [meta_row(2, "G", "in", f"h{i:03d}") for i in range(300)] + [meta_row(2, "S", "is", "s2")]
-    meta += [meta_row(3, "G", "in", "only"), meta_row(3, "S", "is", "s3")]
+    meta += [meta_row(3, "G", "in", "only"), meta_row(3, "S", "is", "s3", eid=7)]
     members = [(1, 1), (1, 2), (1, 3), (2, 1)]
     rules = [(ls, "concat(curve['G.in'].fullname, '/', curve['G.in1'].fullname, '/', curve['G.in2'].fullname)",
-              "curve['S.is'].fullname", "var['Gin3'].fullname", 1) for ls in (1, 2)]
-    t = tables(meta, members, rules)
+              "concat(curve['S.is'].fullname, coalesce(curve['S.is1'].abbr, ''), coalesce(curve['S.is2'].abbr, '-'))",
+              "var['Gin3'].fullname", 1) for ls in (1, 2)]
+    t = tables(meta, members, rules, dictionary=[(7, "a"), (7, "b")])
     args = (t["meta"], t["members"], t["dict"], t["rules"])
-    plain = sorted(map(tuple, jobs.stage(*args).staged.collect()))
-    run = jobs.stage(*args, hot_curve_rows=100, persist=True)
+    full = sorted(map(tuple, jobs.stage(*args, restrict_keys=False).staged.collect()))
+    run = jobs.stage(*args)
     cut = sorted(map(tuple, run.staged.collect()))
-    run.release()
-    assert cut == plain
+    assert cut == full
     by = {(r[4], r[0]): r for r in cut}
     # var Gin3 is the 4th G.in entry (G.in1 normalises to Gin1): 12 copies of g000 come first
     assert by[(1, 1)][1] == "g000/lit/g000" and by[(1, 1)][3] == "g000"
     assert by[(1, 2)][1] == "h000/h001/h002" and by[(2, 1)][1] == "g000/lit/g000"
+    assert by[(1, 3)][2] == "s3b-"
+    # the reduction runs on the map side too
+    assert "WindowGroupLimit" in run.staged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_names_of_supplementary_characters_count_twice(tables):
+    meta = [meta_row(1, "P", "is", "\U0001f600" * 33), meta_row(1, "S", "is", "s" * 30),
+            meta_row(2, "P", "is", "\u00e9" * 60), meta_row(2, "S", "is", "\U0001f600" * 16)]
+    staged, checked = run_stage(tables, meta, [(1, 1), (1, 2)],
+                                [(1, "curve['P.is'].fullname", "curve['S.is'].fullname", "curve['S.is'].fullname", 1)])
+    assert checked[(1, 1)]["long_reason"] == "too_long" and checked[(1, 2)]["long_ok"] and checked[(1, 2)]["short_ok"]

@@ -21,8 +21,8 @@ def brute_force(meta, members, abbr_of):
     out = {}
     by_curve = defaultdict(list)
     for obj, _typ, attr, verb, _ric, eid, elem, name in meta:
-        by_curve[obj].append((f"{attr or ''}.{verb or ''}", name or "", elem or "",
-                              abbr_of.get(eid) or " "))
+        by_curve[obj] += [(f"{attr or ''}.{verb or ''}", name or "", elem or "", abbr or " ")
+                          for abbr in abbr_of.get(eid, [None])]
     for ls, cid in members:
         if cid not in by_curve:
             continue
@@ -81,21 +81,20 @@ entry = st.tuples(st.integers(1, 6), st.sampled_from([("A", "is"), ("B", "of"),
                                                           min_size=1, max_size=10, unique=True))
 def test_staging_matches_brute_force(tables, ents, members):
     meta = [meta_row(c, a, v, n, short=s, eid=e) for c, (a, v), n, s, e in ents]
-    dictionary = [(1, "d1"), (2, None), (3, "")]
+    dictionary = [(1, "d1"), (1, "d0"), (2, None), (2, "x"), (3, "")]
     rules = [(ls, LONG, SHORT, DESC, 1) for ls in (1, 2)]
     t = tables(meta, members, rules, dictionary=dictionary)
     got = {(r["load_set_id"], r["curve_id"]): (r["curve_name"], r["short_curve_name"],
                                                 r["curve_description"], r["is_valid"])
            for r in jobs.stage_names(t["meta"], t["members"], t["dict"], t["rules"]).collect()}
-    want = brute_force(meta, members, {1: "d1", 2: None, 3: None})
+    want = brute_force(meta, members, {1: ["d1", "d0"], 2: [None, "x"], 3: [None]})
     assert got == want
-    # the same through the hot-curve cut (nearly every curve counts as hot)
-    run = jobs.stage(t["meta"], t["members"], t["dict"], t["rules"], hot_curve_rows=2, persist=True)
-    cut = {(r["load_set_id"], r["curve_id"]): (r["curve_name"], r["short_curve_name"],
-                                                r["curve_description"], r["is_valid"])
-           for r in run.staged.collect()}
-    run.release()
-    assert cut == want
+    # the same with full maps
+    run = jobs.stage(t["meta"], t["members"], t["dict"], t["rules"], restrict_keys=False)
+    full = {(r["load_set_id"], r["curve_id"]): (r["curve_name"], r["short_curve_name"],
+                                                 r["curve_description"], r["is_valid"])
+            for r in run.staged.collect()}
+    assert full == want
 
 
 def test_invariants_on_driver_data(spark):
