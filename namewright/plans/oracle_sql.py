@@ -8,11 +8,19 @@ each fixture rule is spelled out as SQL over a pivot of the keys it reads.
 
 from __future__ import annotations
 
-from namewright.functions.xml import PAIRED_ELEMENTS, SINGLE_ELEMENTS
 from namewright.sources.fixture_views import FIXTURE_SQL, rules_values_sql
 
 LONG_MAX, SHORT_MAX, CLIP = 64, 32, 4000
 
+# Fixed values, spelled here on their own: (attribute, element) of the single-valued elements in order,
+# (attribute, names element, codes element) of the lists.
+SINGLE_ELEMENTS = [
+    ("Provider", "Provider"), ("Timezone", "Timezone"), ("Value.Frequency", "ValueFrequency"), ("Status", "Status"),
+    ("Unit", "Unit"), ("Issue.Frequency", "IssueFrequency"), ("Variable", "Variable"), ("Commodity", "Commodity"),
+    ("Technology", "Technology"), ("FacilityType", "PhysicalAssetType"), ("Variable.Specification", "VariableSpecification"),
+]
+PAIRED_ELEMENTS = [("Geography", "Geography", "GeographyRCS"), ("Facility", "PhysicalAsset", "PhysicalAssetRCS")]
+
 STEPS: dict[str, str] = {}
 
 STEPS["entries"] = """entries AS (
@@ -56,18 +64,22 @@ STEPS["curves"] = """curves AS (SELECT DISTINCT load_set_id, curve_id FROM entri
 # the keys the fixture rules read, as pivot columns (key, field, column)
 _PIVOT = [
     ("Provider.is", "fullname", "p_full"), ("Provider.is", "shortname", "p_short"),
-    ("Provider.is", "abbr", "p_abbr"), ("Provider.is1", "shortname", "p1_short"),
+    ("Provider.is", "abbr", "p_abbr"), ("Provider.is1", "shortname", "p1_short"), ("Provider.is1", "abbr", "p1_abbr"),
     ("Commodity.is", "fullname", "c_full"), ("Commodity.is", "shortname", "c_short"),
-    ("Variable.is", "fullname", "v_full"), ("Unit.is", "fullname", "u_full"),
+    ("Variable.is", "fullname", "v_full"), ("Unit.is", "fullname", "u_full"), ("Unit.is", "shortname", "u_short"),
     ("Geography.in", "fullname", "g_full"), ("Geography.in1", "fullname", "g1_full"),
     ("Geography.in2", "fullname", "g2_full"),
     ("Facility.at", "fullname", "f_full"), ("Facility.at1", "fullname", "f1_full"),
 ]
+# keys read through ``var``
+_VAR_PIVOT = [("Commodityis", "fullname", "vc_full"), ("Geographyin2", "shortname", "vg2_short")]
 STEPS["pv"] = "pv AS (\n  SELECT c.load_set_id, c.curve_id,\n" + ",\n".join(
     f"         max(CASE WHEN m.fkey = '{k}' THEN m.{f} END) AS {col}" for k, f, col in _PIVOT
 ) + """
   FROM curves c LEFT JOIN curve_map m ON m.load_set_id = c.load_set_id AND m.curve_id = c.curve_id
-  GROUP BY c.load_set_id, c.curve_id)"""
+  GROUP BY c.load_set_id, c.curve_id),
+vpv AS (SELECT load_set_id, curve_id, """ + ", ".join(
+    f"max(CASE WHEN fkey = '{k}' THEN {f} END) AS {col}" for k, f, col in _VAR_PIVOT) + " FROM var_map GROUP BY load_set_id, curve_id)"
 
 # the three fixture rule sets, spelled as SQL (|| propagates NULL like concat)
 STEPS["named"] = """named AS (
@@ -75,22 +87,22 @@ STEPS["named"] = """named AS (
     CASE load_set_id
       WHEN 0 THEN p_full || ' ' || c_full || ' ' || v_full
       WHEN 1 THEN p_short || ' ' || g_full || ' ' || g1_full
-      WHEN 2 THEN c_full || ' ' || u_full || ' ' || f_full || ' ' || f1_full || ' ' || g_full || ' ' || g1_full || ' ' || g2_full
+      WHEN 2 THEN c_full || ' ' || u_full || ' ' || f_full || ' ' || f1_full || ' ' || g_full
     END AS long_value,
-    CAST(NULL AS VARCHAR) AS long_error,
+    CASE WHEN load_set_id = 3 THEN 'rule refused: function java_method is not allowed' END AS long_error,
     CASE load_set_id
-      WHEN 0 THEN p_short || ' ' || p_abbr
+      WHEN 0 THEN p_short || ' ' || p_abbr || p1_abbr
       WHEN 1 THEN c_short || ' ' || g_full || ' ' || g1_full || ' ' || g2_full
-      WHEN 2 THEN p1_short
+      WHEN 2 THEN p1_short || ' ' || u_short
     END AS short_value,
-    CAST(NULL AS VARCHAR) AS short_error,
+    CASE WHEN load_set_id = 3 THEN 'rule does not compile: WRONG_NUM_ARGS.WITHOUT_SUGGESTION' END AS short_error,
     CASE load_set_id
-      WHEN 0 THEN 'Curve of ' || c_full
-      WHEN 1 THEN concat_ws(' ', v_full, u_full)
-      WHEN 2 THEN f_full
+      WHEN 0 THEN 'Curve of ' || vc_full || ' ' || vg2_short
+      WHEN 1 THEN rpad(concat_ws(' ', v_full, u_full), 4500, '-')
+      WHEN 2 THEN split_part(f_full, '#', 2)
     END AS desc_value,
-    CAST(NULL AS VARCHAR) AS desc_error
-  FROM pv)"""
+    CASE WHEN load_set_id = 3 THEN 'rule returns int, not string' END AS desc_error
+  FROM pv LEFT JOIN vpv USING (load_set_id, curve_id) WHERE load_set_id <= 3)"""
 
 
 def _flag_cols(kind: str, label: str, limit: int | None) -> str:
@@ -230,7 +242,7 @@ def _with(*steps: str, docs: tuple | None = None) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-_NAMING = ("entries", "curve_map", "curves", "pv", "named")
+_NAMING = ("entries", "curve_map", "var_map", "curves", "pv", "named")
 _NEEDLE = "'\"Geography.in\":'"
 
 ORACLE: dict[str, str] = {
@@ -254,8 +266,8 @@ FROM object_meta om JOIN load_set_curve lsc ON om.object_id = lsc.curve_id""",
     "doc_attrs": _with(docs=(None, "reference")) + "SELECT curve_id, attr, verb, name, code, rank FROM ranked WHERE rank IS NOT NULL",
     "attr_entries": _with("entries", "entry_text") + "SELECT * FROM entry_text",
     "attr_string": _with("entries", "entry_text", "attr_text") + "SELECT * FROM attr_text",
-    "attr_string_cut": _with("entries", "entry_text", "attr_text") + """SELECT load_set_id, curve_id, left(attr, 1000) AS attr,
-       length(attr) > 1000 AS truncated FROM attr_text""",
+    "attr_string_cut": _with("entries", "entry_text", "attr_text") + """SELECT load_set_id, curve_id, left(attr, 3000) AS attr,
+       length(attr) > 3000 AS truncated FROM attr_text""",
     "attr_map_rows": _with("entries", "curve_map", "var_map") + """SELECT load_set_id, curve_id, 'curve' AS map_name, fkey AS map_key, fullname, shortname, abbr FROM curve_map
 UNION ALL SELECT load_set_id, curve_id, 'var', fkey, fullname, shortname, abbr FROM var_map""",
     "parsed_keys": _with("entries", "entry_text", "attr_text") + """SELECT load_set_id, curve_id, CAST(i - 1 AS INTEGER) AS pos,
@@ -303,7 +315,8 @@ WHERE f.short_ok AND o.owner <> f.curve_id""",
 FROM checked GROUP BY load_set_id""",
     "status_after": _with(*_NAMING, "flags", "owners", "checked", "staged") + """SELECT r.load_set_id,
   CASE WHEN r.curvename_status_id = 1 AND coalesce(r.longname_rule_exp, '') <> ''
-            AND coalesce(r.shortname_rule_exp, '') <> '' AND coalesce(r.desc_rule_exp, '') <> '' THEN 2
+            AND coalesce(r.shortname_rule_exp, '') <> '' AND coalesce(r.desc_rule_exp, '') <> ''
+            AND (SELECT count(*) FROM curve_rule o WHERE o.load_set_id = r.load_set_id) = 1 THEN 2
        WHEN r.curvename_status_id = 1 THEN -1
        ELSE r.curvename_status_id END AS curvename_status_id,
   s.staged_rows, s.valid_rows
@@ -320,7 +333,32 @@ FROM curve_rule r LEFT JOIN (
     "curve_docs_one": _with(docs=(1, "reference")) + "SELECT curve_id, doc FROM docs",
     "curve_docs_clean": _with(docs=(None, "clean")) + "SELECT curve_id, doc FROM docs",
 }
+_DOCS = _with(docs=(None, "reference"))
+_LINES = """lines AS (
+  SELECT CAST(((curve_id % 16) + 16) % 16 AS INTEGER) AS bundle, 1 AS seq, curve_id, doc AS value FROM docs),
+framed AS (
+  SELECT * FROM lines
+  UNION ALL SELECT DISTINCT bundle, 0, CAST(NULL AS BIGINT), '<DOCS>' FROM lines
+  UNION ALL SELECT DISTINCT bundle, 2, CAST(NULL AS BIGINT), '</DOCS>' FROM lines)
+"""
+ORACLE |= {
+    "bundle_lines": _DOCS.rstrip() + ",\n" + _LINES + "SELECT bundle, seq, curve_id, value FROM framed",
+    "bundle_files": _DOCS.rstrip() + ",\n" + _LINES + "SELECT bundle, value FROM framed",
+    "keyed_docs": ORACLE["curve_docs_one"],
+    "staging_table": ORACLE["staged_names"],
+    "rule_failures": _with(*_NAMING, "flags") + """SELECT load_set_id, curve_id, long_text, short_text, desc_text
+FROM flags WHERE long_reason = 'rule_error' OR short_reason = 'rule_error' OR desc_reason = 'rule_error'""",
+    "rule_sets": _with() + """SELECT s.load_set_id, s.curves,
+  CASE WHEN r.n > 1 THEN 'Loadset:' || CAST(s.load_set_id AS VARCHAR) || ' has ' || CAST(r.n AS VARCHAR) || ' rule rows'
+       WHEN r.long IS NULL THEN 'Loadset:' || CAST(s.load_set_id AS VARCHAR) || ' doesn''t have rule for long curve name'
+       WHEN r.short IS NULL THEN 'Loadset:' || CAST(s.load_set_id AS VARCHAR) || ' doesn''t have rule for short curve name'
+       WHEN r.descr IS NULL THEN 'Loadset:' || CAST(s.load_set_id AS VARCHAR) || ' doesn''t have rule for curve description'
+  END AS error, CASE WHEN r.n > 1 THEN r.n END AS rule_rows
+FROM (SELECT load_set_id, count(*) AS curves FROM load_set_curve GROUP BY load_set_id) s
+LEFT JOIN (SELECT load_set_id, count(*) AS n, min(longname_rule_exp) AS long, min(shortname_rule_exp) AS short, min(desc_rule_exp) AS descr
+           FROM curve_rule GROUP BY load_set_id) r ON r.load_set_id = s.load_set_id""",
+}
 ORACLE["numbered_keys"] = ORACLE["attr_map_rows"]
-# the skew paths and the bundle clustering change how, not what
+# full maps and the bundle clustering change how, not what
 ORACLE["staged_names_skew"] = ORACLE["staged_names"]
 ORACLE["curve_docs_bundled"] = ORACLE["curve_docs"]

@@ -20,17 +20,16 @@ from namewright.operators import docs as D
 from namewright.operators import quality as Q
 from namewright.operators.rules import collect_rules
 from namewright.plans import jobs
+from namewright.session import scratch_path
 from namewright.sinks import writers
 from namewright.sources import fixture_views as fv
 from namewright.sources import tables as T
 
 # fixed parameters of the registered queries
 ONE_SET = 1            # the load set used by single-set queries
-CUT_CHARS = 1000       # below the longest fixture attribute text (1,593)
+CUT_CHARS = 3000       # some fixture attribute texts are longer, some shorter
 NEEDLE = '"Geography.in":'
 BUNDLES = 16
-SKEW_NAME_ROWS = 2     # names held by more rows take the broadcast owner join
-SKEW_CURVE_ROWS = 5    # curves with more rows take the salted pre-cut
 
 
 def _views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -190,11 +189,55 @@ def q_staged_names(spark, sf):
 
 
 def q_staged_names_skew(spark, sf):
-    """JOB1 through the skew paths: thresholds so low that most curves take
-    the salted pre-cut and every shared name the broadcast owner join."""
+    """JOB1 with every curve's full maps (no pruning by the rules' keys): the
+    reduction before the membership join must not change a name."""
     v = _views(spark, sf)
     return jobs.stage(v["object_meta"], v["load_set_curve"], v["curve_dict"], v["curve_rule"],
-                      hot_rows=SKEW_NAME_ROWS, hot_curve_rows=SKEW_CURVE_ROWS).staged
+                      restrict_keys=False).staged
+
+
+def q_rule_failures(spark, sf):
+    """RUL3/RUL4: curves whose rules are refused, do not compile or give no text."""
+    flags = _flags(_views(spark, sf))
+    failed = " OR ".join(f"{k}_reason = '{Q.RULE_ERROR}'" for k in ("long", "short", "desc"))
+    return flags.where(failed).select("load_set_id", "curve_id", "long_text", "short_text", "desc_text")
+
+
+def q_rule_sets(spark, sf):
+    """RUL5/LIM1: per load set with curves, why none of its rules can be used."""
+    v = _views(spark, sf)
+    sets = collect_rules(v["curve_rule"])
+    errors = spark.createDataFrame([(r.load_set_id, r.error) for r in sets], "load_set_id int, error string")
+    counts = v["load_set_curve"].groupBy("load_set_id").agg(F.count(F.lit(1)).alias("curves"))
+    repeated = T.repeated_rule_sets(v["curve_rule"]).select("load_set_id", F.col("count").alias("rule_rows"))
+    return counts.join(errors, "load_set_id", "left").join(repeated, "load_set_id", "left")
+
+
+def q_staging_table(spark, sf):
+    """SNK1: the staging table after two runs, the second over two load sets only."""
+    v = _views(spark, sf)
+    path = scratch_path(spark, "staging")
+    tables = [v[k] for k in ("object_meta", "load_set_curve", "curve_dict", "curve_rule")]
+    for some in (None, [0, 3]):
+        run = jobs.stage(*tables, load_set_ids=some)
+        writers.write_staging(run.staged, path, run.good_load_sets, run.good_load_sets)
+    return spark.read.parquet(path).withColumn("load_set_id", F.col("load_set_id").cast("int"))
+
+
+def q_bundle_files(spark, sf):
+    """SNK3: the lines of the bundle files."""
+    v = _views(spark, sf)
+    path = scratch_path(spark, "bundles")
+    writers.write_bundles(jobs.build_docs(v["object_meta"], v["load_set_curve"], v["curve_name"], T.ALL), path, BUNDLES)
+    return spark.read.text(path).select(F.col("bundle").cast("int").alias("bundle"), "value")
+
+
+def q_keyed_docs(spark, sf):
+    """SNK4: documents by curve id, read back."""
+    v = _views(spark, sf)
+    path = scratch_path(spark, "keyed")
+    writers.write_keyed_docs(jobs.build_docs(v["object_meta"], v["load_set_curve"], v["curve_name"], ONE_SET), path)
+    return spark.read.parquet(path)
 
 
 def q_load_set_report(spark, sf):
@@ -300,6 +343,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dup_short": q_dup_short,
     "staged_names": q_staged_names,
     "staged_names_skew": q_staged_names_skew,
+    "rule_failures": q_rule_failures,
+    "rule_sets": q_rule_sets,
+    "staging_table": q_staging_table,
+    "bundle_files": q_bundle_files,
+    "keyed_docs": q_keyed_docs,
     "load_set_report": q_load_set_report,
     "status_after": q_status_after,
     "meta_sizes": q_meta_sizes,

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -45,26 +46,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     )
     for k, v in {**PLAN_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        # tests only: a scratch folder, since no shared one is configured
-        builder = builder.config("spark.checkpoint.dir",
-                                 tempfile.mkdtemp(prefix="namewright-ckpt-", dir="/tmp"))
-    else:
-        builder = builder.config("spark.checkpoint.dir", os.environ["SPARK_CHECKPOINT_DIR"])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, creating a scratch one only
-    when none is configured (local tests).  On a cluster this is the shared
-    folder named by ``spark.checkpoint.dir``; it is never overridden."""
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    path = tempfile.mkdtemp(prefix="namewright-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that driver and executors share
+    (``spark.checkpoint.dir``); a temporary folder only where none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    return f"{root.rstrip('/')}/namewright/{name}-{uuid.uuid4().hex}"
