@@ -6,9 +6,10 @@
   export  --meta T --members T --names T --out PATH --bundles N
           [--load-set ID | all] [--mode reference|clean]
 
-A table argument is a parquet path, or ``table:NAME`` for a catalog table,
-or ``jdbc:...`` with ``--jdbc-table`` and credentials from the environment
-variables NAMEWRIGHT_JDBC_USER / NAMEWRIGHT_JDBC_PASSWORD (never from files).
+A table argument is a parquet path, ``table:NAME`` for a catalog table, or
+``jdbc:<url>#<table>`` (metadata and names are read in ``--jdbc-parts`` range
+partitions of their id's bucket; ``--staging`` may be one too).  Credentials come
+from the environment variables NAMEWRIGHT_JDBC_USER / NAMEWRIGHT_JDBC_PASSWORD.
 The session comes from spark-submit; nothing here sets cluster options.
 """
 
@@ -22,16 +23,25 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from namewright.plans import jobs
-from namewright.sources.tables import ALL, decode_meta, decode_names
+from namewright.sources import jdbc
+from namewright.sources.tables import ALL, META_COLUMNS, NAME_COLUMNS, decode_meta, decode_names
 
 
-def load(spark: SparkSession, spec: str, jdbc_table: str | None = None) -> DataFrame:
+def jdbc_props(args) -> dict:
+    props = {k: v for k, v in (("user", os.environ.get("NAMEWRIGHT_JDBC_USER")),
+                               ("password", os.environ.get("NAMEWRIGHT_JDBC_PASSWORD")),
+                               ("driver", args.jdbc_driver)) if v}
+    return props
+
+
+def load(spark: SparkSession, spec: str, args, columns=None, id_col: str | None = None) -> DataFrame:
     if spec.startswith("table:"):
         return spark.table(spec[len("table:"):])
     if spec.startswith("jdbc:"):
-        props = {k: v for k, v in (("user", os.environ.get("NAMEWRIGHT_JDBC_USER")),
-                                   ("password", os.environ.get("NAMEWRIGHT_JDBC_PASSWORD"))) if v}
-        return spark.read.jdbc(spec, jdbc_table, properties=props)
+        if columns is not None and args.jdbc_parts > 1:
+            return jdbc.read_bucketed(spark, spec, columns, id_col, args.jdbc_parts, jdbc_props(args), args.jdbc_quote)
+        url, table = jdbc.split_spec(spec)
+        return jdbc.read_jdbc(spark, url, table, props=jdbc_props(args))
     return spark.read.parquet(spec)
 
 
@@ -60,26 +70,28 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--bundles", type=int, required=True)
     e.add_argument("--load-set", default=ALL)
     e.add_argument("--mode", default="reference", choices=["reference", "clean"])
-    p.add_argument("--jdbc-table", default=None)
+    for q in (s, e):
+        q.add_argument("--jdbc-parts", type=int, default=1)
+        q.add_argument("--jdbc-driver", default=None)
+        q.add_argument("--jdbc-quote", default='"')
     return p
 
 
 def main(argv=None) -> int:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"namewright-{args.job}").getOrCreate()
+    meta = decode_meta(load(spark, args.meta, args, META_COLUMNS, "object_id"))
+    members = load(spark, args.members, args)
     if args.job == "stage":
         run = jobs.run_staging(
-            decode_meta(load(spark, args.meta, args.jdbc_table)), load(spark, args.members, args.jdbc_table),
-            load(spark, args.dictionary, args.jdbc_table), load(spark, args.rules, args.jdbc_table),
+            meta, members, load(spark, args.dictionary, args), load(spark, args.rules, args),
             args.staging, args.status, load_set_ids=_sets(args.load_sets), report_path=args.report,
-            type_id=args.type_id, max_attr_chars=args.max_attr_chars)
+            type_id=args.type_id, max_attr_chars=args.max_attr_chars, jdbc_props=jdbc_props(args))
         print(json.dumps({"metrics": run.metrics, "failed_load_sets": run.failed_load_sets,
                           "errors": {r.load_set_id: r.error for r in run.rule_sets if r.error}}))
         return 1 if run.failed_load_sets else 0
     load_set = args.load_set if args.load_set == ALL else int(args.load_set)
-    jobs.run_export(decode_meta(load(spark, args.meta, args.jdbc_table)),
-                    load(spark, args.members, args.jdbc_table),
-                    decode_names(load(spark, args.names, args.jdbc_table)),
+    jobs.run_export(meta, members, decode_names(load(spark, args.names, args, NAME_COLUMNS, "curve_id")),
                     args.out, args.bundles, load_set_id=load_set, mode=args.mode)
     return 0
 

@@ -117,50 +117,14 @@ def _tail(col: Column, start: Column) -> Column:
     return F.substr(col, start, F.length(col))
 
 
-def too_long(c, limit: int) -> Column:
-    """STR6: strictly longer than ``limit`` characters (equal is fine)."""
-    return F.length(_c(c)) > F.lit(limit)
-
-
 def clip(c, width: int = STORED_TEXT_MAX) -> Column:
     """STR8: cut text to ``width`` characters for storage."""
     return F.left(_c(c), F.lit(width))
 
 
-def msg_exception(kind: str, curve_id, reason) -> Column:
-    """STR7: ``Failed to generate <kind> for the curve:ID because of exception:MSG``."""
-    return F.concat(F.lit(MSG_PREFIX + KIND_LABEL[kind] + MSG_FOR_CURVE),
-                    _c(curve_id).cast("string"), F.lit(MSG_EXCEPTION), _lit_or_col(reason))
-
-
-def msg_too_long(kind: str, curve_id, name, limit: int) -> Column:
-    """STR7: ``.. because its result name NAME is longer than N characters``."""
-    return F.concat(F.lit(MSG_PREFIX + KIND_LABEL[kind] + MSG_FOR_CURVE),
-                    _c(curve_id).cast("string"), F.lit(MSG_TOO_LONG_A), _c(name),
-                    F.lit(MSG_TOO_LONG_B + str(limit) + MSG_TOO_LONG_C))
-
-
-def msg_duplicate(kind: str, curve_id, owner_id) -> Column:
-    """STR7: ``.. because its result name is same as curve:FIRST``."""
-    return F.concat(F.lit(MSG_PREFIX + KIND_LABEL[kind] + MSG_FOR_CURVE),
-                    _c(curve_id).cast("string"), F.lit(MSG_SAME_AS), _c(owner_id).cast("string"))
-
-
-def msg_whole(kind: str, curve_id, reason) -> Column:
-    """STR7: failure of the whole attribute text (names share one text; the
-    description uses the reference's own spelling)."""
-    head = MSG_WHOLE_DESC if kind == "desc" else MSG_WHOLE_NAME
-    return F.concat(F.lit(head), _c(curve_id).cast("string"), F.lit(MSG_EXCEPTION),
-                    _lit_or_col(reason))
-
-
-def _lit_or_col(x) -> Column:
-    return x if isinstance(x, Column) else F.lit(x)
-
-
 # ---------------------------------------------------------------------------
-# The same messages as SQL text (one expression per column keeps plan
-# building to a single call on the driver; used by the quality operators)
+# STR7: the messages as SQL text (one expression per column keeps plan
+# building to a single call on the driver)
 # ---------------------------------------------------------------------------
 def sql_str(s: str) -> str:
     """A SQL string literal (backslash escapes, as Spark SQL reads them)."""

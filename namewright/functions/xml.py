@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from namewright.functions.text import sql_str
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for equal documents
@@ -40,11 +39,6 @@ JAVA_NULL = "null"
 XML_ESCAPES = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&apos;")]
 
 
-def sql_str(s: str) -> str:
-    """A SQL string literal (backslash escapes, as Spark SQL reads them)."""
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def sql_escape(expr: str) -> str:
     """SQL text escaping the XML special characters of ``expr``."""
     for raw, esc in XML_ESCAPES:
@@ -52,18 +46,6 @@ def sql_escape(expr: str) -> str:
     return expr
 
 
-def xml_escape(c: Column) -> Column:
-    for raw, esc in XML_ESCAPES:
-        c = F.replace(c, F.lit(raw), F.lit(esc))
-    return c
-
-
-def xml_element(tag: str, value: Column, escape: bool = False) -> Column:
-    """STR9: ``<tag>value</tag>``; values are not escaped unless asked."""
-    v = xml_escape(value) if escape else value
-    return F.concat(F.lit(f"<{tag}>"), v, F.lit(f"</{tag}>"))
-
-
 def sql_doc_open(id_col: str = "curve_id", mode: str = "reference") -> str:
     """``<DOC id=ID TYPE="..."><Permission>ID</Permission>``; 'clean' quotes the id."""
     q = '"' if mode == "clean" else ""
@@ -79,11 +61,3 @@ def sql_name_part(col: str, mode: str = "reference") -> str:
     if mode == "clean":
         return f"coalesce({sql_escape(col)}, '')"
     return f"coalesce({col}, {sql_str(JAVA_NULL)})"
-
-
-def doc_open(curve_id: str = "curve_id", mode: str = "reference") -> Column:
-    return F.expr(sql_doc_open(curve_id, mode))
-
-
-def name_part(col: str, mode: str = "reference") -> Column:
-    return F.expr(sql_name_part(col, mode))

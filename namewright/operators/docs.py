@@ -15,9 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from namewright.functions.text import empty_if_null
+from namewright.functions.text import empty_if_null, sql_str
 from namewright.functions.xml import (PAIR_SEP, PAIRED_ELEMENTS, SINGLE_ELEMENTS, SINGLE_VERB,
-                                      sql_doc_open, sql_escape, sql_name_part, sql_str)
+                                      sql_doc_open, sql_escape, sql_name_part)
 from namewright.operators.attrs import semi_members
 from namewright.sources.tables import ALL, CURVE_TYPE_ID, only_curves
 
@@ -61,11 +61,6 @@ def _tag_sql() -> str:
         f"WHEN {i} THEN {sql_str(t)}" for i, (_a, t) in enumerate(SINGLE_ELEMENTS, start=1)) + " END"
 
 
-def element_tag() -> Column:
-    """Tag for single-valued ranks 1..11."""
-    return F.expr(_tag_sql())
-
-
 def select_doc_attrs(dm: DataFrame) -> DataFrame:
     """FLT5 as rows: the exported metadata rows with their rank."""
     return dm.select("*", element_rank().alias("rank")).filter(F.col("rank").isNotNull())
@@ -107,13 +102,6 @@ def _paired_sql(pairs: str, names_tag: str, codes_tag: str, escape: bool) -> str
             f"ELSE '' END")
 
 
-def paired_text(pairs: str, names_tag: str, codes_tag: str, escape: bool = False) -> Column:
-    """AGG6/XML1: ``<N>a|b</N><C>x|</C>``; empty when the list is empty.  Codes
-    keep their slot when empty (``array_join`` would drop nulls, so they are
-    empty strings already)."""
-    return F.expr(_paired_sql(pairs, names_tag, codes_tag, escape))
-
-
 def join_names(elements: DataFrame, names: DataFrame) -> DataFrame:
     """JN4: left outer join on curve_id.  A curve without names still gets a
     document; a name without metadata gets none; several name rows give

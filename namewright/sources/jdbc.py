@@ -1,30 +1,41 @@
 """JDBC scans (SRC1, SRC2).
 
-The source runs a subquery; Spark splits it into ``n_parts`` range partitions
-on a bucket column (``mod(id, 1000)``), each task fetching its range.  Bounds
-are 0..1000 so every bucket value 0..999 lands in exactly one range (edge
-ranges are open-ended in Spark in any case).  Credentials come from the
-caller's ``props``; nothing is stored here.
+A table is named ``jdbc:<url>#<table>``.  A large one is read as a subquery that
+adds a bucket column (``MOD(id, 1000)``); Spark splits it into ``n_parts`` range
+partitions of the bucket, and each task fetches its range.  Bounds are 0..1000 so
+every bucket value 0..999 lands in exactly one range (edge ranges are open-ended in
+Spark in any case).  Credentials come from the caller's ``props``; nothing is stored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
-META_QUERY = (
-    "(SELECT om.object_id AS curve_id, mod(om.object_id, 1000) AS partition_id, attribute, verb, "
-    "ric, element_name AS name FROM {meta} om WHERE om.object_type_id = 1{scope}) curve_attr"
-)
-NAMES_QUERY = (
-    "(SELECT curve_id, mod(curve_id, 1000) AS partition_id, curve_name, short_curve_name, "
-    "curve_description FROM {names}{scope}) curve_names"
-)
+from namewright.sources.tables import BUCKETS
+
+BUCKET = "partition_id"
+
+
+def split_spec(spec: str) -> tuple[str, str]:
+    """``jdbc:<url>#<table>`` as (url, table)."""
+    url, mark, table = spec.rpartition("#")
+    if not mark or not table:
+        raise ValueError(f"{spec!r} names no table: use jdbc:<url>#<table>")
+    return url, table
+
+
+def bucket_query(table: str, columns: Iterable[str], id_col: str, quote: str = '"') -> str:
+    """The subquery with the wanted columns and the bucket of ``id_col``."""
+    q = lambda c: f"{quote}{c}{quote}"
+    return f"(SELECT {', '.join(map(q, columns))}, MOD({q(id_col)}, {BUCKETS}) AS {q(BUCKET)} FROM {table}) bucketed"
 
 
 def read_jdbc(spark: SparkSession, url: str, query: str, bucket_col: str | None = None,
               n_parts: int = 1, props: dict | None = None, lower: int = 0,
-              upper: int = 1000, fetchsize: int = 10000) -> DataFrame:
-    """SRC1/SRC2: a (possibly range-partitioned) JDBC subquery scan."""
+              upper: int = BUCKETS, fetchsize: int = 10000) -> DataFrame:
+    """SRC1/SRC2: a (possibly range-partitioned) JDBC table or subquery scan."""
     props = dict(props or {})
     props.setdefault("fetchsize", str(fetchsize))
     if bucket_col is None or n_parts <= 1:
@@ -33,13 +44,10 @@ def read_jdbc(spark: SparkSession, url: str, query: str, bucket_col: str | None
                            upperBound=upper, numPartitions=n_parts, properties=props)
 
 
-def meta_query(meta_table: str, members_table: str, load_set_id) -> str:
-    """The export job's metadata subquery for one load set or ``'all'``."""
-    scope = "" if load_set_id == "all" else (
-        f" AND om.object_id IN (SELECT curve_id FROM {members_table} WHERE load_set_id = {int(load_set_id)})")
-    return META_QUERY.format(meta=meta_table, scope=scope)
-
-
-def names_query(names_table: str, load_set_id) -> str:
-    scope = "" if load_set_id == "all" else f" WHERE load_set_id = {int(load_set_id)}"
-    return NAMES_QUERY.format(names=names_table, scope=scope)
+def read_bucketed(spark: SparkSession, spec: str, columns: Iterable[str], id_col: str, n_parts: int,
+                  props: dict | None = None, quote: str = '"') -> DataFrame:
+    """SRC2: the ``columns`` of a large table in ``n_parts`` partitions."""
+    url, table = split_spec(spec)
+    columns = list(columns)
+    df = read_jdbc(spark, url, bucket_query(table, columns, id_col, quote), BUCKET, n_parts, props)
+    return df.select(*columns)

@@ -22,11 +22,16 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namewright.functions.text import default_abbr, empty_if_null
+from namewright.functions.text import empty_if_null
 
 ALL = "all"
 CURVE_TYPE_ID = 1
 BUCKETS = 1000
+# columns and types of the two large tables
+META_COLUMNS = {"object_id": "long", "object_type_id": "int", "attribute": None, "verb": None, "ric": None,
+                "element_id": "long", "element": None, "element_name": None}
+NAME_COLUMNS = {"load_set_id": "int", "curve_id": "long", "curve_name": None, "short_curve_name": None,
+                "curve_description": None}
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -34,24 +39,18 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+def _decoded(df: DataFrame, columns: dict[str, str | None]) -> DataFrame:
+    return df.select(*[F.col(c).cast(kind).alias(c) if kind else F.col(c) for c, kind in columns.items()])
+
+
 def decode_meta(df: DataFrame) -> DataFrame:
     """SRC7: metadata with integral ids (a DECIMAL(p,0) from JDBC becomes long)."""
-    return df.select(
-        F.col("object_id").cast("long").alias("object_id"),
-        F.col("object_type_id").cast("int").alias("object_type_id"),
-        "attribute", "verb", "ric",
-        F.col("element_id").cast("long").alias("element_id"),
-        "element", "element_name",
-    )
+    return _decoded(df, META_COLUMNS)
 
 
 def decode_names(df: DataFrame) -> DataFrame:
     """SRC7: published names with integral ids."""
-    return df.select(
-        F.col("load_set_id").cast("int").alias("load_set_id"),
-        F.col("curve_id").cast("long").alias("curve_id"),
-        "curve_name", "short_curve_name", "curve_description",
-    )
+    return _decoded(df, NAME_COLUMNS)
 
 
 def with_bucket(df: DataFrame, id_col: str, n: int = BUCKETS, name: str = "partition_id") -> DataFrame:
@@ -86,11 +85,6 @@ def null_to_empty(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.select(*[empty_if_null(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def with_default_abbr(df: DataFrame, col: str = "abbr") -> DataFrame:
-    """FLT4: ``nvl(abbr, ' ')`` with Oracle's empty-is-null."""
-    return df.withColumn(col, default_abbr(col))
-
-
 def read_rules(rules: DataFrame, load_set_ids=None) -> DataFrame:
     """SRC5: the naming rules of the requested load sets (one row expected per set)."""
     return in_load_set(rules, load_set_ids).select(
