@@ -17,4 +17,33 @@ ids AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS x F
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(x, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN ids USING (doc_id)""",
+    "op2_substrings": """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT r, p, md5(array_slice(b, p, p + 199)) AS k FROM (SELECT r, b, unnest(range(1, octet_length(b) - 198)) AS p FROM d)),
+rep AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+hit AS (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS q FROM w SEMI JOIN rep USING (k)),
+isle AS (SELECT r, p, sum(CASE WHEN q IS NULL OR p - q > 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY p) AS i FROM hit),
+span AS (SELECT r, i, min(p) AS a, max(p) + 200 AS z FROM isle GROUP BY r, i),
+gone AS (SELECT r, sum(z - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY r),
+gap AS (SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 1) AS a, a AS z FROM span
+        UNION ALL SELECT r, max(z), 9223372036854775807 FROM span GROUP BY r),
+kept AS (SELECT r, string_agg(hex(array_slice(b, a, least(z - 1, octet_length(b)))), '' ORDER BY a) AS h
+         FROM gap JOIN d USING (r) WHERE a < z AND a <= octet_length(b) GROUP BY r)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       CASE WHEN n_spans IS NULL THEN sha256(b) ELSE sha256(unhex(coalesce(h, ''))) END AS kept_sha256
+FROM d LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)""",
+    "op3_near_duplicates": rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all({_FOLD.format("text")}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT r, list_aggregate(w[p : p + least(5, len(w)) - 1], 'string_agg', ' ') AS x
+      FROM (SELECT r, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+pair AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.r < b.r GROUP BY 1, 2),
+link AS (SELECT d1.doc_id AS a, d2.doc_id AS b FROM pair JOIN n x ON x.r = pair.a JOIN n y ON y.r = pair.b
+         JOIN d d1 ON d1.r = pair.a JOIN d d2 ON d2.r = pair.b
+         WHERE 100 * c >= 75 * (x.n + y.n - c) AND d1.doc_id <> d2.doc_id),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT a AS x, a AS y FROM edge UNION SELECT reach.x, edge.b FROM reach JOIN edge ON reach.y = edge.a),
+comp AS (SELECT x, min(y) AS c FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id, coalesce(coalesce(c, d.doc_id) = d.doc_id, true) AS kept
+FROM d LEFT JOIN n USING (r) LEFT JOIN comp ON comp.x = d.doc_id""",
 }
