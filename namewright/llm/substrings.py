@@ -35,7 +35,7 @@ from namewright.llm.common import by_batch, written
 from namewright.llm.hashing import run_hashes, window_minima
 
 SIZE, GRAM = 200, 40
-MOST, BLOCK_BYTES = 8192, 1 << 20
+MOST, BLOCK_BYTES = 8192, 1 << 18
 CHUNKS = (16, 1)
 
 
@@ -77,19 +77,28 @@ def suffix_order(symbols: np.ndarray, segment: np.ndarray) -> np.ndarray:
         alive &= padded[k : n + k] != 0
     order = np.lexsort((np.where(alive, 0, segment), key))
     same = (key[order[1:]] == key[order[:-1]]) & (alive[order[1:]] | (segment[order[1:]] == segment[order[:-1]]))
-    rank = np.empty(n, np.int64)
-    rank[order] = np.concatenate([[0], np.cumsum(~same)])
+    rank = np.empty(n, np.int64)  # the place of the first of those that are equal so far
+    rank[order] = _first_of_run(np.concatenate([[True], ~same]))
+    open_ = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
     width = 7
-    while rank.max() < n - 1:
-        follow = rank[np.minimum(np.arange(n) + width, n - 1)]  # suffixes that end before have a rank of their own already
-        key = rank * n + follow
-        order = np.argsort(key, kind="stable")
-        rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(key[order[1:]] != key[order[:-1]])])
+    while len(open_):
+        key = rank[open_] * n + rank[np.minimum(open_ + width, n - 1)]  # suffixes that end before have a rank of their own already
+        by = np.argsort(key)
+        open_, key = open_[by], key[by]
+        group = rank[open_]
+        place = group + np.arange(len(by)) - _first_of_run(np.concatenate([[True], group[1:] != group[:-1]]))
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[open_] = place[_first_of_run(new)]
+        open_ = open_[~(new & np.append(new[1:], True))]
         width *= 2
     return rank
 
 
+def _first_of_run(new: np.ndarray) -> np.ndarray:
+    """The index at which each element's run begins; ``new`` marks the beginnings."""
+    return np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+
+
 def repeated_windows(contents: list[bytes], counts: list[int], size: int) -> list[np.ndarray]:
     """For each content (all different) a mask of its windows that occur at least twice, a content counting ``counts`` times."""
     lengths = np.array([len(c) for c in contents])
@@ -98,26 +107,28 @@ def repeated_windows(contents: list[bytes], counts: list[int], size: int) -> lis
     symbols[stops] = 0
     n = len(symbols)
     segment = np.repeat(np.arange(len(contents)), lengths + 1)
-    rank = suffix_order(symbols, segment)
-    order = np.empty(n, np.int64)
-    order[rank] = np.arange(n)
+    rank = suffix_order(symbols, segment).astype(np.int32)
+    order = np.empty(n, np.int32)
+    order[rank] = np.arange(n, dtype=np.int32)
     before = order - 1  # of position 0 the last one: a separator, which is never extended by
     transform, back = symbols[before], rank[before]  # the transform and its last-to-first mapping
-    earlier = np.full(n, -1)  # the same symbol's place before in the transform
+    earlier = np.full(n, -1, np.int32)  # the same symbol's place before in the transform
     by_symbol = np.argsort(transform, kind="stable")
     same = (transform[by_symbol[1:]] == transform[by_symbol[:-1]]) & (transform[by_symbol[1:]] != 0)
     earlier[by_symbol[1:][same]] = by_symbol[:-1][same]
     head = symbols[order]
-    prefix = np.full(n, -1, np.int32)  # common prefix length with the suffix ranked before, once known
+    prefix = np.full(n, -1, np.int16)  # common prefix length with the suffix ranked before, once known
     prefix[0] = 0
     prefix[1:][(head[1:] != head[:-1]) | (head[1:] == 0)] = 0
-    frontier = np.flatnonzero(prefix == 0)
+    frontier, seen = np.flatnonzero(prefix == 0), 0
     for length in range(1, size):
         if not len(frontier):
             break
-        known = np.append(np.flatnonzero(prefix >= 0), n)
-        widths = known[np.searchsorted(known, frontier) + 1] - frontier
+        if length < 16 or length % 8 == 0 or seen > n // 8:  # newer boundaries only shorten the stretches that are looked through
+            known = np.append(np.flatnonzero(prefix >= 0), n)
+        widths = known[np.searchsorted(known, frontier, "right")] - frontier
         ends = np.cumsum(widths)
+        seen = ends[-1]
         at = np.arange(ends[-1]) + np.repeat(frontier - (ends - widths), widths)
         low = earlier[at]
         at = at[(low >= 0) & (low < np.repeat(frontier, widths))]
