@@ -8,7 +8,8 @@ share no ``k`` bytes share none (but for hash collisions). Likeness is the Jacca
 Scale: fingerprints need no shuffle. The query with neighbours deals the texts out once, by ranges of doc_id whose
 bounds come from approximate quantiles, and sorts within the ranges; a text that begins a range is also sent to the range
 before it, so that every pair of neighbours meets in one task. Only range bounds and one key per range reach
-the driver: their number is the input's bytes by ``range_bytes``. A task streams its rows and holds two texts and one Arrow batch.
+the driver: their number is the input's bytes by ``range_bytes``, 20,000 at most (then ranges grow). A task streams its rows,
+which Spark sorts with spilling, and holds two texts and one Arrow batch.
 
 Defined cases: null text counts as empty. A text of under ``k`` bytes is one gram, an empty one has no
 fingerprint; two empty fingerprints are alike (1), an empty and another one are not (0). Rows without doc_id come last
@@ -30,7 +31,7 @@ from namewright.llm.common import by_batch
 from namewright.llm.hashing import window_minima
 
 K, WINDOW = 12, 24
-RANGE_BYTES = 16 << 20
+RANGE_BYTES, MOST_RANGES, SMALL_BYTES = 16 << 20, 20_000, 1 << 20
 
 
 def winnow(data: bytes, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -77,7 +78,8 @@ def with_next(docs: DataFrame, doc_id: str, text: str, range_bytes: int) -> Data
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keyed = keyed.select("doc_id", "text", F.coalesce("doc_id", F.lit(least)).alias("place"), F.xxhash64("text").alias("h"))
     total = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, math.ceil(total / range_bytes))
+    least_parts = int(spark.conf.get("spark.sql.shuffle.partitions")) if total > SMALL_BYTES else 1
+    parts = min(MOST_RANGES, max(least_parts, math.ceil(total / range_bytes)))
     shares = [i / parts for i in range(1, parts)]
     bounds = keyed.agg(F.percentile_approx("place", shares, 20 * parts)).first()[0] if shares else []
     bounds = np.unique(np.array(bounds or [], np.int64))
