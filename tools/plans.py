@@ -57,7 +57,7 @@ def main():
         df.write.parquet(f"{d}/{name}")
     t = lambda n: spark.read.parquet(f"{d}/{n}")
     run = jobs.stage(t("object_meta"), t("load_set_curve"), t("curve_dict"), t("curve_rule"), persist=True)
-    flags = run.persisted[0]
+    flags = run.flags
     stage_plan = clean(run.staged._jdf.queryExecution().executedPlan().toString())
     # the persisted per-curve result is printed once, on its own
     cached = clean(flags._jdf.queryExecution().executedPlan().toString())
