@@ -215,7 +215,8 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
     need_var = keys is None or keys.needs_var
     attributes = keys.attribute_candidates() if restricted and not keys.var_keys else None
 
-    ent = object_entries(meta, dictionary, type_id, attributes)
+    # full maps leave every entry of a curve in, so curves outside the load sets go first
+    ent = object_entries(meta if restricted else semi_members(meta, members), dictionary, type_id, attributes)
     if restricted:
         wanted = F.lit(False)
         if need_curve:

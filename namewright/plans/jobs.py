@@ -209,8 +209,15 @@ def run_staging(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rule
 
 def run_report(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: DataFrame,
                load_set_ids=None, **kw) -> DataFrame:
-    """RPT1 without staging: the per-load-set counts."""
-    return load_set_report(stage(meta, members, dictionary, rules, load_set_ids, **kw).checked)
+    """RPT1 without staging: the per-load-set counts, one row per load set.  The
+    per-curve result is persisted while they are made."""
+    kw.setdefault("persist", True)
+    run = stage(meta, members, dictionary, rules, load_set_ids, **kw)
+    try:
+        report = load_set_report(run.checked)
+        return meta.sparkSession.createDataFrame(report.collect(), report.schema)
+    finally:
+        run.release()
 
 
 def build_docs(meta: DataFrame, members: DataFrame | None, names: DataFrame,
