@@ -11,6 +11,8 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 SLICE_BYTES = 4 << 20
@@ -60,6 +62,12 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias("row")
 
 
+def carried(df: DataFrame, keep: list[str | Column], ddl: str) -> tuple[list[tuple[str, pa.DataType]], StructType]:
+    """Arrow fields of the columns of ``df`` that a pass hands on, and its output schema: those columns and ``ddl``."""
+    kept = df.select(*keep).schema
+    return [(f.name, f.type) for f in to_arrow_schema(kept)], StructType(kept.fields + StructType.fromDDL(ddl).fields)
+
+
 def by_batch(
     rows: Callable[[pa.RecordBatch], Iterable[dict[str, pa.Array | list]]], types: list[tuple[str, pa.DataType]]
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

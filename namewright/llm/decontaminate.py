@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from namewright.llm.common import by_batch, whole_row
+from namewright.llm.common import by_batch, carried, whole_row
 
 WIDTH = 10
 BLOCK_BYTES = 16 << 20
@@ -142,12 +142,8 @@ def find_items(
     """One row per row of ``docs``: the ``keep`` columns, n_words, n_hit, hit_spans (word
     positions [start, end), merged) and item_ids (string, sorted) of items with an occurrence."""
     blocks = item_blocks(benchmark, item, item_text, block_bytes)
-    kept = docs.select(*keep)
-    body = "__text" + uuid.uuid4().hex[:6]
-    types = kept.schema
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = [(f.name, f.type) for f in to_arrow_schema(types)]
+    ddl = "n_words long, n_hit long, hit_spans array<struct<start:long,end:long>>, item_ids array<string>"
+    arrow, schema = carried(docs, keep, ddl)
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
         texts = batch.column(batch.num_columns - 1).to_pylist()
@@ -169,11 +165,7 @@ def find_items(
         }
 
     out = [("n_words", pa.int64()), ("n_hit", pa.int64()), ("hit_spans", _SPANS), ("item_ids", pa.list_(pa.string()))]
-    ddl = "n_words long, n_hit long, hit_spans array<struct<start:long,end:long>>, item_ids array<string>"
-    from pyspark.sql.types import StructType
-
-    schema = StructType(types.fields + StructType.fromDDL(ddl).fields)
-    return docs.select(*keep, F.col(text).cast("binary").alias(body)).mapInArrow(by_batch(rows, arrow + out), schema)
+    return docs.select(*keep, F.col(text).cast("binary").alias("__text")).mapInArrow(by_batch(rows, arrow + out), schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

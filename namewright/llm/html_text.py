@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from namewright.llm.common import by_batch
+from namewright.llm.common import by_batch, carried
 
 LONG = 140
 LINKS_BAD, LINKS_LOW, STOPS_LOW, STOPS_HIGH = 0.5, 0.25, 0.05, 0.12
@@ -191,15 +191,10 @@ def main_text(page: str | None) -> str:
 
 def extract(pages: DataFrame, keep: list[str | Column], markup: str = "html") -> DataFrame:
     """The ``keep`` columns of every row, text and n_chars (code points) of its main text."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    kept = pages.select(*keep).schema
-    arrow = [(f.name, f.type) for f in to_arrow_schema(kept)]
+    arrow, schema = carried(pages, keep, "text string, n_chars long")
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
         texts = [main_text(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
         yield {f: batch.column(k) for k, (f, _) in enumerate(arrow)} | {"text": texts, "n_chars": [len(t) for t in texts]}
 
-    schema = StructType(kept.fields + StructType.fromDDL("text string, n_chars long").fields)
     return pages.select(*keep, F.col(markup).alias("__markup")).mapInArrow(by_batch(rows, [*arrow, ("text", pa.string()), ("n_chars", pa.int64())]), schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from namewright.llm.common import by_batch, whole_row, written
+from namewright.llm.common import by_batch, carried, whole_row, written
 from namewright.llm.hashing import WHITE, Words, chunks, run_hashes
 
 RUN, MIN_WORDS, LEAST, LONGEST, CUT = 3, 20, 4, 16, 6
@@ -140,13 +140,9 @@ def without_sentences(text: bytes | None, covered: list[int] | None, least: int
 
 def remove_repeats(docs: DataFrame, keep: list[str | Column], doc_id: str = "doc_id", text: str = "text", run: int = RUN, min_words: int = MIN_WORDS, least: int = LEAST, longest: int = LONGEST, cut: int = CUT) -> DataFrame:
     """The ``keep`` columns of every row with kept_text, n_sentences and n_removed."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     removed = removed_sentences(docs, doc_id, text, run, min_words, least, longest, cut)
     bytes_ = F.col(text).cast("binary")
-    kept = docs.select(*keep).schema
-    arrow = [(f.name, f.type) for f in to_arrow_schema(kept)]
+    arrow, schema = carried(docs, keep, "kept_text string, n_sentences long, n_removed long")
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
         n = batch.num_columns
@@ -154,8 +150,7 @@ def remove_repeats(docs: DataFrame, keep: list[str | Column], doc_id: str = "doc
         yield {f: batch.column(k) for k, (f, _) in enumerate(arrow)} | {"kept_text": [None if x[0] is None else x[0].decode("utf-8", "replace") for x in out], "n_sentences": [x[1] for x in out], "n_removed": [x[2] for x in out]}
 
     whole = docs.select(F.struct(*keep).alias("row"), bytes_.alias("t"), _order(doc_id), F.xxhash64(bytes_).alias("body"))
-    met = whole.join(removed, ["doc", "body"], "left").select(*[F.col("row").getField(f.name).alias(f.name) for f in kept], F.col("t").alias("__text"), F.col("covered").alias("__covered"))
-    schema = StructType(kept.fields + StructType.fromDDL("kept_text string, n_sentences long, n_removed long").fields)
+    met = whole.join(removed, ["doc", "body"], "left").select(*[F.col("row").getField(name).alias(name) for name, _ in arrow], F.col("t").alias("__text"), F.col("covered").alias("__covered"))
     return met.mapInArrow(by_batch(rows, [*arrow, ("kept_text", pa.string()), ("n_sentences", pa.int64()), ("n_removed", pa.int64())]), schema)
 
 

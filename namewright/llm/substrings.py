@@ -31,8 +31,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from namewright.llm.common import by_batch, written
-from namewright.llm.hashing import run_hashes, window_minima
+from namewright.llm.common import by_batch, carried, written
+from namewright.llm.hashing import window_minima
 
 SIZE, GRAM = 200, 40
 MOST, BLOCK_BYTES = 8192, 1 << 18
@@ -295,12 +295,8 @@ def without_windows(body: bytes, found: list[dict] | None, size: int, gram: int)
 
 def remove_repeats(docs: DataFrame, keep: list[str | Column], text: str = "text", size: int = SIZE, gram: int = GRAM, most: int = MOST, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The ``keep`` columns of every row with kept (binary), n_bytes, and removed: ranges [start, stop) of bytes."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     found = repeated_segments(docs, text, size, gram, most, block_bytes)
-    kept = docs.select(*keep).schema
-    arrow = [(f.name, f.type) for f in to_arrow_schema(kept)]
+    arrow, schema = carried(docs, keep, "kept binary, n_bytes long, removed array<struct<start:long,stop:long>>")
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
         k = batch.num_columns
@@ -313,9 +309,8 @@ def remove_repeats(docs: DataFrame, keep: list[str | Column], text: str = "text"
         }
 
     types = [*arrow, ("kept", pa.binary()), ("n_bytes", pa.int64()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))]
-    schema = StructType(kept.fields + StructType.fromDDL("kept binary, n_bytes long, removed array<struct<start:long,stop:long>>").fields)
     whole = docs.select(F.struct(*keep).alias("row"), *_keys(text))
-    met = whole.join(found, ["t1", "t2"], "left").select(*[F.col("row").getField(f.name).alias(f.name) for f in kept], F.col("body").alias("__body"), F.col("found").alias("__found"))
+    met = whole.join(found, ["t1", "t2"], "left").select(*[F.col("row").getField(name).alias(name) for name, _ in arrow], F.col("body").alias("__body"), F.col("found").alias("__found"))
     return met.mapInArrow(by_batch(rows, types), schema)
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from namewright.llm.common import by_batch, whole_row, written
+from namewright.llm.common import by_batch, carried, whole_row, written
 
 SAMPLE, MAX_TERMS = 200_000, 200_000
 PRIOR, LEAST_Z, DRIFT, MIN_SCORE = 10.0, 4.5, 0.5, 0.3
@@ -215,11 +215,7 @@ _SEGMENTS = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64()), ("s
 
 def score(docs: DataFrame, model: Model, keep: list[str | Column], text: str = "text") -> DataFrame:
     """The ``keep`` columns of every row with score and segments: the significant toxic passages by token position."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    kept = docs.select(*keep).schema
-    arrow = [(f.name, f.type) for f in to_arrow_schema(kept)]
+    arrow, schema = carried(docs, keep, "score double, segments array<struct<first:long,stop:long,score:double>>")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     remembered: dict[str, _Weights] = {}
 
@@ -234,7 +230,6 @@ def score(docs: DataFrame, model: Model, keep: list[str | Column], text: str = "
             passages.append([{"first": a, "stop": b, "score": s} for a, b, s in found])
         yield {f: batch.column(k) for k, (f, _) in enumerate(arrow)} | {"score": scores, "segments": passages}
 
-    schema = StructType(kept.fields + StructType.fromDDL("score double, segments array<struct<first:long,stop:long,score:double>>").fields)
     return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(by_batch(rows, [*arrow, ("score", pa.float64()), ("segments", _SEGMENTS)]), schema)
 
 

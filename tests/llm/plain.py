@@ -75,12 +75,6 @@ def near_duplicates(docs: list[tuple]) -> list[tuple]:
     return [(i, len(s), None if i is None else root(i), i is None or root(i) == i) for i, s in sets]
 
 
-def winnowed(text: str, k: int, window: int) -> list[tuple[bytes, int]]:
-    """The grams (as bytes) at the positions that plain winnowing by ``order`` would look at are chosen by the caller; here: all grams with positions."""
-    b = text.encode()
-    return [(b[i : i + k], i) for i in range(max(1, len(b) - k + 1))] if b else []
-
-
 def best_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments by their recursive definition: the best one, then those on either side."""
 
