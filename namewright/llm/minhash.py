@@ -45,6 +45,7 @@ SLOTS = 1 << 22
 _ROWS = 2048
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 512
+EDGES_A_TASK = 20_000
 
 
 @lru_cache(1)
@@ -221,15 +222,42 @@ def close_pairs(members: DataFrame, sketched: DataFrame, threshold: Fraction) ->
     return dealt.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long")
 
 
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's edges (a, b) as edges (node, smallest node that they connect it with)."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while (up := parent.setdefault(top, top)) != top:
+            top = up
+        while x != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    nodes = [x for x in parent if root(x) != x]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([parent[x] for x in nodes], pa.int64())], names=["a", "b"])
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """node, label (the smallest node reachable) of every node that has an edge."""
-    both = written(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).select("node", F.least("node", "label").alias("label")), "labels")
+    """node, label (the smallest node reachable) of every node that has an edge.
+
+    Each task first contracts its own edges, which shortens all paths; then labels are lowered to the
+    neighbours' and to the label's own label until nothing changes. Tasks hold about EDGES_A_TASK edges."""
+    most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(most, -(-edges.count() // EDGES_A_TASK)))
+    short = edges.select("a", "b").coalesce(tasks).mapInArrow(_contracted, "a long, b long")
+    both = written(short.unionByName(short.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().coalesce(tasks), "edges")
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).select("node", F.least("node", "label").alias("label")).coalesce(tasks), "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         lower = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("low"))
         jump = labels.select(F.col("node").alias("low"), F.col("label").alias("lowest"))
-        step = written(lower.join(jump, "low", "left").select("node", F.col("label").alias("old"), F.least("low", "lowest").alias("label")), "labels")
+        step = lower.join(jump, "low", "left").select("node", F.col("label").alias("old"), F.least("low", "lowest").alias("label"))
+        step = written(step.coalesce(tasks), "labels")
         labels = step.select("node", "label")
         if step.where("old != label").isEmpty():
             return labels
