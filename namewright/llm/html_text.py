@@ -67,11 +67,12 @@ class _Block:
         self.text, self.label = "", None
 
 
-def _says_chrome(attrs: str) -> bool:
+def _says_chrome(attrs: str, region: str) -> bool:
+    """Whether class, id or role name a part of the page that is no main text; an article's own header is."""
     if not attrs:
         return False
     for m in _ATTR.finditer(attrs):
-        if not _ROLES.isdisjoint(re.split(r"[^a-z]+", m[1].lower())):
+        if not _ROLES.isdisjoint(w for w in re.split(r"[^a-z]+", m[1].lower()) if region != "main" or w != "header"):
             return True
     return bool(_HIDDEN.search(attrs))
 
@@ -127,10 +128,13 @@ def blocks(page: str) -> list[_Block]:
             continue
         else:
             attrs = m[3]
+            if tag in _BLOCK and stack and stack[-1][0] == "p" and tag != "br":  # ends an open paragraph
+                stack.pop()
+                region = stack[-1][1] if stack else "body"
             if tag == "a" and not attrs.rstrip().endswith("/"):
                 links += 1
-            if tag in _TRACKED and tag not in _VOID and (tag not in ("p", "span") or _says_chrome(attrs)):
-                chrome = region == "chrome" or (tag in _CHROME and not (tag == "header" and region == "main")) or (tag not in ("body", *_MAIN) and _says_chrome(attrs))
+            if tag in _TRACKED and tag not in _VOID and (tag not in ("p", "span") or _says_chrome(attrs, region)):
+                chrome = region == "chrome" or (tag in _CHROME and not (tag == "header" and region == "main")) or (tag not in ("body", *_MAIN) and _says_chrome(attrs, region))
                 region = "chrome" if chrome else "main" if tag in _MAIN else region
                 stack.append((tag, region))
         if tag in _BLOCK or region != current.region:

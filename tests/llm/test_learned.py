@@ -193,6 +193,7 @@ LONG = "The council said that the bridge would be closed for the summer and that
         (f"<header>{LONG}</header><main><header><h1>Real</h1></header><p>{LONG}</p></main>", f"Real {LONG}"),
         (f"<p>{LONG}</p><!-- {LONG} --><p hidden>{LONG}</p><p>cut <a", f"{LONG} cut"),
         ("<article><p>x</p><script>if (a<b) {</article>", "x"),
+        ("<article><div class='article-header'><h1>Head</h1></div><p hidden>no<p>yes</article>", "Head yes"),
     ],
 )
 def test_main_text(page, text):
