@@ -3,9 +3,9 @@
 The driver provides ``part supplier lineitem nation ...`` as parquet.  These
 builders turn them into the five catalogue tables (parts are curves, their
 brand / type / name / size and the nations and suppliers of their line items
-are attributes).  ``FIXTURE_SQL`` is the one definition, run unchanged by
-Spark (``spark.sql`` over the scanned DataFrames) and by the DuckDB oracle,
-so both sides start from identical inputs.
+are attributes).  ``FIXTURE_SQL`` is the one definition, run by Spark
+(``spark.sql`` over the scanned DataFrames) and by the DuckDB oracle, so both
+sides start from identical inputs.
 
 Every row of the tables is used; gaps come from nulls, from the choice of the
 attribute name or verb, and from ids that match nothing.  Dictionary ids
@@ -25,7 +25,7 @@ _SOURCES = ("part", "supplier", "lineitem", "nation")
 
 def _view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One catalogue view, from the shared definition, in one analysis."""
-    text = re.sub(r"\b(" + "|".join(_SOURCES) + r")\b", r"{\1}", FIXTURE_SQL)
+    text = re.sub(r"\b(" + "|".join(_SOURCES) + r")\b", r"{\1}", FIXTURE_SQL.replace(_NUMBERED, _SPARK_NUMBERED))
     text = text.replace("{", "{{").replace("}", "}}")
     text = re.sub(r"\{\{(" + "|".join(_SOURCES) + r")\}\}", r"{\1}", text)
     dfs = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _SOURCES}
@@ -96,28 +96,36 @@ def all_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 # The same derivation as SQL (runs in DuckDB over the driver's views).
-# (attribute, divisor whose multiples among p_size have no value, text before and after the part's name)
-_MORE_SINGLES = [
-    ("Timezone", 3, "TZ ", ""), ("Value.Frequency", 4, "", " daily"), ("Status", 5, "Active ", ""),
-    ("Issue.Frequency", 6, "", " weekly"), ("Technology", 7, "<", " & \"co\">"),
-    ("FacilityType", 8, "Plant of ", ""), ("Variable.Specification", 9, "", " > best"),
+# What each part says about itself, as SQL: attribute, verb, element id, element, element name.
+_PART_ROWS = [
+    ("'Provider'", "'is'", "p_size", "p_brand", "p_brand"),
+    ("'Commodity'", "'is'", "100 + p_size", "substring(p_type,1,3)", "p_type"),
+    ("CASE WHEN p_size % 13 = 0 THEN 'Variant' ELSE 'Variable' END", "'is'", "200 + p_size", "p_name", "CASE WHEN p_size % 10 = 0 THEN NULL ELSE p_name END"),
+    ("'Unit'", "CASE WHEN p_size % 7 = 0 THEN 'was' ELSE 'is' END", "300 + p_size % 4", "'U'", "CASE WHEN p_size % 4 = 0 THEN 'MWh' ELSE 'GJ' END"),
+    ("'Color'", "'is'", "400", "'c'", "'ignored'"),
+    ("'Timezone'", "'is'", "900", "'s'", "CASE WHEN p_size % 3 = 0 THEN NULL ELSE 'TZ ' || p_name END"),
+    ("'Value.Frequency'", "'is'", "901", "'s'", "CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_name || ' daily' END"),
+    ("'Status'", "'is'", "902", "'s'", "CASE WHEN p_size % 5 = 0 THEN NULL ELSE 'Active ' || p_name END"),
+    ("'Issue.Frequency'", "'is'", "903", "'s'", "CASE WHEN p_size % 6 = 0 THEN NULL ELSE p_name || ' weekly' END"),
+    ("'Technology'", "'is'", "904", "'s'", "CASE WHEN p_size % 7 = 0 THEN NULL ELSE '<' || p_name || ' & \"co\">' END"),
+    ("'FacilityType'", "'is'", "905", "'s'", "CASE WHEN p_size % 8 = 0 THEN NULL ELSE 'Plant of ' || p_name END"),
+    ("'Variable.Specification'", "'is'", "906", "'s'", "CASE WHEN p_size % 9 = 0 THEN NULL ELSE p_name || ' > best' END"),
 ]
-_MORE_SQL = "\n".join(
-    f"""  UNION ALL SELECT p_partkey, 1, '{a}', 'is', CAST(NULL AS STRING), CAST({900 + k} AS BIGINT), 's',
-         CASE WHEN p_size % {d} = 0 THEN NULL ELSE '{before}' || p_name || '{after}' END FROM part"""
-    for k, (a, d, before, after) in enumerate(_MORE_SINGLES))
+
+
+def _of_row(k: int) -> str:
+    return "CASE i " + " ".join(f"WHEN {n} THEN {row[k]}" for n, row in enumerate(_PART_ROWS)) + " END"
+
+
+# One row per part and number 0, 1 ..; the only clause that the two engines write differently.
+_NUMBERED = f"(SELECT *, unnest(range({len(_PART_ROWS)})) AS i FROM part) numbered"
+_SPARK_NUMBERED = f"(SELECT *, explode(sequence(0, {len(_PART_ROWS) - 1})) AS i FROM part) numbered"
 
 FIXTURE_SQL = f"""
 object_meta AS (
-  SELECT p_partkey AS object_id, 1 AS object_type_id, 'Provider' AS attribute, 'is' AS verb, CAST(NULL AS STRING) AS ric,
-         CAST(p_size AS BIGINT) AS element_id, p_brand AS element, p_brand AS element_name FROM part
-  UNION ALL SELECT p_partkey, 1, 'Commodity', 'is', CAST(NULL AS STRING), CAST(100 + p_size AS BIGINT), substring(p_type,1,3), p_type FROM part
-  UNION ALL SELECT p_partkey, 1, CASE WHEN p_size % 13 = 0 THEN 'Variant' ELSE 'Variable' END, 'is', CAST(NULL AS STRING), CAST(200 + p_size AS BIGINT), p_name,
-         CASE WHEN p_size % 10 = 0 THEN NULL ELSE p_name END FROM part
-  UNION ALL SELECT p_partkey, 1, 'Unit', CASE WHEN p_size % 7 = 0 THEN 'was' ELSE 'is' END, CAST(NULL AS STRING),
-         CAST(300 + p_size % 4 AS BIGINT), 'U', CASE WHEN p_size % 4 = 0 THEN 'MWh' ELSE 'GJ' END FROM part
-  UNION ALL SELECT p_partkey, 1, 'Color', 'is', CAST(NULL AS STRING), CAST(400 AS BIGINT), 'c', 'ignored' FROM part
-{_MORE_SQL}
+  SELECT p_partkey AS object_id, 1 AS object_type_id, {_of_row(0)} AS attribute, {_of_row(1)} AS verb, CAST(NULL AS STRING) AS ric,
+         CAST({_of_row(2)} AS BIGINT) AS element_id, {_of_row(3)} AS element, {_of_row(4)} AS element_name
+  FROM {_NUMBERED}
   UNION ALL SELECT s_suppkey, 2, 'Provider', 'is', CAST(NULL AS STRING), CAST(500 AS BIGINT), 'S', s_name FROM supplier
   UNION ALL SELECT DISTINCT l_partkey, 1, CASE WHEN (l_partkey + n_nationkey) % 6 = 0 THEN 'Geography' ELSE 'Region' END, 'in',
          CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE 'G' || CAST(n_nationkey AS STRING) END,
