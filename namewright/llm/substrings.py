@@ -120,15 +120,19 @@ def repeated_windows(contents: list[bytes], counts: list[int], size: int) -> lis
     prefix = np.full(n, -1, np.int16)  # common prefix length with the suffix ranked before, once known
     prefix[0] = 0
     prefix[1:][(head[1:] != head[:-1]) | (head[1:] == 0)] = 0
-    frontier, seen = np.flatnonzero(prefix == 0), 0
+    frontier = np.flatnonzero(prefix == 0)
     for length in range(1, size):
         if not len(frontier):
             break
-        if length < 16 or length % 8 == 0 or seen > n // 8:  # newer boundaries only shorten the stretches that are looked through
+        # A frontier's stretch ends at the next known boundary. Newer boundaries only shorten stretches, so
+        # they are gathered now and then, and whenever the stretches would overlap much.
+        if length < 16 or length % 8 == 0:
             known = np.append(np.flatnonzero(prefix >= 0), n)
         widths = known[np.searchsorted(known, frontier, "right")] - frontier
+        if widths.sum() > n // 4:
+            known = np.append(np.flatnonzero(prefix >= 0), n)
+            widths = known[np.searchsorted(known, frontier, "right")] - frontier
         ends = np.cumsum(widths)
-        seen = ends[-1]
         at = np.arange(ends[-1]) + np.repeat(frontier - (ends - widths), widths)
         low = earlier[at]
         at = at[(low >= 0) & (low < np.repeat(frontier, widths))]
@@ -238,8 +242,8 @@ def repeated_segments(docs: DataFrame, text: str, size: int, gram: int, most: in
             found = Segments(body, size, gram)
             if len(found.first):
                 ids = found.ids()
-                own, at, n = np.unique(ids, axis=0, return_index=True, return_counts=True) if len(ids) > 1 else (ids, np.zeros(1, int), np.ones(1, int))
-                parts.append(np.column_stack([found.key[at], own, np.full(len(at), t1), np.full(len(at), t2), found.count[at], n]))
+                _, at, n = np.unique(ids[:, 0], return_index=True, return_counts=True)
+                parts.append(np.column_stack([found.key[at], ids[at], np.full(len(at), t1), np.full(len(at), t2), found.count[at], n]))
         if parts:
             yield dict(zip(names, map(pa.array, np.concatenate(parts).T.copy()), strict=True))
 
