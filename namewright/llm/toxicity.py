@@ -39,6 +39,7 @@ from namewright.llm.common import by_batch, carried, whole_row, written
 SAMPLE, MAX_TERMS = 200_000, 200_000
 PRIOR, LEAST_Z, DRIFT, MIN_SCORE = 10.0, 4.5, 0.5, 0.3
 HELD_OUT = 2
+REMEMBERED = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -62,7 +63,7 @@ class Model:
 
 
 class _Weights(dict):
-    """Weight of a word by its longest known term; remembers up to a million words."""
+    """Weight of a word by its longest known term; remembers up to REMEMBERED words."""
 
     def __init__(self, weights: dict[str, float], drift: float):
         super().__init__()
@@ -70,7 +71,7 @@ class _Weights(dict):
 
     def __missing__(self, word: str) -> float:
         value = next((self.weights[t] for t in terms_of(word) if t in self.weights), -self.drift)
-        if len(self) >= 1_000_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         self[word] = value
         return value
@@ -193,8 +194,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             clean[r.weight] = clean.get(r.weight, 0.0) + (r.clean + 0.5) / max(1, clean_tokens)
     lam = _lambda(clean, drift)
 
+    known: dict[str, _Weights] = {}
+
     def scan(batch: pa.RecordBatch) -> Iterator[dict]:
-        weight = _Weights(weights, drift)
+        weight = known.setdefault("w", _Weights(weights, drift))
         found = [segments(t, weight) for t in batch.column(1).to_pylist()]
         yield {"y": batch.column(0), "m": [m for m, _ in found], "s": [[x[2] for x in f] for _, f in found]}
 
