@@ -47,7 +47,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentences.remove_repeats(read(spark, sf_dir, "documents"), ["doc_id"])
+    return sentences.remove_repeats(read(spark, sf_dir, "documents"), ["doc_id"], tails=True)
 
 
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

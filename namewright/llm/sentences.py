@@ -3,9 +3,11 @@
 A sentence ends at a word that ends in . ! or ? (closing quotes or brackets may follow) or at a
 line end, once it has ``least`` words; a sentence of more than ``longest`` words is cut after
 words whose hash is divisible by ``cut``, which needs no knowledge of what stands before. From every
-sentence the shortest run of at least ``run`` sentences with at least ``min_words`` words is hashed
-(128 bits, white space ignored). All spans are joined globally; every sentence covered by a span
-that also starts earlier, in the order of (doc_id, position), is removed.
+sentence the shortest run of at least ``run`` sentences with at least ``min_words`` words that begins
+there is hashed (128 bits, white space ignored), with ``tails`` (both registered queries) also the
+shortest that ends there: together they cover every longer run of the same sentences. All spans are
+joined globally; every sentence covered by a span that also starts earlier, in the order of (doc_id,
+position), is removed. Without ``tails`` the last sentences of a repeated run may stay.
 
 Scale: pass one counts span hashes, summed per Arrow batch before the shuffle. Pass two keeps the
 occurrences of repeated hashes (a sort-merge join that adaptive execution splits when skewed), a
@@ -60,24 +62,29 @@ def sentence_starts(w: Words, least: int = LEAST, longest: int = LONGEST, cut: i
     return np.union1d(starts, after)
 
 
-def spans(w: Words, starts: np.ndarray, run: int = RUN, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """(first, stop) in sentences: from each sentence the shortest run that is long enough, within its text."""
+def spans(w: Words, starts: np.ndarray, run: int = RUN, min_words: int = MIN_WORDS, tails: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(first, stop) in sentences: from each sentence the shortest run that is long enough, within its text; with ``tails`` also up to each sentence. Every run once."""
     k = len(starts)
     word_stop = np.append(starts[1:], len(w.start))
-    stop = np.maximum(np.arange(k) + run, np.searchsorted(word_stop, starts + min_words) + 1)
-    first = np.arange(k)
+    every = np.arange(k)
+    stop = np.maximum(every + run, np.searchsorted(word_stop, starts + min_words) + 1)
+    first = every
+    if tails:
+        head = np.minimum(every + 1 - run, np.searchsorted(starts, word_stop - min_words, "right") - 1)  # first of the run up to ``every``
+        new = (head >= 0) & (stop[np.maximum(head, 0)] != every + 1)
+        first, stop = np.concatenate([every, head[new]]), np.concatenate([stop, every[new] + 1])
     fits = stop <= k
     first, stop = first[fits], stop[fits]
     same = w.doc[starts[first]] == w.doc[starts[stop - 1]]
     return first[same], stop[same]
 
 
-def _span_rows(texts: list[bytes | None], options: tuple[int, int, int, int, int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    run, min_words, least, longest, cut = options
+def _span_rows(texts: list[bytes | None], options: tuple[int, int, int, int, int, bool]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    run, min_words, least, longest, cut, tails = options
     for a, b in chunks(texts):
         w = Words(texts[a:b], WHITE)
         starts = sentence_starts(w, least, longest, cut)
-        first, stop = spans(w, starts, run, min_words)
+        first, stop = spans(w, starts, run, min_words, tails)
         if not len(first):
             continue
         word_stop = np.append(starts[1:], len(w.start))
@@ -87,9 +94,9 @@ def _span_rows(texts: list[bytes | None], options: tuple[int, int, int, int, int
         yield a, doc, run_hashes(w.h, i, j, 1), run_hashes(w.h, i, j, 2), first - begin, stop - begin
 
 
-def removed_sentences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run: int = RUN, min_words: int = MIN_WORDS, least: int = LEAST, longest: int = LONGEST, cut: int = CUT) -> DataFrame:
+def removed_sentences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run: int = RUN, min_words: int = MIN_WORDS, least: int = LEAST, longest: int = LONGEST, cut: int = CUT, tails: bool = False) -> DataFrame:
     """doc (doc_id, nulls as the largest long), body (hash of the text) and covered: the spans [first, stop) to remove, in sentences."""
-    options = (run, min_words, least, longest, cut)
+    options = (run, min_words, least, longest, cut, tails)
 
     def count(batch: pa.RecordBatch) -> Iterator[dict]:
         found = [x[2] for x in _span_rows(batch.column(0).to_pylist(), options)]
@@ -138,9 +145,9 @@ def without_sentences(text: bytes | None, covered: list[int] | None, least: int
     return kept, len(starts), int(gone.sum())
 
 
-def remove_repeats(docs: DataFrame, keep: list[str | Column], doc_id: str = "doc_id", text: str = "text", run: int = RUN, min_words: int = MIN_WORDS, least: int = LEAST, longest: int = LONGEST, cut: int = CUT) -> DataFrame:
+def remove_repeats(docs: DataFrame, keep: list[str | Column], doc_id: str = "doc_id", text: str = "text", run: int = RUN, min_words: int = MIN_WORDS, least: int = LEAST, longest: int = LONGEST, cut: int = CUT, tails: bool = False) -> DataFrame:
     """The ``keep`` columns of every row with kept_text, n_sentences and n_removed."""
-    removed = removed_sentences(docs, doc_id, text, run, min_words, least, longest, cut)
+    removed = removed_sentences(docs, doc_id, text, run, min_words, least, longest, cut, tails)
     bytes_ = F.col(text).cast("binary")
     arrow, schema = carried(docs, keep, "kept_text string, n_sentences long, n_removed long")
 
@@ -154,10 +161,10 @@ def remove_repeats(docs: DataFrame, keep: list[str | Column], doc_id: str = "doc
     return met.mapInArrow(by_batch(rows, [*arrow, ("kept_text", pa.string()), ("n_sentences", pa.int64()), ("n_removed", pa.int64())]), schema)
 
 
-def dedup(docs: DataFrame, text: str = "text", length: str | None = "n_chars", **options) -> DataFrame:
+def dedup(docs: DataFrame, text: str = "text", length: str | None = "n_chars", tails: bool = True, **options) -> DataFrame:
     """``docs`` with repeated sentences taken out of ``text`` (and ``length`` counted anew). Rows of which nothing but white space is left are dropped; rows that had no text before stay."""
     cols = docs.columns
-    found = remove_repeats(docs, [whole_row(docs)], text=text, **options).where("n_removed = 0 or n_removed < n_sentences")
+    found = remove_repeats(docs, [whole_row(docs)], text=text, tails=tails, **options).where("n_removed = 0 or n_removed < n_sentences")
     value = {text: F.col("kept_text")}
     if length in cols:
         value[length] = F.when(F.col("n_removed") == 0, F.col("row").getField(length)).otherwise(F.length("kept_text")).cast(docs.schema[length].dataType)

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from namewright.llm import html_text, sentences, toxicity, url_rules
+from namewright.llm import html_text, queries, sentences, toxicity, url_rules
 from namewright.llm.hashing import WHITE, Words
 from tests.llm import plain
 from tests.llm.conftest import PASSAGE, rows
@@ -106,6 +106,38 @@ def test_spans_equal_plain_spans(awkward, plain_docs):
     assert {r.doc_id: (r.n_sentences, r.n_removed) for r in got.collect()} == want
 
 
+def test_every_repeated_run_is_covered_up_to_its_end(spark, tmp_path):
+    """Against all runs of at least 3 sentences and 20 words, in texts that share runs of any length at any place."""
+    rng = random.Random(7)
+
+    def sentence(n):
+        return " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(n)) + "."
+
+    shared = [sentence(n) for n in (15, 5, 5, 4)]
+    texts = [" ".join([sentence(6), *shared, sentence(7)]), " ".join([sentence(8), *shared, sentence(5)])]
+    pool = [sentence(rng.choice((4, 4, 5, 6, 9, 16))) for _ in range(60)]
+    for _ in range(40):
+        at = rng.randrange(50)
+        texts.append(" ".join([sentence(5), *pool[at : at + rng.randint(1, 9)], sentence(6), *pool[: rng.randrange(8)]]))
+    first, want, cut = {}, {}, {}
+    for doc, text in enumerate(texts):
+        parts = [x + "." for x in text.split(".")[:-1]]
+        gone = set()
+        for i in range(len(parts)):
+            for j in range(i + 3, len(parts) + 1):
+                words = " ".join(parts[i:j]).split()
+                if len(words) >= 20 and first.setdefault(tuple(words), (doc, i)) != (doc, i):
+                    gone |= set(range(i, j))
+        want[doc], cut[doc] = (len(parts), len(gone)), [x for k, x in enumerate(parts) if k not in gone]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op7_sentence_spans(spark, str(tmp_path)).collect()
+    assert want[1] == (6, 4)
+    assert {r.doc_id: (r.n_sentences, r.n_removed) for r in got} == want
+    assert {r.doc_id: r.kept_text.split() for r in got} == {k: "".join(v).split() for k, v in cut.items()}
+    assert {r.doc_id: r.text.split() for r in sentences.dedup(docs).collect()} == {k: "".join(v).split() for k, v in cut.items() if v}
+
+
 def test_sentence_starts_do_not_depend_on_what_stands_before():
     def tail(prefix):
         w = Words([f"{prefix} {PASSAGE}".encode()], WHITE)
