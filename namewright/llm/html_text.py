@@ -2,9 +2,11 @@
 
 A page is cut into blocks at block-level tags. Pass one labels each block from its length,
 its link density, its stop-word density and the elements around it: GOOD, BAD, or undecided
-when it is too short to tell. In pass two an undecided block takes the label of its nearest
-decided neighbour in the same region (the one before on ties); a region without decided blocks
-falls back to what the region says: text inside article or main is kept, the rest is kept only if the page has nothing
+when it is too short to tell. Few stop words say that a block is no text only in the script of the stop
+words and on a page where some block has many of them; on other pages (another language) long blocks with
+few links are GOOD. Text inside article or main is kept unless most of it is links; headings stay, and so does all of it if
+nothing on the page is GOOD. In pass two an undecided block takes the label of its nearest decided neighbour
+outside (the one before on ties); without decided blocks there it is kept only if the page has nothing
 better. Blocks inside navigation, headers, footers, asides, forms, scripts and the like,
 or inside elements whose class, id or role says menu, advert, notice, comments etc. are BAD whatever
 their text.
@@ -36,6 +38,7 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"
 _ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""\shidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
+_DENSE = re.compile(r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7af\uf900-\ufaff]")
 
 _RAW = frozenset("script style title textarea noscript template iframe noembed noframes xmp".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -147,48 +150,73 @@ def blocks(page: str) -> list[_Block]:
     return out
 
 
-def _first_pass(b: _Block) -> None:
-    size = len(b.text)
-    linked = b.links / max(1, size - b.text.count(" "))
-    if b.region == "chrome":
-        b.label = False
-    elif b.region == "main":
-        b.label = True if size >= LONG and linked <= LINKS_BAD else None
-    elif linked > LINKS_BAD or (size < LONG and linked > LINKS_LOW) or ("©" in b.text and size < 2 * LONG):
-        b.label = False
-    elif size >= LONG:
-        found = _WORD.findall(b.text.lower())
-        stops = sum(w in _STOPS for w in found) / max(1, len(found))
-        b.label = True if stops >= STOPS_HIGH and linked <= LINKS_LOW else False if stops < STOPS_LOW else None
+def _size(b: _Block) -> int:
+    """Length in letters of an alphabet: one of Chinese, Japanese or Korean says about as much as three."""
+    return len(b.text) + (0 if b.text.isascii() else 2 * len(_DENSE.findall(b.text)))
+
+
+def _linked(b: _Block) -> float:
+    return b.links / max(1, len(b.text) - b.text.count(" "))
+
+
+def _stops(b: _Block) -> tuple[float, bool]:
+    """The share of stop words, and whether the block is in the script of the stop words."""
+    found = _WORD.findall(b.text.lower())
+    return sum(w in _STOPS for w in found) / max(1, len(found)), 2 * sum(w[0] < "\u0250" for w in found) >= len(found)
+
+
+def _first_pass(found: list[_Block]) -> None:
+    open_ = []  # long blocks that their stop words decide
+    for b in found:
+        size, linked = _size(b), _linked(b)
+        if b.region == "chrome":
+            b.label = False
+        elif b.region == "main":
+            b.label = linked <= LINKS_BAD or b.heading
+        elif linked > LINKS_BAD or (size < LONG and linked > LINKS_LOW) or ("©" in b.text and size < 2 * LONG):
+            b.label = False
+        elif size >= LONG:
+            open_.append(b)
+    if not open_:
+        return
+    known = any(b.region != "chrome" and _size(b) >= LONG and _linked(b) <= LINKS_LOW and _stops(b)[0] >= STOPS_HIGH for b in found)
+    for b in open_:
+        stops, script = _stops(b)
+        if _linked(b) <= LINKS_LOW and (stops >= STOPS_HIGH or not known):
+            b.label = True
+        elif known and script and stops < STOPS_LOW:
+            b.label = False
 
 
 def _second_pass(found: list[_Block]) -> None:
-    """Undecided blocks take the label of the nearest decided block of their region."""
-    for region, default in (("main", True), ("body", None)):
-        own = [i for i, b in enumerate(found) if b.region == region]
-        decided = [i for i in own if found[i].label is not None]
-        if not decided:
-            keep = default if default is not None else not any(b.label for b in found)
-            for i in own:
-                found[i].label = keep
-            continue
-        known = {i: found[i].label for i in decided}
-        for i in [j for j in own if j < decided[0]]:
-            found[i].label = known[decided[0]]
-        for i in [j for j in own if j > decided[-1]]:
-            found[i].label = known[decided[-1]]
-        for a, b in pairwise(decided):
-            for i in range(a + 1, b):
-                if found[i].region == region:
-                    found[i].label = known[b] if (b - i < i - a or found[i].heading) else known[a]
+    """Undecided blocks of the body take the label of its nearest decided block."""
+    if not any(b.label for b in found):
+        for b in found:
+            if b.region == "main":
+                b.label = True
+    own = [i for i, b in enumerate(found) if b.region == "body"]
+    decided = [i for i in own if found[i].label is not None]
+    if not decided:
+        keep = not any(b.label for b in found)
+        for i in own:
+            found[i].label = keep
+        return
+    known = {i: found[i].label for i in decided}
+    for i in [j for j in own if j < decided[0]]:
+        found[i].label = known[decided[0]]
+    for i in [j for j in own if j > decided[-1]]:
+        found[i].label = known[decided[-1]]
+    for a, b in pairwise(decided):
+        for i in range(a + 1, b):
+            if found[i].region == "body":
+                found[i].label = known[b] if (b - i < i - a or found[i].heading) else known[a]
 
 
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = blocks(page)
-    for b in found:
-        _first_pass(b)
+    _first_pass(found)
     _second_pass(found)
     return " ".join(b.text for b in found if b.label)
 

@@ -232,6 +232,31 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+RUSSIAN = "Городской совет сообщил, что мост будет закрыт на всё лето и что вместо него пойдёт паром, как это было в годы перед войной, когда старые опоры меняли на новые каменные."
+CHINESE = "市议会表示,这座桥整个夏天都将关闭,渡船会代替它运送行人和车辆,就像战前那些年里一样,当时旧的木桩正在换成新的石墩。"
+FINNISH = "Kaupunginvaltuusto ilmoitti, että silta suljetaan koko kesäksi ja että lautta kuljettaa ihmiset joen yli samalla tavalla kuin sotaa edeltäneinä vuosina, jolloin vanhat pilarit vaihdettiin."
+LINKS = '<div><a href="/">Home</a> <a href="/x">News</a></div>'
+
+
+@pytest.mark.parametrize("prose", [RUSSIAN, CHINESE, FINNISH])
+def test_pages_without_article_in_another_language(prose):
+    page = f"<body>{LINKS}<div><h1>Alpha</h1><p>{prose}</p><p>Beta.</p><p>{prose}</p></div><div class=footer>{prose}</div>{LINKS}</body>"
+    assert html_text.main_text(page) == f"Alpha {prose} Beta. {prose}"
+
+
+def test_stop_words_decide_where_the_language_is_known():
+    names = "Aalto Berg Calder Dorn Ekman Falk Grim Holt Ibsen Jarl Krag Lund Moe Nord Olsen Prag Quist Rask Stang Thor Ulv Vang Wold Yngve Zorn Aker Brandt Cappel"
+    assert html_text.main_text(f"<div><p>{LONG}</p><p>{names}</p></div>") == LONG
+    assert html_text.main_text(f"<div><p>{names}</p></div>{LINKS}") == names
+    assert html_text.main_text(f"<div><p>{LONG}</p><p>{RUSSIAN}</p></div>") == f"{LONG} {RUSSIAN}"
+
+
+def test_links_decide_inside_an_article():
+    links = "<ul>" + "".join(f"<li><a href=/{k}>Another story of the harbour {k}</a></li>" for k in range(9)) + "</ul>"
+    assert html_text.main_text(f"<article><h1><a href=/>Head</a></h1><p>{LONG}</p><p>Short <a href=/>one</a> stays here.</p>{links}<p>Last.</p></article>") == f"Head {LONG} Short one stays here. Last."
+    assert html_text.main_text("<main><p><a href=/>Only a link</a></p></main>") == "Only a link"
+
+
 def test_pages_and_clashing_names(spark):
     pages = spark.createDataFrame([(1, None, "<article>a</article>", "x"), (None, "u", None, "y"), (1, None, "<article>a</article>", "x")], "page_id long, url string, html string, text string")
     assert rows(html_text.extract(pages, ["page_id", "url"]), "page_id", "url", "text", "n_chars") == [(None, "u", "", 0), (1, None, "a", 1), (1, None, "a", 1)]
