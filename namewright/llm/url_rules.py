@@ -48,7 +48,7 @@ def explicit_rule(rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
 
 
 def tokens(url: str = "url") -> Column:
-    """The distinct tokens of a URL: host, its parents and labels, path words (numbers as #), query keys and values, fragment."""
+    """The distinct tokens of a URL: host, its parents and labels, path words (numbers as #), query keys, query keys with their values, fragment."""
     labels = F.split("host", r"\.")
     words = F.transform(F.filter(F.split("path", "[/._-]+"), lambda w: w != ""), lambda w: F.concat(F.lit("p:"), F.regexp_replace(w, "[0-9]+", "#")))
     query = F.regexp_extract(F.col(url), r"\?([^#]*)", 1)
@@ -58,6 +58,7 @@ def tokens(url: str = "url") -> Column:
         F.transform(labels, lambda w: F.concat(F.lit("l:"), w)),
         words,
         F.transform(pairs, lambda w: F.concat(F.lit("q:"), F.substring_index(w, "=", 1))),
+        F.transform(F.filter(pairs, lambda w: w.contains("=")), lambda w: F.concat(F.lit("v:"), w)),
         F.transform(F.filter(F.array(F.regexp_extract(F.col(url), r"#(.*)", 1)), lambda w: w != ""), lambda w: F.concat(F.lit("f:"), w)),
     )
     return F.when(F.col("host") != "", F.array_distinct(parts)).otherwise(F.array().cast("array<string>"))

@@ -201,6 +201,13 @@ def test_mined_rules_equal_counting(spark):
         assert r.support == len(held) and abs(r.confidence - sum(held) / len(held)) < 1e-9 and r.confidence >= 0.5
 
 
+def test_rules_hold_query_values(spark):
+    pages = [(i, f"https://site.example.net/a/{i}?utm_source={'spam' if i % 4 == 0 else 'feed'}") for i in range(200)]
+    labels = [(i, int(i % 4 != 0), 0, "x") for i in range(200)]
+    got = url_rules.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, LABELS), ["page_id"]).collect()
+    assert {r.page_id for r in got if r.verdict == "block"} == set(range(0, 200, 4))
+
+
 def test_urls_of_nothing(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert url_rules.judge(none, spark.createDataFrame([], LABELS), ["page_id"]).count() == 0
