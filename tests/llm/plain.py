@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -91,3 +92,24 @@ def best_segments(scores: list[float]) -> list[tuple[int, int, float]]:
         return [*split(lo, best[0]), best, *split(best[1], hi)]
 
     return split(0, len(scores))
+
+
+def toxic_terms(rows: list[tuple], prior: float, least_z: float, floor: float) -> dict[str, float]:
+    """Weights of the terms of (toxic, text) rows: words and prefixes of 4 to 6 letters with a large and significant excess among toxic rows."""
+    held = (Counter(), Counter())
+    size = [0, 0]
+    for y, text in rows:
+        size[y] += 1
+        words = set(re.findall(r"[^\W\d_]+", (text or "").lower()))
+        held[y].update(words | {w[:k] + "*" for w in words for k in (4, 5, 6) if len(w) > k})
+    total, out = sum(size), {}
+    for term, a in held[1].items():
+        b = held[0][term]
+        if a * size[0] <= b * size[1]:
+            continue
+        spread = prior * (a + b) / total
+        odds = [math.log((n + spread) / (m + prior - n - spread)) for n, m in ((b, size[0]), (a, size[1]))]
+        ratio = sum(n * math.log(n * total / ((a + b) * m)) for n, m in ((b, size[0]), (a, size[1])) if n)
+        if math.sqrt(max(0.0, 2 * ratio)) >= least_z and odds[1] - odds[0] >= floor:
+            out[term] = odds[1] - odds[0]
+    return out

@@ -2,6 +2,7 @@
 
 import math
 import random
+import zlib
 
 import pytest
 from hypothesis import given, settings
@@ -63,6 +64,35 @@ def test_toxicity_separates_held_out_documents(marked):
     assert {r.doc_id for r in toxicity.reject(docs, labels).collect()} >= {r.doc_id for r in held if r.doc_id % 6}
 
 
+@pytest.mark.parametrize("floor", [0.5, 2.0])
+def test_toxic_terms_equal_plain_counts(marked, floor):
+    docs, labels = marked
+    toxic = {}
+    for r in labels.collect():
+        if r.doc_id is not None and r.toxic is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != toxicity.HELD_OUT:
+            toxic[r.doc_id] = max(r.toxic, toxic.get(r.doc_id, 0))
+    training = [(toxic[r.doc_id], r.text) for r in docs.collect() if r.doc_id in toxic]
+    want = plain.toxic_terms(training, toxicity.PRIOR, 2.0, floor)
+    got = toxicity.fit(docs, labels, least_z=2.0, floors=(floor,)).weights
+    assert want and got == pytest.approx(want)
+
+
+def test_many_labels_do_not_let_weak_terms_in(spark):
+    """Words a little more frequent in toxic rows become significant as rows grow; the training folds choose a floor above them."""
+    random.seed(5)
+    docs, labels = [], []
+    for i in range(6000):
+        bad = i % 8 == 0
+        w = [f"{random.choice('abcdefgh')}{k}" for k in range(40) for _ in range(1)]
+        w += [f"weak{chr(97 + k)}x" for k in range(20) if random.random() < (0.30 if bad else 0.20)]
+        w += ["vile", "vile"] if bad else []
+        random.shuffle(w)
+        docs.append((i, " ".join(w)))
+        labels.append((i, 1, int(bad), "x"))
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, LABELS))
+    assert "vile" in model.weights and not [t for t in model.weights if t.startswith("weak")]
+
+
 def test_toxicity_without_labels_or_rows(marked, no_docs, spark):
     docs, labels = marked
     none = spark.createDataFrame([], LABELS)
