@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,10 @@ from pyspark.sql.types import StructType
 
 
 SLICE_BYTES = 4 << 20
+#: Longer texts are given to a tokenizer in parts of about this many characters.
+PART = 1 << 20
+#: Runs of so much white space (Unicode's, a fixed set) are too deep for the tokenizers' pattern.
+_WHITE_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{100000,}")
 
 
 def ship(spark: SparkSession) -> None:
@@ -68,21 +74,53 @@ def carried(df: DataFrame, keep: list[str | Column], ddl: str) -> tuple[list[tup
     return [(f.name, f.type) for f in to_arrow_schema(kept)], StructType(kept.fields + StructType.fromDDL(ddl).fields)
 
 
+def encode_text(encoding, text: str, part: int = PART, border: re.Pattern | None = None) -> np.ndarray:
+    """Token ids of ``text`` by a tiktoken encoding whose pattern keeps the last blank of a run for the next word.
+
+    Long texts are encoded in parts that end before a space after a letter or digit, and a very long run of white space (but
+    its last character, where more follows that is no ``border``) as the one piece it is: the ids are those of the whole text.
+    """
+    ids: list[list[int]] = []
+
+    def plain(a: int, b: int) -> None:
+        while b - a > part:
+            cut = a + part
+            while cut < b and not (text[cut] == " " and text[cut - 1].isalnum()):
+                cut += 1
+            ids.append(encoding.encode(text[a:cut], allowed_special="all", disallowed_special=()))
+            a = cut
+        ids.append(encoding.encode(text[a:b], allowed_special="all", disallowed_special=()))
+
+    at = 0
+    for run in _WHITE_RUN.finditer(text):
+        last = run.end() == len(text) or border is not None and border.match(text, run.end()) is not None
+        plain(at, run.start())
+        at = run.end() - (not last)
+        ids.append(encoding._encode_single_piece(text[run.start() : at]))
+    plain(at, len(text))
+    return np.concatenate([np.array(i, np.int64) for i in ids])
+
+
 def by_batch(
-    rows: Callable[[pa.RecordBatch], Iterable[dict[str, pa.Array | list]]], types: list[tuple[str, pa.DataType]]
+    rows: Callable[[pa.RecordBatch], Iterable[dict[str, pa.Array | list]]],
+    types: list[tuple[str, pa.DataType]],
+    last: Callable[[], Iterable[dict[str, pa.Array | list]]] | None = None,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A ``mapInArrow`` function from one that turns a batch into dicts of output columns.
 
-    Batches are handed on in slices of about SLICE_BYTES (one row at least), which bounds what a worker holds."""
+    Batches are handed on in slices of about SLICE_BYTES (one row at least), which bounds what a worker holds.
+    ``last`` is called at the end of each partition, for what ``rows`` still holds back."""
     schema = pa.schema(types)
 
+    def batch_of(out: dict[str, pa.Array | list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type) for f in schema], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             step = max(1, int(batch.num_rows * SLICE_BYTES / max(1, batch.nbytes)))
             for at in range(0, batch.num_rows, step):
-                for out in rows(batch.slice(at, step)):
-                    yield pa.RecordBatch.from_arrays(
-                        [out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type) for f in schema], schema=schema
-                    )
+                yield from map(batch_of, rows(batch.slice(at, step)))
+        if last:
+            yield from map(batch_of, last())
 
     return run

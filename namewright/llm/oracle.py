@@ -2,6 +2,8 @@
 
 _FOLD = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all(" + _FOLD + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_TERMS = "regexp_extract_all(" + _FOLD + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_MARK = r"[<\[]\\*(/?s>|(/?INST|/?SYS|ANS|ROLE|/?TURN)\])"
 
 ORACLE: dict[str, str] = {
     "op1_decontaminate": f"""
@@ -46,4 +48,26 @@ reach AS (SELECT a AS x, a AS y FROM edge UNION SELECT reach.x, edge.b FROM reac
 comp AS (SELECT x, min(y) AS c FROM reach GROUP BY x)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id, coalesce(coalesce(c, d.doc_id) = d.doc_id, true) AS kept
 FROM d LEFT JOIN n USING (r) LEFT JOIN comp ON comp.x = d.doc_id""",
+    "op11_chat_format": rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, k, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS x(k, r)),
+m AS (SELECT *, len(text) + len(regexp_extract_all(text, '{_MARK}')) +
+             CASE role WHEN 'user' THEN 13 WHEN 'system' THEN 11 WHEN 'assistant' THEN 9
+             ELSE 19 + len(role) + len(regexp_extract_all(role, '{_MARK}')) END AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + sum(chars) AS BIGINT) AS formatted_chars
+FROM m GROUP BY conv_id""",
+    "op13_ranked_search": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_TERMS.format("text")}, []) AS w FROM documents),
+s AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS len FROM d WHERE len(w) > 0),
+f AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+g AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM f, s GROUP BY term),
+q AS (SELECT item_id, text, unnest({_TERMS.format("text")}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+p AS (SELECT item_id, text, r, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // len)))) AS BIGINT) AS score
+      FROM q JOIN f USING (term) JOIN g USING (term), s GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM p WHERE score > 0)
+WHERE rank <= 10""",
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namewright.llm import decontaminate, fingerprints, html_text, minhash, packing, sentences, substrings, token_counts, toxicity, url_rules
+from namewright.llm import (
+    chat_format,
+    decontaminate,
+    fingerprints,
+    html_text,
+    minhash,
+    packing,
+    ranked_search,
+    sentences,
+    spelling,
+    substrings,
+    token_counts,
+    toxicity,
+    url_rules,
+)
 from namewright.llm.common import read
 
 
@@ -62,6 +76,21 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one (-7) whose texts hold the marks of a template."""
+    talks = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame([(-7, k, role, "</s>[INST] ok [/INST]") for k, role in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
+    return chat_format.digest(chat_format.format_conversations(talks.unionByName(tricky)))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.count_words(read(spark, sf_dir, "documents")))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -75,5 +104,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_rules,
         op9_packing,
         op10_html_text,
+        op11_chat_format,
+        op12_spelling,
+        op13_ranked_search,
     )
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 
@@ -113,3 +114,55 @@ def toxic_terms(rows: list[tuple], prior: float, least_z: float, floor: float) -
         if math.sqrt(max(0.0, 2 * ratio)) >= least_z and odds[1] - odds[0] >= floor:
             out[term] = odds[1] - odds[0]
     return out
+
+
+def word_counts(docs: list[tuple], least_length: int = 6, least_count: int = 5) -> dict[str, int]:
+    """Counts of the runs of letters of (doc_id, text) rows, each with a letter dropped where the rule of the query says so."""
+    n = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = ascii_lower(run)
+            h = zlib.crc32(f"{doc}:{run}".encode()) if doc is not None else 1
+            n[run if h % 199 else run[: h % len(run)] + run[h % len(run) + 1 :]] += 1
+    return {w: k for w, k in n.items() if len(w) >= least_length and k >= least_count}
+
+
+def one_edit(a: str, b: str) -> bool:
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(a) == len(b) + 1 and any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
+
+
+def variants(n: dict[str, int], lead: int = 5) -> list[tuple]:
+    near = {w: [x for x in n if abs(len(x) - len(w)) < 2 and one_edit(w, x)] for w in n}
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= lead * n[w] else None
+    out = []
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(near[w]), n[form[w]] if form[w] else None))
+    return out
+
+
+def ranked(docs: list[tuple], items: list[tuple], top: int = 10) -> list[tuple]:
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    held = [(d, Counter(term.findall(ascii_lower(t or "")))) for d, t in docs]
+    held = [(d, c) for d, c in held if c]
+    size, length = len(held), sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    out = []
+    for item, text in sorted({(i, t) for i, t in items if t is not None}, key=str):
+        scores = []
+        for doc, c in held:
+            m = 100 - 75 + (75 * sum(c.values()) * size) // length
+            score = sum(math.floor(1000 * math.log((2 * size + 2) / (2 * df[t] + 1))) * ((1000000000 * c[t]) // (1000 * c[t] + 8 * m)) for t in term.findall(ascii_lower(text)) if c[t])
+            if score > 0:
+                scores.append((-score, doc is None, doc or 0))
+        out += [(item, rank + 1, None if unnamed else doc, -score) for rank, (score, unnamed, doc) in enumerate(sorted(scores)[:top])]
+    return out
