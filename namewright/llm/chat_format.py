@@ -26,7 +26,6 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -140,7 +139,7 @@ def format_conversations(rows: DataFrame, conv_id: str = "conv_id", turn: str =
             formatted, spans = render([(s["role"], s["text"]) for s in said])
             tokens, first, last = encode(formatted, path)
             texts.append(formatted)
-            ids.append(tokens)
+            ids.append(tokens.astype(np.int32))
             loss.append(loss_mask(first, last, [(a, b) for r, a, b in spans if r == learn]))
             turns.append([{"role": r, "start": a, "stop": b} for r, a, b in spans])
         yield {"conv_id": batch.column(0), "formatted": texts, "ids": ids, "loss": loss, "turns": turns}
@@ -149,11 +148,11 @@ def format_conversations(rows: DataFrame, conv_id: str = "conv_id", turn: str =
     return talks.select("conv_id", "said").mapInArrow(by_batch(run, [*arrow, *out]), schema)
 
 
-def learnt_text(ids: list[int], loss: list[bool], path: str | None = None) -> str:
+def learnt_text(ids: np.ndarray, loss: np.ndarray, path: str | None = None) -> str:
     """The text under a loss mask, from the token ids alone: run by run, without escapes."""
     pieces = _encoding(path)[1]
-    runs = (b"".join(pieces[i] for i, _ in run) for under, run in groupby(zip(ids, loss, strict=True), key=lambda x: x[1]) if under)
-    return "".join(unescape(run.decode()) for run in runs)
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], np.asarray(loss, np.int8), [0]]))).tolist()
+    return "".join(unescape(b"".join([pieces[i] for i in ids[a:z].tolist()]).decode()) for a, z in zip(edges[::2], edges[1::2], strict=True))
 
 
 def digest(formatted: DataFrame, path: str | None = None) -> DataFrame:
@@ -163,7 +162,9 @@ def digest(formatted: DataFrame, path: str | None = None) -> DataFrame:
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         texts = batch.column(1).to_pylist()
         turns = [read_turns(t) for t in texts]
-        learnt = [learnt_text(i, m, path) for i, m in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        ids, loss = (batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in (2, 3))
+        ends = np.cumsum(batch.column(2).value_lengths().to_numpy())
+        learnt = [learnt_text(ids[a:z], loss[a:z], path) for a, z in zip([0, *ends], ends, strict=False)]
         yield {
             "conv_id": batch.column(0),
             "n_turns": [len(t) for t in turns],
