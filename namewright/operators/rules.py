@@ -19,9 +19,12 @@ Failures are per row, never per job:
   by the allow-list becomes a literal failure message for every curve of its
   load set (checked on the driver against the schema, without a job);
 * only functions that cannot raise at run time are allowed, arguments that
-  could make them raise (patterns, lengths, part numbers) must be literals, and
-  rules into which Spark inserts a cast that can raise are refused after
-  analysis (ANSI mode is on in Spark 4, where a bad cast fails the whole job).
+  could make them raise (patterns, lengths, part numbers, replacements) must be
+  literals, and rules into which Spark inserts a cast that can raise are refused
+  after analysis (ANSI mode is on in Spark 4, where a bad cast fails the whole job);
+* regular expressions and LIKE patterns must have a shape whose work is bounded by
+  the value's length (``patterns``), and nested replacements may lengthen a value
+  at most ``MAX_GROWTH`` times, so that one long value cannot end or hang a run.
 
 The rules table is a control table (one row per load set); it is the only
 data brought to the driver.
@@ -29,8 +32,10 @@ data brought to the driver.
 
 from __future__ import annotations
 
+import logging
 import re
 import warnings
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
@@ -39,6 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from namewright.operators.patterns import PatternRefused, check_like, check_pattern
 from namewright.sources.tables import read_rules
 
 KINDS = ("long", "short", "desc")
@@ -68,6 +74,7 @@ curve var case when then else end and or not is null in like ilike between
 true false distinct from as int bigint double string date
 """.split())
 MAX_PAD = 10_000            # longest lpad / rpad result
+MAX_GROWTH = 100            # how many times nested replacements may lengthen a value
 MAP_COLUMNS = frozenset(("curve", "var"))
 STRUCT_FIELDS = frozenset(("fullname", "shortname", "abbr"))
 ALLOWED_SYMBOLS = frozenset(["(", ")", "[", "]", ",", ".", "=", "==", "<>", "!=", "<", ">", "<=",
@@ -153,12 +160,34 @@ def _check_call(name: str, args: list[list[Token]]) -> None:
             raise RuleRefused("regexp_extract needs a literal group of its pattern")
         if name == "regexp_extract" and len(args) == 2 and groups < 1:
             raise RuleRefused("regexp_extract needs a group in its pattern")
-        if name == "regexp_replace" and (len(args) != 3 or "$" in (_plain_literal(args[2]) or "$")):
-            raise RuleRefused("regexp_replace needs a literal replacement without escapes or groups")
+        if name == "regexp_replace":
+            replacement = _plain_literal(args[2]) if len(args) == 3 else None
+            if replacement is None or "$" in replacement:
+                raise RuleRefused("regexp_replace needs a literal replacement without escapes or groups")
+        try:
+            check_pattern(pattern)
+        except PatternRefused as e:
+            raise RuleRefused(f"pattern {pattern}: {e}") from None
+    if name == "replace" and len(args) > 2 and _plain_literal(args[2]) is None:
+        raise RuleRefused("replace needs a literal replacement without escapes")
     if name == "try_to_number" and not (len(args) == 2 and _plain_literal(args[1])):
         raise RuleRefused("try_to_number needs a literal format")
 
 
+def _growth(toks: list[Token]) -> float:
+    """How many times as long as one value the longest text inside an expression can get through replacements."""
+    longest = 1.0
+    for at, t in enumerate(toks[:-1]):
+        name = t.text.lower() if t.kind == "ident" else ""
+        if name in ("replace", "regexp_replace") and toks[at + 1].text == "(":
+            args = _arguments(toks, at + 1)
+            new = len(_plain_literal(args[2]) or "") if len(args) > 2 else 0
+            old = _plain_literal(args[1]) if name == "replace" and len(args) > 1 else None
+            factor = max(1.0, new / len(old) if old else new + (name == "regexp_replace"))
+            longest = max(longest, factor * _growth(args[0]))
+    return longest
+
+
 def check_rule(text: str) -> list[Token]:
     """RUL3: refuse anything outside the allow-list; return the tokens."""
     if text is None or not text.strip():
@@ -180,8 +209,13 @@ def check_rule(text: str) -> list[Token]:
                     raise RuleRefused(f"field {t.text} is not allowed")
             elif low not in ALLOWED_WORDS:
                 raise RuleRefused(f"name {t.text} is not allowed")
-            if low in ("like", "ilike") and (nxt is None or _plain_literal([nxt]) is None):
-                raise RuleRefused(f"{t.text} needs a literal pattern without escapes")
+            if low in ("like", "ilike"):
+                if nxt is None or _plain_literal([nxt]) is None:
+                    raise RuleRefused(f"{t.text} needs a literal pattern without escapes")
+                try:
+                    check_like(_plain_literal([nxt]))
+                except PatternRefused as e:
+                    raise RuleRefused(f"pattern {_plain_literal([nxt])}: {e}") from None
             if low in MAP_COLUMNS and (nxt is None or nxt.text != "["):
                 raise RuleRefused(f"{t.text} must be indexed by a key")
         elif t.kind == "sym":
@@ -202,6 +236,8 @@ def check_rule(text: str) -> list[Token]:
                     raise RuleRefused("unbalanced parentheses")
     if depth != 0:
         raise RuleRefused("unbalanced parentheses")
+    if _growth(toks) > MAX_GROWTH:
+        raise RuleRefused(f"replacements may lengthen a value at most {MAX_GROWTH} times")
     return toks
 
 
@@ -361,6 +397,17 @@ def _check_patterns(attrs: DataFrame, toks: list[Token]) -> None:
                 raise RuleRefused(f"{t.text} needs a valid literal pattern without escapes") from None
 
 
+@contextmanager
+def _unlogged():
+    """A rule that does not analyse is reported as a message of its load set, not in the log."""
+    logger = logging.getLogger("SQLQueryContextLogger")
+    before, logger.disabled = logger.disabled, True
+    try:
+        yield
+    finally:
+        logger.disabled = before
+
+
 def compile_rule(attrs: DataFrame, text: str) -> tuple[Column | None, str | None]:
     """Check and analyse one rule against the attribute schema, on the driver
     (no job; ``attrs`` may be an empty relation with the right schema).
@@ -370,8 +417,9 @@ def compile_rule(attrs: DataFrame, text: str) -> tuple[Column | None, str | None
     except RuleRefused as e:
         return None, f"rule refused: {e}"
     try:
-        col = F.expr(text)
-        dtype = attrs.select(col.alias("_r")).schema["_r"].dataType
+        with _unlogged():
+            col = F.expr(text)
+            dtype = attrs.select(col.alias("_r")).schema["_r"].dataType
     except PySparkException as e:
         cond = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
         reason = (cond() if cond else None) or type(e).__name__

@@ -8,7 +8,7 @@ each fixture rule is spelled out as SQL over a pivot of the keys it reads.
 
 from __future__ import annotations
 
-from namewright.sources.fixture_views import FIXTURE_SQL, rules_values_sql
+from namewright.sources.fixture_views import FIXTURE_SQL, PATTERN_SQL, rules_values_sql
 
 LONG_MAX, SHORT_MAX, CLIP = 64, 32, 4000
 
@@ -132,6 +132,40 @@ flags AS (
          short_reason, short_text, short_reason IS NULL AS short_ok, desc_reason, desc_text
   FROM flags_raw)"""
 
+# The pattern fixture: which of its rules are refused and why, and what the others give, spelled on their own.
+_UNBOUNDED = "after an unbounded repeat nothing may follow, unless the pattern begins with ^"
+_GROUPS = "a group cannot be repeated"
+_LIKE = "at most one % of a pattern may have something after it"
+_REFUSED = {
+    "long": {10: f"pattern (a|b)*c: {_GROUPS}", 11: f"pattern (a+)+b: {_GROUPS}", 12: f"pattern a*b: {_UNBOUNDED}",
+             13: "pattern (?=a)(a): only plain groups and (?:..) are allowed",
+             14: "pattern ^(.*)#(.*)$: what follows an unbounded repeat must not share a character with it",
+             15: "pattern a{2,}: a counted repeat needs a lower and an upper bound", 17: f"pattern (a|b|ab)+: {_GROUPS}"},
+    "short": {17: f"pattern ([a-z]*)(#.*): {_UNBOUNDED}"},
+    "desc": {11: f"pattern %a%b%c%: {_LIKE}", 12: "replacements may lengthen a value at most 100 times", 13: f"pattern [a-z]+$: {_UNBOUNDED}",
+             14: "replace needs a literal replacement without escapes", 15: f"pattern {'a?' * 14}b: too many alternatives to try",
+             17: f"pattern %%%%%a: {_LIKE}"},
+}
+_GIVEN = {
+    "long": {16: "regexp_replace(note, '[a-z]{1,9}#', '*', 'g')"},
+    "short": {10: "regexp_extract(note, '([a-z]+)', 1)", 11: "split_part(note, ' ', 1)", 12: "regexp_extract(note, '#([A-Z]+)', 1)",
+              13: "'marked'", 14: "substr(note, strpos(note, '#') + 1)", 15: "regexp_replace(note, '(green|blue|red)?#', '/', 'g')",
+              16: "coalesce(regexp_extract(note, '(ab)(ab)?(ab)?', 3), '')"},
+    "desc": {10: "regexp_replace(note, '[aeiou]', '', 'g')", 16: "regexp_replace(note, 'a.*', '')"},
+}
+
+
+def _pattern_case(kind: str) -> str:
+    given = " ".join(f"WHEN {k} THEN {x}" for k, x in _GIVEN[kind].items())
+    refused = " ".join(f"WHEN {k} THEN 'rule refused: {x}'" for k, x in _REFUSED[kind].items())
+    return f"CASE load_set_id {given} END AS {kind}_value, CASE load_set_id {refused} END AS {kind}_error"
+
+
+STEPS["pattern_named"] = f"""{PATTERN_SQL.strip()},
+named AS (
+  SELECT load_set_id, curve_id, {", ".join(map(_pattern_case, ("long", "short", "desc")))}
+  FROM (SELECT load_set_id, curve_id, element_name AS note FROM note_curve JOIN note_meta ON object_id = curve_id) x)"""
+
 STEPS["owners"] = """long_owner AS (
   SELECT load_set_id, long_text AS name, min(curve_id) AS owner FROM flags WHERE long_ok
   GROUP BY load_set_id, long_text),
@@ -358,6 +392,10 @@ FROM (SELECT load_set_id, count(*) AS curves FROM load_set_curve GROUP BY load_s
 LEFT JOIN (SELECT load_set_id, count(*) AS n, min(longname_rule_exp) AS long, min(shortname_rule_exp) AS short, min(desc_rule_exp) AS descr
            FROM curve_rule GROUP BY load_set_id) r ON r.load_set_id = s.load_set_id""",
 }
+ORACLE["rule_patterns"] = "WITH " + STEPS["pattern_named"] + ",\n" + STEPS["flags"] + "\nSELECT * FROM flags"
+_FAILED = "long_reason = 'rule_error' OR short_reason = 'rule_error' OR desc_reason = 'rule_error'"
+ORACLE["rule_failures"] += f"""
+UNION ALL SELECT load_set_id, curve_id, long_text, short_text, desc_text FROM ({ORACLE["rule_patterns"]}) p WHERE {_FAILED}"""
 ORACLE["numbered_keys"] = ORACLE["attr_map_rows"]
 # full maps and the bundle clustering change how, not what
 ORACLE["staged_names_skew"] = ORACLE["staged_names"]

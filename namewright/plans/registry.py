@@ -196,9 +196,14 @@ def q_staged_names_skew(spark, sf):
                       restrict_keys=False).staged
 
 
+def q_rule_patterns(spark, sf):
+    """RUL3/RUL4: names by patterns over texts of up to 100,000 characters; patterns that could end or hang the run are refused."""
+    return _flags(fv.pattern_views(spark, sf))
+
+
 def q_rule_failures(spark, sf):
     """RUL3/RUL4: curves whose rules are refused, do not compile or give no text."""
-    flags = _flags(_views(spark, sf))
+    flags = _flags(_views(spark, sf)).unionByName(q_rule_patterns(spark, sf))
     failed = " OR ".join(f"{k}_reason = '{Q.RULE_ERROR}'" for k in ("long", "short", "desc"))
     return flags.where(failed).select("load_set_id", "curve_id", "long_text", "short_text", "desc_text")
 
@@ -344,6 +349,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staged_names": q_staged_names,
     "staged_names_skew": q_staged_names_skew,
     "rule_failures": q_rule_failures,
+    "rule_patterns": q_rule_patterns,
     "rule_sets": q_rule_sets,
     "staging_table": q_staging_table,
     "bundle_files": q_bundle_files,

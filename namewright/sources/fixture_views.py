@@ -85,6 +85,40 @@ def curve_rule(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
     return spark.createDataFrame(RULES, RULE_SCHEMA)
 
 
+# ---------------------------------------------------------------------------
+# Rules over one free text per part (``note_meta``), whose patterns are refused or run on long values.
+# ---------------------------------------------------------------------------
+_NOTE = "curve['Note.is'].fullname"
+PATTERN_RULES = [
+    (10, f"regexp_replace({_NOTE},'(a|b)*c','x')", f"regexp_extract({_NOTE},'([a-z]+)',1)", f"regexp_replace({_NOTE},'[aeiou]+','')", 1),
+    (11, f"regexp_replace({_NOTE},'(a+)+b','x')", f"regexp_extract({_NOTE},'^([^ ]*) (.*)$',1)", f"case when {_NOTE} like '%a%b%c%' then 'x' end", 1),
+    (12, f"regexp_replace({_NOTE},'a*b','x')", f"regexp_extract({_NOTE},'#([A-Z]+)',1)",
+     f"replace(replace({_NOTE},'a','aaaaaaaaaaa'),'a','aaaaaaaaaaa')", 1),
+    (13, f"regexp_extract({_NOTE},'(?=a)(a)',1)", f"case when {_NOTE} like '%#%' then 'marked' end", f"regexp_replace({_NOTE},'[a-z]+$','')", 1),
+    (14, f"regexp_replace({_NOTE},'^(.*)#(.*)$','x')", f"regexp_extract({_NOTE},'^([^#]*)#(.*)$',2)", f"replace({_NOTE},' ',{_NOTE})", 1),
+    (15, f"regexp_replace({_NOTE},'a{{2,}}','x')", f"regexp_replace({_NOTE},'(?:green|blue|red)?#','/')", f"regexp_replace({_NOTE},'{'a?' * 14}b','x')", 1),
+    (16, f"regexp_replace({_NOTE},'[a-z]{{1,9}}#','*')", f"regexp_extract({_NOTE},'(ab)(ab)?(ab)?',3)", f"regexp_replace({_NOTE},'a.*','')", 1),
+    (17, f"regexp_replace({_NOTE},'(a|b|ab)+','x')", f"regexp_extract({_NOTE},'([a-z]*)(#.*)',1)", f"case when {_NOTE} like '%%%%%a' then 'x' end", 1),
+]
+PATTERN_SQL = """
+note_meta AS (
+  SELECT p_partkey AS object_id, 1 AS object_type_id, 'Note' AS attribute, 'is' AS verb, CAST(NULL AS STRING) AS ric,
+         CAST(1 AS BIGINT) AS element_id, p_brand AS element,
+         CASE WHEN p_size > 20 AND p_size % 10 = 0 THEN rpad(p_name || '#' || p_type, 100000, 'ab') ELSE p_name || '#' || p_type END AS element_name
+  FROM part
+),
+note_curve AS (SELECT CAST(10 + p_size % 8 AS INTEGER) AS load_set_id, p_partkey AS curve_id FROM part)"""
+
+
+def pattern_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The tables of a naming run whose rules are about patterns."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    text = PATTERN_SQL.replace("FROM part", "FROM {part}")
+    meta, members = (spark.sql(f"WITH {text} SELECT * FROM {name}", part=part) for name in ("note_meta", "note_curve"))
+    return {"object_meta": meta, "load_set_curve": members, "curve_dict": curve_dict(spark, sf_dir),
+            "curve_rule": spark.createDataFrame(PATTERN_RULES, RULE_SCHEMA)}
+
+
 def all_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "object_meta": object_meta(spark, sf_dir),

@@ -1,5 +1,10 @@
+import time
+
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
+from namewright.operators import patterns as P
 from namewright.operators import rules as R
 from namewright.plans import jobs
 
@@ -101,6 +106,90 @@ def test_casts_and_patterns_that_can_raise_are_refused_after_analysis(probe, tex
     assert col is None and reason.startswith("rule refused")
 
 
+BOUNDED = ["[0-9]+", "([0-9])-([0-9])", "^([^-]+)-(.*)", "^[a-z]*[0-9]+$", "a|b", "(a|b)c", "(ab)?c", "x{2,5}y", "[^a-z]", "-.*", "^a+b", "(?:a|b)", "[a-]", "",
+           "^(a+b|c)", "^([^#]*)#(.*)$", ".*?", "^(b*)?(a)", "[b-e]{1,100}x", "(a|ab)(b|)c", "a*", "(.*)", "^.?a"]
+UNBOUNDED = ["(a|b)*c", "(a+)+", "(a+)+b", "a*b", "(ab)+", "a*a*b", "^a*ab", "[0-9]+$", "(?=a)", "(?i)a", "(?<x>a)", "a{2,}", "[a[b]]", "[a&&b]", "(a", "a)", "[a", "*a", "a**",
+             "a++b", "^a*(a|b)", "(a?){20}", "a?" * 14, "^a|b*c", "^(.*)x", "(a|b){2}", "^[^-]*.b", "a^b", "x{2000}", "^(a*)(b?)(a)", "(a*)b", "(x|a*)b", "a" * 600, "x.*y", "[]", "a$?",
+             "^(a*|b)c*a", "[a-z]{0,99}[a-z]{0,99}"]
+LONG = ["a" * 100_000, "ab" * 50_000, "a\U0001f600" * 50_000, "1" * 100_000, "-" * 100_000, " " * 100_000, "a" * 99_999 + "b", ""]
+
+
+@pytest.mark.parametrize("pattern", BOUNDED)
+def test_bounded_patterns_run_on_long_values(spark, pattern):
+    P.check_pattern(pattern)
+    compiled = spark.sparkContext._jvm.java.util.regex.Pattern.compile(pattern)
+    for value in LONG:
+        t = time.time()
+        compiled.matcher(value).replaceAll("x")
+        assert time.time() - t < 5
+
+
+@pytest.mark.parametrize("pattern", UNBOUNDED)
+def test_patterns_without_a_bound_are_refused(pattern):
+    with pytest.raises(P.PatternRefused):
+        P.check_pattern(pattern)
+    with pytest.raises(R.RuleRefused):
+        R.check_rule(f"regexp_replace(curve['P.is'].fullname, '{pattern}', 'x')")
+
+
+PIECES = st.recursive(
+    st.sampled_from(["a", "b", ".", "[ab]", "[^a]", "a*", "b+", ".*", "[ab]*", "a?", "b{1,3}", "$", ".*?", "a++", "[^b]*"]),
+    lambda x: st.one_of(st.tuples(x, x).map("".join), st.tuples(x, x).map(lambda p: f"({p[0]}|{p[1]})"), x.map(lambda p: f"({p})?"), x.map(lambda p: f"(?:{p})")), max_leaves=6)
+
+
+@given(st.sampled_from(["", "^"]), PIECES)
+@settings(max_examples=300, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_what_the_checker_accepts_ends_soon(spark, start, piece):
+    try:
+        P.check_pattern(start + piece)
+    except P.PatternRefused:
+        return
+    compiled = spark.sparkContext._jvm.java.util.regex.Pattern.compile(start + piece)
+    for value in ("a" * 20_000, "ab" * 10_000, "b" * 19_999 + "a", "a\U0001f600" * 10_000):
+        t = time.time()
+        compiled.matcher(value).replaceAll("x")
+        assert time.time() - t < 2, start + piece
+
+
+@pytest.mark.parametrize(("pattern", "fine"), [("%a%", True), ("a%b", True), ("a%b%", True), ("%a_b%", True), ("a", True), ("%", True), ("%a%b", False), ("%a%b%", False), ("%%a", False), ("a%%", False)])
+def test_like_patterns(pattern, fine):
+    text = f"case when curve['P.is'].fullname like '{pattern}' then 'x' end"
+    if fine:
+        R.check_rule(text)
+    else:
+        with pytest.raises(R.RuleRefused, match="at most one %"):
+            R.check_rule(text)
+
+
+@pytest.mark.parametrize(("text", "fine"), [
+    (f"replace({V}, 'a', 'bb')", True),
+    (f"concat(replace({V}, 'a', '{'b' * 90}'), replace({V}, 'a', '{'b' * 90}'))", True),
+    (f"replace({V}, 'a', '{'b' * 101}')", False),
+    (f"replace({V}, 'ab', '{'b' * 150}')", True),
+    (f"replace(upper(replace({V}, 'a', 'bbbbbbbbbbb')), 'B', 'bbbbbbbbbbb')", False),
+    (f"replace({V}, {V}, 'bbb')", True),
+    (f"replace({V}, 'a', {V})", False),
+    (f"regexp_replace(regexp_replace({V}, 'a*', 'bbbbbbbbb'), '[b]', 'bbbbbbbbbbb')", False),
+])
+def test_replacements_lengthen_a_value_by_a_bounded_factor(text, fine):
+    if fine:
+        R.check_rule(text)
+    else:
+        with pytest.raises(R.RuleRefused):
+            R.check_rule(text)
+
+
+def test_a_long_value_fails_no_run(tables):
+    """The rule that used to end the job: it is refused, the other load set's long values are named."""
+    meta = [meta_row(k, "P", "is", "ab" * 50_000 if k % 2 else "short") for k in range(1, 5)]
+    rules = [(1, f"regexp_replace({V}, '(a|b)*c', 'x')", f"regexp_extract({V}, '^([a-z])', 1)", V, 1),
+             (2, f"left(regexp_replace({V}, '[ab]+', 'x'), 9)", f"regexp_extract({V}, '^([a-z])', 1)", f"rpad({V}, 9, ' ')", 1)]
+    t = tables(meta, [(k % 2 + 1, k) for k in range(1, 5)] + [(1, 1)], rules)
+    rows = {(r["load_set_id"], r["curve_id"]): r for r in jobs.stage(t["meta"], t["members"], t["dict"], t["rules"]).checked.collect()}
+    assert "rule refused: pattern (a|b)*c" in rows[1, 1]["long_text"] and rows[1, 1]["short_text"] == "a"
+    assert rows[2, 1]["long_text"] == "x" and rows[2, 3]["desc_text"] == "ababababa"
+
+
 def test_keys_with_escapes_count_as_computed(tables):
     use = R.referenced_keys(["curve['A\\tB.is'].fullname"])
     assert not use.restricted
