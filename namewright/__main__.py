@@ -8,7 +8,7 @@
 
 A table argument is a parquet path, ``table:NAME`` for a catalog table, or
 ``jdbc:<url>#<table>`` (metadata and names are read in ``--jdbc-parts`` range
-partitions of their id's bucket; ``--staging`` may be one too).  Credentials come
+partitions of their id; ``--staging`` and ``--status`` may be one too).  Credentials come
 from the environment variables NAMEWRIGHT_JDBC_USER / NAMEWRIGHT_JDBC_PASSWORD.
 The session comes from spark-submit; nothing here sets cluster options.
 """
@@ -58,7 +58,7 @@ def parser() -> argparse.ArgumentParser:
     for a in ("meta", "members", "dictionary", "rules"):
         s.add_argument(f"--{a}", required=True)
     s.add_argument("--staging", required=True)
-    s.add_argument("--status", required=True, help="fresh path for the status snapshot")
+    s.add_argument("--status", required=True, help="fresh path for the status snapshot, or the JDBC rules table itself")
     s.add_argument("--load-sets", default=None, help="comma list, or 'all' (default)")
     s.add_argument("--report", default=None, help="optional path for the per-load-set report")
     s.add_argument("--type-id", type=int, default=None)
@@ -86,7 +86,7 @@ def main(argv=None) -> int:
         run = jobs.run_staging(
             meta, members, load(spark, args.dictionary, args), load(spark, args.rules, args),
             args.staging, args.status, load_set_ids=_sets(args.load_sets), report_path=args.report,
-            type_id=args.type_id, max_attr_chars=args.max_attr_chars, jdbc_props=jdbc_props(args))
+            type_id=args.type_id, max_attr_chars=args.max_attr_chars, jdbc_props=jdbc_props(args), jdbc_quote=args.jdbc_quote)
         print(json.dumps({"metrics": run.metrics, "failed_load_sets": run.failed_load_sets,
                           "errors": {r.load_set_id: r.error for r in run.rule_sets if r.error}}))
         return 1 if run.failed_load_sets else 0

@@ -172,14 +172,16 @@ def outcome_map(run: StagingRun) -> dict:
 
 def run_staging(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: DataFrame,
                 staging_path: str, status_path: str, load_set_ids=None,
-                report_path: str | None = None, jdbc_props: dict | None = None, **kw) -> StagingRun:
+                report_path: str | None = None, jdbc_props: dict | None = None, jdbc_quote: str = '"', **kw) -> StagingRun:
     """JOB1 end to end: staging rows replaced per load set, the optional run
     report (RPT1), then the status snapshot last.  The per-curve naming
     result is persisted (MAT1, MEMORY_AND_DISK) for the duration, so the
     staging write, its duplicate searches and the report all read one
     computation; a lost executor only costs a recompute of its blocks.  A run
-    that fails leaves the staged rows as they were, moves its load sets to -1
-    and raises."""
+    that fails leaves the staged rows as they were (in a JDBC table too: its rows
+    are swapped in by one transaction), moves its load sets to -1 and raises.
+    ``staging_path`` and ``status_path`` may be ``jdbc:<url>#<table>``; a rules
+    table's status is then moved in place, where it still is 1."""
     kw.setdefault("persist", True)
     run = stage(meta, members, dictionary, rules, load_set_ids, **kw)
     # RPT1 totals ride along with the write (no extra job)
@@ -190,7 +192,8 @@ def run_staging(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rule
         present = [r[0] for r in run.flags.select("load_set_id").distinct().collect()]
         if staging_path.startswith("jdbc:"):
             url, table = split_spec(staging_path)
-            writers.write_staging_jdbc(observed, url, table, jdbc_props, processed_load_sets=run.good_load_sets)
+            writers.write_staging_jdbc(observed, url, table, jdbc_props, processed_load_sets=run.good_load_sets,
+                                       quote=jdbc_quote, expected=lambda: obs.get["rows"])
         else:
             writers.write_staging(observed, staging_path, run.good_load_sets, present)
         run.metrics = dict(obs.get)
@@ -199,11 +202,11 @@ def run_staging(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rule
     except Exception:
         # the old rows are still there; every load set of the run goes to -1
         failed = {r.load_set_id: False for r in run.rule_sets}
-        writers.write_status_snapshot(writers.transition_status(rules, failed), status_path)
+        writers.write_status(rules, failed, status_path, jdbc_props, jdbc_quote)
         raise
     finally:
         run.release()
-    writers.write_status_snapshot(writers.transition_status(rules, outcome_map(run)), status_path)
+    writers.write_status(rules, outcome_map(run), status_path, jdbc_props, jdbc_quote)
     return run
 
 

@@ -5,6 +5,7 @@
   overwrite), so reruns and retried tasks never double rows.  The write
   comes first: if it fails, the old rows stay.  Only then are the partitions
   of processed load sets without rows removed, which the overwrite leaves.
+  A JDBC staging table is replaced in one transaction (``database``).
 * Document bundles: each bundle is one text file ``<DOCS>`` .. ``</DOCS>``.
   ``write_partition_bundles`` (used by the export job) writes each partition
   of documents already clustered by curve id as one file, framing it with a
@@ -14,20 +15,26 @@
   bundle that has documents, one repartition by bundle, and a sort within
   partitions ordering header, documents, footer.
 * Status: a new snapshot of the rules table with the transition applied,
-  written to a fresh path (a table cannot be overwritten while it is read).
+  written to a fresh path (a table cannot be overwritten while it is read), or an
+  update of the load sets that still have status 1 in a JDBC rules table.
   Write staging first and status last: a crash in between leaves status 1
   and the run is simply repeated.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namewright.functions.xml import BUNDLE_CLOSE, BUNDLE_OPEN
+from namewright.sinks import database
+from namewright.sources.jdbc import split_spec
 
 STAGING_COLUMNS = ["curve_id", "curve_name", "short_curve_name", "curve_description",
                    "load_set_id", "is_valid"]
+STAGING_KEY = ["load_set_id", "curve_id"]
 STATUS_READY, STATUS_DONE, STATUS_FAILED = 1, 2, -1
 
 
@@ -70,37 +77,15 @@ def write_staging(staged: DataFrame, path: str, processed_load_sets=None, presen
         clear_partitions(spark, path, "load_set_id", sorted(set(processed_load_sets) - set(present)))
 
 
-def delete_staged_jdbc(spark: SparkSession, url: str, table: str, load_set_ids, props: dict | None = None, quote: str = '"') -> None:
-    """Delete the load sets' rows from a JDBC staging table, in one transaction."""
-    p = dict(props or {})
-    jvm = spark.sparkContext._jvm
-    if "driver" in p:
-        jvm.java.lang.Class.forName(p["driver"])
-    given = jvm.java.util.Properties()
-    for k, v in p.items():
-        given.setProperty(k, str(v))
-    connection = jvm.java.sql.DriverManager.getConnection(url, given)
-    try:
-        connection.setAutoCommit(False)
-        statement = connection.prepareStatement(f"DELETE FROM {table} WHERE {quote}load_set_id{quote} = ?")
-        for k in load_set_ids:
-            statement.setInt(1, int(k))
-            statement.executeUpdate()
-        connection.commit()
-    finally:
-        connection.close()
-
-
-def write_staging_jdbc(staged: DataFrame, url: str, table: str, props: dict | None = None,
-                       batchsize: int = 1000, processed_load_sets=None, quote: str = '"') -> None:
-    """SNK2: replace the processed load sets' rows over JDBC: their old rows are
-    deleted, then the new ones appended, one transaction per task.  Without
-    ``processed_load_sets`` rows are only appended."""
-    p = dict(props or {})
+def write_staging_jdbc(staged: DataFrame, url: str, table: str, props: dict | None = None, batchsize: int = 1000,
+                       processed_load_sets=None, quote: str = '"', expected: Callable[[], int] | None = None) -> None:
+    """SNK2: replace the processed load sets' rows over JDBC, through a side table and one transaction, so that a
+    failed run leaves the old rows (``database.replace_rows``).  Without ``processed_load_sets`` rows are only appended."""
+    rows = staged.select(*STAGING_COLUMNS)
     if processed_load_sets:
-        delete_staged_jdbc(staged.sparkSession, url, table, processed_load_sets, p, quote)
-    p.setdefault("batchsize", str(batchsize))
-    staged.select(*STAGING_COLUMNS).write.jdbc(url, table, mode="append", properties=p)
+        database.replace_rows(rows, url, table, processed_load_sets, STAGING_KEY, props, batchsize, quote, expected)
+    else:
+        rows.write.jdbc(url, table, mode="append", properties={"batchsize": str(batchsize), **(props or {})})
 
 
 # ---------------------------------------------------------------------------
@@ -198,5 +183,14 @@ def transition_status(rules: DataFrame, outcomes) -> DataFrame:
     return j.withColumn("curvename_status_id", new.cast("int")).drop("_ok").select(*rules.columns)
 
 
+def write_status(rules: DataFrame, outcomes: dict, target: str, props: dict | None = None, quote: str = '"') -> None:
+    """The run's outcomes, to a fresh snapshot path or into a JDBC rules table (``jdbc:<url>#<table>``, moved in place)."""
+    if target.startswith("jdbc:"):
+        url, table = split_spec(target)
+        database.move_status(rules.sparkSession, url, table, outcomes, STATUS_READY, STATUS_DONE, STATUS_FAILED, props, quote)
+    else:
+        write_status_snapshot(transition_status(rules, outcomes), target)
+
+
 def write_status_snapshot(rules_after: DataFrame, path: str) -> None:
     rules_after.write.mode("overwrite").parquet(path)

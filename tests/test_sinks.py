@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from namewright.plans import jobs
-from namewright.sinks import writers
+from namewright.sinks import database, writers
 
 from .conftest import meta_row
 
@@ -162,6 +162,64 @@ def test_jdbc_staging_is_replaced(spark, tables):
     assert spark.read.jdbc(url, "STAGING", properties=props).count() == 30
 
 
+def _staged_rows(spark, url, table="STAGING"):
+    return sorted(map(tuple, spark.read.jdbc(url, table, properties={"driver": DERBY}).collect()))
+
+
+def test_jdbc_staging_keeps_old_rows_when_a_task_fails(spark, tables):
+    t = _tables(tables)
+    url, props = "jdbc:derby:memory:nwfails;create=true", {"driver": DERBY}
+    staged = jobs.stage_names(t["meta"], t["members"], t["dict"], t["rules"])
+    writers.write_staging_jdbc(staged.limit(0), url, "STAGING", props)
+    writers.write_staging_jdbc(staged, url, "STAGING", props, processed_load_sets=[1, 2])
+    old = _staged_rows(spark, url)
+    assert len(old) == 30
+    broken = staged.repartition(4, "curve_id").withColumn("curve_name", F.expr("CASE WHEN curve_id = 7 THEN raise_error('lost') ELSE 'new' END"))
+    with pytest.raises(Exception, match="lost"):
+        writers.write_staging_jdbc(broken, url, "STAGING", props, processed_load_sets=[1, 2])
+    assert _staged_rows(spark, url) == old
+    assert spark.read.jdbc(url, "STAGING" + database.SIDE_SUFFIX, properties=props).count() == 0
+    # rows that are missing when they are to be swapped in: nothing is changed either
+    with pytest.raises(RuntimeError, match="not 31"):
+        writers.write_staging_jdbc(staged, url, "STAGING", props, processed_load_sets=[1, 2], expected=lambda: 31)
+    assert _staged_rows(spark, url) == old
+
+
+def test_jdbc_staging_of_a_repeated_task_doubles_no_row(spark, tables):
+    t = _tables(tables)
+    url, props = "jdbc:derby:memory:nwrepeat;create=true", {"driver": DERBY}
+    staged = jobs.stage_names(t["meta"], t["members"], t["dict"], t["rules"]).select(*writers.STAGING_COLUMNS)
+    writers.write_staging_jdbc(staged.limit(0), url, "STAGING", props)
+    side = database.ensure_side_table(spark, url, "STAGING", staged.columns, props)
+    for rows in (staged, staged.where("curve_id < 5"), staged.where("curve_id between 3 and 9")):  # tasks that had committed run again
+        database.append_rows(rows, url, side, "run", props)
+    database.append_rows(staged.withColumn("curve_name", F.lit("of another run")), url, side, "other", props)
+    put = database.swap_in(spark, url, "STAGING", side, "run", staged.columns, [1, 2], writers.STAGING_KEY, props, expected=30)
+    assert put == 30 and _staged_rows(spark, url) == sorted(map(tuple, staged.collect()))
+    assert {r[0] for r in spark.read.jdbc(url, side, properties=props).select(database.RUN_ID).collect()} == {"other"}
+    # a load set that has no rows any more loses its old ones, others stay
+    writers.write_staging_jdbc(staged.where("load_set_id = 3"), url, "STAGING", props, processed_load_sets=[2])
+    assert {r[4] for r in _staged_rows(spark, url)} == {1}
+
+
+def test_status_moves_in_a_jdbc_rules_table(spark, tables):
+    """A run whose status goes to the rules table: 1 becomes 2 or -1, other states stay, and the next run sees it."""
+    t = _tables(tables)
+    url, props = "jdbc:derby:memory:nwstatus;create=true", {"driver": DERBY}
+    t["rules"].write.jdbc(url, "CURVE_RULE", mode="overwrite", properties=props)
+    rules = spark.read.jdbc(url, "CURVE_RULE", properties=props)
+    out = tempfile.mkdtemp(prefix="stage-", dir="/tmp")
+    args = (t["meta"], t["members"], t["dict"], rules, f"{out}/staging", f"{url}#CURVE_RULE")
+    state = lambda: {r["load_set_id"]: r["curvename_status_id"] for r in rules.collect()}
+    assert state() == {1: 1, 2: 1, 3: 1, 4: 2}
+    broken = t["meta"].withColumn("element_name", F.expr("CASE WHEN object_id = 7 THEN raise_error('lost') ELSE 'new' END"))
+    with pytest.raises(Exception, match="lost"):
+        jobs.run_staging(broken, *args[1:], load_set_ids=[2], jdbc_props=props)
+    assert state() == {1: 1, 2: -1, 3: 1, 4: 2}
+    jobs.run_staging(*args, jdbc_props=props)
+    assert state() == {1: 2, 2: -1, 3: -1, 4: 2}   # 2 was no longer ready
+
+
 def test_failed_run_keeps_old_rows_and_sets_status(spark, tables):
     t = _tables(tables)
     out = tempfile.mkdtemp(prefix="stage-", dir="/tmp")
