@@ -10,6 +10,7 @@ reading those tables:
 
   stage_names   JOB1 for all load sets: staging written (partition per load
                 set) and the status snapshot written
+  stage_one     JOB1 for one load set, replacing its partition
   export_docs   JOB2 for all curves, bundles written as text
   export_one    JOB2 for one load set (semi join scope)
   report        RPT1 counts per load set, on their own (no staging write)
@@ -66,6 +67,10 @@ def main() -> None:
         jobs.run_staging(table("object_meta"), table("load_set_curve"), table("curve_dict"),
                          table("curve_rule"), f"{scratch}/staging", f"{scratch}/status_{run_id}")
 
+    def stage_one(run_id):
+        jobs.run_staging(table("object_meta"), table("load_set_curve"), table("curve_dict"),
+                         table("curve_rule"), f"{scratch}/staging", f"{scratch}/status1_{run_id}", load_set_ids=[1])
+
     def export(run_id):
         jobs.run_export(table("object_meta"), table("load_set_curve"), table("curve_name"),
                         f"{scratch}/docs_{run_id}", BUNDLES)
@@ -79,7 +84,7 @@ def main() -> None:
                         table("curve_rule")).collect()
 
     timings = {}
-    for name, fn in [("stage_names", stage), ("export_docs", export),
+    for name, fn in [("stage_names", stage), ("stage_one", stage_one), ("export_docs", export),
                      ("export_one", export_one), ("report", report)]:
         best = None
         for i in range(3):
@@ -91,7 +96,7 @@ def main() -> None:
 
     out = {
         "metric": "catalogue_jobs_total",
-        "value": round(sum(timings.values()), 3),
+        "value": round(sum(v for k, v in timings.items() if k != "stage_one"), 3),  # as before stage_one was added
         "unit": "sec",
         "queries": timings,
         "prepare_tables_sec": round(prepare, 3),

@@ -1,10 +1,12 @@
-"""Command line for the two jobs: ``python -m namewright ...`` or
+"""Command line for the jobs: ``python -m namewright ...`` or
 ``spark-submit --py-files namewright.zip namewright/__main__.py ...``.
 
   stage   --meta T --members T --dictionary T --rules T --staging PATH
           --status PATH [--load-sets 1,2 | all] [--report PATH]
-  export  --meta T --members T --names T --out PATH --bundles N
+  export  --meta T --members T --names T --out PATH --bundles N [--bundle-mb M]
           [--load-set ID | all] [--mode reference|clean]
+  store   --meta T --members T --names T --buckets N --prefix DB.
+          writes the three tables to the catalog, clustered by curve, for ``table:`` arguments
 
 A table argument is a parquet path, ``table:NAME`` for a catalog table, or
 ``jdbc:<url>#<table>`` (metadata and names are read in ``--jdbc-parts`` range
@@ -23,6 +25,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from namewright.plans import jobs
+from namewright.sinks.writers import write_bucketed
 from namewright.sources import jdbc
 from namewright.sources.tables import ALL, META_COLUMNS, NAME_COLUMNS, decode_meta, decode_names
 
@@ -68,9 +71,15 @@ def parser() -> argparse.ArgumentParser:
         e.add_argument(f"--{a}", required=True)
     e.add_argument("--out", required=True)
     e.add_argument("--bundles", type=int, required=True)
+    e.add_argument("--bundle-mb", type=int, default=None, help="cut bundles into files of about this size")
     e.add_argument("--load-set", default=ALL)
     e.add_argument("--mode", default="reference", choices=["reference", "clean"])
-    for q in (s, e):
+    c = sub.add_parser("store", help="store the large tables by curve (SRC3)")
+    for a in ("meta", "members", "names"):
+        c.add_argument(f"--{a}", required=True)
+    c.add_argument("--buckets", type=int, required=True)
+    c.add_argument("--prefix", default="", help="database and start of the tables' names")
+    for q in (s, e, c):
         q.add_argument("--jdbc-parts", type=int, default=1)
         q.add_argument("--jdbc-driver", default=None)
         q.add_argument("--jdbc-quote", default='"')
@@ -90,9 +99,14 @@ def main(argv=None) -> int:
         print(json.dumps({"metrics": run.metrics, "failed_load_sets": run.failed_load_sets,
                           "errors": {r.load_set_id: r.error for r in run.rule_sets if r.error}}))
         return 1 if run.failed_load_sets else 0
+    names = decode_names(load(spark, args.names, args, NAME_COLUMNS, "curve_id"))
+    if args.job == "store":
+        for name, df, key in (("object_meta", meta, "object_id"), ("load_set_curve", members, "curve_id"), ("curve_name", names, "curve_id")):
+            write_bucketed(df, args.prefix + name, key, args.buckets)
+        return 0
     load_set = args.load_set if args.load_set == ALL else int(args.load_set)
-    jobs.run_export(meta, members, decode_names(load(spark, args.names, args, NAME_COLUMNS, "curve_id")),
-                    args.out, args.bundles, load_set_id=load_set, mode=args.mode)
+    jobs.run_export(meta, members, names, args.out, args.bundles, load_set_id=load_set, mode=args.mode,
+                    bundle_bytes=args.bundle_mb << 20 if args.bundle_mb else None)
     return 0
 
 

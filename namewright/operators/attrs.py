@@ -12,6 +12,10 @@ Plan shape at scale
   Every run takes this path; nothing depends on counts taken beforehand.
 * ``join_members`` is an equi-join of the reduced rows on the curve id; neither
   side is forced to broadcast.
+* A run over named load sets drops other curves' rows first (``maybe_members``): a
+  Bloom filter of the members' ids, as a DataFrame of at most 2^FILTER_BITS / 64
+  rows of bits, is broadcast to the scan, whatever the number of members.  It lets a
+  few other rows through, which the membership join then drops.
 * Everything after the membership join is keyed by (load_set_id, curve_id).
   The join's hash partitioning on curve id already satisfies every later
   window and aggregate keyed by a superset of curve id.
@@ -25,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from namewright.functions.text import attr_entry, attr_key, default_abbr, empty_if_null, normalize_key
+from namewright.session import materialized
 
 ENTRY_VALUE = ["fullname", "shortname", "abbr"]
 
@@ -47,13 +52,39 @@ def join_dictionary(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
     return rows.join(d, "element_id", "left")
 
 
-def semi_members(meta: DataFrame, members: DataFrame, load_set_id=None) -> DataFrame:
-    """JN3: ``object_id IN (SELECT curve_id FROM members [WHERE load_set_id = x])``."""
+def semi_members(meta: DataFrame, members: DataFrame, load_set_id=None, few: bool = False) -> DataFrame:
+    """JN3: ``object_id IN (SELECT curve_id FROM members [WHERE load_set_id = x])``.
+
+    For one load set, or ``few`` members, other objects' rows go where the metadata is scanned.  The rest is then
+    joined with the distinct ids: a semi join would be moved below that filter by the optimizer."""
     m = members
     if load_set_id is not None and load_set_id != "all":
-        m = m.filter(F.col("load_set_id") == F.lit(load_set_id))
-    m = m.select(F.col("curve_id").cast("long").alias("_member_id"))
-    return meta.join(m, meta["object_id"] == m["_member_id"], "left_semi")
+        m, few = m.filter(F.col("load_set_id") == F.lit(load_set_id)), True
+    ids = m.select(F.col("curve_id").cast("long").alias("_member_id"))
+    if not few:
+        return meta.join(ids, meta["object_id"] == ids["_member_id"], "left_semi")
+    kept, ids = maybe_members(meta, m), ids.distinct()
+    return kept.join(ids, kept["object_id"] == ids["_member_id"]).select(*meta.columns)
+
+
+FILTER_BITS = 24     # 262,144 rows of 16 bytes at most; 4 million members let through about a fifth of the others
+
+
+def member_bits(members: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """A Bloom filter of the members' curve ids with one hash: (word, set bits of these 64 places)."""
+    place = F.pmod(F.xxhash64(F.col("curve_id").cast("long")), F.lit(1 << bits)).alias("_place")
+    words = members.select(place).selectExpr("shiftright(_place, 6) AS _word", "shiftleft(1L, CAST(_place & 63 AS INT)) AS _bit")
+    return words.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+
+
+def maybe_members(meta: DataFrame, members: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The metadata rows whose object may be a member: all of the members' rows and a few others, without a shuffle of ``meta``.
+
+    The broadcast side is bounded by ``bits``, so the hint holds for any number of members."""
+    found = F.broadcast(member_bits(members, bits))
+    placed = meta.withColumn("_place", F.pmod(F.xxhash64(F.col("object_id").cast("long")), F.lit(1 << bits)))
+    kept = placed.withColumn("_word", F.shiftright("_place", 6)).join(found, "_word")
+    return kept.filter("shiftrightunsigned(_bits, CAST(_place & 63 AS INT)) & 1 = 1").select(*meta.columns)
 
 
 # ---------------------------------------------------------------------------
@@ -104,20 +135,37 @@ def with_entry_text(ent: DataFrame) -> DataFrame:
     return ent.withColumn("entry", attr_entry("key", "fullname", "shortname", "abbr"))
 
 
+# an entry with empty parts and a one-character key: no entry text is shorter
+SHORTEST_ENTRY = len('".":{fullname:"",shortname:"",abbr:""}')
+
+
 def attr_string(ent: DataFrame, max_chars: int | None = None) -> DataFrame:
     """AGG1/AGG2: comma-joined entry texts per curve, in entry-text order
     (the reference leaves the order open).  With ``max_chars`` the text is cut
     to that many characters and ``truncated`` says whether it was longer."""
     txt = with_entry_text(ent)
-    agg = txt.groupBy("load_set_id", "curve_id").agg(
-        F.expr("listagg(entry, ',') WITHIN GROUP (ORDER BY entry)").alias("attr"))
-    if max_chars is None:
-        return agg
-    return agg.select(
-        "load_set_id", "curve_id",
-        F.left("attr", F.lit(max_chars)).alias("attr"),
-        (F.length("attr") > F.lit(max_chars)).alias("truncated"),
-    )
+    if max_chars is not None:
+        return _attr_prefix(txt, max_chars)
+    return txt.groupBy("load_set_id", "curve_id").agg(F.expr("listagg(entry, ',') WITHIN GROUP (ORDER BY entry)").alias("attr"))
+
+
+def _attr_prefix(txt: DataFrame, max_chars: int) -> DataFrame:
+    """The first ``max_chars`` characters of each curve's attribute text, without the text.
+
+    Entries have a least length, so only the first so many of a curve can reach the cut: a row_number filter, which
+    Spark also applies before the shuffle, keeps those, and a running length keeps the ones whose comma stands before the cut.  Whether
+    there was more comes from partial sums of lengths.  A curve of any size sends a few entries per map task."""
+    ids = ["load_set_id", "curve_id"]
+    most = max_chars // (SHORTEST_ENTRY + 1) + 1
+    by_entry = Window.partitionBy(*ids).orderBy("entry")
+    heads = txt.select(*ids, "entry", F.row_number().over(by_entry).alias("_rn")).filter(F.col("_rn") <= F.lit(most))
+    before = F.sum(F.length("entry") + F.lit(1)).over(by_entry.rowsBetween(Window.unboundedPreceding, -1))
+    heads = heads.select(*ids, "entry", F.coalesce(before, F.lit(0)).alias("_start")).filter(F.col("_start") <= F.lit(max_chars))
+    cut = heads.select(*ids, F.left("entry", F.lit(max_chars)).alias("entry"))
+    cut = cut.groupBy(*ids).agg(F.expr("listagg(entry, ',') WITHIN GROUP (ORDER BY entry)").alias("attr"))
+    total = attr_text_length(txt)
+    return cut.join(total, ids).select(*ids, F.left("attr", F.lit(max_chars)).alias("attr"),
+                                       (F.col("attr_chars") > F.lit(max_chars)).alias("truncated"))
 
 
 def attr_text_length(ent: DataFrame) -> DataFrame:
@@ -133,17 +181,33 @@ def attr_text_length(ent: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 def _numbered(ent: DataFrame, key_col: str, out: str) -> DataFrame:
     """ORD1 numbering only: ``_n`` (0 for the first entry of a key) and the
-    numbered key ``out``.  Both windows are partitioned by (load_set_id,
-    curve_id) only and share one sort, so the clustering made by the
-    membership join serves them and the map aggregate that follows (the
-    repeat number is the row number minus the rank of the key)."""
-    part = ["load_set_id", "curve_id"]
-    by_key = Window.partitionBy(*part).orderBy(key_col)
-    by_entry = Window.partitionBy(*part).orderBy(key_col, *ENTRY_VALUE)
-    n = F.row_number().over(by_entry) - F.rank().over(by_key)
-    numbered = ent.select("*", n.alias("_n"))
-    return numbered.select("*", F.expr(
-        f"CASE WHEN _n = 0 THEN {key_col} ELSE concat({key_col}, CAST(_n AS STRING)) END").alias(out))
+    numbered key ``out``.  The window's partitioning by (load_set_id, curve_id,
+    key) is served by the clustering that the membership join made."""
+    by_entry = Window.partitionBy("load_set_id", "curve_id", key_col).orderBy(*ENTRY_VALUE)
+    return _with_number(ent.select("*", (F.row_number().over(by_entry) - F.lit(1)).alias("_n")), key_col, out)
+
+
+def _with_number(ent: DataFrame, key_col: str, out: str) -> DataFrame:
+    return ent.select("*", F.expr(f"CASE WHEN _n = 0 THEN {key_col} ELSE concat({key_col}, CAST(_n AS STRING)) END").alias(out))
+
+
+def _numbered_by_ranges(ent: DataFrame, key_col: str, out: str) -> DataFrame:
+    """``_numbered`` in two levels, so that one huge curve, or one key of it, is numbered by many tasks.
+
+    The rows are cut into ranges of (load set, curve, key, value), as many as there are shuffle partitions and about
+    equally long whatever the skew.  Each range numbers its own rows of a key; how many rows of that key lie
+    in earlier ranges comes from the counts per (key, range), a few rows per key.  The ranges are
+    written, since a second evaluation could cut them elsewhere."""
+    spark, ids = ent.sparkSession, ["load_set_id", "curve_id", key_col]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialized(ent.repartitionByRange(n, *ids, *ENTRY_VALUE).withColumn("_range", F.spark_partition_id()), "ranges")
+    earlier = Window.partitionBy(*ids).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy(*ids, "_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = counts.select(*ids, "_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")).filter("_before > 0")
+    own = Window.partitionBy(*ids, "_range").orderBy(*ENTRY_VALUE)
+    rows = ranged.join(before, [*ids, "_range"], "left")
+    rows = rows.select(*ent.columns, (F.row_number().over(own) - F.lit(1) + F.coalesce("_before", F.lit(0))).alias("_n"))
+    return _with_number(rows, key_col, out)
 
 
 def number_repeats(ent: DataFrame, key_col: str = "key", out: str = "final_key") -> DataFrame:
@@ -151,12 +215,9 @@ def number_repeats(ent: DataFrame, key_col: str = "key", out: str = "final_key")
     the 3rd ``K2``; order inside a key is (fullname, shortname, abbr).  One
     entry per (load set, curve, final key) survives, an unnumbered (literal)
     key winning over a numbered one that spells the same text."""
-    part = ["load_set_id", "curve_id"]
-    numbered = _numbered(ent, key_col, out)
-    by_final = Window.partitionBy(*part).orderBy(out)
-    by_final_entry = Window.partitionBy(*part).orderBy(out, "_n", *ENTRY_VALUE)
-    first = F.row_number().over(by_final_entry) == F.rank().over(by_final)
-    return numbered.select("*", first.alias("_first")).filter("_first").select(*ent.columns, out)
+    by_final = Window.partitionBy("load_set_id", "curve_id", out).orderBy("_n", *ENTRY_VALUE)
+    numbered = _numbered_by_ranges(ent, key_col, out)
+    return numbered.select("*", F.row_number().over(by_final).alias("_rn")).filter("_rn = 1").select(*ent.columns, out)
 
 
 def numbered_keys(ent: DataFrame) -> DataFrame:
@@ -196,7 +257,7 @@ def _map_from_sorted(col: str) -> Column:
 
 def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
                    keys=None, type_id: int | None = None,
-                   max_attr_chars: int | None = None) -> DataFrame:
+                   max_attr_chars: int | None = None, few: bool = False) -> DataFrame:
     """AGG3: one row per (load_set_id, curve_id) holding
 
     * ``curve``: map raw key (numbered) -> struct(fullname, shortname, abbr)
@@ -207,7 +268,8 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
     rules can read; None keeps all.  Both maps come out of one aggregate over
     the numbered entries, on the partitioning the membership join already made.
     With ``max_attr_chars``, ``attr_too_long`` marks curves whose serialised
-    attribute text is wider than that."""
+    attribute text is wider than that.  ``few`` says that ``members`` are a small part
+    of the catalogue: other objects' rows then go where the metadata is scanned."""
     from namewright.operators.rules import entries_needed, key_candidates  # local: avoid a cycle
 
     restricted = keys is not None and keys.restricted
@@ -216,7 +278,8 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
     attributes = keys.attribute_candidates() if restricted and not keys.var_keys else None
 
     # full maps leave every entry of a curve in, so curves outside the load sets go first
-    ent = object_entries(meta if restricted else semi_members(meta, members), dictionary, type_id, attributes)
+    known = semi_members(meta, members, few=few) if not restricted else maybe_members(meta, members) if few else meta
+    ent = object_entries(known, dictionary, type_id, attributes)
     if restricted:
         wanted = F.lit(False)
         if need_curve:
@@ -250,7 +313,8 @@ def attribute_maps(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
         # object ids first (column-pruned scan, partial aggregation before the
         # shuffle: one row per object and map task), then the membership join
         # on the already-clustered ids
-        m = meta if type_id is None else meta.filter(F.col("object_type_id") == F.lit(type_id))
+        m = maybe_members(meta, members) if few else meta
+        m = m if type_id is None else m.filter(F.col("object_type_id") == F.lit(type_id))
         curves = join_members(m.select("object_id").distinct(), members).distinct()
         if max_attr_chars is not None:
             lengths = attr_text_length(entries(meta, members, dictionary, type_id)).select(

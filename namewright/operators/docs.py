@@ -75,21 +75,30 @@ def curve_elements(dm: DataFrame, mode: str = "reference", bundles: int | None =
     With ``bundles`` the rows are clustered into that many hash partitions of
     the curve id for the aggregate (one bundle per partition).  Rows that are
     not exported only count, so they cross that shuffle as an id and nulls."""
+    ranked = _ranked(dm)
+    if bundles is not None:
+        ranked = ranked.repartition(bundles, "curve_id")
+    return ranked.groupBy("curve_id").agg(F.expr("count(1) AS n_rows"), *_list_aggs(mode))
+
+
+def _ranked(dm: DataFrame) -> DataFrame:
+    """Every metadata row with its element's rank; the texts only of rows that are exported."""
+    return dm.select("curve_id", "name", "code", element_rank().alias("rank")).selectExpr(
+        "curve_id", "rank", "CASE WHEN rank IS NOT NULL THEN name END AS name",
+        "CASE WHEN rank IS NOT NULL THEN code END AS code")
+
+
+def _list_aggs(mode: str) -> list[Column]:
+    """The aggregates of one curve's element lists."""
     val = sql_escape("name") if mode == "clean" else "name"
     tag = _tag_sql()
     xml = f"concat('<', {tag}, '>', {val}, '</', {tag}, '>')"
-    aggs = ["count(1) AS n_rows",
-            f"array_join(transform(sort_array(collect_list(CASE WHEN rank <= {len(SINGLE_ELEMENTS)} "
+    aggs = [f"array_join(transform(sort_array(collect_list(CASE WHEN rank <= {len(SINGLE_ELEMENTS)} "
             f"THEN struct(rank, name, {xml} AS xml) END)), s -> s.xml), '') AS singles"]
     for j, (a, _n, _c) in enumerate(PAIRED_ELEMENTS, start=len(SINGLE_ELEMENTS) + 1):
         aggs.append(f"sort_array(collect_list(CASE WHEN rank = {j} THEN struct(name, code) END)) "
                     f"AS _pairs_{a}")
-    ranked = dm.select("curve_id", "name", "code", element_rank().alias("rank")).selectExpr(
-        "curve_id", "rank", "CASE WHEN rank IS NOT NULL THEN name END AS name",
-        "CASE WHEN rank IS NOT NULL THEN code END AS code")
-    if bundles is not None:
-        ranked = ranked.repartition(bundles, "curve_id")
-    return ranked.groupBy("curve_id").agg(*[F.expr(x) for x in aggs])
+    return [F.expr(x) for x in aggs]
 
 
 def _paired_sql(pairs: str, names_tag: str, codes_tag: str, escape: bool) -> str:
@@ -138,3 +147,30 @@ def curve_docs(meta: DataFrame, members: DataFrame | None, names: DataFrame,
     nm = names if load_set_id == ALL else names.filter(F.col("load_set_id") == F.lit(load_set_id))
     j = join_names(el, nm)
     return j.select("curve_id", render_doc(mode).alias("doc"))
+
+
+# Fixed values of the bundles' spread: a prime below which ids are taken, and an odd multiplier.
+SPREAD_PRIME, SPREAD_FACTOR, SPREAD_SHIFT = 1_000_003, 2_654_435_761, 12
+
+
+def bundle_of(curve_id: str, n: int) -> Column:
+    """Bundle 0 .. n - 1 of a curve: spread by multiplication, so that dense, sparse and clustered ids all fill the bundles evenly."""
+    spread = F.pmod(F.col(curve_id), F.lit(SPREAD_PRIME)) * F.lit(SPREAD_FACTOR)
+    return (F.shiftright(spread, SPREAD_SHIFT) % F.lit(n)).cast("int")
+
+
+def bundled_docs(meta: DataFrame, members: DataFrame | None, names: DataFrame, bundles: int,
+                 load_set_id=ALL, mode: str = "reference") -> DataFrame:
+    """JOB2 body for the export: (bundle, curve_id, doc), partition k holding bundle k.
+
+    Metadata and names meet in the one aggregate per curve (JN4 without a join: a curve's name rows are a list of
+    its group, opened again afterwards), so both are shuffled once, to their bundle, and the documents never."""
+    ranked = _ranked(doc_meta(meta, members, load_set_id))
+    nm = names if load_set_id == ALL else names.filter(F.col("load_set_id") == F.lit(load_set_id))
+    published = nm.select(F.col("curve_id").cast("long").alias("curve_id"), F.struct("curve_name", "short_curve_name", "curve_description").alias("published"))
+    rows = ranked.withColumn("own", F.lit(True)).unionByName(published.withColumn("own", F.lit(False)), allowMissingColumns=True)
+    rows = rows.withColumn("bundle", F.coalesce(bundle_of("curve_id", bundles), F.lit(0))).repartitionById(bundles, F.col("bundle"))
+    el = rows.groupBy("bundle", "curve_id").agg(F.count_if("own").alias("n_rows"), *_list_aggs(mode), F.sort_array(F.collect_list("published")).alias("published"))
+    el = el.filter("n_rows > 0").withColumn("published", F.explode_outer("published"))
+    named = el.select("*", F.col("published").isNotNull().alias("has_name"), "published.*")
+    return named.select("bundle", "curve_id", render_doc(mode).alias("doc"))

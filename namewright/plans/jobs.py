@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from namewright.functions.text import LONG_NAME_MAX, SHORT_NAME_MAX
 from namewright.operators import quality
 from namewright.operators.attrs import attribute_maps
-from namewright.operators.docs import curve_docs
+from namewright.operators.docs import bundled_docs, curve_docs
 from namewright.operators.rules import KINDS, KeyUse, RuleSet, apply_rules, collect_rules, referenced_keys
 from namewright.sinks import writers
 from namewright.sources.jdbc import split_spec
@@ -87,7 +87,8 @@ def by_key_use(rule_sets: list[RuleSet], restrict_keys: bool) -> list[tuple[list
 def named_curves(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
                  rule_sets: list[RuleSet], type_id: int | None = None,
                  max_attr_chars: int | None = None, restrict_keys: bool = True,
-                 max_texts: int = MAX_TEXTS_PER_PASS, persisted: list | None = None) -> DataFrame:
+                 max_texts: int = MAX_TEXTS_PER_PASS, persisted: list | None = None,
+                 few: bool = False) -> DataFrame:
     """RUL1-4 over the attribute maps: (load_set_id, curve_id, <kind>_value,
     <kind>_error ...) for the load sets with usable rules.
 
@@ -95,11 +96,13 @@ def named_curves(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
     full maps of their own.  With more than ``max_texts`` distinct rule texts the
     maps are evaluated in several projections over disjoint load sets; with
     ``persisted`` (a list the caller releases) these read one persisted copy of
-    the maps, otherwise each projection builds its own."""
+    the maps, otherwise each projection builds its own.  ``few``: the load sets are
+    a small part of the catalogue (``attrs.maybe_members``)."""
     parts = []
     for sets, keys in by_key_use(rule_sets, restrict_keys) or [([], None)]:
         m = in_load_set(members, [r.load_set_id for r in sets])
-        attrs = attribute_maps(meta, m, dictionary, keys=keys, type_id=type_id, max_attr_chars=max_attr_chars)
+        attrs = attribute_maps(meta, m, dictionary, keys=keys, type_id=type_id, max_attr_chars=max_attr_chars,
+                               few=few)
         chunks = rule_chunks(sets, max_texts) or [[]]
         if len(chunks) > 1 and persisted is not None:
             attrs = attrs.persist(StorageLevel.MEMORY_AND_DISK)
@@ -117,13 +120,17 @@ def stage(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: Dat
           restrict_keys: bool = True, persist: bool = False) -> StagingRun:
     """JOB1 with everything the callers need (checked rows, staged rows, rules).
 
+    With named load sets the other curves' rows go where the metadata is scanned, so
+    a run over one of thousands of sets shuffles that set's rows.
+
     ``persist`` (MAT1) keeps the per-curve naming result (MEMORY_AND_DISK) so
     the three branches that read it (staged rows, long owners, short owners)
     share one computation; call ``run.release()`` after writing."""
-    rule_sets = collect_rules(rules, None if load_set_ids == ALL else load_set_ids)
+    every = load_set_ids is None or load_set_ids == ALL
+    rule_sets = collect_rules(rules, None if every else load_set_ids)
     kept = []
     named = named_curves(meta, members, dictionary, rule_sets, type_id, max_attr_chars, restrict_keys,
-                         persisted=kept if persist else None)
+                         persisted=kept if persist else None, few=not every)
     flags = quality.length_flags(named, long_max, short_max)
     if persist:
         flags = flags.persist(StorageLevel.MEMORY_AND_DISK)
@@ -231,10 +238,12 @@ def build_docs(meta: DataFrame, members: DataFrame | None, names: DataFrame,
 
 
 def run_export(meta: DataFrame, members: DataFrame | None, names: DataFrame, out_path: str,
-               bundles: int, load_set_id=ALL, mode: str = "reference") -> None:
-    """JOB2 end to end: one text file per bundle, ``<DOCS>`` .. ``</DOCS>``, in
-    one action.  The documents are built on ``bundles`` hash partitions of the
-    curve id and each partition is written as one file, so the documents are
-    never shuffled again after they are rendered."""
-    docs = build_docs(meta, members, names, load_set_id, mode, bundles=bundles)
-    writers.write_partition_bundles(docs, out_path)
+               bundles: int, load_set_id=ALL, mode: str = "reference", bundle_bytes: int | None = None) -> None:
+    """JOB2 end to end, ``<DOCS>`` .. ``</DOCS>`` files, in one action: one file per bundle, or with ``bundle_bytes`` as many
+    files of at most that size (and one document) as a bundle needs.  Metadata and names are shuffled once, to their bundle; the
+    documents are never shuffled after they are rendered."""
+    docs = bundled_docs(meta, members, names, bundles, load_set_id, mode)
+    if bundle_bytes:
+        writers.write_sized_bundles(docs, out_path, bundle_bytes)
+    else:
+        writers.write_partition_bundles(docs, out_path)

@@ -375,11 +375,18 @@ framed AS (
   UNION ALL SELECT DISTINCT bundle, 0, CAST(NULL AS BIGINT), '<DOCS>' FROM lines
   UNION ALL SELECT DISTINCT bundle, 2, CAST(NULL AS BIGINT), '</DOCS>' FROM lines)
 """
+_PARTS = """parts AS (
+  SELECT *, CAST(coalesce(sum(n) OVER (PARTITION BY bundle ORDER BY curve_id, doc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 20000 AS INTEGER) AS part
+  FROM (SELECT CAST((((((curve_id % 1000003) + 1000003) % 1000003) * 2654435761) >> 12) % 16 AS INTEGER) AS bundle, curve_id, doc, strlen(doc) + 1 AS n FROM docs) b)
+"""
 ORACLE |= {
     "bundle_lines": _DOCS.rstrip() + ",\n" + _LINES + "SELECT bundle, seq, curve_id, value FROM framed",
-    "bundle_files": _DOCS.rstrip() + ",\n" + _LINES + "SELECT bundle, value FROM framed",
+    "bundle_files": _DOCS.rstrip() + ",\n" + _PARTS + """SELECT bundle, part, doc AS value FROM parts
+UNION ALL SELECT DISTINCT bundle, part, '<DOCS>' FROM parts UNION ALL SELECT DISTINCT bundle, part, '</DOCS>' FROM parts""",
+    "bundle_order": _DOCS.rstrip() + ",\n" + _PARTS + """SELECT bundle, part, count(*) AS docs, min(curve_id) AS first_curve, max(curve_id) AS last_curve,
+       CAST(sum(n) + 15 AS BIGINT) AS bytes, min(curve_id) AS opened_by, max(curve_id) AS closed_by FROM parts GROUP BY bundle, part""",
     "keyed_docs": ORACLE["curve_docs_one"],
-    "staging_table": ORACLE["staged_names"],
+    "staging_table": ORACLE["staged_names"] + " WHERE load_set_id <> 3",
     "rule_failures": _with(*_NAMING, "flags") + """SELECT load_set_id, curve_id, long_text, short_text, desc_text
 FROM flags WHERE long_reason = 'rule_error' OR short_reason = 'rule_error' OR desc_reason = 'rule_error'""",
     "rule_sets": _with() + """SELECT s.load_set_id, s.curves,
@@ -399,4 +406,6 @@ UNION ALL SELECT load_set_id, curve_id, long_text, short_text, desc_text FROM ({
 ORACLE["numbered_keys"] = ORACLE["attr_map_rows"]
 # full maps and the bundle clustering change how, not what
 ORACLE["staged_names_skew"] = ORACLE["staged_names"]
+ORACLE["staged_names_one"] = ORACLE["staged_names"]
+ORACLE["staged_names_colocated"] = ORACLE["staged_names"]
 ORACLE["curve_docs_bundled"] = ORACLE["curve_docs"]

@@ -30,6 +30,7 @@ ONE_SET = 1            # the load set used by single-set queries
 CUT_CHARS = 3000       # some fixture attribute texts are longer, some shorter
 NEEDLE = '"Geography.in":'
 BUNDLES = 16
+BUNDLE_BYTES = 20_000  # some bundles of the smallest tables need several files
 
 
 def _views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -188,6 +189,34 @@ def q_staged_names(spark, sf):
     return jobs.stage_names(v["object_meta"], v["load_set_curve"], v["curve_dict"], v["curve_rule"])
 
 
+def q_staged_names_one(spark, sf):
+    """JOB1 once per load set, as the reference runs it: each run filters the metadata by its own members."""
+    v = _views(spark, sf)
+    runs = [jobs.stage_names(v["object_meta"], v["load_set_curve"], v["curve_dict"], v["curve_rule"], load_set_ids=[k])
+            for k in sorted({r[0] for r in fv.RULES})]
+    out = runs[0]
+    for run in runs[1:]:
+        out = out.unionByName(run)
+    return out
+
+
+def _colocated(spark, sf):
+    """The catalogue with its large tables stored by curve (``writers.write_bucketed``)."""
+    v = _views(spark, sf)
+    for name, key in (("object_meta", "object_id"), ("load_set_curve", "curve_id"), ("curve_name", "curve_id")):
+        path = scratch_path(spark, name)
+        table = path.rsplit("/", 1)[-1].replace("-", "_")
+        writers.write_bucketed(v[name], table, key, BUNDLES, path)
+        v[name] = spark.table(table)
+    return v
+
+
+def q_staged_names_colocated(spark, sf):
+    """SRC3: JOB1 over tables stored by curve."""
+    v = _colocated(spark, sf)
+    return jobs.stage_names(v["object_meta"], v["load_set_curve"], v["curve_dict"], v["curve_rule"])
+
+
 def q_staged_names_skew(spark, sf):
     """JOB1 with every curve's full maps (no pruning by the rules' keys): the
     reduction before the membership join must not change a name."""
@@ -219,22 +248,33 @@ def q_rule_sets(spark, sf):
 
 
 def q_staging_table(spark, sf):
-    """SNK1: the staging table after two runs, the second over two load sets only."""
+    """SNK1: the staging table after two runs, the second over two load sets only, of which one has lost its curves."""
     v = _views(spark, sf)
     path = scratch_path(spark, "staging")
-    tables = [v[k] for k in ("object_meta", "load_set_curve", "curve_dict", "curve_rule")]
-    for some in (None, [0, 3]):
-        run = jobs.stage(*tables, load_set_ids=some)
-        writers.write_staging(run.staged, path, run.good_load_sets, run.good_load_sets)
+    fewer = v["load_set_curve"].where("load_set_id <> 3")
+    for members, some in ((v["load_set_curve"], None), (fewer, [0, 3])):
+        run = jobs.stage(v["object_meta"], members, v["curve_dict"], v["curve_rule"], load_set_ids=some)
+        writers.write_staging(run.staged, path, run.good_load_sets)
     return spark.read.parquet(path).withColumn("load_set_id", F.col("load_set_id").cast("int"))
 
 
 def q_bundle_files(spark, sf):
-    """SNK3: the lines of the bundle files."""
+    """SNK3: the lines of the files that the export writes, each of bounded size."""
     v = _views(spark, sf)
     path = scratch_path(spark, "bundles")
-    writers.write_bundles(jobs.build_docs(v["object_meta"], v["load_set_curve"], v["curve_name"], T.ALL), path, BUNDLES)
-    return spark.read.text(path).select(F.col("bundle").cast("int").alias("bundle"), "value")
+    jobs.run_export(v["object_meta"], v["load_set_curve"], v["curve_name"], path, BUNDLES, bundle_bytes=BUNDLE_BYTES)
+    return spark.read.text(path).select(F.col("bundle").cast("int").alias("bundle"), F.col("part").cast("int").alias("part"), "value")
+
+
+def q_bundle_order(spark, sf):
+    """UNI1/SNK3: which document opens and closes each bundle file, and how large the files are."""
+    v = _views(spark, sf)
+    lines = writers.framed(D.bundled_docs(v["object_meta"], v["load_set_curve"], v["curve_name"], BUNDLES), BUNDLE_BYTES)
+    return lines.groupBy("bundle", "part").agg(
+        F.count(F.lit(1)).alias("docs"), F.min("curve_id").alias("first_curve"), F.max("curve_id").alias("last_curve"),
+        F.sum(F.octet_length("value") + F.lit(1)).alias("bytes"),
+        F.min(F.when(F.col("value").startswith("<DOCS>"), F.col("curve_id"))).alias("opened_by"),
+        F.max(F.when(F.col("value").endswith("</DOCS>"), F.col("curve_id"))).alias("closed_by"))
 
 
 def q_keyed_docs(spark, sf):
@@ -307,10 +347,9 @@ def q_curve_docs_clean(spark, sf):
 
 
 def q_curve_docs_bundled(spark, sf):
-    """JOB2 on the bundle clustering used by the export (one partition per bundle)."""
+    """JOB2 as the export builds it: metadata and names meet in one aggregate, one partition per bundle."""
     v = _views(spark, sf)
-    return jobs.build_docs(v["object_meta"], v["load_set_curve"], v["curve_name"], T.ALL,
-                           bundles=BUNDLES)
+    return D.bundled_docs(v["object_meta"], v["load_set_curve"], v["curve_name"], BUNDLES).select("curve_id", "doc")
 
 
 def q_bundle_lines(spark, sf):
@@ -347,12 +386,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dup_long": q_dup_long,
     "dup_short": q_dup_short,
     "staged_names": q_staged_names,
+    "staged_names_one": q_staged_names_one,
+    "staged_names_colocated": q_staged_names_colocated,
     "staged_names_skew": q_staged_names_skew,
     "rule_failures": q_rule_failures,
     "rule_patterns": q_rule_patterns,
     "rule_sets": q_rule_sets,
     "staging_table": q_staging_table,
     "bundle_files": q_bundle_files,
+    "bundle_order": q_bundle_order,
     "keyed_docs": q_keyed_docs,
     "load_set_report": q_load_set_report,
     "status_after": q_status_after,

@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every plan in this package is written against.
 PLAN_CONF = {
@@ -52,7 +52,19 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that driver and executors share
-    (``spark.checkpoint.dir``); a temporary folder only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    """A fresh path in the folder that driver and executors share (``spark.checkpoint.dir``).  Only a local
+    session may do without that setting: its temporary folder is then one for all."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
+        root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/namewright/{name}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back: computed once, whatever reads it and whichever
+    executors are lost.  The files may be deleted when the results are written."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,9 +7,10 @@
   of processed load sets without rows removed, which the overwrite leaves.
   A JDBC staging table is replaced in one transaction (``database``).
 * Document bundles: each bundle is one text file ``<DOCS>`` .. ``</DOCS>``.
-  ``write_partition_bundles`` (used by the export job) writes each partition
-  of documents already clustered by curve id as one file, framing it with a
-  pass-through ``mapInArrow``: no shuffle of the documents.
+  ``write_partition_bundles`` and ``write_sized_bundles`` (used by the export job)
+  write documents that already lie in their bundle's partition, one file a bundle or
+  files of bounded size; windows over a bundle's order put header and footer on its
+  first and last document: no shuffle of the documents, no Python.
   ``write_bundles`` is the general form for documents that come from
   elsewhere: curves hashed into ``n`` bundles, header and footer rows per
   bundle that has documents, one repartition by bundle, and a sort within
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from namewright.functions.xml import BUNDLE_CLOSE, BUNDLE_OPEN
@@ -38,6 +39,20 @@ STAGING_KEY = ["load_set_id", "curve_id"]
 STATUS_READY, STATUS_DONE, STATUS_FAILED = 1, 2, -1
 
 
+# ---------------------------------------------------------------------------
+# co-located catalogue tables (SRC3)
+# ---------------------------------------------------------------------------
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
+    """A catalog table in ``buckets`` files by the hash of ``key``, sorted by it inside.
+
+    Metadata by object_id and members and names by curve_id, with one number of buckets, are read back already
+    clustered: the membership join, the numbering and the aggregates per curve then need no shuffle (the dictionary must be
+    small enough to broadcast).  A run over them is ``spark.table(..)`` in place of a path.  Rows are first dealt out by
+    the buckets' own hash, so each bucket is one file.  One object's rows stay together: a bucket is as large as its largest objects."""
+    writer = df.repartition(buckets, key).sortWithinPartitions(key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 # ---------------------------------------------------------------------------
 # SNK1 / SNK2: staging
 # ---------------------------------------------------------------------------
@@ -118,35 +133,32 @@ def write_bundles(docs: DataFrame, path: str, n: int) -> None:
      .write.mode("overwrite").partitionBy("bundle").text(path))
 
 
-def _frame_partition(batches):
-    """``<DOCS>`` + the partition's lines + ``</DOCS>``; nothing for an empty
-    partition.  Batches pass through untouched (no per-row Python)."""
-    import pyarrow as pa
-
-    def one(text):
-        return pa.RecordBatch.from_arrays([pa.array([text], pa.string())], names=["value"])
+def framed(docs: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """UNI1 in the JVM: (bundle, part, value) of documents (bundle, curve_id, doc), in the order of a bundle's curve ids.
 
-    started = False
-    for b in batches:
-        if b.num_rows == 0:
-            continue
-        if not started:
-            yield one(BUNDLE_OPEN)
-            started = True
-        yield b
-    if started:
-        yield one(BUNDLE_CLOSE)
+    A bundle is cut into parts wherever the bytes before a document reach a further ``max_bytes`` (never without it), so a part
+    is at most that and one document long.  The first document of a part carries ``<DOCS>`` before it, the last ``</DOCS>`` after it."""
+    by_curve = Window.partitionBy("bundle").orderBy("curve_id", "doc")
+    before = F.coalesce(F.sum(F.octet_length("doc") + F.lit(1)).over(by_curve.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    part = F.floor(before / F.lit(max_bytes)).cast("int") if max_bytes else F.lit(0)
+    cut = docs.select("bundle", "curve_id", "doc", part.alias("part"))
+    cut = cut.select("*", F.lag("part").over(by_curve).alias("_last"), F.lead("part").over(by_curve).alias("_next"))
+    value = F.concat(F.when(F.col("_last").eqNullSafe(F.col("part")), F.lit("")).otherwise(F.lit(BUNDLE_OPEN + "\n")), F.col("doc"),
+                     F.when(F.col("_next").eqNullSafe(F.col("part")), F.lit("")).otherwise(F.lit("\n" + BUNDLE_CLOSE)))
+    return cut.select("bundle", "part", "curve_id", value.alias("value"))
 
 
 def write_partition_bundles(docs: DataFrame, path: str) -> None:
-    """SNK3 without a shuffle of the documents: every partition of ``docs``
-    becomes one text file ``<DOCS>`` .. ``</DOCS>`` (documents ordered by curve
-    id), as the partitions of the names join come out.  Use with documents
-    built on ``n`` hash partitions of the curve id (``build_docs(...,
-    bundles=n)``), so each file is one bundle and the bundling costs no
-    shuffle beyond the aggregate's own."""
-    lines = docs.sortWithinPartitions("curve_id", "doc").select(F.col("doc").alias("value"))
-    lines.mapInArrow(_frame_partition, "value string").write.mode("overwrite").text(path)
+    """SNK3: every partition of documents (bundle, curve_id, doc) becomes one text file ``<DOCS>`` .. ``</DOCS>``, ordered by curve
+    id, with partition k holding bundle k (``docs.bundled_docs``).  The documents are neither shuffled nor seen by Python."""
+    framed(docs).select("value").write.mode("overwrite").text(path)
+
+
+def write_sized_bundles(docs: DataFrame, path: str, max_bytes: int) -> None:
+    """SNK3 with files of bounded size: ``path/bundle=K/part=J/``, each file at most ``max_bytes`` and one document long.  A bundle
+    that turns out larger than others gives more files, not a larger one."""
+    (framed(docs, max_bytes).sortWithinPartitions("bundle", "part", "curve_id", "value")
+     .select("bundle", "part", "value").write.mode("overwrite").partitionBy("bundle", "part").text(path))
 
 
 def write_keyed_docs(docs: DataFrame, path: str) -> None:
