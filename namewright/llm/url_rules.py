@@ -1,7 +1,9 @@
 """URL filtering: explicit host and path rules, and association rules mined from labels.
 
 Spark's FP-growth mines combinations of URL tokens that are frequent among the labelled bad
-URLs. Each combination is then counted among all labelled URLs; as rules are kept those with
+URLs. Tokens that occur in the very same labelled URLs (a host and its labels, the keys of one template) count as one item there, since
+every combination would otherwise come once per subset of them: n such tokens in 2^n - 1 ways. A rule then asks for at least one token
+of each of its items, which blocks what all those combinations would. Each combination is then counted among all labelled URLs; as rules are kept those with
 enough support and confidence (the share of bad URLs among those that match), without a shorter rule of
 at least the same confidence inside them. Rules are matched through an inverted index: each rule
 is filed under its rarest token, a URL meets only the rules filed under one of its tokens, and
@@ -18,6 +20,8 @@ fewer than ``min_count`` bad URLs nothing is mined. Repeated pages repeat their
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,29 +74,54 @@ def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return spread.join(rules, "filed").where(F.size(F.array_except("items", "tokens")) == 0).drop("filed")
 
 
+def token_classes(rows: DataFrame, least: int, most: float) -> DataFrame:
+    """Tokens of ``rows`` (at, tokens) that occur in at least ``least`` and fewer than ``most`` rows, those of the very same rows
+    in one class: class (its smallest token), n (rows) and members. Rows are told apart by two 64-bit sums over their numbers' hashes."""
+    spread = rows.select("at", F.explode("tokens").alias("token"))
+    counted = spread.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("at")).alias("x"), F.bit_xor(F.xxhash64("at", F.lit(1))).alias("y"))
+    counted = counted.where((F.col("n") >= least) & (F.col("n") < most))
+    # The tokens of a class stand together in one URL, so their list is as short as a URL.
+    return counted.groupBy("n", "x", "y").agg(F.min("token").alias("class"), F.collect_set("token").alias("members")).select("class", "n", "members")
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame | None:
-    """Rules (rule_id, items, filed, support, confidence) from rows with tokens and bad (0 or 1); None if there is too little to learn from."""
+    """Rules (rule_id, items, alternatives, filed, support, confidence) from rows with tokens and bad (0 or 1); None if there is too little to learn from.
+
+    Items are classes of tokens that no labelled row tells apart, each named by its smallest token; ``alternatives`` are all
+    tokens of each. A rule stands for every choice of one token of each class: all have its support and confidence."""
     n, bad = labelled.agg(F.count("*"), F.sum("bad")).first()
     if not bad or bad < min_count:
         return None
-    counts = labelled.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    useful = counts.where(F.col("n") < 0.9 * n).select("token")  # a token of nearly all URLs tells nothing
-    bad_rows = labelled.where("bad = 1").withColumn("at", F.monotonically_increasing_id())
-    kept = bad_rows.select("at", F.explode("tokens").alias("token")).join(useful, "token").groupBy("at").agg(F.collect_set("token").alias("items"))
-    found = FPGrowth(itemsCol="items", minSupport=max(min_support, min_count / bad)).fit(kept.select("items")).freqItemsets
-    sets = found.select(F.xxhash64(F.array_sort("items")).alias("rule_id"), "items")
-    filed = sets.select("rule_id", "items", F.explode("items").alias("token")).join(counts, "token").groupBy("rule_id").agg(F.first("items").alias("items"), F.min_by("token", F.struct("n", "token")).alias("filed"))
-    filed = written(filed, "itemsets")
-    scored = matches(labelled.select("tokens", "bad"), filed).groupBy("rule_id").agg(F.count("*").alias("support"), F.avg("bad").alias("confidence"))
-    good = filed.join(scored.where((F.col("support") >= min_count) & (F.col("confidence") >= min_confidence)), "rule_id")
+    rows = written(labelled.select("tokens", "bad").withColumn("at", F.monotonically_increasing_id()), "rows")
+    classes = written(token_classes(rows, min_count, 0.9 * n), "classes")  # a token of nearly all URLs tells nothing
+    of_token = classes.select("class", F.explode("members").alias("token"))
+    held = rows.select("at", "bad", F.explode("tokens").alias("token")).join(of_token, "token").groupBy("at", "bad").agg(F.collect_set("class").alias("tokens"))
+    held = written(held.select("bad", "tokens"), "held")
+    found = FPGrowth(itemsCol="tokens", minSupport=max(min_support, min_count / bad)).fit(held.where("bad = 1").select("tokens")).freqItemsets
+    # FP-growth takes its share of the rows with items; a support below the asked one only adds rules that are counted next.
+    sets = written(found.select(F.xxhash64(F.array_sort("items")).alias("rule_id"), "items"), "itemsets")
+    sizes = sets.select("rule_id", F.explode("items").alias("class")).join(classes, "class")
+    filed = sizes.groupBy("rule_id").agg(F.min_by("class", F.struct("n", "class")).alias("filed"), F.map_from_entries(F.collect_list(F.struct("class", "members"))).alias("of"))
+    filed = sets.join(filed, "rule_id").withColumn("alternatives", F.transform("items", lambda c: F.element_at("of", c))).drop("of")
+    filed = written(filed, "filed")
+    scored = matches(held, filed.select("rule_id", "items", "filed")).groupBy("rule_id").agg(F.count("*").alias("support"), F.avg("bad").alias("confidence"))
+    least = max(min_count, math.ceil(min_support * bad))
+    good = filed.join(scored.where((F.col("support") * F.col("confidence") >= least) & (F.col("confidence") >= min_confidence)), "rule_id")
     good = written(good, "rules")
     # A rule inside another one with at least its confidence makes the longer one needless.
     short = good.select(F.col("rule_id").alias("id2"), F.col("items").alias("items2"), F.col("confidence").alias("confidence2"), "filed")
-    held = good.select("rule_id", "items", "confidence", F.explode("items").alias("filed")).join(short, "filed")
-    needless = held.where((F.size(F.array_except("items2", "items")) == 0) & (F.size("items2") < F.size("items")) & (F.col("confidence2") >= F.col("confidence"))).select("rule_id")
+    inside = good.select("rule_id", "items", "confidence", F.explode("items").alias("filed")).join(short, "filed")
+    needless = inside.where((F.size(F.array_except("items2", "items")) == 0) & (F.size("items2") < F.size("items")) & (F.col("confidence2") >= F.col("confidence"))).select("rule_id")
     return good.join(needless.distinct(), "rule_id", "left_anti")
 
 
+def rule_hits(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """The rows of ``urls`` (with tokens) beside each mined rule that they hold, perhaps more than once: at least one token of each of its classes."""
+    by_token = rules.withColumn("filed", F.explode(F.element_at("alternatives", F.array_position("items", F.col("filed")).cast("int"))))
+    met = urls.withColumn("filed", F.explode("tokens")).join(by_token, "filed")
+    return met.where(F.forall("alternatives", lambda some: F.arrays_overlap(some, F.col("tokens")))).drop("filed")
+
+
 def judge(pages: DataFrame, labels: DataFrame, keep: list[str], url: str = "url", label_id: str = "doc_id", bad: str = "quality = 0", rules: list[tuple[str, str, str]] = RULES, **options) -> DataFrame:
     """The ``keep`` columns of ``pages`` with host, path, rule, verdict and confidence (of the best mined rule that the url holds).
 
@@ -107,7 +136,7 @@ def judge(pages: DataFrame, labels: DataFrame, keep: list[str], url: str = "url"
     if mined is None:
         judged = named.withColumn("confidence", F.lit(None).cast("double"))
     else:
-        hits = matches(urls.select("__url", "tokens"), mined.select("rule_id", "items", "filed", "confidence"))
+        hits = rule_hits(urls.select("__url", "tokens"), mined.select("items", "alternatives", "filed", "confidence"))
         judged = named.join(hits.groupBy("__url").agg(F.max("confidence").alias("confidence")), "__url", "left")
     learnt = F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")
     return judged.select(*keep, "host", "path", rule.alias("rule"), F.coalesce(verdict, learnt).alias("verdict"), "confidence")

@@ -238,6 +238,53 @@ def test_rules_hold_query_values(spark):
     assert {r.page_id for r in got if r.verdict == "block"} == set(range(0, 200, 4))
 
 
+def _template(n_keys, n=240):
+    """Bad URLs, every other one of a template of ``n_keys`` query keys; feeds with some of these keys that are good."""
+    random.seed(n_keys)
+    pages, labels = [], []
+    for i in range(n):
+        keys = [f"k{chr(97 + k)}={k}" for k in range(n_keys)] if i % 8 == 0 else random.sample([f"f{k}=1" for k in range(6)], 2)
+        pages.append((i, f"https://{'farm.' if i % 4 == 0 else ''}{random.choice(['a', 'b'])}.example.net/x/{i}?" + "&".join(keys)))
+        labels.append((i, int(i % 4 != 0 or i % 24 == 4), 0, "x"))
+    pages += [(n + k, f"https://new.example.org/x?k{chr(97 + k)}={k}") for k in range(n_keys)] + [(n + 50, "https://farm.z.example.net/y"), (n + 51, "https://a.example.net/y?f1=1")]
+    return pages, labels
+
+
+def test_merged_tokens_give_the_verdicts_of_all_combinations(spark):
+    """Against every token combination of up to six tokens, each counted by itself."""
+    pages, labels = _template(2)
+    table, marks = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, LABELS)
+    tokens = {r.page_id: set(r.tokens) for r in url_rules.split_urls(table).withColumn("tokens", url_rules.tokens()).collect()}
+    data = [(tokens[i], 1 - quality) for i, quality, *_ in labels]
+    bad = [t for t, b in data if b]
+    least = max(url_rules.MIN_COUNT, math.ceil(url_rules.MIN_SUPPORT * len(bad)))
+    common = {t for t in set().union(*bad) if sum(t in x for x, _ in data) < 0.9 * len(data)}
+    rules, level = [], [frozenset()]
+    while level:
+        level = {s | {t} for s in level for t in common - s if sum(s | {t} <= x for x in bad) >= least}
+        rules += [s for s in level if sum(s <= x for x in bad) >= 0.5 * sum(s <= x for x, _ in data)]
+    got = {r.page_id: r.verdict for r in url_rules.judge(table, marks, ["page_id"], rules=[]).collect()}
+    want = {i: "block" if any(s <= t for s in rules) else "allow" for i, t in tokens.items()}
+    assert got == want and set(want.values()) == {"block", "allow"}
+
+
+def test_a_template_of_many_keys_is_one_item(spark):
+    pages, labels = _template(20)
+    table, marks = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, LABELS)
+    rules = url_rules.mine(url_rules.split_urls(table).withColumn("tokens", url_rules.tokens()).join(marks, table.page_id == marks.doc_id).selectExpr("tokens", "1 - quality AS bad")).collect()
+    assert 0 < len(rules) < 50
+    template = [r for r in rules if any("v:ka=0" in some for some in r.alternatives)]
+    assert len(template) == 1 and len(template[0]["items"]) == 1 and len(template[0].alternatives[0]) == 40
+    got = {r.page_id: r.verdict for r in url_rules.judge(table, marks, ["page_id"], rules=[]).collect()}
+    assert all(got[i] == "block" for i in range(0, 240, 8)) and all(got[240 + k] == "block" for k in range(20)) and got[291] == "allow"
+
+
+def test_very_long_urls(spark):
+    pages = [(i, f"https://a.example.net/{i}?" + "&".join(f"p{k}={i % 2}" for k in range(3000))) for i in range(30)] + [(99, "http://" + "x" * 100_000 + "/" + "y/" * 50_000)]
+    got = url_rules.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame([(i, i % 2, 0, "x") for i in range(30)], LABELS), ["page_id"]).collect()
+    assert {r.page_id for r in got if r.verdict == "block"} == set(range(0, 30, 2)) and len(got) == 31
+
+
 def test_urls_of_nothing(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert url_rules.judge(none, spark.createDataFrame([], LABELS), ["page_id"]).count() == 0
