@@ -1,15 +1,16 @@
 """Main-text extraction from HTML by two-pass block rules.
 
-A page is cut into blocks at block-level tags. Pass one labels each block from its length,
-its link density, its stop-word density and the elements around it: GOOD, BAD, or undecided
-when it is too short to tell. Few stop words say that a block is no text only in the script of the stop
-words and on a page where some block has many of them; on other pages (another language) long blocks with
-few links are GOOD. Text inside article or main is kept unless most of it is links; headings stay, and so does all of it if
-nothing on the page is GOOD. In pass two an undecided block takes the label of its nearest decided neighbour
-outside (the one before on ties); without decided blocks there it is kept only if the page has nothing
-better. Blocks inside navigation, headers, footers, asides, forms, scripts and the like,
-or inside elements whose class, id or role says menu, advert, notice, comments etc. are BAD whatever
-their text.
+A page is cut into blocks at block-level tags. Pass one labels a block by its densities: BAD where most of it is links,
+GOOD where it is long, has few links and many stop words. On a page without any long block of many stop words (another
+language) long blocks with few links are GOOD whatever their words. All others are undecided: short ones, and
+long ones of few stop words, such as code, tables and lists of names. In pass two an undecided block takes the label of
+its nearest decided neighbour (the one before on ties, for a heading the one after).
+
+Elements are evidence. Within article or main an undecided block is BAD only between two BAD ones, and if nothing on the
+page is GOOD all of it stays; a heading there stays though it is a link. Elsewhere a short block with some links, or with a copyright sign and few stop
+words, is BAD. What densities cannot tell from the article goes by its element: text of readers' comments, notices, adverts,
+menus and the like inside navigation, headers, footers, asides and forms, or inside elements whose class, id or role says so. Without decided blocks outside
+article and main the text there is kept only if the page has nothing better.
 
 Scale: one row in, one row out, no shuffle; a task holds one Arrow batch. Each page is read in
 one pass whose work is linear in its length.
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from namewright.llm.common import by_batch, carried
 
 LONG = 140
-LINKS_BAD, LINKS_LOW, STOPS_LOW, STOPS_HIGH = 0.5, 0.25, 0.05, 0.12
+LINKS_BAD, LINKS_LOW, STOPS_HIGH = 0.5, 0.25, 0.12
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -159,57 +160,59 @@ def _linked(b: _Block) -> float:
     return b.links / max(1, len(b.text) - b.text.count(" "))
 
 
-def _stops(b: _Block) -> tuple[float, bool]:
-    """The share of stop words, and whether the block is in the script of the stop words."""
+def _stops(b: _Block) -> float:
+    """The share of stop words."""
     found = _WORD.findall(b.text.lower())
-    return sum(w in _STOPS for w in found) / max(1, len(found)), 2 * sum(w[0] < "\u0250" for w in found) >= len(found)
+    return sum(w in _STOPS for w in found) / max(1, len(found))
 
 
 def _first_pass(found: list[_Block]) -> None:
-    open_ = []  # long blocks that their stop words decide
+    """Labels from length, link and stop-word density; blocks that these leave open stay None."""
+    measured = []
     for b in found:
         size, linked = _size(b), _linked(b)
-        if b.region == "chrome":
+        if b.region == "chrome" or (linked > LINKS_BAD and not (b.region == "main" and b.heading)):
             b.label = False
-        elif b.region == "main":
-            b.label = linked <= LINKS_BAD or b.heading
-        elif linked > LINKS_BAD or (size < LONG and linked > LINKS_LOW) or ("©" in b.text and size < 2 * LONG):
+        elif b.region == "body" and size < LONG and linked > LINKS_LOW:
             b.label = False
-        elif size >= LONG:
-            open_.append(b)
-    if not open_:
-        return
-    known = any(b.region != "chrome" and _size(b) >= LONG and _linked(b) <= LINKS_LOW and _stops(b)[0] >= STOPS_HIGH for b in found)
-    for b in open_:
-        stops, script = _stops(b)
-        if _linked(b) <= LINKS_LOW and (stops >= STOPS_HIGH or not known):
-            b.label = True
-        elif known and script and stops < STOPS_LOW:
+        elif size >= LONG and linked <= LINKS_LOW:
+            measured.append((b, _stops(b)))
+        elif b.region == "body" and "©" in b.text and size < LONG and _stops(b) < STOPS_HIGH:
             b.label = False
+    known = any(stops >= STOPS_HIGH for _, stops in measured)
+    for b, stops in measured:
+        if stops >= STOPS_HIGH or not known:
+            b.label = True
+
+
+def _inherit(own: list[_Block], main: bool) -> None:
+    """Undecided blocks among the ``own`` ones, in page order, take the label of their nearest decided neighbour; within
+    an article or main element they are BAD only between two BAD ones."""
+    decided = [i for i, b in enumerate(own) if b.label is not None]
+    labels = [own[i].label for i in decided]
+    for k, (a, b) in enumerate(pairwise([-1, *decided, len(own)])):
+        before, after = (labels[k - 1] if k else None), (labels[k] if k < len(labels) else None)
+        for i in range(a + 1, b):
+            if main:
+                own[i].label = not (before is False and after is False)
+            elif before is None or after is None:
+                own[i].label = after if before is None else before
+            else:
+                own[i].label = after if b - i < i - a or own[i].heading else before
 
 
 def _second_pass(found: list[_Block]) -> None:
-    """Undecided blocks of the body take the label of its nearest decided block."""
+    main, body = ([b for b in found if b.region == region] for region in ("main", "body"))
+    _inherit(main, True)
     if not any(b.label for b in found):
-        for b in found:
-            if b.region == "main":
-                b.label = True
-    own = [i for i, b in enumerate(found) if b.region == "body"]
-    decided = [i for i in own if found[i].label is not None]
-    if not decided:
+        for b in main:
+            b.label = True
+    if any(b.label is not None for b in body):
+        _inherit(body, False)
+    else:
         keep = not any(b.label for b in found)
-        for i in own:
-            found[i].label = keep
-        return
-    known = {i: found[i].label for i in decided}
-    for i in [j for j in own if j < decided[0]]:
-        found[i].label = known[decided[0]]
-    for i in [j for j in own if j > decided[-1]]:
-        found[i].label = known[decided[-1]]
-    for a, b in pairwise(decided):
-        for i in range(a + 1, b):
-            if found[i].region == "body":
-                found[i].label = known[b] if (b - i < i - a or found[i].heading) else known[a]
+        for b in body:
+            b.label = keep
 
 
 def main_text(page: str | None) -> str:

@@ -166,3 +166,36 @@ def ranked(docs: list[tuple], items: list[tuple], top: int = 10) -> list[tuple]:
                 scores.append((-score, doc is None, doc or 0))
         out += [(item, rank + 1, None if unnamed else doc, -score) for rank, (score, unnamed, doc) in enumerate(sorted(scores)[:top])]
     return out
+
+
+def block_labels(blocks: list[tuple]) -> list[bool]:
+    """Whether each (region, size, linked, stops, heading, marked) block is main text, by the two passes' rules, block by block."""
+    many = any(region != "chrome" and size >= 140 and linked <= 0.25 and stops >= 0.12 for region, size, linked, stops, *_ in blocks)
+
+    def first(region, size, linked, stops, heading, marked):
+        if region == "chrome":
+            return False
+        if linked > 0.5:
+            return None if region == "main" and heading else False
+        if region == "body" and size < 140 and (linked > 0.25 or (marked and stops < 0.12)):
+            return False
+        return True if size >= 140 and linked <= 0.25 and (stops >= 0.12 or not many) else None
+
+    own = [first(*b) for b in blocks]
+    out = list(own)
+    for i, (region, _, _, _, heading, _) in enumerate(blocks):
+        if own[i] is None:
+            same = [j for j, b in enumerate(blocks) if b[0] == region]
+            at = same.index(i)
+            before = [(k, own[j]) for k, j in enumerate(same[:at]) if own[j] is not None][-1:]
+            after = [(k, own[j]) for k, j in enumerate(same) if k > at and own[j] is not None][:1]
+            if region == "main":
+                out[i] = not (before and after and not before[0][1] and not after[0][1])
+            elif before and after:
+                out[i] = after[0][1] if heading or after[0][0] - at < at - before[0][0] else before[0][1]
+            elif before or after:
+                out[i] = (before or after)[0][1]
+    if not any(x for x in out if x is not None):
+        out = [True if b[0] == "main" else x for b, x in zip(blocks, out, strict=True)]
+    nothing = not any(out)
+    return [nothing if x is None else x for x in out]
