@@ -33,7 +33,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from namewright.llm.common import by_batch, written
@@ -181,11 +181,23 @@ def _close(a: _Members, b: _Members, up: int, down: int) -> tuple[np.ndarray, np
 
 
 def close_pairs(members: DataFrame, sketched: DataFrame, threshold: Fraction) -> DataFrame:
-    """(a, b), a > b: members of one bucket (key, node, n, label, size) with different labels whose sketches leave a link possible."""
+    """(a, b), a > b: members of one bucket (key, node, n, label) with different labels whose sketches leave a link possible.
+
+    A bucket's members are dealt into blocks, and a task compares two of them. A label of BLOCK members or more has blocks of its own,
+    smaller ones share some; blocks of one label never meet, so that a large component costs its members once per block of the others."""
     up, down = threshold.numerator, threshold.denominator
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.join(sketched, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    labels = members.groupBy("key", "label").agg(F.count("*").alias("size"))
+    large = F.col("size") >= BLOCK
+    own = F.when(large, F.ceil(F.col("size") / BLOCK)).otherwise(0)
+    bucket = Window.partitionBy("key")
+    shared = F.ceil(F.sum(F.when(large, 0).otherwise(F.col("size"))).over(bucket) / BLOCK)
+    before = F.coalesce(F.sum(own).over(bucket.orderBy("label").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    places = labels.select("key", "label", large.alias("large"), F.when(large, shared + before).otherwise(0).cast("int").alias("first"),
+                           F.when(large, own).otherwise(shared).cast("int").alias("blocks"), (shared + F.sum(own).over(bucket)).cast("int").alias("total"))
+    places = written(places, "places")
+    dealt = members.join(places, ["key", "label"]).withColumn("own", (F.col("first") + F.pmod(F.xxhash64("node"), F.col("blocks"))).cast("int"))
+    elsewhere = F.filter(F.sequence(F.lit(0), F.col("total") - 1), lambda k: ~(F.col("large") & (k >= F.col("first")) & (k < F.col("first") + F.col("blocks"))))
+    dealt = dealt.withColumn("elsewhere", elsewhere).join(sketched, "node").withColumn("other", F.explode("elsewhere"))
     dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "label", "sketch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,32 +279,39 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
     found = written(signatures(docs, doc_id, text, width, bands, rows), "signatures")
     named = found.where("doc_id is not null and n > 0")
-    nodes = named.groupBy("body").agg(F.min("doc_id").alias("node"))
+    nodes = written(named.groupBy("body").agg(F.min("doc_id").alias("node")), "nodes")
     banded = named.groupBy("body").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("keys").alias("keys")).select(F.explode("keys").alias("key"), "node", "n")
-    shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    shared = written(banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high"), "shared")
     buckets = written(banded.join(shared, "key"), "buckets")
-    members = buckets.select("node").distinct()
+    members = written(buckets.select("node").distinct(), "members")
     texts = written(docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).cast("binary").alias("t")).join(members, "node", "left_semi").distinct(), "texts")
 
+    # Several texts of one doc_id belong together, whatever they hold.
+    by_text = found.join(nodes, "body", "left")
+    own = by_text.where("doc_id is not null and n > 0").select("doc_id", "node").distinct()
+    lowest = written(own.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b < top").select("doc_id", "b"), "lowest")
+    several = written(own.join(lowest, "doc_id").where("node != b").select(F.col("node").alias("a"), "b").distinct(), "several")
+
     first = buckets.select(F.col("node").alias("a"), F.explode(F.array("low", "high")).alias("b")).where("a != b")
     first = written(first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
-    links = written(linked(first, texts, width, threshold), "links")
+    links = written(linked(first, texts, width, threshold), "links").unionByName(several)
     labels = components(links)
 
     # Round two: members of one bucket that are in different components.
     now = buckets.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
-    mixed = now.groupBy("key").agg(F.min("label").alias("one"), F.max("label").alias("two"), F.count("*").alias("size")).where("one < two").select("key", "size")
-    rest = written(close_pairs(now.join(mixed, "key"), sketches(texts, width), threshold).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
+    mixed = written(now.groupBy("key").agg(F.min("label").alias("one"), F.max("label").alias("two")).where("one < two").select("key"), "mixed")
+    now = written(now.join(mixed, "key"), "mixed-members")
+    rest = written(close_pairs(now, sketches(texts, width), threshold).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
     more = written(linked(rest, texts, width, threshold), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
-    named_rows = found.join(nodes, "body", "left").join(labels, "node", "left")
+    named_rows = by_text.join(labels, "node", "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("label", "node")).otherwise(F.col("doc_id"))
     return named_rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that are the first of their component."""
-    dropped = near_duplicates(docs, doc_id, **options).where("not kept").select(F.col("doc_id").alias("__dropped")).distinct()
+    dropped = written(near_duplicates(docs, doc_id, **options).where("not kept").select(F.col("doc_id").alias("__dropped")).distinct(), "dropped")
     return docs.join(dropped, F.col(doc_id).cast("long") == F.col("__dropped"), "left_anti")
