@@ -45,11 +45,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share (``spark.checkpoint.dir``).
 
-    Only where the setting is absent (plain local sessions) a temporary folder is chosen
-    and remembered in the session.
-    """
+    Only where the setting is absent, in a plain local session, a temporary folder is chosen and remembered in the session."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("namewright.scratch", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="namewright-")
         spark.conf.set("namewright.scratch", root)
     return root.rstrip("/")
@@ -57,7 +57,9 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: this cuts the lineage,
-    computes a frame that is used several times only once, and survives lost executors."""
+    computes a frame that is used several times only once, and survives lost executors. An aggregate that is
+    written before it is joined on its own key also lets adaptive execution split a hot key: both sides then
+    have a shuffle of their own right below the join."""
     path = f"{scratch_dir(df.sparkSession)}/namewright-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -105,10 +107,11 @@ def by_batch(
     rows: Callable[[pa.RecordBatch], Iterable[dict[str, pa.Array | list]]],
     types: list[tuple[str, pa.DataType]],
     last: Callable[[], Iterable[dict[str, pa.Array | list]]] | None = None,
+    slice_bytes: int = SLICE_BYTES,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A ``mapInArrow`` function from one that turns a batch into dicts of output columns.
 
-    Batches are handed on in slices of about SLICE_BYTES (one row at least), which bounds what a worker holds.
+    Batches are handed on in slices of about ``slice_bytes`` (one row at least), which bounds what a worker holds.
     ``last`` is called at the end of each partition, for what ``rows`` still holds back."""
     schema = pa.schema(types)
 
@@ -117,7 +120,7 @@ def by_batch(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            step = max(1, int(batch.num_rows * SLICE_BYTES / max(1, batch.nbytes)))
+            step = max(1, int(batch.num_rows * slice_bytes / max(1, batch.nbytes)))
             for at in range(0, batch.num_rows, step):
                 yield from map(batch_of, rows(batch.slice(at, step)))
         if last:

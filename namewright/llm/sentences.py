@@ -10,8 +10,8 @@ joined globally; every sentence covered by a span that also starts earlier, in t
 position), is removed. Without ``tails`` the last sentences of a repeated run may stay.
 
 Scale: pass one counts span hashes, summed per Arrow batch before the shuffle. Pass two keeps the
-occurrences of repeated hashes (a sort-merge join that adaptive execution splits when skewed), a
-small table. First occurrences come from a partially aggregated minimum, never from a
+occurrences of repeated hashes, a small table. The aggregates that these joins meet are written first, so that adaptive
+execution can split a hot span. First occurrences come from a partially aggregated minimum, never from a
 collected group, so a passage in a third of all documents costs one row a task. The texts
 are shuffled once, to meet their removed sentences.
 
@@ -115,12 +115,13 @@ def removed_sentences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         .mapInArrow(by_batch(count, [("h", pa.int64()), ("n", pa.int64())]), "h long, n long")
         .groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
     )
+    repeated = written(repeated, "repeated")
     longs = [(k, pa.int64()) for k in ("h", "g", "doc", "body", "at")]
     every = docs.select(_order(doc_id), F.xxhash64(bytes_), bytes_).mapInArrow(by_batch(occur, longs), ", ".join(f"{k} long" for k, _ in longs))
     found = written(every.join(repeated, "h", "left_semi"), "spans")
-    firsts = found.groupBy("h", "g").agg(F.min(F.struct("doc", "body", "at")).alias("one"))
+    firsts = written(found.groupBy("h", "g").agg(F.min(F.struct("doc", "body", "at")).alias("one")), "firsts")
     later = found.join(firsts, ["h", "g"]).where("one != struct(doc, body, at)")
-    return later.groupBy("doc", "body").agg(F.collect_set("at").alias("covered"))
+    return written(later.groupBy("doc", "body").agg(F.collect_set("at").alias("covered")), "covered")
 
 
 def _order(doc_id: str) -> Column:
