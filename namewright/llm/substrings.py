@@ -263,21 +263,22 @@ def repeated_segments(docs: DataFrame, text: str, size: int, gram: int, most: in
     content_types = [*((k, pa.int64()) for k in ("key", *_ID, "n", "anchor")), ("content", pa.binary())]
     keyed = docs.select(*_keys(text)).where(F.octet_length("body") >= size)
     counted = keyed.select("body").mapInArrow(by_batch(count, [("key", pa.int64()), ("n", pa.int64())]), "key long, n long")
-    repeated = counted.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
+    repeated = written(counted.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"), "repeated")
     every = keyed.mapInArrow(by_batch(occur, [(k, pa.int64()) for k in names]), longs)
     occurring = written(every.join(repeated, "key", "left_semi").groupBy(*names[:-1]).agg(F.sum("n").alias("n")), "occurring")
 
     segments = occurring.groupBy("key", *_ID).agg(F.sum("n").alias("n"), F.max("windows").alias("windows"), F.min(F.struct("t1", "t2")).alias("one"))
     segments = written(segments, "segments")
-    lone = segments.groupBy("key").agg(F.count("*").alias("different"))
+    lone = written(segments.groupBy("key").agg(F.count("*").alias("different")), "lone")
     sized = segments.join(lone, "key")
     # All occurrences of a minimizer in equal segments: nothing else to compare with.
     whole = sized.where("different = 1 and n > 1").select(*_ID, F.array(F.lit(0).cast("long"), "windows").alias("runs"))
     asked = sized.where("different > 1").groupBy("one").agg(F.collect_list(F.struct(*_ID, "n")).alias("wanted")).select("one.t1", "one.t2", "wanted")
-    texts = keyed.join(asked, ["t1", "t2"]).dropDuplicates(["t1", "t2"])
+    # Of equal texts one is enough; most copies go within the tasks that read them.
+    texts = keyed.dropDuplicates(["t1", "t2"]).join(asked, ["t1", "t2"])
     contents = written(texts.select("body", "wanted").mapInArrow(by_batch(fetch, content_types), "key long, s1 long, s2 long, n long, anchor long, content binary"), "contents")
     found = written(whole.unionByName(_expand(contents, size, most, block_bytes)).where(F.size("runs") > 0), "runs")
-    return occurring.select("t1", "t2", *_ID).join(found, _ID).groupBy("t1", "t2").agg(F.collect_list(F.struct(*_ID, "runs")).alias("found"))
+    return written(occurring.select("t1", "t2", *_ID).join(found, _ID).groupBy("t1", "t2").agg(F.collect_list(F.struct(*_ID, "runs")).alias("found")), "found")
 
 
 def without_windows(body: bytes, found: list[dict] | None, size: int, gram: int) -> tuple[bytes, list[tuple[int, int]]]:
