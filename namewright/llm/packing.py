@@ -8,7 +8,8 @@ whose residual vector has the largest weighted dot product with the piece (``rul
 
 Tokens: the tokenizer is applied to white-space separated chunks, of which each worker
 remembers the ids (bounded, two generations). Its pre-tokenizer never joins characters over
-ASCII white space, so the ids are those of the whole text.
+ASCII white space, so the ids are those of the whole text; a tokenizer file that prepares texts in any other way is
+applied to whole texts.
 
 Scale: documents are tokenised where they are read; only (id, piece, length, checksum) rows are
 written and dealt out evenly, about ``per_task`` pieces a task, whatever their source or
@@ -21,10 +22,12 @@ repeated rows each on their own. Documents longer than a sequence are cut every
 
 from __future__ import annotations
 
+import json
 import math
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,8 @@ MAX_TOKENS = 4096
 END_ID = 1
 PER_TASK = 50_000
 TOKENIZER = "word_bpe_49k.json"
+#: Weights of the residual tokens, documents and attention cost.
+WEIGHTS = (1.0, 0.3, 0.3)
 REMEMBERED = 300_000
 LONGEST_CHUNK = 64
 
@@ -71,8 +76,39 @@ class _Remembered(dict):
         return value
 
 
+# How the tokenizers that ``ChunkEncoder`` may cut into chunks prepare a text.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLITTERS = [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def cuts_at_white_space(path: str) -> bool:
+    """Whether a tokenizer file prepares texts in the one way for which chunks have the ids of the whole text."""
+    spec = json.loads(Path(path).read_text())
+    return (
+        (spec.get("normalizer") or {}).get("normalizers") == _NORMALIZERS
+        and (spec.get("pre_tokenizer") or {}).get("pretokenizers") == _SPLITTERS
+        and spec.get("truncation") is None
+        and all(t["content"].startswith("<|") and not t.get("lstrip") and not t.get("rstrip") and not t.get("normalized") for t in spec.get("added_tokens", []))
+    )
+
+
+class PlainEncoder:
+    """Token ids of whole texts by any tokenizer file."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def encode(self, text: bytes | None) -> bytes:
+        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes() if text else b""
+
+
 class ChunkEncoder:
-    """Token ids of texts as little-endian unsigned 32-bit integers."""
+    """Token ids of texts as little-endian unsigned 32-bit integers, by a tokenizer that ``cuts_at_white_space``."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -99,12 +135,12 @@ class ChunkEncoder:
         return b"".join([known[c] if len(c) <= LONGEST_CHUNK else plain(c) for c in text.split()]) if text else b""
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[str, ChunkEncoder | PlainEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str) -> ChunkEncoder | PlainEncoder:
     if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
+        _ENCODERS[path] = ChunkEncoder(path) if cuts_at_white_space(path) else PlainEncoder(path)
     return _ENCODERS[path]
 
 
@@ -182,7 +218,7 @@ def pack(
     max_tokens: int = MAX_TOKENS,
     max_docs: int | None = None,
     max_cost: float | None = None,
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
+    weights: tuple[float, float, float] = WEIGHTS,
     rule: str = "norm",
     per_task: int = PER_TASK,
 ) -> DataFrame:
