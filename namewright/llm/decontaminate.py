@@ -7,7 +7,7 @@ at. A block with shift 0 selects the patterns that end in it (suffix bucket), th
 of the window narrows them, and a direct comparison of all words confirms an occurrence.
 
 Scale: documents are read once, row by row, without a shuffle; a task holds one Arrow batch
-and one pattern block. The benchmark reaches the tasks in blocks of at most ``block_bytes`` of
+and one pattern block, whose windows are places in one list of words. The benchmark reaches the tasks in blocks of at most ``block_bytes`` of
 text, each a broadcast of proven size; the driver holds one block while it is built. More
 benchmark text means more blocks searched one after another, with the same result.
 
@@ -27,10 +27,13 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from namewright.llm.common import by_batch, carried, whole_row
+from namewright.llm.common import SLICE_BYTES, by_batch, carried, whole_row
 
 WIDTH = 10
-BLOCK_BYTES = 16 << 20
+#: Benchmark text per block; its tables take some hundred bytes a word.
+BLOCK_BYTES = 4 << 20
+#: With several blocks, so many bytes of documents meet one block before the next one's tables are made.
+HELD_BYTES = 64 << 20
 
 # A-Z become lower case; every byte that is no digit, letter or part of a non-ASCII character becomes a space.
 _FOLD = bytes(
@@ -43,23 +46,22 @@ def words(text: bytes | None) -> list[bytes]:
 
 
 class WordPatterns:
-    """Wu-Manber tables of one pattern length (in words)."""
+    """Wu-Manber tables of one pattern length (in words); a pattern is the place where it begins in the list of the items' words."""
 
-    def __init__(self, length: int, patterns: dict[tuple[bytes, ...], set]):
-        self.length, self.block = length, min(2, length)
+    def __init__(self, length: int, text: list[bytes], patterns: dict[tuple[bytes, ...], int]):
+        self.length, self.block, self.text = length, min(2, length), text
         self.far = length - self.block + 1
         self.shift: dict[tuple[bytes, ...], int] = {}
-        self.buckets: dict[tuple[bytes, ...], dict[bytes, list[tuple[list[bytes], set]]]] = {}
-        for pattern, owners in patterns.items():
-            for at in range(self.far):
-                block = pattern[at : at + self.block]
-                self.shift[block] = min(self.shift.get(block, self.far), length - self.block - at)
-            by_first = self.buckets.setdefault(pattern[length - self.block :], {})
-            by_first.setdefault(pattern[0], []).append((list(pattern), owners))
-
-    def search(self, seq: list[bytes]) -> Iterator[tuple[int, int, set]]:
-        """(start, end, owners) of every occurrence, by end."""
-        n, m, far, shift, single = len(seq), self.length, self.far, self.shift.get, self.block == 1
+        self.buckets: dict[tuple[bytes, ...], dict[bytes, list[int]]] = {}
+        for pattern, at in patterns.items():
+            for k in range(self.far):
+                block = pattern[k : k + self.block]
+                self.shift[block] = min(self.shift.get(block, self.far), length - self.block - k)
+            self.buckets.setdefault(pattern[length - self.block :], {}).setdefault(pattern[0], []).append(at)
+
+    def search(self, seq: list[bytes]) -> Iterator[tuple[int, int, int]]:
+        """(start, end, place of the pattern) of every occurrence, by end."""
+        n, m, far, shift, single, text = len(seq), self.length, self.far, self.shift.get, self.block == 1, self.text
         last = m - 1
         while last < n:
             block = (seq[last],) if single else (seq[last - 1], seq[last])
@@ -68,9 +70,9 @@ class WordPatterns:
                 last += step
                 continue
             first = last - m + 1
-            for pattern, owners in self.buckets[block].get(seq[first], ()):
-                if seq[first : last + 1] == pattern:
-                    yield first, last + 1, owners
+            for at in self.buckets[block].get(seq[first], ()):
+                if seq[first : last + 1] == text[at : at + m]:
+                    yield first, last + 1, at
             last += 1
 
 
@@ -78,17 +80,28 @@ class ItemMatcher:
     """All window lengths of one block of benchmark items."""
 
     def __init__(self, items: list[tuple[str | None, bytes]], width: int):
-        by_length: dict[int, dict[tuple[bytes, ...], set]] = {}
-        for item, text in items:
-            seq = words(text)
-            size = min(width, len(seq))
-            for at in range(len(seq) - size + 1 if size else 0):
-                by_length.setdefault(size, {}).setdefault(tuple(seq[at : at + size]), set()).add(item)
-        self.tables = [WordPatterns(n, p) for n, p in sorted(by_length.items())]
+        known: dict[bytes, bytes] = {}  # equal words once
+        text: list[bytes] = []
+        by_length: dict[int, dict[tuple[bytes, ...], int]] = {}
+        self.owners: dict[int, str | None | set] = {}  # of the window at a place: its item, or a set of several
+        for item, body in items:
+            seq = [known.setdefault(w, w) for w in words(body)]
+            size, base = min(width, len(seq)), len(text)
+            text += seq
+            for k in range(len(seq) - size + 1 if size else 0):
+                at = by_length.setdefault(size, {}).setdefault(tuple(seq[k : k + size]), base + k)
+                had = self.owners.setdefault(at, item)
+                if isinstance(had, set):
+                    had.add(item)
+                elif had != item:
+                    self.owners[at] = {had, item}
+        self.tables = [WordPatterns(n, text, p) for n, p in sorted(by_length.items())]
 
     def search(self, seq: list[bytes]) -> Iterator[tuple[int, int, set]]:
         for table in self.tables:
-            yield from table.search(seq)
+            for first, last, at in table.search(seq):
+                own = self.owners[at]
+                yield first, last, own if isinstance(own, set) else {own}
 
 
 def item_blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> list[Broadcast]:
@@ -165,7 +178,8 @@ def find_items(
         }
 
     out = [("n_words", pa.int64()), ("n_hit", pa.int64()), ("hit_spans", _SPANS), ("item_ids", pa.list_(pa.string()))]
-    return docs.select(*keep, F.col(text).cast("binary").alias("__text")).mapInArrow(by_batch(rows, arrow + out), schema)
+    held = HELD_BYTES if len(blocks) > 1 else SLICE_BYTES
+    return docs.select(*keep, F.col(text).cast("binary").alias("__text")).mapInArrow(by_batch(rows, arrow + out, slice_bytes=held), schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
