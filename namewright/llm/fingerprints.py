@@ -82,15 +82,22 @@ def with_next(docs: DataFrame, doc_id: str, text: str, range_bytes: int) -> Data
     parts = min(MOST_RANGES, max(least_parts, math.ceil(total / range_bytes)))
     shares = [i / parts for i in range(1, parts)]
     bounds = keyed.agg(F.percentile_approx("place", shares, 20 * parts)).first()[0] if shares else []
-    bounds = np.unique(np.array(bounds or [], np.int64))
+    cuts, times = np.unique(np.array(bounds or [], np.int64), return_counts=True)
+    # An id that several bounds fall on (rows without id, or of one id) has parts of its own, by ranges of the text hash.
+    own = np.append(np.where(times > 1, times, 0), 0)
+    start = np.append(np.cumsum((own + 1)[::-1])[::-1][1:], 0)  # parts before those of each cut, by descending id
 
     @F.pandas_udf("int")
-    def part_of(place):
+    def part_of(place, h):
         import pandas as pd
 
-        return pd.Series((len(bounds) - np.searchsorted(bounds, place.to_numpy())).astype("int32"))
+        x = place.to_numpy()
+        at = np.searchsorted(cuts, x)
+        inside = (own[at] > 0) & (np.append(cuts, 0)[at] == x)
+        share = (h.to_numpy().astype(float) / 2.0**64 + 0.5).clip(0, 1 - 1e-9)
+        return pd.Series((start[at] + np.where(inside, (share * own[at]).astype(np.int64), own[at])).astype("int32"))
 
-    dealt = keyed.withColumn("part", part_of("place") if len(bounds) else F.lit(0))
+    dealt = keyed.withColumn("part", part_of("place", "h") if len(cuts) else F.lit(0))
     heads = dealt.groupBy("part").agg(F.max(F.struct("place", (-F.col("h").cast("decimal(20,0)")).alias("minus"))).alias("head")).orderBy("part").select("part", "head.place", "head.minus").collect()
     to = [(int(x.place), int(-x.minus), int(heads[i - 1].part)) for i, x in enumerate(heads)]
     guests = spark.createDataFrame(to, "place long, h long, to int")

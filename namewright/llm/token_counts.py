@@ -24,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from namewright.llm.common import by_batch
+from namewright.llm.common import by_batch, encode_text
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Texts longer than this are encoded in parts that end before white space that follows a letter or digit.
+#: Texts longer than this are encoded in parts that end before a space that follows a letter or digit (``common.encode_text``).
 PART = 1 << 20
 
 
@@ -44,21 +44,10 @@ def _encoding(path: str | None):
     return tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), lengths
 
 
-def _parts(text: str) -> Iterator[str]:
-    at = 0
-    while len(text) - at > PART:
-        cut = at + PART
-        while cut < len(text) and not (text[cut] == " " and text[cut - 1].isalnum()):
-            cut += 1
-        yield text[at:cut]
-        at = cut
-    yield text[at:]
-
-
 def token_spans(text: str, path: str | None = None) -> tuple[np.ndarray, np.ndarray]:
     """First and last character of each token of ``text``, by code points."""
     encoding, lengths = _encoding(path)
-    ids = np.concatenate([np.array(encoding.encode_ordinary(part), np.int64) for part in _parts(text)])
+    ids = encode_text(encoding, text, PART)
     stop = lengths[ids].cumsum()
     character = np.cumsum((np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80) - 1  # of each byte
     return character[stop - lengths[ids]], character[stop - 1]

@@ -3,7 +3,6 @@
 import hashlib
 import random
 
-import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -11,7 +10,6 @@ from hypothesis import strategies as st
 
 from namewright.llm import chat_format, queries, ranked_search, spelling
 from namewright.llm.common import encode_text
-from namewright.llm.oracle import ORACLE
 from tests.llm import plain
 from tests.llm.conftest import PASSAGE, ordered, rows
 
@@ -92,15 +90,6 @@ def test_conversations_with_awkward_rows(spark):
     assert chat_format.digest(chat_format.format_conversations(spark.createDataFrame([], TALK))).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op11_chat_format", "op13_ranked_search"])
-def test_queries_equal_sql(spark, sf, name):
-    con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
-    want = con.sql(ORACLE[name])
-    assert rows(queries.QUERIES[name](spark, sf), *want.columns) == ordered(want.fetchall())
-
-
 # -- spelling variants -----------------------------------------------------------------------
 
 

@@ -107,6 +107,33 @@ def test_chains_are_linked_through_later_rounds(spark):
     assert len({r[2] for r in got}) == 1
 
 
+def test_texts_of_one_id_are_linked(spark):
+    """Rows (7, X), (7, Y) and (5, X): a link of either text of 7 links both."""
+    x, y, z = (" ".join(f"{w}{i}" for i in range(40)) for w in "xyz")
+    for docs in ([(7, x), (7, y), (5, x)], [(9, x), (9, y), (8, y), (8, z), (3, z), (4, "other words only here now")], [(2, x), (2, x), (2, y), (1, None), (1, "")]):
+        got = rows(minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")), "doc_id", "n_shingles", "component_id", "kept")
+        assert got == ordered(plain.near_duplicates(docs))
+    kept = minhash.dedup(spark.createDataFrame([(7, x, "a"), (7, y, "b"), (5, x, "c"), (None, z, "d")], "doc_id long, text string, node string"))
+    assert rows(kept, "doc_id", "node") == [(None, "d"), (5, "c")]
+
+
+@pytest.mark.parametrize("block", [1, 2, 5])
+def test_blocks_of_a_bucket_lose_no_link(spark, monkeypatch, block):
+    """Near copies in groups that share buckets, compared in tiny blocks; few coordinates let unlike texts share buckets too."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    random.seed(block)
+    docs = []
+    for g in range(6):
+        base = [f"g{g % 3}w{i}" for i in range(60)] + [f"own{g}x{i}" for i in range(25)]
+        for _ in range(random.choice([2, 9])):
+            w = list(base)
+            for _ in range(random.randint(0, 2)):
+                w[random.randrange(len(w))] = f"new{random.random()}"
+            docs.append((len(docs) * 3 % 50, " ".join(w)))
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), bands=60, rows=1)
+    assert rows(got, "doc_id", "n_shingles", "component_id", "kept") == ordered(plain.near_duplicates(docs))
+
+
 def test_near_duplicates_of_nothing(no_docs):
     assert minhash.near_duplicates(no_docs).count() == 0
 
@@ -123,6 +150,30 @@ def test_circulant_signatures_estimate_similarity():
 # -- packing ---------------------------------------------------------------------------------
 
 
+def test_other_tokenizer_files_are_applied_to_whole_texts(awkward, plain_docs):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.cuts_at_white_space(packing.tokenizer_path()) and not packing.cuts_at_white_space(path)
+    tokenizer = Tokenizer.from_file(path)
+    want = []
+    for doc, text in plain_docs:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
+        want += [(doc, k, at, len(ids[at : at + 4096]), zlib.crc32(np.array(ids[at : at + 4096], "<u4").tobytes())) for k, at in enumerate(range(0, len(ids), 4096))]
+    got = packing.token_pieces(awkward, path=path)
+    assert rows(got, "doc_id", "piece", "start", "length", "ids_crc32") == ordered(want)
+
+
+def test_weights_of_all_capacities_pack_as_tightly():
+    lengths = np.sort(np.random.default_rng(3).lognormal(6, 1.2, 4000).astype(np.int64).clip(1, 4096))[::-1]
+    bins, _ = packing.best_fit(lengths, 4096, 4096, 4096.0**2, packing.WEIGHTS, "norm")
+    plain_bins, _ = packing.best_fit(lengths, 4096, 4096, 4096.0**2, (1.0, 0.0, 0.0), "norm")
+    assert all(w > 0 for w in packing.WEIGHTS) and bins.max() <= plain_bins.max() + 1
+    assert bins.max() + 1 <= 1.01 * np.ceil(lengths.sum() / 4096) + 1
+
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
@@ -203,6 +254,12 @@ def test_token_counts_of_nothing(no_docs):
     assert token_counts.count_tokens(no_docs).count() == 0
 
 
+def test_long_white_space_is_encoded():
+    for text in (" " * 1_500_000, "a" + "\n" * 1_200_000 + "b"):
+        first, last = token_counts.token_spans(text)
+        assert first[0] == 0 and last[-1] == len(text) - 1 and (first[1:] == last[:-1] + 1).all()
+
+
 def test_long_texts_are_encoded_in_parts(monkeypatch):
     text = " ".join(f"word{i} and,\n so on" for i in range(300))
     whole = token_counts.token_spans(text)
@@ -262,6 +319,20 @@ def test_rows_without_id_come_last(awkward):
     assert fingerprints.compare_with_next(awkward).count() == awkward.count()
 
 
+def test_rows_without_id_or_of_one_id_are_dealt_to_several_tasks(spark):
+    some = [(None, f"nameless {i} " * 40) for i in range(300)] + [(5, f"five {i} " * 60) for i in range(300)] + [(i, f"own {i} " * 50) for i in range(10, 60)] + [(5, "same"), (5, "same"), (None, None)]
+    docs = spark.createDataFrame(some, "doc_id long, text string")
+    keyed = docs.selectExpr("doc_id", "coalesce(text, '') AS t", "xxhash64(coalesce(text, '')) AS h").collect()
+    keyed.sort(key=lambda r: (-(r.doc_id if r.doc_id is not None else -(2**63)), r.h))
+    want = []
+    for r, n in zip(keyed, keyed[1:] + keyed[:1], strict=True):
+        cut = len(r.t) // 3
+        want.append((r.doc_id, len(r.t), hashlib.sha256((r.t[: len(r.t) - cut] + n.t[:cut]).encode()).hexdigest()))
+    assert rows(fingerprints.compare_with_next(docs, range_bytes=20_000), "doc_id", "n_chars", "edited_sha256") == ordered(want)
+    parts = fingerprints.with_next(docs, "doc_id", "text", 20_000).where("guest = 0").groupBy("part").count().collect()
+    assert max(r["count"] for r in parts) < 150
+
+
 def test_fingerprints_of_one_and_none(no_docs, awkward):
     assert fingerprints.compare_with_next(no_docs).count() == 0
     assert rows(fingerprints.compare_with_next(awkward.where("doc_id = 3")), "near_next") == [(1.0,)]
@@ -274,7 +345,7 @@ def test_fingerprints_of_one_and_none(no_docs, awkward):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_equal_sql(spark, sf, name):
     db = duckdb.connect()
-    for table in ("documents", "benchmark", "pages", "labels"):
+    for table in ("documents", "benchmark", "pages", "labels", "conversations"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     found = queries.QUERIES[name](spark, sf)
     cols = sorted(found.columns)
