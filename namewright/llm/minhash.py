@@ -21,7 +21,7 @@ Components come from repeated minimum labels with pointer jumping over written t
 Defined cases: null, empty or word-free text has an empty set (size 0), is linked with nothing and is its
 own component. With fewer than ``width`` words the whole sequence is the only shingle. Rows that share a doc_id
 are one document: a link of either text links both. Rows without doc_id are linked with nothing, have a null component
-and are kept.
+and are kept; ``dedup`` keeps one of the rows that share doc_id (or have none) and text.
 """
 
 from __future__ import annotations
@@ -311,7 +311,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return named_rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that are the first of their component."""
-    dropped = written(near_duplicates(docs, doc_id, **options).where("not kept").select(F.col("doc_id").alias("__dropped")).distinct(), "dropped")
-    return docs.join(dropped, F.col(doc_id).cast("long") == F.col("__dropped"), "left_anti")
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that are the first of their component; of rows with one doc_id (or none) and one text, one."""
+    found = near_duplicates(docs, doc_id, text, **options)
+    dropped = written(found.where("not kept").select(F.col("doc_id").alias("__dropped")).distinct(), "dropped")
+    kept = docs.join(dropped, F.col(doc_id).cast("long") == F.col("__dropped"), "left_anti")
+    names = ("__id", "__h", "__g")
+    hashes = [F.col(doc_id).cast("long").alias("__id"), F.xxhash64(text).alias("__h"), F.xxhash64(F.col(text), F.lit(1)).alias("__g")]
+    twice = written(docs.select(*hashes).groupBy(*names).agg(F.count("*").alias("n")).where("n > 1").select(*[F.col(k).alias(k + "2") for k in names]), "twice")
+    if twice.isEmpty():
+        return kept
+    same = F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__h") == F.col("__h2")) & (F.col("__g") == F.col("__g2"))
+    marked = kept.select("*", *hashes)
+    one = marked.join(twice, same, "left_semi").dropDuplicates(names)
+    return marked.join(twice, same, "left_anti").unionByName(one).drop(*names)

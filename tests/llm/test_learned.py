@@ -417,3 +417,44 @@ def test_stages_take_effect(spark, sf, tmp_path):
     assert {r[0] for r in plain.decontaminated(texts[2], items) if not r[-1]} == {i for i, _ in texts[3]}
     assert {r.doc_id for r in docs.collect()} == {i for i, _ in texts[3]}
     assert before.count() >= seen[0] > seen[1] >= seen[2] > seen[3]
+
+
+def _run(spark, awkward, tmp_path, labels, items):
+    folder = f"{tmp_path}/tables"
+    awkward.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, LABELS).write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == awkward.columns and docs.dtypes == awkward.dtypes
+        docs.write.parquet(f"{folder}/stage{len(kept)}")
+        docs = spark.read.parquet(f"{folder}/stage{len(kept)}")
+        kept.append(docs.collect())
+    packed = corpus_pipeline.run(spark, folder).collect()
+    assert {r.doc_id for r in packed} == {r.doc_id for r in kept[-1]}
+    assert sum(r.piece == 0 for r in packed) == len(kept[-1])
+    return kept, packed
+
+
+def test_pipeline_on_awkward_rows(spark, awkward, tmp_path):
+    """Nulls, empty and very long texts, repeated rows, clashing column names; every stage against its plain version."""
+    items = [(1, "w5 w6 w7 w8 w9 w10 w11 w12 w13 w14"), (2, None), (None, "")]
+    kept, _ = _run(spark, awkward.unionByName(awkward.where("doc_id is null")), tmp_path, [(1, 1, 0, "x"), (3, 1, None, "x"), (None, 1, 1, "x")], items)
+    clean, distinct, shorter, last = kept
+    assert len(clean) == awkward.count() + 2  # no toxic label, nothing goes
+    named = [(r.doc_id, r.text) for r in clean]
+    first = {(i, t) for (i, t), (_, _, _, keep) in zip(named, plain.near_duplicates(named), strict=True) if keep}
+    assert sorted(((r.doc_id, r.text) for r in distinct), key=str) == sorted(first, key=str)  # one row of each id and text
+    text = {r.doc_id: r.text for r in shorter}
+    assert "bridge was built" in text[1] and "bridge was built" not in text[2]
+    assert {r.doc_id for r in shorter} == {r.doc_id for r in distinct} - {3}
+    hit = {d for d, _, n, *_ in plain.decontaminated([(r.doc_id, r.text) for r in shorter], items) if n}
+    assert {5} <= hit and {r.doc_id for r in last} == {r.doc_id for r in shorter} - hit
+
+
+def test_pipeline_of_empty_tables(spark, awkward, no_docs, tmp_path):
+    assert _run(spark, no_docs, f"{tmp_path}/none", [], [])[1] == []
+    kept, packed = _run(spark, awkward.where("doc_id in (8, 9, 11)"), f"{tmp_path}/few", [], [])
+    assert {r.doc_id for r in packed} == {8, 9, 11} == {r.doc_id for r in kept[-1]}
