@@ -8,6 +8,11 @@ MinHash            of each near-duplicate component the document with the smalle
 substring dedup    sentences of repeated spans go from all documents but the first; a document of which nothing is left goes
 decontamination    documents that hold a window of a benchmark item go
 packing            the rest is tokenised and packed into sequences: a row per piece
+
+Defined cases: null and empty texts score as clean, are near nothing, hold nothing and are packed as their end token. Rows without
+doc_id are no near duplicates and else judged by their text like all others; of rows that share doc_id (or have none) and text one stays. Labels, benchmark
+and documents may be empty. Columns of ``documents`` beyond doc_id and text are handed on as they are (n_chars is counted anew
+where sentences go), whatever their names.
 """
 
 from __future__ import annotations
