@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -18,6 +19,7 @@ from pyspark.sql.types import StructType
 
 
 SLICE_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Longer texts are given to a tokenizer in parts of about this many characters.
 PART = 1 << 20
 #: Runs of so much white space (Unicode's, a fixed set) are too deep for the tokenizers' pattern.
@@ -25,7 +27,11 @@ _WHITE_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u2
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, for drivers started without ``--py-files``."""
+    """Send this package to the executors, once per application, for drivers started without ``--py-files``.
+
+    Arrow batches are bounded by bytes, where the session has no bound of its own: texts may be long."""
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(2 * SLICE_BYTES))
     context, package = spark.sparkContext, Path(__file__).parents[1]
     if getattr(context, "_namewright_shipped", False):
         return
@@ -103,6 +109,15 @@ def encode_text(encoding, text: str, part: int = PART, border: re.Pattern | None
     return np.concatenate([np.array(i, np.int64) for i in ids])
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker waits for its next task beside others that need it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def by_batch(
     rows: Callable[[pa.RecordBatch], Iterable[dict[str, pa.Array | list]]],
     types: list[tuple[str, pa.DataType]],
@@ -125,5 +140,6 @@ def by_batch(
                 yield from map(batch_of, rows(batch.slice(at, step)))
         if last:
             yield from map(batch_of, last())
+        give_back()
 
     return run
