@@ -13,7 +13,9 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from namewright.operators.docs import bundled_docs  # noqa: E402
 from namewright.plans import jobs  # noqa: E402
+from namewright.sinks import writers  # noqa: E402
 from namewright.session import local_session  # noqa: E402
 from namewright.sources import fixture_views as fv  # noqa: E402
 
@@ -62,15 +64,18 @@ def main():
     # the persisted per-curve result is printed once, on its own
     cached = clean(flags._jdf.queryExecution().executedPlan().toString())
     stage_plan = fold_cached(stage_plan)
-    docs = jobs.build_docs(t("object_meta"), t("load_set_curve"), t("curve_name"), bundles=8)
+    docs = writers.framed(bundled_docs(t("object_meta"), t("load_set_curve"), t("curve_name"), 8), 64 << 20)
     docs_plan = clean(docs._jdf.queryExecution().executedPlan().toString())
     run.release()
+    one = jobs.stage(t("object_meta"), t("load_set_curve"), t("curve_dict"), t("curve_rule"), load_set_ids=[1])
+    one_plan = clean(one.flags._jdf.queryExecution().executedPlan().toString())
     out = ["# Physical plans (broadcasts disabled, as at scale)", "",
            "Generated by `tools/plans.py`; expression ids stripped. AQE re-plans at run time",
            "(coalescing, runtime broadcast when a side is measured small).", "",
            "## JOB1 staged rows (`run_staging`), above the persisted per-curve result", "", "```",
            stage_plan, "```", "", "## JOB1 per-curve result (persisted once)", "", "```", cached, "```", "",
-           "## JOB2 documents on 8 bundles (`run_export`)", "", "```", docs_plan, "```", ""]
+           "## JOB1 per-curve result of one load set (other sets' rows go at the scan, by the broadcast bits)", "", "```",
+           one_plan, "```", "", "## JOB2 framed documents on 8 bundles (`run_export`)", "", "```", docs_plan, "```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(out))
     spark.stop()
