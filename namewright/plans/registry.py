@@ -20,7 +20,7 @@ from namewright.operators import docs as D
 from namewright.operators import quality as Q
 from namewright.operators.rules import collect_rules
 from namewright.plans import jobs
-from namewright.session import scratch_path
+from namewright.session import materialized, scratch_path
 from namewright.sinks import writers
 from namewright.sources import fixture_views as fv
 from namewright.sources import tables as T
@@ -94,7 +94,9 @@ def q_members_of_set(spark, sf):
 
 
 def q_null_to_empty(spark, sf):
-    return _doc_meta_all(_views(spark, sf))
+    m = T.only_curves(_views(spark, sf)["object_meta"])
+    m = m.selectExpr("object_id AS curve_id", "attribute AS attr", "verb", "element_name AS name", "ric AS code")
+    return T.null_to_empty(m, ["attr", "verb", "name", "code"])
 
 
 def q_default_abbr(spark, sf):
@@ -189,15 +191,24 @@ def q_staged_names(spark, sf):
     return jobs.stage_names(v["object_meta"], v["load_set_curve"], v["curve_dict"], v["curve_rule"])
 
 
-def q_staged_names_one(spark, sf):
-    """JOB1 once per load set, as the reference runs it: each run filters the metadata by its own members."""
+def _stored(spark, sf, *names):
+    """The catalogue written once, for queries that run a job several times."""
     v = _views(spark, sf)
-    runs = [jobs.stage_names(v["object_meta"], v["load_set_curve"], v["curve_dict"], v["curve_rule"], load_set_ids=[k])
-            for k in sorted({r[0] for r in fv.RULES})]
-    out = runs[0]
-    for run in runs[1:]:
-        out = out.unionByName(run)
-    return out
+    return v | {name: materialized(v[name], name) for name in names}
+
+
+def _staged_by(spark, v, runs):
+    """The staging table after runs of JOB1 over (members, load sets)."""
+    path = scratch_path(spark, "staging")
+    for members, some in runs:
+        jobs.run_staging(v["object_meta"], members, v["curve_dict"], v["curve_rule"], path, scratch_path(spark, "status"), load_set_ids=some)
+    return spark.read.parquet(path).withColumn("load_set_id", F.col("load_set_id").cast("int"))
+
+
+def q_staged_names_one(spark, sf):
+    """JOB1 once per load set, as the reference runs it: each run filters the metadata by its own members and replaces its set's rows."""
+    v = _stored(spark, sf, "object_meta", "load_set_curve", "curve_dict")
+    return _staged_by(spark, v, [(v["load_set_curve"], [k]) for k in sorted({r[0] for r in fv.RULES})])
 
 
 def _colocated(spark, sf):
@@ -249,13 +260,8 @@ def q_rule_sets(spark, sf):
 
 def q_staging_table(spark, sf):
     """SNK1: the staging table after two runs, the second over two load sets only, of which one has lost its curves."""
-    v = _views(spark, sf)
-    path = scratch_path(spark, "staging")
-    fewer = v["load_set_curve"].where("load_set_id <> 3")
-    for members, some in ((v["load_set_curve"], None), (fewer, [0, 3])):
-        run = jobs.stage(v["object_meta"], members, v["curve_dict"], v["curve_rule"], load_set_ids=some)
-        writers.write_staging(run.staged, path, run.good_load_sets)
-    return spark.read.parquet(path).withColumn("load_set_id", F.col("load_set_id").cast("int"))
+    v = _stored(spark, sf, "object_meta", "load_set_curve", "curve_dict")
+    return _staged_by(spark, v, [(v["load_set_curve"], None), (v["load_set_curve"].where("load_set_id <> 3"), [0, 3])])
 
 
 def q_bundle_files(spark, sf):
