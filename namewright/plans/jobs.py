@@ -19,6 +19,7 @@ from namewright.operators import quality
 from namewright.operators.attrs import attribute_maps
 from namewright.operators.docs import bundled_docs, curve_docs
 from namewright.operators.rules import KINDS, KeyUse, RuleSet, apply_rules, collect_rules, referenced_keys
+from namewright.session import materialized
 from namewright.sinks import writers
 from namewright.sources.jdbc import split_spec
 from namewright.sources.tables import ALL, in_load_set
@@ -117,7 +118,7 @@ def named_curves(meta: DataFrame, members: DataFrame, dictionary: DataFrame,
 def stage(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: DataFrame,
           load_set_ids=None, long_max: int = LONG_NAME_MAX, short_max: int = SHORT_NAME_MAX,
           type_id: int | None = None, max_attr_chars: int | None = None,
-          restrict_keys: bool = True, persist: bool = False) -> StagingRun:
+          restrict_keys: bool = True, persist: bool = False, stored: bool = False) -> StagingRun:
     """JOB1 with everything the callers need (checked rows, staged rows, rules).
 
     With named load sets the other curves' rows go where the metadata is scanned, so
@@ -125,7 +126,8 @@ def stage(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: Dat
 
     ``persist`` (MAT1) keeps the per-curve naming result (MEMORY_AND_DISK) so
     the three branches that read it (staged rows, long owners, short owners)
-    share one computation; call ``run.release()`` after writing."""
+    share one computation; call ``run.release()`` after writing.  ``stored`` writes it
+    into the shared folder instead, for results that are read after this call."""
     every = load_set_ids is None or load_set_ids == ALL
     rule_sets = collect_rules(rules, None if every else load_set_ids)
     kept = []
@@ -135,18 +137,20 @@ def stage(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: Dat
     if persist:
         flags = flags.persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(flags)
+    elif stored:
+        flags = materialized(flags, "flags")
     checked = quality.checked_names(named, long_max, short_max, flags=flags)
     return StagingRun(checked, quality.staged_rows(checked), flags, rule_sets, kept)
 
 
 def stage_names(meta: DataFrame, members: DataFrame, dictionary: DataFrame, rules: DataFrame,
                 load_set_ids=None, long_max: int = LONG_NAME_MAX, short_max: int = SHORT_NAME_MAX,
-                type_id: int | None = None, max_attr_chars: int | None = None) -> DataFrame:
+                type_id: int | None = None, max_attr_chars: int | None = None, stored: bool = False) -> DataFrame:
     """JOB1: staging rows (curve_id, curve_name, short_curve_name,
     curve_description, load_set_id, is_valid) for the requested load sets
     (None or 'all': every load set in ``rules``)."""
     return stage(meta, members, dictionary, rules, load_set_ids, long_max, short_max,
-                 type_id, max_attr_chars).staged
+                 type_id, max_attr_chars, stored=stored).staged
 
 
 def load_set_report(checked: DataFrame) -> DataFrame:
