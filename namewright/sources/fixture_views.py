@@ -19,6 +19,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from namewright.session import materialized
 
 _SOURCES = ("part", "supplier", "lineitem", "nation")
 
@@ -110,12 +111,19 @@ note_meta AS (
 note_curve AS (SELECT CAST(10 + p_size % 8 AS INTEGER) AS load_set_id, p_partkey AS curve_id FROM part)"""
 
 
+PARTS_PER_TASK = 2_000    # a part's note has up to 100,000 characters, its row in the file a hundred
+
+
 def pattern_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The tables of a naming run whose rules are about patterns."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    """The tables of a naming run whose rules are about patterns.
+
+    The parts are dealt out before their long notes are made, so a task's memory stays the same however many parts there are."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_brand", "p_size", "p_name", "p_type")
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), part.count() // PARTS_PER_TASK + 1)
+    part = part.repartition(n, "p_partkey")
     text = PATTERN_SQL.replace("FROM part", "FROM {part}")
     meta, members = (spark.sql(f"WITH {text} SELECT * FROM {name}", part=part) for name in ("note_meta", "note_curve"))
-    return {"object_meta": meta, "load_set_curve": members, "curve_dict": curve_dict(spark, sf_dir),
+    return {"object_meta": meta, "load_set_curve": members, "curve_dict": materialized(curve_dict(spark, sf_dir), "curve_dict"),
             "curve_rule": spark.createDataFrame(PATTERN_RULES, RULE_SCHEMA)}
 
 
