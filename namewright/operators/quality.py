@@ -62,6 +62,12 @@ def length_flags(named: DataFrame, long_max: int = LONG_NAME_MAX,
     return named.selectExpr(*exprs)
 
 
+def rule_failures(named: DataFrame, long_max: int = LONG_NAME_MAX, short_max: int = SHORT_NAME_MAX) -> DataFrame:
+    """The flags of the curves with a failed rule (reason ``rule_error``), told by the load sets' errors before any text is made."""
+    failed = " OR ".join(f"{kind}_error IS NOT NULL" for kind in ("long", "short", "desc"))
+    return length_flags(named.filter(failed), long_max, short_max)
+
+
 def valid_names(flags: DataFrame, kind: str) -> DataFrame:
     """FLT6/PRJ1: (load_set_id, curve_id, name) of the valid names of one kind."""
     return flags.filter(F.col(f"{kind}_ok")).select(*IDS, F.col(f"{kind}_text").alias("name"))
