@@ -210,23 +210,45 @@ def _numbered_by_ranges(ent: DataFrame, key_col: str, out: str) -> DataFrame:
     return _with_number(rows, key_col, out)
 
 
-def number_repeats(ent: DataFrame, key_col: str = "key", out: str = "final_key") -> DataFrame:
+# curves with more entries are numbered by ranges
+HUGE_CURVE = 100_000
+
+
+def _by_size(ent: DataFrame, huge_curve: int = HUGE_CURVE) -> tuple[DataFrame, DataFrame]:
+    """The entries of curves of up to ``huge_curve`` entries, dealt by curve, and those of the others.
+
+    The list of huge curves is at most a ``huge_curve``-th of the entries long, so the hint holds."""
+    ids = ["load_set_id", "curve_id"]
+    huge = F.broadcast(ent.groupBy(*ids).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > F.lit(huge_curve)).select(*ids))
+    return ent.join(huge, ids, "left_anti").repartition(*ids), ent.join(huge, ids, "left_semi")
+
+
+def _first_of_final(numbered: DataFrame, out: str) -> DataFrame:
+    by_final = Window.partitionBy("load_set_id", "curve_id", out).orderBy("_n", *ENTRY_VALUE)
+    return numbered.select("*", F.row_number().over(by_final).alias("_rn")).filter("_rn = 1").drop("_rn", "_n")
+
+
+def number_repeats(ent: DataFrame, key_col: str = "key", out: str = "final_key", sized: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """ORD1 as rows: the 1st entry of a key keeps it, the 2nd becomes ``K1``,
     the 3rd ``K2``; order inside a key is (fullname, shortname, abbr).  One
     entry per (load set, curve, final key) survives, an unnumbered (literal)
-    key winning over a numbered one that spells the same text."""
-    by_final = Window.partitionBy("load_set_id", "curve_id", out).orderBy("_n", *ENTRY_VALUE)
-    numbered = _numbered_by_ranges(ent, key_col, out)
-    return numbered.select("*", F.row_number().over(by_final).alias("_rn")).filter("_rn = 1").select(*ent.columns, out)
+    key winning over a numbered one that spells the same text.
+
+    Usual curves are dealt by curve once, which serves both windows; huge ones are cut into ranges."""
+    usual, huge = sized or _by_size(ent)
+    return _first_of_final(_numbered(usual, key_col, out), out).unionByName(_first_of_final(_numbered_by_ranges(huge, key_col, out), out))
 
 
 def numbered_keys(ent: DataFrame) -> DataFrame:
     """Rows of the ``curve`` map (raw keys, numbered) and the ``var`` map
-    (normalised keys, numbered), one row per map entry."""
-    curve_rows = number_repeats(ent, "key").select(
+    (normalised keys, numbered), one row per map entry.  The entries are read
+    several times, so they should be stored."""
+    sized = _by_size(ent)
+    curve_rows = number_repeats(ent, "key", sized=sized).select(
         "load_set_id", "curve_id", F.lit("curve").alias("map_name"),
         F.col("final_key").alias("map_key"), *ENTRY_VALUE)
-    var_rows = number_repeats(ent.withColumn("nkey", normalize_key("key")), "nkey").select(
+    keyed = tuple(part.withColumn("nkey", normalize_key("key")) for part in sized)
+    var_rows = number_repeats(ent, "nkey", sized=keyed).select(
         "load_set_id", "curve_id", F.lit("var").alias("map_name"),
         F.col("final_key").alias("map_key"), *ENTRY_VALUE)
     return curve_rows.unionByName(var_rows)
