@@ -6,8 +6,9 @@ are placed by decreasing length. Of the open sequences with room in every dimens
 is taken that leaves the smallest weighted norm of relative residuals (``rule='norm'``), or
 whose residual vector has the largest weighted dot product with the piece (``rule='dot'``).
 
-Tokens: the tokenizer is applied to white-space separated chunks, of which each worker
-remembers the ids (bounded, two generations). Its pre-tokenizer never joins characters over
+Tokens: the tokenizer is applied to white-space separated chunks. A batch's texts are cut and its distinct
+chunks found by Arrow; those are cut into the tokenizer's own pieces, of which each worker remembers the
+ids (bounded, two generations). Chunks of other letters are remembered whole. Its pre-tokenizer never joins characters over
 ASCII white space, so the ids are those of the whole text; a tokenizer file that prepares texts in any other way is
 applied to whole texts.
 
@@ -26,11 +27,13 @@ import json
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +51,8 @@ LONGEST_CHUNK = 64
 
 # Characters for which lower case, NFC and the pre-tokenizer's classes need no tables: printable ASCII, Latin-1 and Latin Extended-A letters.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ňŊ-ŷŹ-ž]+")
-_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-z0-9ß-öø-ž]+")
+# .. and how it cuts such chunks, each a line of its own.
+_PIECES = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-z0-9ß-öø-ž\n]+")
 
 
 def _byte_letters() -> list[str]:
@@ -106,6 +110,11 @@ class PlainEncoder:
     def encode(self, text: bytes | None) -> bytes:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes() if text else b""
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of binary texts one after another, and where each text's ids end."""
+        found = [self.encode(t) for t in texts.to_pylist()]
+        return np.frombuffer(b"".join(found), "<u4"), np.cumsum([len(f) // 4 for f in found], dtype=np.int64)
+
 
 class ChunkEncoder:
     """Token ids of texts as little-endian unsigned 32-bit integers, by a tokenizer that ``cuts_at_white_space``."""
@@ -122,17 +131,43 @@ class ChunkEncoder:
     def _piece(self, piece: str) -> bytes:
         if not piece.isascii():
             piece = "".join(map(self.letters.__getitem__, piece.encode()))
-        return np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
-
-    def _chunk(self, chunk: bytes) -> bytes:
-        text = chunk.decode("utf-8", "replace")
-        if _PLAIN.fullmatch(text) and "<|" not in text:
-            return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _plain(self, chunks: list[str]) -> tuple[bytes, np.ndarray]:
+        """The ids of plain chunks one after another, and how many each has. They are cut into pieces all at once, as lines of one text."""
+        pieces = _PIECES.findall("".join([c + "\n" for c in chunks]).lower())
+        ends = np.flatnonzero(np.fromiter(map("\n".__eq__, pieces), bool, len(pieces)))
+        found = [b"" if p == "\n" else self.pieces[p] for p in pieces]
+        before = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4)
+        return b"".join(found), np.diff(before[ends], prepend=0)
+
+    def _chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A table of ids, and for each chunk the place and the number of its own there."""
+        plain = np.array([_PLAIN.fullmatch(c) is not None and "<|" not in c for c in chunks], bool)
+        own, sizes = self._plain([c for c, p in zip(chunks, plain, strict=True) if p])
+        rest = [self.chunks[c] if len(c) <= LONGEST_CHUNK else self._chunk(c) for c, p in zip(chunks, plain, strict=True) if not p]
+        sizes = np.concatenate([sizes, np.fromiter(map(len, rest), np.int64, len(rest)) // 4])
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        at, n = np.empty(len(chunks), np.int64), np.empty(len(chunks), np.int64)
+        at[order], n[order] = np.cumsum(sizes) - sizes, sizes
+        return np.frombuffer(own + b"".join(rest), "<u4"), at, n
 
     def encode(self, text: bytes | None) -> bytes:
-        known, plain = self.chunks, self._chunk
-        return b"".join([known[c] if len(c) <= LONGEST_CHUNK else plain(c) for c in text.split()]) if text else b""
+        return self.encode_all(pa.array([text], pa.binary()))[0].tobytes()
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of binary texts one after another, and where each text's ids end. Every distinct chunk is looked at once."""
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, b"").view(pa.string()))
+        of = words.flatten().dictionary_encode()
+        distinct = b"\n".join(of.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False))
+        table, at, n = self._chunks(distinct.decode("utf-8", "replace").split("\n") if len(of.dictionary) else [])
+        chunk = of.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(n[chunk])])
+        ids = table[np.repeat(at[chunk] - ends[:-1], n[chunk]) + np.arange(ends[-1])]
+        return ids, ends[np.cumsum(pc.list_value_length(words).to_numpy())]
 
 
 _ENCODERS: dict[str, ChunkEncoder | PlainEncoder] = {}
@@ -155,14 +190,16 @@ def token_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pa
     that spreads rows evenly and is the same whenever the task is repeated."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path or tokenizer_path()).encode
+        encode_all = encoder(path or tokenizer_path()).encode_all
         end, task, seen = np.array([END_ID], "<u4").tobytes(), TaskContext.get().partitionId(), 0
 
         def one(batch: pa.RecordBatch) -> Iterator[dict]:
             nonlocal seen
             out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "dealt")}
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encode(t) + end
+            tokens, ends = encode_all(batch.column(1))
+            first = 0
+            for i, last in zip(batch.column(0).to_pylist(), ends.tolist(), strict=True):
+                ids, first = tokens[first:last].tobytes() + end, last
                 for k, at in enumerate(range(0, len(ids), 4 * max_tokens)):
                     part = ids[at : at + 4 * max_tokens]
                     for name, value in zip(out, (i, k, at // 4, len(part) // 4, zlib.crc32(part), (task * 7919 + seen) & 0x7FFFFFFF), strict=True):

@@ -6,6 +6,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -204,6 +205,23 @@ def test_every_unusual_chunk_is_encoded_alike(tokenizer):
         assert np.frombuffer(own.encode(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_chunks_of_a_batch_are_looked_up_once(tokenizer):
+    own, looked = packing.ChunkEncoder(packing.tokenizer_path()), []
+
+    class Counting(dict):
+        def __missing__(self, piece):
+            looked.append(piece)
+            return own._piece(piece)
+
+    own.pieces = Counting()
+    texts = [f" {w} Tree's \u00e9t\u00e9 \u6f22 {w}x\n" for w in ("one", "two", "")] * 200 + ["", None, "\t "]
+    ids, ends = own.encode_all(pa.array([t if t is None else t.encode() for t in texts], pa.binary()))
+    assert len(looked) <= 9
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert ends.tolist() == np.cumsum([len(w) for w in want]).tolist() and ids.tolist() == [i for w in want for i in w]
+    assert [len(x) for x in own.encode_all(pa.array([], pa.binary()))] == [0, 0]
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_every_capacity_holds(rule):
     rng = np.random.default_rng(3)
