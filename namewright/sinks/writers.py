@@ -10,7 +10,8 @@
   ``write_partition_bundles`` and ``write_sized_bundles`` (used by the export job)
   write documents that already lie in their bundle's partition, one file a bundle or
   files of bounded size; windows over a bundle's order put header and footer on its
-  first and last document: no shuffle of the documents, no Python.
+  first and last document: no shuffle of the documents, and no Python but for writing
+  the small files of bounded size into a mounted folder.
   ``write_bundles`` is the general form for documents that come from
   elsewhere: curves hashed into ``n`` bundles, header and footer rows per
   bundle that has documents, one repartition by bundle, and a sort within
@@ -24,8 +25,12 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -156,9 +161,69 @@ def write_partition_bundles(docs: DataFrame, path: str) -> None:
 
 def write_sized_bundles(docs: DataFrame, path: str, max_bytes: int) -> None:
     """SNK3 with files of bounded size: ``path/bundle=K/part=J/``, each file at most ``max_bytes`` and one document long.  A bundle
-    that turns out larger than others gives more files, not a larger one."""
-    (framed(docs, max_bytes).sortWithinPartitions("bundle", "part", "curve_id", "value")
-     .select("bundle", "part", "value").write.mode("overwrite").partitionBy("bundle", "part").text(path))
+    that turns out larger than others gives more files, not a larger one.
+
+    On a file system that is mounted as a folder the tasks write the files themselves (``_write_files``): Hadoop's local file
+    system starts processes for every file and folder it makes, which takes longer than the documents where files are small."""
+    lines = (framed(docs, max_bytes).sortWithinPartitions("bundle", "part", "curve_id", "value")
+             .select("bundle", "part", "value"))
+    fs, p, _jvm = _hadoop_fs(docs.sparkSession, path)
+    full = fs.makeQualified(p).toUri()
+    if full.getScheme() == "file":
+        _write_files(lines, full.getPath())
+    else:
+        lines.write.mode("overwrite").partitionBy("bundle", "part").text(path)
+
+
+def _write_files(lines: DataFrame, folder: str) -> None:
+    """Lines (bundle, part, value), which come bundle by bundle and part by part, into ``folder/bundle=K/part=J/``, replacing what is there.
+
+    A task attempt writes below a folder of its own, which the readers do not see; of the attempts that succeeded the bundles
+    are moved to their place, one move each, when all tasks are done."""
+    fs, place, jvm = _hadoop_fs(lines.sparkSession, f"file:{folder}")
+    pending = f"{folder}/_temporary/{uuid.uuid4().hex}"
+
+    def run(batches):
+        own = f"{pending}/{TaskContext.get().taskAttemptId()}"
+        at, out, bundles = None, None, {}
+        try:
+            for batch in batches:
+                for bundle, part, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if (bundle, part) != at:
+                        if out:
+                            out.close()
+                        at, bundles[bundle] = (bundle, part), own
+                        os.makedirs(f"{own}/bundle={bundle}/part={part}")
+                        out = open(f"{own}/bundle={bundle}/part={part}/part-00000.txt", "wb")
+                    out.write((value or b"") + b"\n")
+        finally:
+            if out:
+                out.close()
+        yield pa.RecordBatch.from_pydict({"bundle": pa.array([*bundles], pa.int32()), "own": pa.array([*bundles.values()], pa.string())})
+
+    fs.delete(place, True)
+    try:
+        written = lines.select("bundle", "part", F.col("value").cast("binary")).mapInArrow(run, "bundle int, own string").collect()
+        os.makedirs(folder, exist_ok=True)
+        for row in written:  # one row a bundle
+            os.rename(f"{row['own']}/bundle={row['bundle']}", f"{folder}/bundle={row['bundle']}")
+    finally:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{folder}/_temporary"), True)
+    open(f"{folder}/_SUCCESS", "wb").close()
+
+
+LISTING_TASKS = 32    # Spark's own bound is 10,000: a task for each of a bundle's folders
+
+
+def read_sized_bundles(spark: SparkSession, path: str) -> DataFrame:
+    """The lines (value, bundle, part) of ``write_sized_bundles``.  Its many small folders are listed by a few tasks."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(LISTING_TASKS))
+    try:
+        return spark.read.text(path)
+    finally:
+        spark.conf.set(key, before)
 
 
 def write_keyed_docs(docs: DataFrame, path: str) -> None:

@@ -227,3 +227,33 @@ def test_bundle_files_are_framed_and_bounded(spark, catalogue, size):
             assert sum(len(x.encode()) + 1 for x in lines[1:-2]) <= size or len(own) == 1
     assert sorted(seen) == want
     assert len(files) == (4 if size in (None, 10**9) else len(want) if size == 1 else len(files))
+
+
+def test_many_small_files_are_listed_by_few_tasks(spark, catalogue):
+    t, context = catalogue, spark.sparkContext
+    out = tempfile.mkdtemp(prefix="sized-", dir="/tmp")
+    jobs.run_export(t["meta"], t["members"], t["names"], f"{out}/d", 1, bundle_bytes=1)
+    assert len(glob.glob(f"{out}/d/bundle=0/part=*")) > 2 * writers.LISTING_TASKS and os.path.exists(f"{out}/d/_SUCCESS")
+    assert not glob.glob(f"{out}/d/_temporary")
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    context.setJobGroup("listing", "")
+    try:
+        lines = writers.read_sized_bundles(spark, f"{out}/d")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= writers.LISTING_TASKS
+    assert spark.conf.get(key) == before
+    # a second export replaces the files of the first
+    jobs.run_export(t["meta"], t["members"], t["names"], f"{out}/d", 1, bundle_bytes=10**9)
+    assert [os.path.basename(f) for f in glob.glob(f"{out}/d/bundle=0/*")] == ["part=0"] and lines.columns == ["value", "bundle", "part"]
+
+
+def test_a_failed_export_leaves_no_part_of_itself(spark):
+    out = tempfile.mkdtemp(prefix="sized-", dir="/tmp")
+    docs = spark.range(40).selectExpr("0 AS bundle", "id AS curve_id", "CASE WHEN id = 30 THEN raise_error('bad') ELSE 'x' END AS doc")
+    with pytest.raises(Exception, match="bad"):
+        writers.write_sized_bundles(docs, f"{out}/d", 1)
+    assert not glob.glob(f"{out}/d/**/part-*", recursive=True) and not os.path.exists(f"{out}/d/_SUCCESS")
