@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from namewright.operators import attrs as A
 from namewright.operators import quality as Q
@@ -97,3 +98,30 @@ def test_parts_are_dealt_out_before_their_notes(spark, small, monkeypatch):
     assert R.q_rule_patterns(spark, small).count() == 120
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     assert spark.conf.get(key) == "true"
+
+
+def test_parts_are_dealt_out_before_their_rows(spark, small, monkeypatch):
+    before = rows(fv.object_meta(spark, small))
+    monkeypatch.setattr(fv, "PARTS_AT_ONCE", 10)
+    dealt = fv.object_meta(spark, small)
+    own = [r["count"] for r in dealt.filter("verb NOT IN ('in', 'at') AND object_type_id = 1").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(own) > 6 and max(own) < 120 * 12 / 3
+    assert rows(dealt) == before
+
+
+def test_metadata_of_repeated_and_missing_keys_is_that_of_the_definition(spark, tmp_path):
+    tables = {
+        "part": ("p_partkey long, p_name string, p_brand string, p_type string, p_size int", [(1, "a", "b", "c", 20), (1, "a", "b", "c", 20), (2, None, None, None, None)]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int", [(5, "s", 1), (5, "s", 2), (5, "t", 1), (6, None, None), (6, "u", 1), (None, "v", 1)]),
+        "nation": ("n_nationkey int, n_name string", [(1, "N"), (1, "N"), (1, "M"), (2, None)]),
+        "lineitem": ("l_partkey long, l_suppkey long", [(1, 5), (1, 5), (2, 6), (None, 6), (1, None), (1, 7)]),
+    }
+    for name, (schema, data) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    text = fv.FIXTURE_SQL.replace(fv._NUMBERED, fv._SPARK_NUMBERED)
+    for name in tables:
+        spark.read.parquet(f"{tmp_path}/{name}.parquet").createOrReplaceTempView(name)
+    want = spark.sql(f"WITH {text} SELECT * FROM object_meta")
+    assert rows(fv.object_meta(spark, str(tmp_path))) == rows(want)
+    for name in tables:
+        spark.catalog.dropTempView(name)
